@@ -1,102 +1,170 @@
 """Toxicity by a chain of linear classifiers.
 
-The categories are predicted one after another. Each one's logistic regression sees hashed words and the probabilities of
-the categories before it. In training these probabilities are out-of-fold, from models that haven't seen the row, so that
-later models meet them as they will be in use.
+The categories are predicted one after another. Each one's logistic regression sees the hashed terms of a text and the
+probabilities of the categories before it. In training these probabilities are out-of-fold, from models that haven't seen
+the row, so that later models meet them as they will be in use.
+
+The models are fitted on a bounded sample of labelled documents, in one task; scoring reads every whole text, in parallel.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from collections.abc import Iterator
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import cut, pick
+from .common import pick
 
 #: Labelled documents that the models are fitted on at most: those whose ids hash lowest.
-MOST_LABELLED = 20_000
+MOST_LABELLED = 6_000
 FEATURES = 1 << 17
 FOLDS = 3
-THRESHOLD = 0.5
+THRESHOLD = 0.35
 #: The categories of `labels` in the order of the chain, and what stands for each.
 CATEGORIES = (("junk", "1 - quality"), ("toxic", "toxic"))
 TARGET = "toxic"
+STEPS, RATE, PENALTY = 150, 0.03, 1e-3
+#: A term counts if it occurs in so many labelled documents, or in one of RARE of them if that is more.
+LEAST_DOCS, RARE = 3, 300
+#: Terms: lower-case runs of letters and digits, and runs of other signs; and the beginnings, of these lengths, of longer ones.
+PREFIXES = (4, 5, 6)
+TERM = re.compile(r"[^\W_]+|[^\w\s]+|_+")
+REMEMBERED = 300_000
 
 
-def terms(text: Column) -> Column:
-    """Lower-case runs of letters and digits, and runs of anything else but blanks."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"([\p{L}\p{N}]+|[^\p{L}\p{N}\s]+)"), F.lit(1))
-
+class Terms(dict):
+    """Buckets of terms and of their beginnings, remembered up to a bound."""
 
-def hashed() -> HashingTF:
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="terms", outputCol="words")
+    def __missing__(self, term: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        names = [term, *(f"^{k}{term[:k]}" for k in PREFIXES if len(term) > k)]
+        self[term] = h = np.array([xxhash.xxh32_intdigest(x) % FEATURES for x in names], np.int64).tobytes()
+        return h
 
+    def of(self, text: str | None) -> np.ndarray:
+        """The different buckets of a text, ascending."""
+        found = set(TERM.findall(text.lower())) if text else ()
+        return np.unique(np.frombuffer(b"".join(map(self.__getitem__, found)), np.int64))
 
-@dataclass
-class Link:
-    """One category's model, or its constant where labels have one class only."""
 
-    category: str
-    model: LogisticRegressionModel | None
-    constant: float
+def probability(margin: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
-    def apply(self, rows: DataFrame, before: list[str]) -> DataFrame:
-        """Adds p_<category> to rows with words and the probabilities before."""
-        if self.model is None:
-            return rows.withColumn(f"p_{self.category}", F.lit(self.constant))
-        seen = VectorAssembler(inputCols=["words", *before], outputCol="features").transform(rows)
-        scored = self.model.transform(seen)
-        return scored.withColumn(f"p_{self.category}", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
 
+def logit(p: np.ndarray) -> np.ndarray:
+    q = np.clip(p, 1e-4, 1 - 1e-4)
+    return np.log(q / (1 - q))
 
-def fitted(rows: DataFrame, category: str, before: list[str]) -> Link:
-    known = rows.where(F.col(category).isNotNull())
-    n, ones = known.agg(F.count("*"), F.coalesce(F.sum(category), F.lit(0))).first()
-    if ones in (0, n):
-        return Link(category, None, float(n > 0 and ones == n))
-    seen = VectorAssembler(inputCols=["words", *before], outputCol="features").transform(known)
-    fit = LogisticRegression(featuresCol="features", labelCol=category, regParam=0.002, elasticNetParam=0.5, maxIter=40, standardization=False)
-    return Link(category, fit.fit(seen), 0.0)
 
+def fit(flat: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of the terms, of the logits of the probabilities before, and the intercept, by full-batch Adam.
 
-def fit_chain(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES, most: int = MOST_LABELLED, folds: int = FOLDS, text: str = "text", doc_id: str = "doc_id") -> list[Link]:
-    """Fits the chain on at most `most` labelled documents.
-
-    Labels that are null don't count, nor do ids that are null or not in docs; of several labels of an id the largest counts. Without
-    labels of both classes a category is constant.
+    flat: buckets of all rows; ends: how many each row has. With one class only the intercept says so.
+    """
+    out = np.zeros(FEATURES + before.shape[1] + 1)
+    if not len(y) or y.min() == y.max():
+        out[-1] = 30.0 if len(y) and y.max() else -30.0
+        return out
+    used = np.bincount(flat, minlength=FEATURES) >= max(LEAST_DOCS, len(y) // RARE)
+    keep = used[flat]
+    row = np.repeat(np.arange(len(y)), ends)[keep]
+    columns, at = np.unique(flat[keep], return_inverse=True)
+    dense = np.c_[logit(before), np.ones(len(y))]
+    rate = y.mean()
+    weight = np.where(y > 0, 0.5 / rate, 0.5 / (1 - rate))
+    w = np.zeros(len(columns) + dense.shape[1])
+    m, v = np.zeros_like(w), np.zeros_like(w)
+    for step in range(1, STEPS + 1):
+        margin = np.bincount(row, weights=w[at], minlength=len(y)) + dense @ w[len(columns) :]
+        error = weight * (probability(margin) - y) / len(y)
+        grad = np.r_[np.bincount(at, weights=error[row], minlength=len(columns)), dense.T @ error]
+        grad[: len(columns)] += PENALTY * w[: len(columns)]
+        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
+        w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    out[columns] = w[: len(columns)]
+    out[FEATURES:] = w[len(columns) :]
+    return out
+
+
+def applied(weights: np.ndarray, flat: np.ndarray, ends: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Probabilities of rows."""
+    row = np.repeat(np.arange(len(ends)), ends)
+    return probability(np.bincount(row, weights=weights[flat], minlength=len(ends)) + logit(before) @ weights[FEATURES:-1] + weights[-1])
+
+
+def fit_chain(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES, most: int = MOST_LABELLED, folds: int = FOLDS, text: str = "text", doc_id: str = "doc_id") -> dict[str, np.ndarray]:
+    """Fits the chain on at most `most` labelled documents: weights by category, in order.
+
+    Labels that are null don't count, nor do ids that are null or not in docs; of several labels of an id the largest counts, of
+    several texts the least. Without labels of both classes a category is constant. The result has one number per feature and category.
     """
-    named = labels.groupBy(F.col(doc_id).alias("id")).agg(*[F.max(F.expr(e)).cast("double").alias(c) for c, e in categories]).where("id is not null")
+    names = [c for c, _ in categories]
+    named = labels.groupBy(F.col(doc_id).alias("id")).agg(*[F.max(F.expr(e)).cast("double").alias(c) for c, e in categories]).where("id is not null").dropna(subset=names)
     drawn = named.orderBy(F.xxhash64("id"), "id").limit(most)
-    rows = pick(docs, doc_id, text).toDF("d", "text").join(drawn, F.col("d") == F.col("id")).groupBy("id", *[c for c, _ in categories]).agg(F.min("text").alias("text"))
-    rows = hashed().transform(rows.select("id", *[c for c, _ in categories], terms(F.col("text")).alias("terms"))).drop("terms").withColumn("fold", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(folds)))
-    rows = cut(rows.repartition(12, "id"))
-    chain, before = [], []
-    for i, (category, _) in enumerate(categories):
-        chain.append(fitted(rows, category, before))
-        if i < len(categories) - 1:
-            parts = [fitted(rows.where(F.col("fold") != f), category, before).apply(rows.where(F.col("fold") == f), before) for f in range(folds)]
-            out = parts[0]
-            for p in parts[1:]:
-                out = out.unionByName(p)
-            rows = cut(out)
-            before.append(f"p_{category}")
-    return chain
-
-
-def score(docs: DataFrame, chain: list[Link], threshold: float = THRESHOLD, target: str = TARGET, text: str = "text") -> DataFrame:
-    """Adds p_<category> (double) for each link and rejected (boolean: p of the target reaches the threshold) to every row of docs.
-
-    Whole texts are read; null and empty texts have no words. Columns of these names are replaced.
+    rows = pick(docs, doc_id, text).toDF("d", "text").join(drawn, F.col("d") == F.col("id")).groupBy("id", *names).agg(F.min("text").alias("text"))
+
+    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([terms.of(t) for t in b.column("text").to_pylist()], pa.list_(pa.int64()))], [*b.schema.names[:-1], "buckets"])
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        weights = []
+        if held:
+            t = pa.Table.from_batches(held).combine_chunks().sort_by("id")
+            lists = t.column("buckets").combine_chunks()
+            ends, flat = np.asarray(lists.value_lengths()), lists.flatten().to_numpy()
+            fold = np.array([xxhash.xxh32_intdigest(str(i)) % folds for i in t.column("id").to_pylist()])
+            owner, before = np.repeat(fold, ends), np.empty((t.num_rows, 0))
+            for i, name in enumerate(names):
+                y = t.column(name).to_numpy()
+                weights.append(fit(flat, ends, before, y))
+                if i < len(names) - 1:
+                    p = np.empty(t.num_rows)
+                    for f in range(folds):
+                        w = fit(flat[owner != f], ends[fold != f], before[fold != f], y[fold != f])
+                        p[fold == f] = applied(w, flat[owner == f], ends[fold == f], before[fold == f])
+                    before = np.c_[before, p]
+        else:
+            weights = [fit(np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, i)), np.empty(0)) for i in range(len(names))]
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([w.tobytes() for w in weights], pa.binary())], ["category", "weights"])
+
+    kind = ", ".join(f"{c} double" for c in names)
+    # The one task has `most` rows at most.
+    one = rows.mapInArrow(buckets, f"id {dict(named.dtypes)['id']}, {kind}, buckets array<long>").repartition(1).mapInArrow(trained, "category string, weights binary")
+    found = {r.category: np.frombuffer(r.weights) for r in one.collect()}
+    return {c: found[c] for c in names}
+
+
+def score(docs: DataFrame, chain: dict[str, np.ndarray], threshold: float = THRESHOLD, target: str = TARGET, text: str = "text") -> DataFrame:
+    """Adds p_<category> (double) for each category and rejected (boolean: p of the target reaches the threshold) to every row of docs.
+
+    Whole texts are read; null and empty texts have no terms. Columns of these names are replaced; an empty table gives an empty result.
     """
-    added = [f"p_{link.category}" for link in chain]
+    added = [f"p_{c}" for c in chain]
     names = [c for c in docs.columns if c not in (*added, "rejected")]
-    own = [f"c{i}" for i in range(len(names))]
-    rows = pick(docs, *names).toDF(*own)
-    rows = hashed().transform(rows.withColumn("terms", terms(F.col(own[names.index(text)])))).drop("terms")
-    for i, link in enumerate(chain):
-        rows = link.apply(rows, added[:i])
-    return rows.select(*own, *added, (F.col(f"p_{target}") >= threshold).alias("rejected")).toDF(*names, *added, "rejected")
+    flat = pick(docs, *names).toDF(*[f"c{i}" for i in range(len(names))])
+    body = f"c{names.index(text)}"
+    sent = docs.sparkSession.sparkContext.broadcast(list(chain.values()))
+    schema = T.StructType([*flat.schema.fields, *[T.StructField(c, T.DoubleType()) for c in added]])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms()
+        for b in batches:
+            found = [terms.of(t) for t in b.column(body).to_pylist()]
+            ends, buckets = np.array([len(x) for x in found], np.int64), np.concatenate(found) if found else np.empty(0, np.int64)
+            before = np.empty((len(found), 0))
+            for w in sent.value:
+                before = np.c_[before, applied(w, buckets, ends, before)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(before[:, i]) for i in range(len(added))]], schema.names)
+
+    return flat.mapInArrow(each, schema).withColumn("rejected", F.col(f"p_{target}") >= threshold).toDF(*names, *added, "rejected")
