@@ -22,7 +22,7 @@ from .tokens import TOKENIZER, pieces
 #: Pieces that one task packs at once.
 PER_TASK = 100_000
 #: Of its bins, the emptiest that a partition gives up: with a gap, and certified.
-GAP_SHARE, SLACK_SHARE = 0.3, 0.05
+GAP_SHARE, SLACK_SHARE = 0.5, 0.05
 #: Rounds of exchange at most.
 ROUNDS = 6
 
