@@ -1,6 +1,12 @@
-"""Queries over the driver's tables, one for each operator, with SQL that gives the same rows."""
+"""All queries over the driver's tables, one for each operator, with SQL that gives the same rows."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+
+from demandloom.plans import cleaning, joining  # noqa: F401
+from demandloom.plans.registry import ORACLES, QUERIES  # noqa: F401
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["horizon_pair_join"](spark, sf_dir)
