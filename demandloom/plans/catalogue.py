@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.plans import cleaning, crosswise, features, joining  # noqa: F401
+from demandloom.plans import cleaning, crosswise, features, joining, scoring  # noqa: F401
 from demandloom.plans.registry import ORACLES, QUERIES  # noqa: F401
 
 
