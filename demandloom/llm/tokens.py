@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import json
 import re
 from collections.abc import Iterator
 
@@ -17,30 +19,84 @@ from .common import pick
 #: A tokenizer that drops white space and splits at it, so that words can be encoded one by one.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SPLIT = re.compile(r"[^ \t\n\r]+")
-#: Words whose ids a worker remembers at once.
-REMEMBERED = 200_000
+#: Words of letters, with signs after them or without, whose two parts are encoded apart; none of these signs joins with letters.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|#$%&*]*)")
+#: Words, and parts of words, whose ids a worker remembers at once: twice this number at most, the latest among them.
+REMEMBERED = 250_000
+#: Texts that are encoded together.
+TOGETHER = 64
+
+
+class Remembered(dict):
+    """The latest entries, in two generations."""
+
+    def __init__(self) -> None:
+        self.before: dict = {}
+
+    def __missing__(self, key: str) -> bytes:
+        self[key] = found = self.before[key]
+        return found
+
+    def has(self, key: str) -> bool:
+        return key in self or key in self.before
+
+    def age(self) -> None:
+        if len(self) > REMEMBERED:
+            self.before = dict(self)
+            self.clear()
 
 
 class Encoder:
-    """Ids of texts under a tokenizer that splits at white space; each distinct word is encoded once while remembered."""
+    """Ids of texts as little-endian unsigned 32-bit numbers.
+
+    For a tokenizer that splits at white space and ends words with a mark, each distinct word is encoded once while it
+    is remembered; other tokenizers get whole texts.
+    """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        found = SPLIT.findall(text) if text else []
-        known = self.known
-        if new := list({w for w in found if w not in known}):
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(found))
-            for at in range(0, len(new), 10_000):
-                part = new[at : at + 10_000]
-                for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, found))
+        kind = json.loads(self.tokenizer.to_str())
+        self.by_word = kind["model"].get("end_of_word_suffix") == "</w>" and r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" in json.dumps(kind["pre_tokenizer"]).replace("\\\\", "\\")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.words, self.parts = Remembered(), Remembered()
+
+    def each(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text on its own."""
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, new: list[str]) -> None:
+        """Remembers words: of plain ones the parts, all parts encoded as one text and cut where a word ends."""
+        split = [(w, PLAIN.fullmatch(w)) for w in new]
+        odd = [w for w, m in split if m is None]
+        self.words.update(zip(odd, self.each(odd), strict=True))
+        plain = [(w, m[1].lower(), m[2]) for w, m in split if m is not None]
+        parts = [p for p in {p for _, *both in plain for p in both} if p and not self.parts.has(p)]
+        if parts:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+            last = np.flatnonzero(self.ends[ids]) + 1
+            found = [x.tobytes() for x in np.split(ids, last[:-1])] if len(last) == len(parts) else self.each(parts)
+            self.parts.update(zip(parts, found, strict=True))
+        for w, letters, signs in plain:
+            self.words[w] = self.parts[letters] + self.parts[signs] if signs else self.parts[letters]
+
+    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
+        if not self.by_word:
+            yield from self.each([t or "" for t in texts])
+            return
+        for at in range(0, len(texts), TOGETHER):
+            found = [SPLIT.findall(t) if t else [] for t in texts[at : at + TOGETHER]]
+            self.words.age(), self.parts.age()
+            if new := [w for w in {w for ws in found for w in ws} if not self.words.has(w)]:
+                self.learn(new)
+            for ws in found:
+                yield b"".join(map(self.words.__getitem__, ws))
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """A worker's encoder, kept from task to task."""
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, longest: int = 2048, end_id: int = 0, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -56,11 +112,11 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, longest: int = 2048, end
     most = 4 * longest
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         for batch in batches:
             rows, number, start, length, ids, held = [], [], [], [], [], 0
-            for row, t in enumerate(batch.column("text").to_pylist()):
-                own = encode(t) + end
+            for row, own in enumerate(encode(batch.column("text").to_pylist())):
+                own += end  # noqa: PLW2901
                 for k, at in enumerate(range(0, len(own), most)):
                     part = own[at : at + most]
                     rows.append(row), number.append(k), start.append(at // 4), length.append(len(part) // 4), ids.append(part)
@@ -81,9 +137,9 @@ def lengths(docs: DataFrame, tokenizer: str = TOKENIZER, text: str = "text") ->
     """One row per document: n_tokens (long), without any end id; null texts have none."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([len(encode(t)) // 4 for t in batch.column("text").to_pylist()], pa.int64())], ["n_tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array([len(ids) // 4 for ids in encode(batch.column("text").to_pylist())], pa.int64())], ["n_tokens"])
 
     return pick(docs, text).toDF("text").mapInArrow(each, "n_tokens long")
 
