@@ -89,3 +89,10 @@ def smear(forecasts: DataFrame, train: DataFrame, group: str = "category", lo: f
     """Multiplies by each group's actual over predicted total in train, within bounds."""
     f = train.groupBy(group).agg(F.coalesce(F.least(F.greatest(F.try_divide(F.sum("actual"), F.sum("predicted")), F.lit(lo)), F.lit(hi)), F.lit(1.0)).alias("factor"))
     return forecasts.join(f, group, "left").withColumn("corrected", F.col("predicted") * F.coalesce("factor", F.lit(1.0))).drop("factor")
+
+
+def horizon_weights(spark, horizon: int, lags: tuple[int, ...], share: float = 0.6) -> DataFrame:  # noqa: ANN001
+    """h with three sets of weights that sum to one: balanced, focused on some lags, falling with h."""
+    rest, total = (1 - share) / (horizon - len(lags)), horizon * (horizon + 1) / 2
+    rows = [(h, 1 / horizon, share / len(lags) if h in lags else rest, (horizon + 1 - h) / total) for h in range(1, horizon + 1)]
+    return spark.createDataFrame(rows, "h int, balanced double, focused double, linear double")
