@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.plans import cleaning, combining, correcting, crosswise, features, joining, profiling, scoring  # noqa: F401
+from demandloom.plans import cleaning, combining, correcting, crosswise, features, joining, profiling, scoring, segmenting  # noqa: F401
 from demandloom.plans.registry import ORACLES, QUERIES  # noqa: F401
 
 
