@@ -18,11 +18,12 @@ from .common import pick
 
 #: A tokenizer that drops white space and splits at it, so that words can be encoded one by one.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-SPLIT = re.compile(r"[^ \t\n\r]+")
-#: Words of letters, with signs after them or without, whose two parts are encoded apart; none of these signs joins with letters.
-PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|#$%&*]*)")
-#: Words, and parts of words, whose ids a worker remembers at once: twice this number at most, the latest among them.
-REMEMBERED = 250_000
+LETTERS, SIGNS, BLANK = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", "[.,;:!?|#$%&*]", "[ \\t\\n\\r]"
+#: Words of letters, and signs after such up to the word's end, as parts of their own; any other word whole. None of these signs joins with letters.
+PARTS = re.compile(f"(?<![^ \\t\\n\\r])[{LETTERS}]+(?={SIGNS}*(?:{BLANK}|\\Z))|(?<=[{LETTERS}]){SIGNS}+(?={BLANK}|\\Z)|[^ \\t\\n\\r]+")
+PLAIN = re.compile(f"[{LETTERS}]+|{SIGNS}+")
+#: Parts whose ids a worker remembers at once: twice this number at most, the latest among them.
+REMEMBERED = 300_000
 #: Texts that are encoded together.
 TOGETHER = 64
 
@@ -37,8 +38,9 @@ class Remembered(dict):
         self[key] = found = self.before[key]
         return found
 
-    def has(self, key: str) -> bool:
-        return key in self or key in self.before
+    def lacking(self, keys: set[str]) -> list[str]:
+        """Those that aren't remembered."""
+        return [k for k in keys if k not in self and k not in self.before]
 
     def age(self) -> None:
         if len(self) > REMEMBERED:
@@ -59,38 +61,40 @@ class Encoder:
         self.by_word = kind["model"].get("end_of_word_suffix") == "</w>" and r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" in json.dumps(kind["pre_tokenizer"]).replace("\\\\", "\\")
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        self.words, self.parts = Remembered(), Remembered()
+        self.known = Remembered()
 
     def each(self, texts: list[str]) -> list[bytes]:
         """Ids of each text on its own."""
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, new: list[str]) -> None:
-        """Remembers words: of plain ones the parts, all parts encoded as one text and cut where a word ends."""
-        split = [(w, PLAIN.fullmatch(w)) for w in new]
-        odd = [w for w, m in split if m is None]
-        self.words.update(zip(odd, self.each(odd), strict=True))
-        plain = [(w, m[1].lower(), m[2]) for w, m in split if m is not None]
-        parts = [p for p in {p for _, *both in plain for p in both} if p and not self.parts.has(p)]
-        if parts:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
-            last = np.flatnonzero(self.ends[ids]) + 1
-            found = [x.tobytes() for x in np.split(ids, last[:-1])] if len(last) == len(parts) else self.each(parts)
-            self.parts.update(zip(parts, found, strict=True))
-        for w, letters, signs in plain:
-            self.words[w] = self.parts[letters] + self.parts[signs] if signs else self.parts[letters]
+        """Remembers parts; plain ones are encoded as one text and cut where a word ends."""
+        plain = [p for p in new if PLAIN.fullmatch(p)]
+        if len(plain) < len(new):
+            odd = [p for p in new if not PLAIN.fullmatch(p)]
+            self.known.update(zip(odd, self.each(odd), strict=True))
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            last = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(last) != len(plain):
+                found = self.each(plain)
+            else:
+                raw = ids.tobytes()
+                found = [raw[a:b] for a, b in zip([0, *last], last, strict=False)]
+            self.known.update(zip(plain, found, strict=True))
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         if not self.by_word:
             yield from self.each([t or "" for t in texts])
             return
         for at in range(0, len(texts), TOGETHER):
-            found = [SPLIT.findall(t) if t else [] for t in texts[at : at + TOGETHER]]
-            self.words.age(), self.parts.age()
-            if new := [w for w in {w for ws in found for w in ws} if not self.words.has(w)]:
+            found = [PARTS.findall(t) if t else [] for t in texts[at : at + TOGETHER]]
+            self.known.age()
+            if new := self.known.lacking(set().union(*found)):
                 self.learn(new)
-            for ws in found:
-                yield b"".join(map(self.words.__getitem__, ws))
+            get = self.known.__getitem__
+            for parts in found:
+                yield b"".join(map(get, parts))
 
 
 @functools.cache
