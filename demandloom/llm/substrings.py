@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,26 +35,14 @@ MINIMISER = 8
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29
 #: Super-k-mers from which a minimiser is crowded, and how many crowded ones are known at most (the most frequent).
 CROWDED, MOST_CROWDED = 3000, 4096
-#: Words that a bucket task sorts at once; it cuts between buckets only.
-CHUNK_WORDS = 1_000_000
-REMEMBERED = 300_000
+#: Bytes of strings that a bucket task sorts at once; it cuts between buckets only.
+CHUNK_BYTES = 1 << 20
+#: Bytes of text whose windows are found at once.
+TOGETHER = 1 << 19
 
 A = 0x9E3779B97F4A7C15  # odd, so that no power of it vanishes modulo 2**64
 
 
-class Hasher(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word, 7)
-        return h
-
-    def all(self, found: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
-
-
 def rolled(hashed: np.ndarray, width: int) -> np.ndarray:
     """Polynomial hash of every run of `width` numbers, modulo 2**64, by doubling."""
     out, done, power, step = None, 0, hashed, 1
@@ -80,79 +69,126 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def super_kmers(hashed: np.ndarray, window: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and minimiser of each super-k-mer; none for texts shorter than a window."""
-    if len(hashed) < window:
-        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),)
-    grams = mixed(rolled(hashed, m))
-    # The upper half orders, the place breaks ties: the same way in equal windows.
-    least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
-    width, step = window - m + 1, 1
-    while 2 * step <= width:
-        least = np.minimum(least[:-step], least[step:])
-        step *= 2
-    if rest := width - step:
-        least = np.minimum(least[:-rest], least[rest:])
-    place = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    return first, np.diff(np.r_[first, len(place)]), grams[place[first]]
-
-
-def texts(batch: pa.RecordBatch) -> Iterator[bytes]:
-    """The different texts of a batch."""
-    return iter(dict.fromkeys(t for t in batch.column(0).to_pylist() if t))
+#: A number for each byte, and powers of A and of its inverse, for hashes of stretches of bytes out of running sums.
+BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
+INVERSE = pow(A, -1, 1 << 64)
+
+
+POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """The first n powers of a number from the first on; a worker keeps as many as its longest chunk needed."""
+    if base not in POWERS or len(POWERS[base]) < n:
+        POWERS[base] = np.cumprod(np.full(-(-n // TOGETHER) * TOGETHER, base, np.uint64))
+    return POWERS[base][:n]
+
+
+@dataclass
+class Chunk:
+    """Texts with single spaces between words, one after the other; words as stretches of bytes, with their text and hash."""
+
+    blob: bytes
+    begin: np.ndarray
+    end: np.ndarray
+    owner: np.ndarray
+    first: np.ndarray
+    hashed: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[bytes]) -> Chunk:
+        """texts: not blank, words joined by one space."""
+        blob = b" ".join(texts)
+        raw = np.frombuffer(blob, np.uint8)
+        gaps = np.flatnonzero(raw == 32)
+        begin, end = np.r_[0, gaps + 1], np.r_[gaps, len(raw)]
+        counts = np.array([t.count(b" ") + 1 for t in texts], np.int64)
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(BYTES[raw] * powers(A, len(raw)), out=sums[1:])
+        hashed = mixed((sums[end] - sums[begin]) * powers(INVERSE, len(raw) + 1)[begin])
+        return cls(blob, begin, end, np.repeat(np.arange(len(texts)), counts), np.cumsum(counts) - counts, hashed)
+
+    def windows(self, window: int) -> np.ndarray:
+        """First words of the windows that lie within one text."""
+        n = len(self.owner) - window + 1
+        return np.flatnonzero(self.owner[:n] == self.owner[window - 1 :]) if n > 0 else np.empty(0, np.int64)
+
+    def cut(self, first: int, last: int) -> bytes:
+        return self.blob[self.begin[first] : self.end[last]]
+
+    def super_kmers(self, window: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First word, number of windows and minimiser of each super-k-mer."""
+        inside = self.windows(window)
+        if not len(inside):
+            return inside, inside, np.empty(0, np.uint64)
+        grams = mixed(rolled(self.hashed, m))
+        # The upper half orders, the place breaks ties: the same way in equal windows.
+        least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+        width, step = window - m + 1, 1
+        while 2 * step <= width:
+            least = np.minimum(least[:-step], least[step:])
+            step *= 2
+        if rest := width - step:
+            least = np.minimum(least[:-rest], least[rest:])
+        place = (least[inside] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        new = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (np.diff(inside) > 1)])
+        return inside[new], np.diff(np.r_[new, len(inside)]), grams[place[new]]
+
+
+def chunks(raw: list[bytes | None]) -> Iterator[tuple[list[bytes], Chunk]]:
+    """The texts that have words, as they are and as chunks of about TOGETHER bytes."""
+    held, clean, size = [], [], 0
+    for t in raw:
+        if t and (c := b" ".join(t.split())):
+            held.append(t), clean.append(c)
+            size += len(c)
+            if size > TOGETHER:
+                yield held, Chunk.of(clean)
+                held, clean, size = [], [], 0
+    if held:
+        yield held, Chunk.of(clean)
 
 
 def _minimisers(window: int, m: int):  # noqa: ANN202
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
         for batch in batches:
-            found = [super_kmers(hasher.all(t.split()), window, m)[2] for t in batch.column(0).to_pylist() if t]
+            found = [chunk.super_kmers(window, m)[2] for _, chunk in chunks(batch.column(0).to_pylist())]
             value, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.uint64), np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n.astype(np.int64))], ["minimiser", "n"])
 
     return each
 
 
-def _strings(window: int, m: int, bits: np.ndarray, crowded: frozenset[int]) -> callable:
-    """For the words and super-k-mers of a text: place, bucket and string of what may repeat."""
-    size = np.uint64(len(bits) * 8 - 1)
-
-    def each(found: list[bytes], hasher: Hasher) -> Iterator[tuple[int, int, bytes]]:
-        first, n, value = super_kmers(hasher.all(found), window, m)
-        slot = value & size
-        maybe = np.flatnonzero((bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1)
-        for at, k, v in zip(first[maybe].tolist(), n[maybe].tolist(), value[maybe].view(np.int64).tolist(), strict=True):
-            if v in crowded:
-                for i in range(at, at + k):
-                    s = b" ".join(found[i : i + window])
-                    yield i, xxhash.xxh64_intdigest(s) - (1 << 63), s
-            else:
-                yield at, v, b" ".join(found[at : at + k + window - 1])
-
-    return each
+def strings(chunk: Chunk, window: int, m: int, bits: np.ndarray, crowded: frozenset[int]) -> Iterator[tuple[int, int, bytes]]:
+    """First word, bucket and string of what may repeat."""
+    first, n, value = chunk.super_kmers(window, m)
+    slot = value & np.uint64(len(bits) * 8 - 1)
+    maybe = np.flatnonzero((bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1)
+    first, n = first[maybe], n[maybe]
+    edges = chunk.begin[first].tolist(), chunk.end[first + n + window - 2].tolist()
+    for at, k, v, a, b in zip(first.tolist(), n.tolist(), value[maybe].view(np.int64).tolist(), *edges, strict=True):
+        if v in crowded:
+            for i in range(at, at + k):
+                s = chunk.cut(i, i + window - 1)
+                yield i, xxhash.xxh64_intdigest(s) - (1 << 63), s
+        else:
+            yield at, v, chunk.blob[a:b]
 
 
 def _packed(window: int, m: int, bits, crowded):  # noqa: ANN001, ANN202
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, strings = Hasher(), _strings(window, m, bits.value, crowded.value)
-
-        def made(seen: dict) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in seen], pa.int64()), pa.array([s for _, s in seen], pa.binary()), pa.array(seen.values(), pa.int64())], ["bucket", "packed", "n"])
+    def made(seen: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([b for b, _ in seen], pa.int64()), pa.array([s for _, s in seen], pa.binary()), pa.array(seen.values(), pa.int64())], ["bucket", "packed", "n"])
 
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: dict[tuple[int, bytes], int] = {}
             held = 0
-            for t in batch.column(0).to_pylist():
-                if not t:
-                    continue
-                for _, bucket, s in strings(t.split(), hasher):
-                    if (bucket, s) in seen:
-                        seen[bucket, s] += 1
-                    else:
-                        seen[bucket, s] = 1
-                        held += len(s)
-                if held > 1 << 25:
+            for _, chunk in chunks(batch.column(0).to_pylist()):
+                for _, bucket, s in strings(chunk, window, m, bits.value, crowded.value):
+                    n = seen.get((bucket, s), 0)
+                    seen[bucket, s] = n + 1
+                    held += 0 if n else len(s)
+                if held > 1 << 24:
                     yield made(seen)
                     seen, held = {}, 0
             if seen:
@@ -165,81 +201,79 @@ def key(packed: bytes) -> bytes:
     return xxhash.xxh3_128_digest(packed)
 
 
-def covers(strings: list[bytes], number: np.ndarray, window: int) -> Iterator[tuple[bytes, list[int]]]:
-    """For each string with a window that occurs twice or more among all: its key, and first and end word of each covered stretch."""
-    ids: dict[bytes, int] = {}
-    split = [s.split(b" ") for s in strings]
-    word = np.fromiter((ids.setdefault(w, len(ids)) for ws in split for w in ws), np.int64, sum(map(len, split)))
-    size = np.array([len(ws) for ws in split], np.int64)
-    begin = np.cumsum(size) - size
-    owner = np.repeat(np.arange(len(split)), size - window + 1)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(size - window + 1) - (size - window + 1), size - window + 1)
-    place = begin[owner] + at
-    value = rolled(mixed((word + 1).astype(np.uint64)), window)[place]
+def covers(number: dict[bytes, int], window: int) -> Iterator[tuple[bytes, list[int]]]:
+    """number: how often each string occurs. For each string with a window that occurs twice or more: its key, and first and end word of each covered stretch."""
+    names = list(number)
+    chunk = Chunk.of(names)
+    place = chunk.windows(window)
+    times = np.array(list(number.values()), np.int64)[chunk.owner[place]]
+    value = rolled(chunk.hashed, window)[place]
     order = np.argsort(value, kind="stable")
     ranked = value[order]
-    head = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-    group = np.cumsum(np.r_[0, ranked[1:] != ranked[:-1]])
-    times = np.add.reduceat(number[owner[order]], head) if len(head) else np.empty(0, np.int64)
+    new = np.r_[True, ranked[1:] != ranked[:-1]]
+    head, group = np.flatnonzero(new), np.cumsum(new) - 1
+    twice = np.add.reduceat(times[order], head)[group] >= 2
     # Where hashes are equal the words are compared as well.
-    leader = place[order[head]][group]
-    odd = np.zeros(len(order), bool)
-    multiple = np.flatnonzero(leader != place[order])
-    for i in range(0, len(multiple), 20_000):
-        part = multiple[i : i + 20_000]
-        span = np.arange(window)
-        odd[part] = (word[leader[part][:, None] + span] != word[place[order[part]][:, None] + span]).any(axis=1)
-    twice = times[group] >= 2
-    if odd.any():
-        for g in np.unique(group[odd]):
-            members = np.flatnonzero(group == g)
-            exact: dict[bytes, int] = {}
-            names = [word[place[order[x]] : place[order[x]] + window].tobytes() for x in members]
-            for x, name in zip(members, names, strict=True):
-                exact[name] = exact.get(name, 0) + int(number[owner[order[x]]])
-            twice[members] = [exact[name] >= 2 for name in names]
-    hit = np.sort(order[twice])
-    for i in np.split(hit, np.flatnonzero(np.diff(owner[hit])) + 1) if len(hit) else []:
-        a = at[i]
+    odd: set[int] = set()
+    for x in np.flatnonzero(~new).tolist():
+        a, b = place[order[x]], place[order[head[group[x]]]]
+        if chunk.cut(a, a + window - 1) != chunk.cut(b, b + window - 1):
+            odd.add(int(group[x]))
+    for g in odd:
+        members = np.flatnonzero(group == g)
+        cuts = [chunk.cut(place[order[x]], place[order[x]] + window - 1) for x in members]
+        found: dict[bytes, int] = {}
+        for x, c in zip(members, cuts, strict=True):
+            found[c] = found.get(c, 0) + int(times[order[x]])
+        twice[members] = [found[c] >= 2 for c in cuts]
+    hit = place[np.sort(order[twice])]
+    owner = chunk.owner[hit]
+    for i in np.split(np.arange(len(hit)), np.flatnonzero(np.diff(owner)) + 1) if len(hit) else []:
+        a = hit[i] - chunk.first[owner[i[0]]]
         edge = np.flatnonzero(np.diff(a) > window)
-        yield key(strings[owner[i[0]]]), np.c_[a[np.r_[0, edge + 1]], a[np.r_[edge, len(a) - 1]] + window].ravel().tolist()
+        yield key(names[owner[i[0]]]), np.c_[a[np.r_[0, edge + 1]], a[np.r_[edge, len(a) - 1]] + window].ravel().tolist()
 
 
 def _counted(window: int):  # noqa: ANN202
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(strings: list[bytes], number: list[int]) -> pa.RecordBatch:
-            found = dict(covers(strings, np.array(number, np.int64), window))
+        def made(number: dict[bytes, int]) -> pa.RecordBatch:
+            found = dict(covers(number, window))
             return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.list_(pa.int32()))], ["key", "cover"])
 
-        strings, number, held, now = [], [], 0, None
+        number: dict[bytes, int] = {}
+        held, now = 0, None
         for batch in batches:
             for bucket, packed, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if held > CHUNK_WORDS and bucket != now:
-                    yield made(strings, number)
-                    strings, number, held = [], [], 0
+                if held > CHUNK_BYTES and bucket != now:
+                    yield made(number)
+                    number, held = {}, 0
                 now = bucket
-                strings.append(packed), number.append(n)
-                held += packed.count(b" ") + 1
-        if strings:
-            yield made(strings, number)
+                if packed not in number:
+                    held += len(packed)
+                number[packed] = number.get(packed, 0) + n
+        if number:
+            yield made(number)
 
     return each
 
 
 def _places(window: int, m: int, bits, crowded):  # noqa: ANN001, ANN202
+    def made(text: list, start: list, keys: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(text, pa.binary()), pa.array(start, pa.int32()), pa.array(keys, pa.binary())], ["text_key", "start", "key"])
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, strings = Hasher(), _strings(window, m, bits.value, crowded.value)
         for batch in batches:
             text, start, keys = [], [], []
-            for t in texts(batch):
-                name = None
-                for at, _, s in strings(t.split(), hasher):
-                    name = name or hashlib.sha256(t).digest()[:16]
-                    text.append(name), start.append(at), keys.append(key(s))
+            for held, chunk in chunks(list(dict.fromkeys(batch.column(0).to_pylist()))):
+                names = [hashlib.sha256(t).digest()[:16] for t in held]
+                owner, first = chunk.owner, chunk.first
+                for at, _, s in strings(chunk, window, m, bits.value, crowded.value):
+                    o = owner[at]
+                    text.append(names[o]), start.append(at - first[o]), keys.append(key(s))
                 if len(start) > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(text, pa.binary()), pa.array(start, pa.int32()), pa.array(keys, pa.binary())], ["text_key", "start", "key"])
+                    yield made(text, start, keys)
                     text, start, keys = [], [], []
-            yield pa.RecordBatch.from_arrays([pa.array(text, pa.binary()), pa.array(start, pa.int32()), pa.array(keys, pa.binary())], ["text_key", "start", "key"])
+            yield made(text, start, keys)
 
     return each
 

@@ -176,7 +176,8 @@ def removed(all_texts, k):
 @pytest.mark.parametrize(("window", "m", "crowded"), [(35, 8, 3000), (35, 8, 1), (5, 2, 3000), (5, 2, 2)])
 def test_substrings(docs, monkeypatch, window, m, crowded):
     monkeypatch.setattr(substrings, "CROWDED", crowded)
-    monkeypatch.setattr(substrings, "CHUNK_WORDS", 500)
+    monkeypatch.setattr(substrings, "CHUNK_BYTES", 3000)
+    monkeypatch.setattr(substrings, "TOGETHER", 2000)
     out = substrings.remove_repeats(clashing(docs, "kept", "spans", "text_key"), window, m)
     want = Counter((r[0], *x) for r, x in zip(rows(), removed([r[1] for r in rows()], window), strict=True))
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in out.collect()) == want
@@ -187,9 +188,9 @@ def test_substrings_of_nothing(none):
 
 
 def test_covers_tells_equal_hashes_apart(monkeypatch):
-    monkeypatch.setattr(substrings, "mixed", lambda x: x * np.uint64(0))
+    monkeypatch.setattr(substrings, "rolled", lambda hashed, width: np.zeros(len(hashed) - width + 1, np.uint64))
     strings = [b"a b c d", b"a b c x", b"q r s t"]
-    got = dict(substrings.covers(strings, np.array([1, 1, 1]), 3))
+    got = dict(substrings.covers(dict.fromkeys(strings, 1), 3))
     assert got == {substrings.key(strings[0]): [0, 3], substrings.key(strings[1]): [0, 3]}
 
 
