@@ -93,6 +93,16 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, source, j.j::INT AS copy, n_copies,
             ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':copy:' || j.j), 1, 15))::BIGINT AS order_key
         FROM m, LATERAL (SELECT unnest(range(0, n_copies)) AS j) j""",
+    "op4_substrings": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+        i AS (SELECT r, unnest(range(1, len(w) - 33)) AS i FROM d),
+        k AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS k FROM i JOIN d USING (r)),
+        t AS (SELECT r, i FROM k QUALIFY count(*) OVER (PARTITION BY k) > 1),
+        c AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM t),
+        g AS (SELECT r, list(p) AS p FROM c GROUP BY r),
+        o AS (SELECT doc_id, len(w) AS n_words, coalesce(len(p), 0) AS n_removed,
+            CASE WHEN p IS NULL THEN w ELSE list_filter(w, lambda x, n: NOT list_contains(p, n)) END AS kept FROM d LEFT JOIN g USING (r))
+        SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM o""",
     "op9_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
