@@ -26,8 +26,13 @@ def number(*parts: Column | str, digits: int = 15) -> Column:
 
 def poisson(rate: Column, u: Column) -> Column:
     """The smallest k whose cumulative probability exceeds u, for rates up to PART."""
-    start = F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("c"), F.lit(0).alias("k"))
-    step = lambda s, i: F.struct((s["p"] * rate / i).alias("p"), (s["c"] + s["p"] * rate / i).alias("c"), (s["k"] + F.when(s["c"] <= u, 1).otherwise(0)).alias("k"))
+    # u and the rate travel in the state: within the fold they would be computed again at every step.
+    start = F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("c"), F.lit(0).alias("k"), u.alias("u"), rate.alias("r"))
+
+    def step(s: Column, i: Column) -> Column:
+        p = s["p"] * s["r"] / i
+        return F.struct(p.alias("p"), (s["c"] + p).alias("c"), (s["k"] + F.when(s["c"] <= s["u"], 1).otherwise(0)).alias("k"), s["u"].alias("u"), s["r"].alias("r"))
+
     return F.aggregate(F.sequence(F.lit(1), F.lit(MOST)), start, step, lambda s: s["k"])
 
 
