@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, tidied
 from .tokens import TOKENIZER, pieces
 
 #: Pieces that one task packs at once.
@@ -77,7 +77,7 @@ def pack(items: DataFrame, capacity: int = 2048, length: str = "length", per_tas
     for turn in range(ROUNDS):
         parts = max(1, -(-n // per_task))
         last = parts == 1 or turn == ROUNDS - 1 or not gained
-        placed = cut(now.repartition(parts).mapInArrow(_packer(at, capacity, turn, last), schema))
+        placed = cut(now.repartition(parts).mapInArrow(tidied(_packer(at, capacity, turn, last)), schema))
         done.append(placed.where("settled").drop("settled"))
         if last:
             break

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, pick
+from .common import cut, pick, tidied
 from .components import connected
 
 #: Fingerprints link at this many differing bits or fewer; the two halves and the shared points rest on it.
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataF
             out = [seen[t] if t in seen else seen.setdefault(t, fingerprint(t, shingle)) for t in batch.column("raw").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.int64())], [*batch.schema.names[:-1], "simhash"])
 
-    return inner.mapInArrow(each, schema).toDF(*kept, "simhash")
+    return inner.mapInArrow(tidied(each), schema).toDF(*kept, "simhash")
 
 
 def halves(fp: Column) -> Column:

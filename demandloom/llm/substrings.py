@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, pick
+from .common import cut, pick, tidied
 
 WINDOW = 35
 #: Words of a minimiser.
@@ -296,7 +296,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIM
     """For each different text with a repeated window: text_key (first half of its SHA-256) and spans, an array of (a, b), words a to b - 1."""
     spark = docs.sparkSession
     raw = pick(docs, text).select(F.col(text).cast("binary").alias("raw")).where("octet_length(raw) >= 0")
-    counts = cut(raw.mapInArrow(_minimisers(window, minimiser), "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n")).where("n > 1"))
+    counts = cut(raw.mapInArrow(tidied(_minimisers(window, minimiser)), "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n")).where("n > 1"))
     size = LEAST_BITS
     most = 16 * counts.count()
     while size < min(most, MOST_BITS):
@@ -309,9 +309,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIM
     crowded = counts.where(F.col("n") > CROWDED).orderBy(F.desc("n"), "minimiser").limit(MOST_CROWDED).collect()
     bits, crowded = spark.sparkContext.broadcast(bits.view(np.uint8)), spark.sparkContext.broadcast(frozenset(r.minimiser for r in crowded))
 
-    packed = raw.mapInArrow(_packed(window, minimiser, bits, crowded), "bucket long, packed binary, n long")
-    cover = cut(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_counted(window), "key binary, cover array<int>"))
-    places = raw.mapInArrow(_places(window, minimiser, bits, crowded), "text_key binary, start int, key binary")
+    packed = raw.mapInArrow(tidied(_packed(window, minimiser, bits, crowded)), "bucket long, packed binary, n long")
+    cover = cut(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_counted(window)), "key binary, cover array<int>"))
+    places = raw.mapInArrow(tidied(_places(window, minimiser, bits, crowded)), "text_key binary, start int, key binary")
     # Crowded windows give the same key at many places of a text, and a string that two buckets had gives one row.
     spans = places.join(cover, "key").select("text_key", F.explode(F.expr("transform(sequence(0, size(cover) - 2, 2), i -> struct(start + cover[i] as a, start + cover[i + 1] as b))")).alias("span"))
     return spans.groupBy("text_key").agg(F.collect_set("span").alias("spans"))
@@ -332,5 +332,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIM
     flat = flat.withColumn("text_key", F.unhex(F.left(F.sha2(body, 256), F.lit(32))))
     joined = flat.join(spans, "text_key", "left").select(*own, F.col(body).cast("binary").alias("raw"), "spans")
     schema = T.StructType([*flat.schema.fields[: len(own)], T.StructField("kept", T.BinaryType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    done = joined.mapInArrow(_kept, schema)
+    done = joined.mapInArrow(tidied(_kept), schema)
     return done.withColumn("kept", F.decode("kept", "UTF-8")).toDF(*names, "kept", "n_words", "n_removed")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick
+from .common import pick, sliced, tidied
 
 #: Labelled documents that the models are fitted on at most: those whose ids hash lowest.
 MOST_LABELLED = 6_000
@@ -37,6 +37,8 @@ LEAST_DOCS, RARE = 3, 300
 PREFIXES = (4, 5, 6)
 TERM = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 REMEMBERED = 300_000
+#: Texts that are scored together.
+TOGETHER = 1000
 
 
 class Terms(dict):
@@ -140,7 +142,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES
 
     kind = ", ".join(f"{c} double" for c in names)
     # The one task has `most` rows at most.
-    one = rows.mapInArrow(buckets, f"id {dict(named.dtypes)['id']}, {kind}, buckets array<long>").repartition(1).mapInArrow(trained, "category string, weights binary")
+    one = rows.mapInArrow(tidied(buckets), f"id {dict(named.dtypes)['id']}, {kind}, buckets array<long>").repartition(1).mapInArrow(tidied(trained), "category string, weights binary")
     found = {r.category: np.frombuffer(r.weights) for r in one.collect()}
     return {c: found[c] for c in names}
 
@@ -159,7 +161,7 @@ def score(docs: DataFrame, chain: dict[str, np.ndarray], threshold: float = THRE
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()
-        for b in batches:
+        for b in sliced(batches, TOGETHER):
             found = [terms.of(t) for t in b.column(body).to_pylist()]
             ends, buckets = np.array([len(x) for x in found], np.int64), np.concatenate(found) if found else np.empty(0, np.int64)
             before = np.empty((len(found), 0))
@@ -167,4 +169,4 @@ def score(docs: DataFrame, chain: dict[str, np.ndarray], threshold: float = THRE
                 before = np.c_[before, applied(w, buckets, ends, before)]
             yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(before[:, i]) for i in range(len(added))]], schema.names)
 
-    return flat.mapInArrow(each, schema).withColumn("rejected", F.col(f"p_{target}") >= threshold).toDF(*names, *added, "rejected")
+    return flat.mapInArrow(tidied(each), schema).withColumn("rejected", F.col(f"p_{target}") >= threshold).toDF(*names, *added, "rejected")
