@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import pick, tidied
+from .common import cut, pick, tidied
 
 #: A tokenizer that drops white space and splits at it, so that words can be encoded one by one.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -149,7 +149,7 @@ def lengths(docs: DataFrame, tokenizer: str = TOKENIZER, text: str = "text") ->
 
 
 #: Lengths that share their upper digits are summed first, so that no task needs all distinct lengths in order.
-BLOCK = 1024
+BLOCK = 128
 
 
 def length_histogram(docs: DataFrame, tokenizer: str = TOKENIZER, text: str = "text") -> DataFrame:
@@ -161,7 +161,8 @@ def length_histogram(docs: DataFrame, tokenizer: str = TOKENIZER, text: str = "t
     limit c between two lengths the truncated total is tokens_within of the one below plus c * docs_from of the one above.
     Null and empty texts have length 0; an empty table gives no rows.
     """
-    counted = lengths(docs, tokenizer, text).groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    # Two ways lead on from here: written once, or all texts would be encoded twice.
+    counted = cut(lengths(docs, tokenizer, text).groupBy("n_tokens").agg(F.count("*").alias("n_docs")))
     counted = counted.withColumn("tokens", F.col("n_tokens") * F.col("n_docs")).withColumn("block", F.expr(f"n_tokens div {BLOCK}"))
     # Blocks have at most BLOCK lengths each, and there are as many as the longest text has tokens over BLOCK.
     blocks = counted.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
