@@ -30,9 +30,11 @@ THRESHOLD = 0.35
 #: The categories of `labels` in the order of the chain, and what stands for each.
 CATEGORIES = (("junk", "1 - quality"), ("toxic", "toxic"))
 TARGET = "toxic"
-STEPS, RATE, PENALTY = 150, 0.03, 1e-3
-#: A term counts if it occurs in so many labelled documents, or in one of RARE of them if that is more.
-LEAST_DOCS, RARE = 3, 300
+STEPS, RATE = 150, 0.03
+#: Of these penalties of the terms' weights a category takes the one of the least out-of-fold loss: it holds rare terms down.
+PENALTIES = (1e-3, 3e-3, 1e-2)
+#: A term counts if it occurs in so many labelled documents, however many there are.
+LEAST_DOCS = 3
 #: Terms: lower-case runs of letters and digits, and runs of other signs; and the beginnings, of these lengths, of longer ones.
 PREFIXES = (4, 5, 6)
 TERM = re.compile(r"[^\W_]+|[^\w\s]+|_+")
@@ -66,7 +68,13 @@ def logit(p: np.ndarray) -> np.ndarray:
     return np.log(q / (1 - q))
 
 
-def fit(flat: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.ndarray) -> np.ndarray:
+def loss(p: np.ndarray, y: np.ndarray) -> float:
+    """Log loss in which both classes weigh the same."""
+    q = np.clip(p, 1e-9, 1 - 1e-9)
+    return sum(-np.log(x).mean() / 2 for x in (q[y > 0], 1 - q[y == 0]) if len(x))
+
+
+def fit(flat: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.ndarray, penalty: float = PENALTIES[0]) -> np.ndarray:
     """Weights of the terms, of the logits of the probabilities before, and the intercept, by full-batch Adam.
 
     flat: buckets of all rows; ends: how many each row has. With one class only the intercept says so.
@@ -75,7 +83,7 @@ def fit(flat: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.ndarray) -
     if not len(y) or y.min() == y.max():
         out[-1] = 30.0 if len(y) and y.max() else -30.0
         return out
-    used = np.bincount(flat, minlength=FEATURES) >= max(LEAST_DOCS, len(y) // RARE)
+    used = np.bincount(flat, minlength=FEATURES) >= LEAST_DOCS
     keep = used[flat]
     row = np.repeat(np.arange(len(y)), ends)[keep]
     columns, at = np.unique(flat[keep], return_inverse=True)
@@ -88,7 +96,7 @@ def fit(flat: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.ndarray) -
         margin = np.bincount(row, weights=w[at], minlength=len(y)) + dense @ w[len(columns) :]
         error = weight * (probability(margin) - y) / len(y)
         grad = np.r_[np.bincount(at, weights=error[row], minlength=len(columns)), dense.T @ error]
-        grad[: len(columns)] += PENALTY * w[: len(columns)]
+        grad[: len(columns)] += penalty * w[: len(columns)]
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     out[columns] = w[: len(columns)]
@@ -96,6 +104,15 @@ def fit(flat: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.ndarray) -
     return out
 
 
+def held_out(flat: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.ndarray, fold: np.ndarray, folds: int, penalty: float) -> np.ndarray:
+    """Probabilities of rows by models fitted on the other folds."""
+    owner, p = np.repeat(fold, ends), np.empty(len(y))
+    for f in range(folds):
+        w = fit(flat[owner != f], ends[fold != f], before[fold != f], y[fold != f], penalty)
+        p[fold == f] = applied(w, flat[owner == f], ends[fold == f], before[fold == f])
+    return p
+
+
 def applied(weights: np.ndarray, flat: np.ndarray, ends: np.ndarray, before: np.ndarray) -> np.ndarray:
     """Probabilities of rows."""
     row = np.repeat(np.arange(len(ends)), ends)
@@ -126,16 +143,13 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES
             lists = t.column("buckets").combine_chunks()
             ends, flat = np.asarray(lists.value_lengths()), lists.flatten().to_numpy()
             fold = np.array([xxhash.xxh32_intdigest(str(i)) % folds for i in t.column("id").to_pylist()])
-            owner, before = np.repeat(fold, ends), np.empty((t.num_rows, 0))
-            for i, name in enumerate(names):
+            before = np.empty((t.num_rows, 0))
+            for name in names:
                 y = t.column(name).to_numpy()
-                weights.append(fit(flat, ends, before, y))
-                if i < len(names) - 1:
-                    p = np.empty(t.num_rows)
-                    for f in range(folds):
-                        w = fit(flat[owner != f], ends[fold != f], before[fold != f], y[fold != f])
-                        p[fold == f] = applied(w, flat[owner == f], ends[fold == f], before[fold == f])
-                    before = np.c_[before, p]
+                tried = [held_out(flat, ends, before, y, fold, folds, x) for x in PENALTIES]
+                best = min(range(len(PENALTIES)), key=lambda k: loss(tried[k], y))
+                weights.append(fit(flat, ends, before, y, PENALTIES[best]))
+                before = np.c_[before, tried[best]]
         else:
             weights = [fit(np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, i)), np.empty(0)) for i in range(len(names))]
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([w.tobytes() for w in weights], pa.binary())], ["category", "weights"])
