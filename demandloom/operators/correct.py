@@ -154,11 +154,15 @@ def lifecycle(fc: DataFrame, dead: DataFrame, new: DataFrame, new_factor: float
     return out.withColumn("corrected", F.when(F.col("_d"), 0.0).when(F.col("_n"), F.col("predicted") * new_factor * up).otherwise(F.col("predicted"))).drop("_d", "_n")
 
 
-def snap_to_levels(fc: DataFrame, hist: DataFrame, most: int = 1000) -> DataFrame:
-    """The nearest of the key's observed values, the smaller of two; keys with more than `most` values stay as they are."""
-    levels = hist.groupBy("key").agg(F.collect_set("y").alias("_l")).where(F.size("_l") <= most)
-    near = F.array_min(F.transform("_l", lambda v: F.struct(F.abs(v - F.col("predicted")).alias("d"), v.alias("v"))))["v"]
-    return fc.join(levels, "key", "left").withColumn("snapped", F.coalesce(near, F.col("predicted"))).drop("_l")
+def snap_to_levels(fc: DataFrame, hist: DataFrame) -> DataFrame:
+    """The nearest of the key's observed values, the smaller of two; rows without a forecast or of keys without values stay as they are."""
+    levels = hist.select("key", F.col("y").cast("double").alias("_v")).where("key is not null and _v is not null").distinct()
+    # Levels and forecasts in one order a key: the level below or at a forecast comes last before it, the one above first after it.
+    both = fc.withColumn("_v", F.col("predicted").cast("double")).withColumn("_f", F.lit(1)).unionByName(levels.withColumn("_f", F.lit(0)), allowMissingColumns=True)
+    level, w = F.when(F.col("_f") == 0, F.col("_v")), W.partitionBy("key").orderBy("_v", "_f")
+    both = both.withColumn("_lo", F.last(level, True).over(w)).withColumn("_hi", F.first(level, True).over(w.rowsBetween(W.currentRow, W.unboundedFollowing))).where("_f = 1")
+    near = F.when(F.col("_hi") - F.col("_v") < F.col("_v") - F.col("_lo"), F.col("_hi")).otherwise(F.coalesce("_lo", "_hi"))
+    return both.withColumn("snapped", F.when(F.col("_v").isNotNull(), F.coalesce(near, F.col("predicted")))).drop("_v", "_f", "_lo", "_hi")
 
 
 def topdown(fc: DataFrame, totals: DataFrame, band: float = 0.05, lo: float = 0.5, hi: float = 2.0) -> DataFrame:
