@@ -55,13 +55,20 @@ def cube(top: float, step: float, n: int) -> list[tuple[float, ...]]:
     return list(product(axis, repeat=n))
 
 
-def fit_asymmetric(df: DataFrame, by: list[str], tolerance: float = 0.05, top: float = 1.5, coarse: float = 0.5, fine: float = 0.25) -> DataFrame:
-    """by, weights, loss: best point of a coarse grid, then of a fine one around it. df is at the grain that is scored."""
-    first = least_loss(score_grid(df, by, cube(top, coarse, len(PARTS)), tolerance), by)
-    steps = [d * fine for d in (-1, 0, 1)]
-    near = F.explode(F.array(*[F.array(*[F.greatest(F.lit(0.0), F.col("_w")[i] + d) for i, d in enumerate(ds)]) for ds in product(steps, repeat=len(PARTS))]))
-    around = first.select(*by, F.col("weights").alias("_w")).select(*by, near.alias("weights")).distinct()
-    return least_loss(score_points(df.join(around, by), by, tolerance), by)
+def fit_asymmetric(df: DataFrame, by: list[str], tolerance: float = 0.05, top: float = 3.0, coarse: float = 0.5, fine: float = 1 / 1024, most: float = 3.0, reach: int = 2) -> DataFrame:
+    """by, weights, loss: best point of a coarse grid up to `top`, then of grids around the best so far, each of half the step and so many steps (reach) each way, while the step is `fine` or more; weights in [0, most].
+
+    One aggregation a round. df is at the grain that is scored.
+    """
+    best = least_loss(score_grid(df, by, cube(top, coarse, len(PARTS)), tolerance), by)
+    step = coarse / 2
+    while step >= fine:
+        moves = product([i * step for i in range(-reach, reach + 1)], repeat=len(PARTS))
+        near = F.explode(F.array(*[F.array(*[F.least(F.greatest(F.lit(0.0), F.col("_w")[i] + d), F.lit(most)) for i, d in enumerate(ds)]) for ds in moves]))
+        around = best.select(*by, F.col("weights").alias("_w")).select(*by, near.alias("weights")).distinct()
+        best = least_loss(score_points(df.join(around, by), by, tolerance), by)
+        step /= 2
+    return best
 
 
 def guardrail(df: DataFrame, fit: DataFrame, by: list[str], tolerance: float = 0.05, margin: float = 0.0) -> DataFrame:

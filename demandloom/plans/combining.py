@@ -64,7 +64,8 @@ def coarse(rows, by):
 
 @query(f"{COARSE}, d AS (SELECT unnest([-0.25::DOUBLE, 0, 0.25]) AS d), near AS (SELECT DISTINCT category, greatest(0, w1 + a.d) AS w1, greatest(0, w2 + b.d) AS w2, greatest(0, w3 + c.d) AS w3 FROM fit, d a, d b, d c), f2 AS (SELECT p.category, w1, w2, w3, sum(actual) AS a, sum(abs(greatest(0, w1 * s + w2 * c + w3 * rf) - actual)) AS e, sum(greatest(0, w1 * s + w2 * c + w3 * rf) - actual) AS d, sum(rf - actual) AS b FROM parts p JOIN near n ON n.category = p.category GROUP BY ALL), l2 AS (SELECT *, round(e / a + 200 * pow(least(d / a - (least(b / a, 0) - 0.05), 0), 2), 9) AS loss FROM f2) SELECT category, round(min(loss), 6) AS loss FROM l2 GROUP BY 1")
 def blend_fit_asymmetric(spark, sf_dir):
-    return rounded(op.fit_asymmetric(parts(spark, sf_dir), ["category"]), "category", "loss")
+    # The grid of the SQL; the operator's own goes to 3 and to finer steps.
+    return rounded(op.fit_asymmetric(parts(spark, sf_dir), ["category"], top=1.5, fine=0.25, reach=1), "category", "loss")
 
 
 GUARD = f"{COARSE}, g AS (SELECT p.category, w1, w2, w3, sum(actual) AS a, sum(abs(greatest(0, w1 * s + w2 * c + w3 * rf) - actual)) AS e, sum(abs(rf - actual)) AS f, sum(greatest(0, w1 * s + w2 * c + w3 * rf) - actual) AS d, sum(rf - actual) AS b FROM parts p JOIN fit USING (category) GROUP BY ALL)"
