@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 
 #: Characters that separate words.
 BLANKS = " \t\n\x0b\x0c\r"
+#: A key is hot if it holds more than one in so many rows: there are fewer such keys than this.
+HOT = 1000
+#: Rows of a narrow table that may be broadcast; the table is counted before.
+FEW = 1_000_000
+#: Parts over which rows without a partner are dealt in a join.
+SPREAD = 4096
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -23,21 +29,83 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session, which has no other machine, gets one of its own where none is set."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="demandloom-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+#: For each block of clearing() under way, the folders written in it.
+WRITTEN: list[list[str]] = []
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of a new name in the shared one; clearing() deletes it."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for block in WRITTEN:
+        block.append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any file system that Spark reaches."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def clearing(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what operators wrote to the shared folder within: their results must be written or collected by then."""
+    block: list[str] = []
+    WRITTEN.append(block)
+    try:
+        yield
+    finally:
+        WRITTEN.remove(block)
+        for path in block:
+            delete(spark, path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes df to the shared folder and reads it back, so that lost executors cost no recomputation of what came before."""
-    path = f"{shared_folder(df.sparkSession)}/demandloom-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, "demandloom")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def plain(df: DataFrame) -> list[str]:
+    """The columns that can be hashed and ordered."""
+    return [n for n, kind in df.dtypes if not any(x in kind for x in ("map<", "variant", "interval", "void"))]
+
+
+def looked_up(rows: DataFrame, key: str, table: DataFrame, of: str, n: str) -> DataFrame:
+    """rows with the columns of table but `of` and n, null where table has no row for the key.
+
+    table: one row a key (column `of`), n rows of `rows` having it, none of its columns in rows; written once or cheap. Hot keys
+    are fewer than HOT, so they are broadcast; their rows, and rows of a null key, are dealt evenly in the join of the others.
+    """
+    values = [c for c in table.columns if c not in (of, n)]
+    total = table.agg(F.sum(n)).first()[0] or 0
+    hot = table.where(F.col(n) * HOT > total).select(F.col(of).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values])
+    cold = table.where(F.col(n) * HOT <= total).select(F.col(of).alias("_cold"), F.lit(0).alias("_zero"), *values)
+    names = rows.columns
+    out = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_own", F.when(F.col("_hot").isNull(), F.col(key)))
+    out = out.withColumn("_deal", F.when(F.col("_own").isNull(), 1 + F.pmod(F.xxhash64(*plain(rows)), F.lit(SPREAD)).cast("int")).otherwise(0))
+    out = out.join(cold, (F.col("_own") == F.col("_cold")) & (F.col("_deal") == F.col("_zero")), "left")
+    return out.select(*names, *[F.when(F.col("_hot").isNotNull(), F.col(f"_hot_{c}")).otherwise(F.col(c)).alias(c) for c in values])
+
+
+def semi(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows whose key is in ids (its only column, distinct, without nulls): by broadcast if ids were counted to be few, else by a shuffle."""
+    ids = ids.toDF("_id")
+    few = ids.limit(FEW + 1).count() <= FEW
+    return rows.where(F.col(key).isNotNull()).join(F.broadcast(ids) if few else ids, F.col(key) == F.col("_id"), "left_semi")
+
+
 def tidied(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """function for mapInArrow, after which free memory goes back to the system: a worker would hold it from task to task and stage to stage."""
 
@@ -63,3 +131,17 @@ def words(text: Column) -> Column:
     """The words `[^\\x20\\x09-\\x0D]+` of a text, in order; none for null or blank texts."""
     bare = F.btrim(text, F.lit(BLANKS))
     return F.when(bare.isNull() | (bare == ""), F.array().cast("array<string>")).otherwise(F.split(bare, "[\\x20\\x09-\\x0D]+"))
+
+
+def numbered(rows: DataFrame, order: list[Column | str], out: str = "row_number") -> DataFrame:
+    """Adds a number (long, gapless from 0) in the given order, by ranges: what one task orders are the numbers of rows of the ranges.
+
+    rows without equal keys under `order` never gather in one range. Writes rows, narrow ones at best, to the shared folder.
+    """
+    names = rows.columns
+    ranged = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    # The upper bits of _at are the range, the lower 33 the place in it.
+    counts = ranged.groupBy(F.shiftright("_at", 33).alias("_range")).agg(F.count("*").alias("_n"))
+    before = counts.selectExpr("_range", "sum(_n) over (order by _range) - _n _before")  # one row a range
+    placed = ranged.join(F.broadcast(before), F.shiftright("_at", 33) == F.col("_range"))
+    return placed.withColumn(out, F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).select(*names, out)

@@ -3,7 +3,8 @@
 Each partition packs its pieces best-fit decreasing. A dual-feasible-function bound on the partition's sizes certifies
 its number of bins: where both agree no packing of these pieces does with fewer. Partitions with a gap give up the pieces
 of their emptiest bins, certified ones those of a few, as slack adds up over partitions; the pieces given up are dealt
-anew over fewer partitions and packed again, until one partition is left or nothing is gained.
+anew over fewer partitions and packed again, until one partition is left. A round that leaves nearly as many pieces halves
+the share that is given up, so that the rounds come to an end at any size: about as many as the logarithm of the partitions.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from .tokens import TOKENIZER, pieces
 PER_TASK = 100_000
 #: Of its bins, the emptiest that a partition gives up: with a gap, and certified.
 GAP_SHARE, SLACK_SHARE = 0.5, 0.05
-#: Rounds of exchange at most.
-ROUNDS = 6
+#: A round that leaves more than this share of its pieces gives up fewer bins the next time.
+ENOUGH = 0.75
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:
@@ -72,12 +73,12 @@ def pack(items: DataFrame, capacity: int = 2048, length: str = "length", per_tas
     at = names.index(length)
     now = cut(items.select(*names).toDF(*own))
     schema = T.StructType([*now.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("settled", T.BooleanType())])
-    done, gained = [], True
+    done, share, turn = [], GAP_SHARE, 0
     n = now.count()
-    for turn in range(ROUNDS):
+    while True:
         parts = max(1, -(-n // per_task))
-        last = parts == 1 or turn == ROUNDS - 1 or not gained
-        placed = cut(now.repartition(parts).mapInArrow(tidied(_packer(at, capacity, turn, last)), schema))
+        last = parts == 1
+        placed = cut(now.repartition(parts).mapInArrow(tidied(_packer(at, capacity, turn, last, share)), schema))
         done.append(placed.where("settled").drop("settled"))
         if last:
             break
@@ -85,14 +86,16 @@ def pack(items: DataFrame, capacity: int = 2048, length: str = "length", per_tas
         left = now.count()
         if not left:
             break
-        gained, n = left < 0.9 * n, left
+        if left > ENOUGH * n:
+            share /= 2
+        n, turn = left, turn + 1
     out = done[0]
     for more in done[1:]:
         out = out.union(more)
     return out.toDF(*names, "sequence_id", "offset")
 
 
-def _packer(at: int, capacity: int, turn: int, last: bool):  # noqa: ANN202
+def _packer(at: int, capacity: int, turn: int, last: bool, gap_share: float):  # noqa: ANN202
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -109,7 +112,7 @@ def _packer(at: int, capacity: int, turn: int, last: bool):  # noqa: ANN202
         settled = np.ones(len(room), bool)
         if not last:
             # Certified where the bound is met: no packing has fewer bins. The slack of many partitions may still add up to bins.
-            share = GAP_SHARE if len(room) > lower_bound(sizes, capacity) else SLACK_SHARE
+            share = gap_share if len(room) > lower_bound(sizes, capacity) else min(SLACK_SHARE, gap_share)
             emptiest = np.argsort(room, kind="stable")[::-1][: max(1, int(len(room) * share))]
             settled[emptiest[room[emptiest] > 0]] = False
         ids = (np.int64(turn) << 56) + (np.int64(TaskContext.get().partitionId()) << 32) + place

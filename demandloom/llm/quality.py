@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, cut, pick, words
+from .common import BLANKS, cut, pick, semi, words
 
 BUCKETS = 10_000
 #: The threshold lies this many standard deviations below the trusted documents' mean score.
@@ -39,17 +39,21 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, text
 
     trusted: ids in a column doc_id; nulls and repetitions don't matter. Collects one number per bucket.
     """
-    ids = trusted.select(F.col(doc_id).alias("id")).where("id is not null").distinct().withColumn("trusted", F.lit(1))
-    rows = pick(docs, doc_id, text).toDF("doc_id", "text").join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("id"), "left")
-    each = hashes(rows.select("text", "trusted"), "text").select("trusted", F.explode(grams()).alias("g"))
-    counted = each.groupBy(F.pmod("g", F.lit(buckets)).cast("int").alias("bucket")).agg(F.count("*").alias("n"), F.count("trusted").alias("t")).collect()
-    n, t = [1] * buckets, [1] * buckets
-    for r in counted:
-        n[r.bucket] += r.n
-        t[r.bucket] += r.t
+    rows = pick(docs, doc_id, text).toDF("doc_id", "text")
+    n = counts(rows, buckets)
+    t = counts(semi(rows, "doc_id", trusted.select(doc_id).where(F.col(doc_id).isNotNull()).distinct()), buckets)
     return [math.log(a / sum_t) - math.log(b / sum_n) for sum_t, sum_n in [(sum(t), sum(n))] for a, b in zip(t, n, strict=True)]
 
 
+def counts(rows: DataFrame, buckets: int) -> list[int]:
+    """One more than the n-grams of the rows' texts in each bucket, straight off the scan."""
+    each = hashes(rows.select("text"), "text").select(F.explode(grams()).alias("g"))
+    out = [1] * buckets
+    for r in each.groupBy(F.pmod("g", F.lit(buckets)).cast("int").alias("bucket")).agg(F.count("*").alias("n")).collect():
+        out[r.bucket] += r.n
+    return out
+
+
 def statistics(docs: DataFrame, ratios: list[float], text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), score (double; 0 without words) of every whole text."""
     rows = hashes(pick(docs, doc_id, text).toDF("doc_id", "text"), "text")

@@ -24,7 +24,8 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return mixing.mix(docs.select("doc_id", "source"), mixing.temperature_weights(docs))
+    mixed = mixing.mix(docs, mixing.temperature_weights(docs))
+    return mixed.select("doc_id", "source", "copy", "n_copies", "order_key", F.md5("text").alias("text_md5"))
 
 
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,11 +87,11 @@ ORACLES: dict[str, str] = {
                 FROM c JOIN parts t ON t.source IS NOT DISTINCT FROM c.source WHERE c.k < 80)
             SELECT * FROM c),
         u AS (
-            SELECT d.doc_id, d.source, i.i, ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || i.i), 1, 13))::BIGINT / 4503599627370496.0 AS u
+            SELECT d.doc_id, d.source, md5(d.text) AS text_md5, i.i, ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || i.i), 1, 13))::BIGINT / 4503599627370496.0 AS u
             FROM documents d JOIN parts t ON t.source IS NOT DISTINCT FROM d.source, LATERAL (SELECT unnest(range(1, t.parts + 1)) AS i) i),
-        k AS (SELECT u.doc_id, u.source, u.i, (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM u.source AND cdf.c <= u.u AND cdf.k < 80) AS k FROM u),
-        m AS (SELECT doc_id, source, sum(k)::INT AS n_copies FROM k GROUP BY ALL)
-        SELECT doc_id, source, j.j::INT AS copy, n_copies,
+        k AS (SELECT u.doc_id, u.source, u.text_md5, u.i, (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM u.source AND cdf.c <= u.u AND cdf.k < 80) AS k FROM u),
+        m AS (SELECT doc_id, source, text_md5, sum(k)::INT AS n_copies FROM k GROUP BY ALL)
+        SELECT doc_id, source, text_md5, j.j::INT AS copy, n_copies,
             ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':copy:' || j.j), 1, 15))::BIGINT AS order_key
         FROM m, LATERAL (SELECT unnest(range(0, n_copies)) AS j) j""",
     "op4_substrings": r"""

@@ -1,11 +1,11 @@
 """Exact top-k by inner product over norm-sorted, SVD-rotated vectors.
 
 All vectors are rotated by the right singular vectors of the candidates, which leaves inner products as they are and puts
-most of them into the first coordinates. Candidates are cut into blocks of descending length. A first join scores each block of
-queries against the longest candidates, whose k-th best gives each query a floor. Of the other pairs of blocks only those
-are made whose bound (longest query times longest candidate over the floor, by Cauchy-Schwarz) can still matter; within
-them a partial product over the first coordinates plus the product of the residual lengths prunes candidates, and the
-rest are scored exactly on the integers.
+most of them into the first coordinates. Candidates are numbered by descending length and cut into blocks, which are processed in
+rounds, each of many times the blocks of the one before. A query takes part in a round only if the round's longest candidate
+can still reach its k-th best score so far (Cauchy-Schwarz), and meets only blocks of which the same holds. Within a block a
+partial product over the first coordinates plus the product of the residual lengths prunes candidates, and the rest are
+scored exactly on the integers.
 """
 
 from __future__ import annotations
@@ -18,14 +18,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, pick
+from .common import cut, numbered, pick, tidied
 
 #: Vectors of a block of candidates and of queries.
 BLOCK, QUERIES = 4096, 1024
+#: Blocks of queries that a copy of a block of candidates serves.
+SERVED = 16
+#: Blocks of a round for each one of the rounds before.
+GROWTH = 8
 #: Share of the coordinates in the partial products.
 HEAD = 4
 #: What rounding may take from a bound, relative to the product of lengths.
 SLACK = 1e-6
+#: Below this sums of integers are exact as doubles; below the other they fit 64 bits. Scores beyond are cut to the ends of long.
+EXACT, LONG = 2.0**53, 2.0**63
 
 
 def quantised(vectors: DataFrame, scale: int = 64, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -62,60 +68,87 @@ def gram(vectors: DataFrame, width: int) -> np.ndarray:
     return out
 
 
-def _blocks(rows: DataFrame, size: int, n: int, width: int, name: str) -> DataFrame:
-    """Packs rows (vec_id, v, norm) into blocks of about `size` in descending order of length: block, number, ids, data (int64 matrix), longest."""
-    parts = max(1, -(-n // size))
+def _blocks(rows: DataFrame, width: int, name: str) -> DataFrame:
+    """Rows (block, vec_id, v, norm, floor) as one row per block: name, and its ids, data (matrix of the narrowest integers), floors and longest norm as {name}_..."""
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        t = pa.Table.from_batches(held).combine_chunks()
-        for k in range(0, t.num_rows, 2 * size):
-            part = t.slice(k, 2 * size)
-            data = matrix(part.column("v").combine_chunks(), width)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([(TaskContext.get().partitionId() << 20) + k // (2 * size)], pa.int64()), pa.array([part.column("vec_id").to_numpy().tobytes()]), pa.array([data.tobytes()]), pa.array([float(part.column("norm").to_numpy().max())])],
-                [name, f"{name}_ids", f"{name}_data", f"{name}_longest"],
-            )
+    def made(block: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(parts).combine_chunks().sort_by("vec_id")
+        data = matrix(t.column("v").combine_chunks(), width)
+        kind = next(k for k in ("i1", "i2", "i4", "i8") if not data.size or (np.iinfo(k).min <= data.min() and data.max() <= np.iinfo(k).max))
+        raw = [t.column("vec_id").to_numpy().tobytes(), kind, data.astype(kind).tobytes(), t.column("floor").to_numpy().astype(float).tobytes()]
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *[pa.array([x]) for x in raw], pa.array([float(t.column("norm").to_numpy().max())])], [name, *[f"{name}_{x}" for x in ("ids", "kind", "data", "floors", "longest")]])
 
-    sorted_ = rows.repartitionByRange(parts, F.desc("norm"), "vec_id").sortWithinPartitions(F.desc("norm"), "vec_id")
-    return sorted_.mapInArrow(each, f"{name} long, {name}_ids binary, {name}_data binary, {name}_longest double")
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts = None, []
+        for b in batches:
+            blocks = b.column("block").to_numpy()
+            for at in np.split(np.arange(len(blocks)), np.flatnonzero(np.diff(blocks)) + 1):
+                if not len(at):
+                    continue
+                if now is not None and blocks[at[0]] != now:
+                    yield made(now, parts)
+                    parts = []
+                now = int(blocks[at[0]])
+                parts.append(b.slice(int(at[0]), len(at)))
+        if now is not None:
+            yield made(now, parts)
+
+    together = rows.repartition("block").sortWithinPartitions("block").select("block", "vec_id", "v", "norm", "floor")
+    return together.mapInArrow(tidied(each), f"{name} long, {name}_ids binary, {name}_kind string, {name}_data binary, {name}_floors binary, {name}_longest double")
+
+
+def products(q: np.ndarray, c: np.ndarray, most: float) -> np.ndarray:
+    """Inner products of the rows as 64-bit integers, exact; most: what none exceeds."""
+    if most < EXACT:
+        return (q.astype(float) @ c.T.astype(float)).astype(np.int64)
+    if most < LONG:
+        return q.astype(np.int64) @ c.T.astype(np.int64)
+    return np.clip(q.astype(object) @ c.T.astype(object), -(1 << 63), (1 << 63) - 1).astype(np.int64)
+
+
+def best_of(s: np.ndarray, hit: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest of the scores that hit, ties to the first."""
+    at = np.flatnonzero(hit)
+    if len(at) <= k:
+        return at
+    own = s[at]
+    least = np.partition(own, len(own) - k)[len(own) - k]
+    over = at[own > least]
+    return np.r_[over, at[own == least][: k - len(over)]]
 
 
 def _scored(pairs: DataFrame, rotation: np.ndarray, k: int) -> DataFrame:
-    """The k best candidates of each query of every pair of blocks, whose bounds pass the query's floor."""
+    """query_id, vec_id, score: the k best candidates of each query of every pair of blocks, of those whose bound reaches the query's floor."""
     width = len(rotation)
     head = max(1, width // HEAD)
+    turned: dict = {}
+
+    def rotated(side: str, number: int, ids: bytes, kind: str, data: bytes) -> tuple:
+        """Ids, vectors, first coordinates, residual lengths and lengths of a block; that of the last pair is often the next one's."""
+        if turned.get(side, (None,))[0] != (number, ids):
+            m = np.frombuffer(data, kind).reshape(-1, width)
+            r = m.astype(float) @ rotation
+            turned[side] = (number, ids), (np.frombuffer(ids, np.int64), m, r[:, :head], np.sqrt((r[:, head:] ** 2).sum(axis=1)), np.sqrt((m.astype(float) ** 2).sum(axis=1)))
+        return turned[side][1]
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for row in frame.itertuples(index=False):
-                qid, cid = np.frombuffer(row.q_ids, np.int64), np.frombuffer(row.c_ids, np.int64)
-                q, c = (np.frombuffer(x, np.int64).reshape(-1, width).astype(float) for x in (row.q_data, row.c_data))
-                floor = np.frombuffer(row.floor, float) if row.floor is not None else np.full(len(qid), -np.inf)
-                qr, cr = q @ rotation, c @ rotation
-                rest = lambda m: np.sqrt((m[:, head:] ** 2).sum(axis=1))
-                bound = qr[:, :head] @ cr[:, :head].T + np.outer(rest(qr), rest(cr))
-                bound += SLACK * np.outer(np.sqrt((q * q).sum(axis=1)), np.sqrt((c * c).sum(axis=1))) + SLACK
-                hit = bound >= floor[:, None]
-                queries, candidates, scores = [], [], []
-                for i in np.flatnonzero(hit.any(axis=1)):
-                    at = np.flatnonzero(hit[i])
-                    at = at[cid[at] != qid[i]]
-                    # Integers of this size are exact as doubles.
-                    s = (c[at] @ q[i]).astype(np.int64)
-                    if len(at) > k:
-                        least = np.partition(s, len(s) - k)[len(s) - k]
-                        at, s = at[s >= least], s[s >= least]
-                    best = np.lexsort((cid[at], -s))[:k]
-                    queries.append(np.full(len(best), qid[i])), candidates.append(cid[at[best]]), scores.append(s[best])
-                if queries:
-                    yield pd.DataFrame({"query_id": np.concatenate(queries), "vec_id": np.concatenate(candidates), "score": np.concatenate(scores)})
-
-    return pairs.mapInPandas(each, "query_id long, vec_id long, score long")
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                qid, q, qh, q_rest, q_norm = rotated("q", row["q"], row["q_ids"], row["q_kind"], row["q_data"])
+                cid, c, ch, c_rest, c_norm = rotated("c", row["c"], row["c_ids"], row["c_kind"], row["c_data"])
+                bound = qh @ ch.T + np.outer(q_rest, c_rest) + SLACK * np.outer(q_norm, c_norm) + SLACK
+                hit = bound >= np.frombuffer(row["q_floors"], float)[:, None]
+                hit &= qid[:, None] != cid[None, :]
+                asked, met = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+                if not len(asked):
+                    continue
+                s = products(q[asked], c[met], float(q_norm[asked].max() * c_norm[met].max()) * (1 + SLACK))
+                places = [best_of(s[i], hit[x, met], k) for i, x in enumerate(asked.tolist())]
+                n = np.array([len(p) for p in places])
+                which, flat = np.repeat(np.arange(len(asked)), n), np.concatenate(places)
+                yield pa.RecordBatch.from_arrays([pa.array(qid[asked][which]), pa.array(cid[met][flat]), pa.array(s[which, flat])], ["query_id", "vec_id", "score"])
+
+    return pairs.mapInArrow(tidied(each), "query_id long, vec_id long, score long")
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:
@@ -128,56 +161,43 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFrame:
 
     queries and candidates have vec_id (long) and v (array of long), as from quantised(). A candidate of the query's own id is passed over.
     Ties go to the smaller vec_id; repeated rows count as often as they occur, as candidates; a query's repeated rows are
-    one query. Shorter vectors count as padded by zeros; empty tables give an empty result.
+    one query. Shorter vectors count as padded by zeros; empty tables give an empty result. Scores beyond a long are cut to its ends.
     """
     spark = candidates.sparkSession
-    normed = lambda df: df.select("vec_id", "v", F.sqrt(F.aggregate("v", F.lit(0).cast("double"), lambda a, x: a + x * x)).alias("norm"))
-    c, q = cut(normed(candidates)), cut(normed(queries.dropDuplicates(["vec_id"])))
+    # A number beside the row tells repeated rows apart, so that very many of them are no one range.
+    normed = lambda df: df.select("vec_id", "v", F.sqrt(F.aggregate("v", F.lit(0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double"))).alias("norm"), F.monotonically_increasing_id().alias("alike"))
+    order = [F.desc("norm"), "vec_id", "alike"]
+    c, q = numbered(cut(normed(candidates)), order, "at"), numbered(cut(normed(queries.dropDuplicates(["vec_id"]))), order, "at")
     n, width = c.agg(F.count("*"), F.max(F.size("v"))).first()
     n_queries, q_width = q.agg(F.count("*"), F.max(F.size("v"))).first()
-    if not n or not n_queries or not max(width, q_width):
-        if not n or not n_queries:
-            return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    if not n or not n_queries:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     width = max(width, q_width, 1)
     # Right singular vectors of all candidates, by descending singular value: eigenvectors of their Gram matrix.
     rotation = np.linalg.eigh(gram(c, width))[1][:, ::-1]
-    cb, qb = cut(_blocks(c, BLOCK, n, width, "c")), cut(_blocks(q, QUERIES, n_queries, width, "q"))
-    spread = lambda df: df.repartition(max(1, min(20_000, len(c_heads) * len(q_heads))), "q", "c")
-
-    # What follows lists blocks, of which there is one for thousands of vectors.
-    c_heads = cb.select("c", "c_longest").orderBy(F.desc("c_longest"), "c").collect()
-    q_heads = qb.select("q", "q_longest").collect()
-    longest = c_heads[0].c
-    pairs = lambda listed: spread(listed.join(qb.drop("q_longest"), "q").join(cb.drop("c_longest"), "c"))
-    seeds = spark.createDataFrame([(b.q, longest) for b in q_heads], "q long, c long")
-    first = cut(_scored(pairs(seeds).withColumn("floor", F.lit(None).cast("binary")), rotation, k))
-    floors = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
-    found = floors.where("floor is not null")
-
-    def with_floors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                known = dict(zip(row.ids, row.floors, strict=True)) if row.ids is not None else {}
-                own = np.array([known.get(i, -np.inf) for i in np.frombuffer(row.q_ids, np.int64).tolist()], float)
-                data = np.frombuffer(row.q_data, np.int64).reshape(-1, width).astype(float)
-                norms = np.sqrt((data * data).sum(axis=1))
-                # The least length of a candidate that can still reach some query's floor; a query of length nought needs all.
-                need = np.where((norms > 0) & np.isfinite(own), (own - 1e-6) / np.maximum(norms, 1e-300) * (1 - SLACK), -np.inf).min()
-                yield pd.DataFrame({"q": [row.q], "q_ids": [row.q_ids], "q_data": [row.q_data], "floor": [own.tobytes()], "need": [need]})
-
-    # A block of queries has at most 2 * QUERIES floors.
-    ids = qb.select("q", F.col("q_ids")).mapInPandas(_listed, "q long, query_id long")
-    gathered = ids.join(found, "query_id").groupBy("q").agg(F.collect_list("query_id").alias("ids"), F.collect_list("floor").alias("floors"))
-    floored = cut(qb.join(gathered, "q", "left").mapInPandas(with_floors, "q long, q_ids binary, q_data binary, floor binary, need double"))
-    needs = {r.q: r.need for r in floored.select("q", "need").collect()}
-    more = [(b, r.c) for b, need in needs.items() for r in c_heads[1:] if r.c_longest >= need]
-    listed = spark.createDataFrame(more, "q long, c long")
-    second = _scored(spread(listed.join(floored.drop("need"), "q").join(cb.drop("c_longest"), "c")), rotation, k)
-    return _best(first.unionByName(second), k).select("query_id", "rank", "vec_id", "score")
-
-
-def _listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for row in frame.itertuples(index=False):
-            ids = np.frombuffer(row.q_ids, np.int64)
-            yield pd.DataFrame({"q": np.full(len(ids), row.q), "query_id": ids})
+    cb = cut(_blocks(c.select(F.expr(f"at div {BLOCK}").alias("block"), "vec_id", "v", "norm", F.lit(0.0).alias("floor")), width, "c"))
+    heads, blocks = cb.select("c", "c_longest"), -(-n // BLOCK)
+    queries = cut(q.select(F.expr(f"at div {QUERIES}").alias("block"), "vec_id", "v", "norm"))
+
+    best, start, end = None, 0, 1
+    while start < blocks:
+        asking = queries.withColumn("floor", F.lit(None).cast("double"))
+        if best is not None:
+            floors = best.groupBy(F.col("query_id").alias("id")).agg(F.when(F.count("*") >= k, F.min("score")).cast("double").alias("floor"))
+            asking = queries.join(floors, F.col("vec_id") == F.col("id"), "left").drop("id")
+        # The least length of a candidate that can still reach the query's floor; a query of length nought and one without k candidates need all.
+        need = F.when((F.col("norm") > 0) & F.col("floor").isNotNull(), (F.col("floor") - 1e-6 - SLACK * F.abs("floor")) / F.col("norm")).otherwise(F.lit(float("-inf")))
+        longest = heads.where(F.col("c") == start).select(F.col("c_longest").alias("longest"))  # one row
+        asking = asking.withColumn("need", need).join(F.broadcast(longest), F.col("need") <= F.col("longest")).withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+        needs = asking.groupBy("block").agg(F.min("need").alias("need"))
+        qb = _blocks(asking, width, "q").join(needs, F.col("q") == F.col("block")).drop("q_longest", "block").withColumn("served", F.expr(f"q div {SERVED}"))
+        qb = cut(qb)
+        meets = qb.select("q", "served", "need", F.explode(F.sequence(F.lit(start).cast("long"), F.lit(min(end, blocks) - 1).cast("long"))).alias("c"))
+        meets = cut(meets.join(heads, "c").where("c_longest >= need").select("q", "c", "served"))
+        # Both sides come together by block of candidates and group of blocks of queries: neither is shipped for every pair.
+        left = meets.select("q", "c").join(qb.drop("need"), "q").withColumnRenamed("c", "to")
+        right = cb.drop("c_longest", "c_floors").join(meets.select(F.col("c").alias("of"), F.col("served").alias("by")).distinct(), F.col("c") == F.col("of")).drop("of")
+        found = _scored(left.hint("merge").join(right, (F.col("to") == F.col("c")) & (F.col("served") == F.col("by"))), rotation, k).select("query_id", "vec_id", "score")
+        best = cut(_best(found if best is None else best.unionByName(found), k).drop("rank"))
+        start, end = end, end * GROWTH
+    return _best(best, k).select("query_id", "rank", "vec_id", "score")

@@ -12,11 +12,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, pick
+from .common import cut, numbered, pick
 
 #: Prime modulus 2**31 - 1, multiplier and round keys of the round function.
 PRIME, FACTOR, KEYS = 2147483647, 48271, (12345701, 778899123, 1029384756, 561234987, 92837465, 1357924680)
-#: Blocks of ids that are numbered apart; their counts are all that is ordered in one task.
+#: Row numbers go by this many blocks of hashed ids first, then by the rows themselves.
 BLOCKS = 1024
 
 
@@ -57,13 +57,9 @@ def permuted(rows: DataFrame, n: int, row: str = "row_number", out: str = "posit
     return done
 
 
-def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Adds row_number (long, gapless from 0), by a hash of the first column of `order`, then by all of them."""
-    keyed = rows.withColumn("block", F.coalesce(F.pmod(F.col(order[0]) % PRIME * FACTOR % PRIME, F.lit(BLOCKS)), F.lit(0)))
-    # At most BLOCKS rows.
-    counts = keyed.groupBy("block").agg(F.count("*").alias("n")).selectExpr("block", "sum(n) over (order by block) - n before")
-    within = keyed.selectExpr("*", f"row_number() over (partition by block order by {', '.join(order)}) - 1 own")
-    return within.join(F.broadcast(counts), "block").withColumn("row_number", F.col("before") + F.col("own")).drop("block", "before", "own")
+def block(doc_id: Column) -> Column:
+    """Which of BLOCKS an id hashes to; null ids to 0."""
+    return F.coalesce(F.pmod(doc_id % PRIME * FACTOR % PRIME, F.lit(BLOCKS)), F.lit(0))
 
 
 def shard(docs: DataFrame, shards: int = 40, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -74,9 +70,11 @@ def shard(docs: DataFrame, shards: int = 40, text: str = "text", doc_id: str = "
     table gives an empty result; further columns are ignored.
     """
     body = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
-    rows = cut(pick(docs, doc_id, text).select(F.col(doc_id).cast("long").alias("doc_id"), (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32")))
+    rows = pick(docs, doc_id, text).select(F.col(doc_id).cast("long").alias("doc_id"), (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
+    # A number in place of the row itself tells rows apart that are alike: very many such would else be one range.
+    rows = cut(rows.withColumn("alike", F.monotonically_increasing_id()))
     n = rows.count()
-    placed = permuted(numbered(rows, ["doc_id", "text_crc32", "size"]), n)
+    placed = permuted(numbered(rows, [block(F.col("doc_id")), "doc_id", "text_crc32", "size", "alike"]).drop("alike"), n)
     return placed.withColumn("shard", F.pmod("position", F.lit(shards)).cast("int")).withColumn("slot", F.expr(f"position div {shards}"))
 
 

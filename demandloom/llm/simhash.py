@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, pick, tidied
-from .components import connected
+from .common import cut, looked_up, pick, tidied
+from .components import connected, keep_first
 
 #: Fingerprints link at this many differing bits or fewer; the two halves and the shared points rest on it.
 RADIUS = 2
@@ -71,13 +71,13 @@ def links(prints: DataFrame) -> DataFrame:
     flips = F.array(*[F.lit(1 << i).cast("long") for i in range(32)])
     around = F.when(F.bit_count(F.col("half")) % 2 == 0, F.concat(F.array("half"), F.transform(flips, lambda m: F.col("half").bitwiseXOR(m)))).otherwise(F.array("half"))
     probes = table.select(F.explode(around).alias("half"), F.col("b").alias("a"))
-    crowded = cut(table.groupBy("half").count().where(F.col("count") > CROWDED).select("half", F.lit(True).alias("crowded")))
+    crowded = cut(table.groupBy(F.col("half").alias("full")).agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).withColumn("crowded", F.lit(True)))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
     if crowded.isEmpty():
         return probes.join(table, "half").where(near & (F.col("a") != F.col("b"))).select("a", "b")
-    probed = probes.join(crowded, "half", "left")
+    probed = looked_up(probes, "half", crowded, "full", "n")
     pairs = probed.where("crowded is null").join(table, "half").where(near & (F.col("a") != F.col("b"))).select("a", "b")
-    met = probed.where("crowded").select("a").union(table.join(crowded, "half", "left_semi").select("b")).distinct()
+    met = probed.where("crowded").select("a").union(looked_up(table, "half", crowded, "full", "n").where("crowded").select("b")).distinct()
     point = F.array(*[F.lit(0).cast("long")], *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
     points = met.select("a", F.explode(F.transform(point, lambda m: F.col("a").bitwiseXOR(m))).alias("point"))
     # At most 65 fingerprints lie within a bit of a point: the set is bounded.
@@ -86,15 +86,15 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def groups(prints: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """One row per distinct fingerprint: simhash, root (a fingerprint that names the group), component_id (its smallest id).
+    """One row per distinct fingerprint: simhash, root (a fingerprint that names the group), component_id (its smallest id), n (rows).
 
     prints: columns doc_id and simhash. Ids that are null don't count for component_id; a group of only such has null.
     """
-    fps = cut(pick(prints, "simhash", doc_id).where("simhash is not null").groupBy("simhash").agg(F.min(doc_id).alias("least_id")))
+    fps = cut(pick(prints, "simhash", doc_id).where("simhash is not null").groupBy("simhash").agg(F.min(doc_id).alias("least_id"), F.count("*").alias("n")))
     roots = connected(links(fps))
-    fps = fps.join(roots, fps.simhash == roots.node, "left").select("simhash", F.coalesce("root", "simhash").alias("root"), "least_id")
-    named = fps.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return fps.select("simhash", "root").join(named, "root").select("simhash", "root", "component_id")
+    fps = cut(fps.join(roots, fps.simhash == roots.node, "left").select("simhash", F.coalesce("root", "simhash").alias("root"), "least_id", "n"))
+    named = cut(fps.groupBy(F.col("root").alias("name")).agg(F.min("least_id").alias("component_id"), F.count("*").alias("size")))
+    return looked_up(fps, "root", named, "name", "size").select("simhash", "root", "component_id", "n")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -104,8 +104,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, text: str = "text", doc_i
     An empty table gives an empty result; further columns are ignored.
     """
     prints = cut(fingerprints(pick(docs, doc_id, text), shingle, text).select(doc_id, "simhash"))
-    known = groups(prints, doc_id)
-    return prints.join(known, "simhash").select(doc_id, F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+    known = cut(groups(prints, doc_id).select(F.col("simhash").alias("fp"), "component_id", "n"))
+    return looked_up(prints, "simhash", known, "fp", "n").select(doc_id, F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicate(docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -115,9 +115,9 @@ def deduplicate(docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: s
     """
     names = list(docs.columns)
     own = [f"c{i}" for i in range(len(names))]
-    prints = cut(fingerprints(docs.toDF(*own), shingle, own[names.index(text)]).select(F.col(own[names.index(doc_id)]).alias("id"), "simhash"))
-    known = groups(prints, "id").select(F.col("simhash").alias("fp"), "root", "component_id")
-    marked = fingerprints(docs.toDF(*own), shingle, own[names.index(text)]).join(known, F.col("simhash") == F.col("fp"))
-    firsts = marked.where(F.col(own[names.index(doc_id)]).eqNullSafe(F.col("component_id")))
-    one = firsts.groupBy("root").agg(F.min(F.struct(*own)).alias("row"))
-    return one.select(*[F.col("row")[c].alias(n) for c, n in zip(own, names, strict=True)])
+    rows = docs.toDF(*own)
+    ident, body = own[names.index(doc_id)], own[names.index(text)]
+    mark = F.xxhash64(body)
+    prints = cut(fingerprints(rows.select(F.col(ident).alias("id"), mark.alias("mark"), body), shingle, body).drop(body))
+    known = cut(groups(prints, "id").select(F.col("simhash").alias("fp"), "root", "n"))
+    return keep_first(rows, ident, mark, looked_up(prints, "simhash", known, "fp", "n").select("id", "mark", "root")).toDF(*names)

@@ -5,8 +5,8 @@ consecutive windows that share one occurrence of it (a super-k-mer) travel as on
 hash, where sorting counts windows. Equal windows have the same minimiser and so meet in one bucket.
 
 1. Count super-k-mers by minimiser. A window can only repeat if its minimiser does; a bit map of a bounded size says of each
-   minimiser whether it may repeat. Very frequent minimisers (a bounded list) would crowd a bucket: their windows
-   travel one by one, to the bucket of the window's own hash.
+   minimiser whether it may repeat. Very frequent minimisers, marked in a second map, would crowd a bucket: their windows
+   travel one by one, to the bucket of the window's own hash. A minimiser that shares a crowded one's bit goes the same way.
 2. Ship the strings whose minimiser may repeat, equal ones of a batch once with their number; count windows bucket by
    bucket; keep for each string, under a 128-bit key, the words that repeated windows cover.
 3. Find the same strings in the documents again, now with place but without text, and join the covers to them.
@@ -16,6 +16,7 @@ hash, where sorting counts windows. Equal windows have the same minimiser and so
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,17 +27,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, pick, tidied
+from .common import cut, looked_up, pick, tidied
 
 WINDOW = 35
 #: Words of a minimiser.
 MINIMISER = 8
 #: Bits of the map of repeated minimisers: sixteen for each, within these limits (at most 64 MB); a fuller map only ships more.
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29
-#: Super-k-mers from which a minimiser is crowded, and how many crowded ones are known at most (the most frequent).
-CROWDED, MOST_CROWDED = 3000, 4096
+#: Super-k-mers from which a minimiser is crowded.
+CROWDED = 3000
 #: Bytes of strings that a bucket task sorts at once; it cuts between buckets only.
 CHUNK_BYTES = 1 << 20
+#: Spans of a text that many rows have, up to which they are broadcast.
+MOST_SENT = 10_000
 #: Bytes of text whose windows are found at once.
 TOGETHER = 1 << 19
 
@@ -159,15 +162,20 @@ def _minimisers(window: int, m: int):  # noqa: ANN202
     return each
 
 
-def strings(chunk: Chunk, window: int, m: int, bits: np.ndarray, crowded: frozenset[int]) -> Iterator[tuple[int, int, bytes]]:
+def marked(bits: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """If the map has each value's bit."""
+    slot = value & np.uint64(len(bits) * 8 - 1)
+    return ((bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+
+
+def strings(chunk: Chunk, window: int, m: int, bits: np.ndarray, crowded: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
     """First word, bucket and string of what may repeat."""
     first, n, value = chunk.super_kmers(window, m)
-    slot = value & np.uint64(len(bits) * 8 - 1)
-    maybe = np.flatnonzero((bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1)
-    first, n = first[maybe], n[maybe]
+    maybe = np.flatnonzero(marked(bits, value))
+    first, n, value = first[maybe], n[maybe], value[maybe]
     edges = chunk.begin[first].tolist(), chunk.end[first + n + window - 2].tolist()
-    for at, k, v, a, b in zip(first.tolist(), n.tolist(), value[maybe].view(np.int64).tolist(), *edges, strict=True):
-        if v in crowded:
+    for at, k, v, alone, a, b in zip(first.tolist(), n.tolist(), value.view(np.int64).tolist(), marked(crowded, value).tolist(), *edges, strict=True):
+        if alone:
             for i in range(at, at + k):
                 s = chunk.cut(i, i + window - 1)
                 yield i, xxhash.xxh64_intdigest(s) - (1 << 63), s
@@ -202,7 +210,12 @@ def key(packed: bytes) -> bytes:
 
 
 def covers(number: dict[bytes, int], window: int) -> Iterator[tuple[bytes, list[int]]]:
-    """number: how often each string occurs. For each string with a window that occurs twice or more: its key, and first and end word of each covered stretch."""
+    """covered() by key."""
+    return ((key(name), cover) for name, cover in covered(number, window))
+
+
+def covered(number: dict[bytes, int], window: int) -> Iterator[tuple[bytes, list[int]]]:
+    """number: how often each string occurs. Each string with a window that occurs twice or more, and first and end word of each covered stretch."""
     names = list(number)
     chunk = Chunk.of(names)
     place = chunk.windows(window)
@@ -231,14 +244,14 @@ def covers(number: dict[bytes, int], window: int) -> Iterator[tuple[bytes, list[
     for i in np.split(np.arange(len(hit)), np.flatnonzero(np.diff(owner)) + 1) if len(hit) else []:
         a = hit[i] - chunk.first[owner[i[0]]]
         edge = np.flatnonzero(np.diff(a) > window)
-        yield key(names[owner[i[0]]]), np.c_[a[np.r_[0, edge + 1]], a[np.r_[edge, len(a) - 1]] + window].ravel().tolist()
+        yield names[owner[i[0]]], np.c_[a[np.r_[0, edge + 1]], a[np.r_[edge, len(a) - 1]] + window].ravel().tolist()
 
 
 def _counted(window: int):  # noqa: ANN202
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(number: dict[bytes, int]) -> pa.RecordBatch:
-            found = dict(covers(number, window))
-            return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.list_(pa.int32()))], ["key", "cover"])
+            found = dict(covered(number, window))
+            return pa.RecordBatch.from_arrays([pa.array(map(key, found), pa.binary()), pa.array([number[s] for s in found], pa.int64()), pa.array(found.values(), pa.list_(pa.int32()))], ["packed_key", "n", "cover"])
 
         number: dict[bytes, int] = {}
         held, now = 0, None
@@ -258,22 +271,23 @@ def _counted(window: int):  # noqa: ANN202
 
 
 def _places(window: int, m: int, bits, crowded):  # noqa: ANN001, ANN202
-    def made(text: list, start: list, keys: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(text, pa.binary()), pa.array(start, pa.int32()), pa.array(keys, pa.binary())], ["text_key", "start", "key"])
+    def made(text: list, times: list, start: list, keys: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(text, pa.binary()), pa.array(times, pa.int64()), pa.array(start, pa.int32()), pa.array(keys, pa.binary())], ["text_key", "times", "start", "key"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, start, keys = [], [], []
-            for held, chunk in chunks(list(dict.fromkeys(batch.column(0).to_pylist()))):
-                names = [hashlib.sha256(t).digest()[:16] for t in held]
+            text, times, start, keys = [], [], [], []
+            number = Counter(batch.column(0).to_pylist())
+            for held, chunk in chunks(list(number)):
+                names, rows = [hashlib.sha256(t).digest()[:16] for t in held], [number[t] for t in held]
                 owner, first = chunk.owner, chunk.first
                 for at, _, s in strings(chunk, window, m, bits.value, crowded.value):
                     o = owner[at]
-                    text.append(names[o]), start.append(at - first[o]), keys.append(key(s))
+                    text.append(names[o]), times.append(rows[o]), start.append(at - first[o]), keys.append(key(s))
                 if len(start) > 200_000:
-                    yield made(text, start, keys)
-                    text, start, keys = [], [], []
-            yield made(text, start, keys)
+                    yield made(text, times, start, keys)
+                    text, times, start, keys = [], [], [], []
+            yield made(text, times, start, keys)
 
     return each
 
@@ -292,8 +306,17 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names[:-2], "kept", "n_words", "n_removed"])
 
 
+def bit_map(minimisers: DataFrame, size: int) -> np.ndarray:
+    """A map of so many bits (a power of two) with one set for each minimiser. Its words are made on Spark: size / 64 rows at most are collected."""
+    slot = F.col("minimiser").bitwiseAND(F.lit(size - 1))
+    rows = minimisers.select(slot.alias("slot")).selectExpr("slot div 64 at", "shiftleft(1L, int(slot % 64)) bit").groupBy("at").agg(F.expr("bit_or(bit)").alias("bits")).toArrow()
+    bits = np.zeros(size // 64, np.int64)
+    bits[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
+    return bits.view(np.uint8)
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, text: str = "text") -> DataFrame:
-    """For each different text with a repeated window: text_key (first half of its SHA-256) and spans, an array of (a, b), words a to b - 1."""
+    """For each different text with a repeated window: text_key (first half of its SHA-256), spans, an array of (a, b), words a to b - 1, and n, its rows."""
     spark = docs.sparkSession
     raw = pick(docs, text).select(F.col(text).cast("binary").alias("raw")).where("octet_length(raw) >= 0")
     counts = cut(raw.mapInArrow(tidied(_minimisers(window, minimiser)), "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n")).where("n > 1"))
@@ -301,20 +324,18 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIM
     most = 16 * counts.count()
     while size < min(most, MOST_BITS):
         size *= 2
-    slot = F.col("minimiser").bitwiseAND(F.lit(size - 1))
-    # As many rows as the map has 64-bit words, at most MOST_BITS / 64.
-    rows = counts.select(slot.alias("slot")).selectExpr("slot div 64 at", "shiftleft(1L, int(slot % 64)) bit").groupBy("at").agg(F.expr("bit_or(bit)").alias("bits")).toArrow()
-    bits = np.zeros(size // 64, np.int64)
-    bits[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
-    crowded = counts.where(F.col("n") > CROWDED).orderBy(F.desc("n"), "minimiser").limit(MOST_CROWDED).collect()
-    bits, crowded = spark.sparkContext.broadcast(bits.view(np.uint8)), spark.sparkContext.broadcast(frozenset(r.minimiser for r in crowded))
+    sent = spark.sparkContext.broadcast
+    crowd = counts.where(F.col("n") > CROWDED)
+    bits, crowded = sent(bit_map(counts, size)), sent(bit_map(crowd, min(size, max(LEAST_BITS, 1 << (16 * crowd.count()).bit_length()))))
 
     packed = raw.mapInArrow(tidied(_packed(window, minimiser, bits, crowded)), "bucket long, packed binary, n long")
-    cover = cut(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_counted(window)), "key binary, cover array<int>"))
-    places = raw.mapInArrow(tidied(_places(window, minimiser, bits, crowded)), "text_key binary, start int, key binary")
-    # Crowded windows give the same key at many places of a text, and a string that two buckets had gives one row.
-    spans = places.join(cover, "key").select("text_key", F.explode(F.expr("transform(sequence(0, size(cover) - 2, 2), i -> struct(start + cover[i] as a, start + cover[i + 1] as b))")).alias("span"))
-    return spans.groupBy("text_key").agg(F.collect_set("span").alias("spans"))
+    cover = cut(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(_counted(window)), "packed_key binary, n long, cover array<int>"))
+    places = raw.mapInArrow(tidied(_places(window, minimiser, bits, crowded)), "text_key binary, times long, start int, key binary")
+    # A string has one bucket, so one cover.
+    found = looked_up(places, "key", cover, "packed_key", "n").where("cover is not null")
+    texts = found.groupBy("text_key").agg(F.collect_set(F.struct("start", "cover")).alias("found"), F.sum("times").alias("times"))
+    spans = F.expr("flatten(transform(found, f -> transform(sequence(0, size(f.cover) - 2, 2), i -> struct(f.start + f.cover[i] as a, f.start + f.cover[i + 1] as b))))")
+    return texts.select("text_key", spans.alias("spans"), F.expr("times div size(found)").alias("n"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, text: str = "text") -> DataFrame:
@@ -326,11 +347,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIM
     """
     names = [c for c in docs.columns if c not in ("kept", "n_words", "n_removed")]
     own = [f"c{i}" for i in range(len(names))]
-    spans = cut(repeated_spans(docs, window, minimiser, text))
+    # A text of very many spans isn't broadcast, however many rows have it.
+    spans = cut(repeated_spans(docs, window, minimiser, text).select(F.col("text_key").alias("of"), "spans", F.when(F.size("spans") <= MOST_SENT, F.col("n")).otherwise(0).alias("n")))
     flat = pick(docs, *names).toDF(*own)
     body = own[names.index(text)]
     flat = flat.withColumn("text_key", F.unhex(F.left(F.sha2(body, 256), F.lit(32))))
-    joined = flat.join(spans, "text_key", "left").select(*own, F.col(body).cast("binary").alias("raw"), "spans")
+    joined = looked_up(flat, "text_key", spans, "of", "n").select(*own, F.col(body).cast("binary").alias("raw"), "spans")
     schema = T.StructType([*flat.schema.fields[: len(own)], T.StructField("kept", T.BinaryType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
     done = joined.mapInArrow(tidied(_kept), schema)
     return done.withColumn("kept", F.decode("kept", "UTF-8")).toDF(*names, "kept", "n_words", "n_removed")

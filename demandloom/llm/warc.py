@@ -19,7 +19,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, shared_folder
+from .common import cut, looked_up, new_folder, pick
 
 #: Payloads under this many bytes are never revisits.
 LEAST = 1000
@@ -63,9 +63,10 @@ def decided(pages: DataFrame, least: int = LEAST, page_id: str = "page_id", url:
     Null html is empty. A null id is less than any other; rows that share the largest id are responses, each.
     """
     rows = pick(pages, page_id, url, html).select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8").alias("payload"))
-    rows = rows.withColumn("digest", F.sha2("payload", 256))
-    shared = rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1").select("digest", "last")
-    return rows.join(shared, "digest", "left").select("page_id", "url", "payload", F.when(F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
+    # Only payloads that may be revisits have a digest here; the others, however many are empty, meet nobody in the join.
+    rows = rows.withColumn("digest", F.when(F.octet_length("payload") >= least, F.sha2("payload", 256)))
+    shared = cut(rows.where("digest is not null").groupBy(F.col("digest").alias("shared")).agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1"))
+    return looked_up(rows, "digest", shared, "shared", "n").select("page_id", "url", "payload", F.when(F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
 
 
 def write(pages: DataFrame, folder: str | None = None, per_file: int = PER_FILE, least: int = LEAST, page_id: str = "page_id", url: str = "url", html: str = "html") -> str:
@@ -75,7 +76,7 @@ def write(pages: DataFrame, folder: str | None = None, per_file: int = PER_FILE,
     An empty table writes no archive.
     """
     spark = pages.sparkSession
-    folder = folder or f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    folder = folder or new_folder(spark, "warc")
     system, path = place(folder)
     system.create_dir(path, recursive=True)
 
