@@ -70,6 +70,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feistel_sql(rows: str) -> str:
+    """SQL of the permutation of sharding.py: rows (id, x, a, b, n) with x put through all rounds."""
+    sql = f"SELECT id, a, b, n, x // b AS u, x % b AS l FROM ({rows})"
+    for turn, key in enumerate(sharding.KEYS):
+        half, digit = ("u", "l") if turn % 2 else ("l", "u")
+        t = f"(({half} % {sharding.PRIME} + {key}) % {sharding.PRIME})"
+        f = f"((({t} * {t} + {key}) % {sharding.PRIME} * {sharding.FACTOR} + {key}) % {sharding.PRIME})"
+        sql = f"SELECT * REPLACE (({digit} + {f}) % {'b' if turn % 2 else 'a'} AS {digit}) FROM ({sql})"
+    return f"SELECT id, u * b + l AS x, a, b, n FROM ({sql})"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_packing, op3_mixing, op4_substrings, op5_toxicity, op6_sharding, op7_token_counts, op8_quality, op9_top_k, op10_warc)
 }
@@ -104,6 +115,20 @@ ORACLES: dict[str, str] = {
         o AS (SELECT doc_id, len(w) AS n_words, coalesce(len(p), 0) AS n_removed,
             CASE WHEN p IS NULL THEN w ELSE list_filter(w, lambda x, n: NOT list_contains(p, n)) END AS kept FROM d LEFT JOIN g USING (r))
         SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM o""",
+    # CRC-32 by half bytes, the lower one first; its table is made by the rule of the polynomial.
+    "op6_sharding": f"""
+        WITH RECURSIVE t AS (SELECT list_transform(range(0, 16), lambda i: list_reduce([i, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        d AS (SELECT row_number() OVER () AS id, doc_id, encode(coalesce(text, '')) AS body FROM documents),
+        h AS (SELECT id, doc_id, octet_length(body) + 16 AS size, string_split(hex(body), '') AS h FROM d),
+        c AS (SELECT id, doc_id, size, CASE WHEN size = 16 THEN 0 ELSE xor(4294967295, list_reduce(
+            list_prepend(4294967295, list_transform(range(0, len(h)), lambda i: (strpos('0123456789ABCDEF', h[xor(i, 1) + 1]) - 1)::BIGINT)),
+            lambda c, x: xor(c >> 4, t[(xor(c, x) & 15) + 1]))) END AS crc FROM h, t),
+        m AS (SELECT count(*) AS n, floor(sqrt(greatest(count(*) - 1, 0)))::BIGINT + 1 AS a FROM c),
+        s AS (SELECT n, a, greatest(1, (n + a - 1) // a) AS b FROM m),
+        r AS (SELECT id, row_number() OVER (ORDER BY coalesce(doc_id % {sharding.PRIME} * {sharding.FACTOR} % {sharding.PRIME} % {sharding.BLOCKS}, 0), doc_id NULLS FIRST, crc, size) - 1 AS x FROM c),
+        p AS ({feistel_sql("SELECT id, x, a, b, n FROM r, s")} UNION ALL {feistel_sql("SELECT id, x, a, b, n FROM p WHERE x >= n")})
+        SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, (p.x % 40)::INT AS shard, (p.x // 40)::BIGINT AS slot,
+            NULL::INT AS grown_shard, r.x::BIGINT AS row_number FROM p JOIN c USING (id) JOIN r USING (id) WHERE p.x < n""",
     "op9_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
