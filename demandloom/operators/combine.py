@@ -30,19 +30,21 @@ def score_grid(df: DataFrame, by: list[str], grid: Sequence[tuple[float, ...]],
 
     Loss: WAPE plus penalty times the square of what the bias falls short of the last part's own bias (if negative) less the tolerance.
     """
-    points = F.explode(F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in grid]))
-    return score_points(df.withColumn("weights", points), by, tolerance, parts, penalty)
+    points = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in grid])
+    # Grouped by the number of the point: hashing an array for each row and point would cost more than the sums.
+    rows = df.select(*by, "actual", *parts, F.posexplode(points).alias("_i", "weights"))
+    return score_points(rows, by, tolerance, parts, penalty, "_i").withColumn("weights", F.get(points, F.col("_i"))).select(*by, "weights", "loss")
 
 
-def score_points(df: DataFrame, by: list[str], tolerance: float, parts: Sequence[str] = PARTS, penalty: float = 200.0) -> DataFrame:
-    """As score_grid for rows that have an array `weights` already."""
+def score_points(df: DataFrame, by: list[str], tolerance: float, parts: Sequence[str] = PARTS, penalty: float = 200.0, point: str = "weights") -> DataFrame:
+    """As score_grid for rows that have an array `weights` already, by the column that names it."""
     blend = blended([F.col("weights")[i] for i in range(len(parts))], parts)
     a = F.sum("actual")
-    s = df.groupBy(*by, "weights").agg(a.alias("_a"), F.sum(F.abs(blend - F.col("actual"))).alias("_e"), F.sum(blend - F.col("actual")).alias("_d"), F.sum(F.col(parts[-1]) - F.col("actual")).alias("_b"))
+    s = df.groupBy(*by, point).agg(a.alias("_a"), F.sum(F.abs(blend - F.col("actual"))).alias("_e"), F.sum(blend - F.col("actual")).alias("_d"), F.sum(F.col(parts[-1]) - F.col("actual")).alias("_b"))
     total = F.greatest(F.col("_a"), F.lit(1e-9))
     floor = F.least(F.col("_b") / total, F.lit(0.0)) - tolerance
     short = F.least(F.col("_d") / total - floor, F.lit(0.0))
-    return s.select(*by, "weights", F.round(F.col("_e") / total + penalty * short * short, 9).alias("loss"))
+    return s.select(*by, point, F.round(F.col("_e") / total + penalty * short * short, 9).alias("loss"))
 
 
 def least_loss(scores: DataFrame, by: list[str]) -> DataFrame:
@@ -55,7 +57,7 @@ def cube(top: float, step: float, n: int) -> list[tuple[float, ...]]:
     return list(product(axis, repeat=n))
 
 
-def fit_asymmetric(df: DataFrame, by: list[str], tolerance: float = 0.05, top: float = 3.0, coarse: float = 0.5, fine: float = 1 / 1024, most: float = 3.0, reach: int = 2) -> DataFrame:
+def fit_asymmetric(df: DataFrame, by: list[str], tolerance: float = 0.02, top: float = 3.0, coarse: float = 0.5, fine: float = 1 / 1024, most: float = 3.0, reach: int = 2) -> DataFrame:
     """by, weights, loss: best point of a coarse grid up to `top`, then of grids around the best so far, each of half the step and so many steps (reach) each way, while the step is `fine` or more; weights in [0, most].
 
     One aggregation a round. df is at the grain that is scored.
@@ -71,7 +73,7 @@ def fit_asymmetric(df: DataFrame, by: list[str], tolerance: float = 0.05, top: f
     return best
 
 
-def guardrail(df: DataFrame, fit: DataFrame, by: list[str], tolerance: float = 0.05, margin: float = 0.0) -> DataFrame:
+def guardrail(df: DataFrame, fit: DataFrame, by: list[str], tolerance: float = 0.02, margin: float = 0.0) -> DataFrame:
     """by, weights: the fit where its accuracy is at least the benchmark's less 0.001 plus a margin and its bias within the tolerance, else the benchmark alone."""
     joined = df.join(fit.select(*by, "weights"), by)
     blend = blended([F.col("weights")[i] for i in range(3)])
@@ -95,20 +97,37 @@ def calibrated(df: DataFrame, fit: DataFrame, by: list[str], lo: float = 0.5, hi
     return f.select(*by, F.transform("weights", lambda w: w * F.col("_f")).alias("weights"))
 
 
-def fit_hierarchical(df: DataFrame, levels: list[list[str]], grid: Sequence[tuple[float, ...]], alpha: float, tolerance: float = 0.05) -> DataFrame:
-    """Weights of the last level, each level drawn to its parent's by alpha times the absolute distance; levels from coarse to fine, each with the columns of the one before."""
+def fit_hierarchical(df: DataFrame, levels: list[list[str]], grid: Sequence[tuple[float, ...]], alpha: float, tolerance: float = 0.02, squared: bool = False) -> DataFrame:
+    """Weights of the last level, each level drawn to its parent's by alpha times the absolute distance (or, if squared, the sum of squares); levels from coarse to fine, each with the columns of the one before."""
     parent, above = None, []
     for by in levels:
         scores = score_grid(df, by, grid, tolerance) if by else score_grid(df.withColumn("_all", F.lit(1)), ["_all"], grid, tolerance).drop("_all")
         if parent is not None:
             near = parent.select(*above, F.col("weights").alias("_p"))
             scores = scores.join(near, above) if above else scores.join(F.broadcast(near), F.lit(True))  # one row
-            distance = F.aggregate(F.zip_with("weights", "_p", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, x: a + x)
+            distance = F.aggregate(F.zip_with("weights", "_p", lambda a, b: (a - b) * (a - b) if squared else F.abs(a - b)), F.lit(0.0), lambda a, x: a + x)
             scores = scores.withColumn("loss", F.round(F.col("loss") + alpha * distance, 9)).drop("_p")
         parent, above = least_loss(scores, by), by
     return parent
 
 
+def choose_alpha(df: DataFrame, levels: list[list[str]], grid: Sequence[tuple[float, ...]], alphas: Sequence[float], snapshot: str, tolerance: float = 0.02, squared: bool = False) -> DataFrame:
+    """alpha, wape: for each alpha the WAPE over all snapshots, each blended by weights fitted on the others. Few snapshots and alphas.
+
+    Every snapshot's rows serve all the folds but its own: the folds are one more grouping column, so that each alpha is one fit.
+    """
+    names = df.select(snapshot).distinct().withColumnRenamed(snapshot, "_out")
+    training = df.join(F.broadcast(names), F.col(snapshot) != F.col("_out"))
+    out = None
+    for alpha in alphas:
+        fit = fit_hierarchical(training, [["_out", *by] for by in levels], grid, alpha, tolerance, squared).withColumnRenamed("_out", snapshot)
+        held = df.join(fit, [snapshot, *levels[-1]])
+        blend = blended([F.col("weights")[i] for i in range(len(PARTS))])
+        one = held.agg(F.lit(float(alpha)).alias("alpha"), F.round(F.try_divide(F.sum(F.abs(blend - F.col("actual"))), F.sum("actual")), 9).alias("wape"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def two_forecasts(df: DataFrame, by: list[str], least: int = 3, first: str = "f1", second: str = "f2") -> DataFrame:
     """by, w1, status: the weight of the first forecast in [0, 1] of least absolute error.
 
@@ -126,6 +145,43 @@ def two_forecasts(df: DataFrame, by: list[str], least: int = 3, first: str = "f1
     return out.select(*by, F.when(few, 0.5).otherwise(F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_m"))), F.lit(0.5))).alias("w1"), F.when(few, f"fallback:n_obs<{least}").when(F.col("_m").isNull(), "fallback:equal").otherwise("ok").alias("status"))
 
 
+def two_forecasts_with_bias(df: DataFrame, by: list[str], mode: str = "soft", penalty: float = 1.0, tolerance: float = 0.0, first_periods: int | None = None, both_sold: bool = False, least: int = 3, first: str = "f1", second: str = "f2", time: str = "week_idx") -> DataFrame:
+    """by, w1, status: as two_forecasts(), with the bias taken into account.
+
+    mode: none; soft (WAPE plus penalty times the absolute bias); hard (least WAPE among weights whose absolute bias is within the tolerance, or the least
+    absolute bias if none is); dominant (least absolute bias, then WAPE). first_periods: only so many first periods of a group count; both_sold:
+    only rows where both forecasts are over zero.
+
+    Within a group WAPE and bias are piecewise linear in w1, so the best is a bound, a point where a row's error is nought or a point where the bias is nought or at
+    the tolerance. WAPE at every such point comes from running sums over the points in order, not from rows times points.
+    """
+    rows = df.where((F.col(first) > 0) & (F.col(second) > 0)) if both_sold else df
+    if first_periods is not None:
+        rows = rows.withColumn("_p", F.dense_rank().over(W.partitionBy(*by).orderBy(time))).where(F.col("_p") <= first_periods)
+    d, e = F.col(first) - F.col(second), F.col(second) - F.col("actual")
+    # Error of a row: |e + w d|. Its zero is the break; rows of equal forecasts have none and count as broken before everything.
+    rows = rows.select(*by, "actual", d.alias("_d"), e.alias("_e"), F.when(d != 0, -e / F.when(d != 0, d)).alias("_k"))
+    sums = rows.groupBy(*by).agg(F.count("*").alias("_n"), F.sum("actual").alias("_a"), F.sum("_e").alias("_se"), F.sum("_d").alias("_sd"), F.sum(F.when(F.col("_k").isNull(), F.abs("_e")).otherwise(0.0)).alias("_const"), F.sum(F.when(F.col("_k").isNotNull(), F.col("_e") * F.signum("_d")).otherwise(0.0)).alias("_ae"), F.sum(F.abs("_d")).alias("_ad"))
+    level = tolerance * F.col("_a")
+    zeros = [F.try_divide(x - F.col("_se"), F.col("_sd")) for x in (F.lit(0.0), level, -level)]
+    own = sums.select(*by, F.explode(F.array(F.lit(0.0), F.lit(1.0), *zeros)).alias("_w")).where("_w between 0 and 1").distinct()
+    marks = own.select(*by, "_w", F.lit(0.0).alias("_x"), F.lit(0.0).alias("_y"), F.lit(1).alias("_c"))
+    breaks = rows.where("_k is not null").select(*by, F.col("_k").alias("_w"), F.abs("_d").alias("_x"), (F.col("_e") * F.signum("_d")).alias("_y"), F.when(F.col("_k").between(0, 1), 1).otherwise(0).alias("_c"))
+    points = breaks.unionByName(marks).groupBy(*by, "_w").agg(F.sum("_x").alias("_x"), F.sum("_y").alias("_y"), F.max("_c").alias("_c"))
+    w = W.partitionBy(*by).orderBy("_w")
+    run = points.withColumn("_ux", F.sum("_x").over(w)).withColumn("_uy", F.sum("_y").over(w)).where("_c = 1").join(sums, by)
+    # Rows whose break lies at or below w have |e + w d| = sign(d) (e + w d), the others its opposite.
+    total = F.col("_const") + 2 * (F.col("_uy") + F.col("_w") * F.col("_ux")) - (F.col("_ae") + F.col("_w") * F.col("_ad"))
+    a = F.greatest(F.col("_a"), F.lit(1e-9))
+    scored = run.withColumn("_wape", F.round(total / a, 9)).withColumn("_bias", F.round(F.abs(F.col("_se") + F.col("_w") * F.col("_sd")) / a, 9))
+    inside = F.col("_bias") <= tolerance + 1e-9
+    order = {"none": F.struct("_wape", "_bias", "_w"), "soft": F.struct(F.round(F.col("_wape") + penalty * F.col("_bias"), 9), F.col("_w")), "hard": F.struct(F.when(inside, 0).otherwise(1), F.when(inside, F.col("_wape")).otherwise(F.col("_bias")), F.col("_wape"), F.col("_w")), "dominant": F.struct("_bias", "_wape", "_w")}[mode]
+    best = scored.groupBy(*by).agg(F.min_by("_w", order).alias("_m"))
+    few = F.coalesce("_n", F.lit(0)) < least
+    out = df.select(*by).distinct().join(sums.select(*by, "_n", "_ad"), by, "left").join(best, by, "left")
+    return out.select(*by, F.when(few | (F.col("_ad") == 0), 0.5).otherwise(F.col("_m")).alias("w1"), F.when(few, f"fallback:n_obs<{least}").when(F.col("_ad") == 0, "fallback:equal").otherwise("ok").alias("status"))
+
+
 def simplex(n: int, step: float) -> list[tuple[float, ...]]:
     k = round(1 / step)
     return [tuple(i / k for i in p) for p in product(range(k + 1), repeat=n) if sum(p) == k]
@@ -183,6 +239,14 @@ def contest(held: DataFrame, fc: DataFrame, margin: float = 0.05, blend: float =
     return fc.join(won, "key", "left").withColumn("predicted", F.when(F.col("_own"), blend * F.col("own") + (1 - blend) * F.col("pooled")).otherwise(F.col("pooled"))).drop("_own")
 
 
+def category_contest(held: DataFrame, fc: DataFrame, high_volume: DataFrame, least: float = 0.42, blend: float = 0.7, group: str = "category") -> DataFrame:
+    """fc (own, pooled) with predicted: pooled for categories whose pooled accuracy on held-out rows of high-volume keys is over the limit, the blend for all keys of the others."""
+    seen = held.join(high_volume.select("key").distinct(), "key", "left_semi").groupBy(group)
+    good = seen.agg((1 - F.try_divide(F.sum(F.abs(F.col("pooled") - F.col("actual"))), F.sum("actual")) > least).alias("_good"))
+    rescue = blend * F.col("own") + (1 - blend) * F.col("pooled")
+    return fc.join(good, group, "left").withColumn("predicted", F.when(F.coalesce("_good", F.lit(False)), F.col("pooled")).otherwise(rescue)).drop("_good")
+
+
 def recipe_select(df: DataFrame, by: str, models: Sequence[str], benchmark: str = "benchmark") -> DataFrame:
     """by, recipe: of the models and their halves by pairs the one that beats the benchmark on accuracy and bias, else on accuracy, else of the best score."""
     names = {m: F.col(m) for m in models} | {f"{a}+{b}": (F.col(a) + F.col(b)) / 2 for i, a in enumerate(models) for b in models[i + 1 :]}

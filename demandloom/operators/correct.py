@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from demandloom.operators import ranks
+
 
 def clip(c: Column, lo: float, hi: float) -> Column:
     return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(lo)), F.lit(hi)))
@@ -84,8 +86,8 @@ def bias_by_lag(fc: DataFrame, train: DataFrame, group: str = "category", lag: s
 
 def quantile_bucket(df: DataFrame, column: str, n: int, out: str = "bucket") -> DataFrame:
     """Bucket 0 .. n - 1 of a column by its exact quantiles."""
-    edges = df.agg(F.percentile(column, [i / n for i in range(1, n)]).alias("_e"))  # one row
-    return df.join(F.broadcast(edges), F.lit(True)).withColumn(out, F.size(F.filter("_e", lambda e: e < F.col(column)))).drop("_e")
+    edges = F.array(*[F.lit(q).cast("double") for q in ranks.quantiles(df, column, [i / n for i in range(1, n)])])
+    return df.withColumn(out, F.size(F.filter(edges, lambda e: e < F.col(column))))
 
 
 def bias_by_bucket(fc: DataFrame, train: DataFrame, least: int, group: str = "category", lo: float = 0.2, hi: float = 2.0) -> DataFrame:
@@ -131,20 +133,37 @@ def round_to_multiple(value: Column, multiple: Column, threshold: Column) -> Col
     return F.floor(value / multiple) * multiple + F.when(rest > threshold * multiple, multiple).otherwise(0.0)
 
 
-def moq_round(fc: DataFrame, multiples: DataFrame, targets: DataFrame) -> DataFrame:
-    """Rounds forecasts of keys with a multiple, at the threshold (.90 to .15 in steps of .05) whose mean is nearest the key's target mean; the higher of two."""
+def moq_round(fc: DataFrame, multiples: DataFrame, targets: DataFrame, after: int | None = None, segments: list[str] | None = None, first: int | None = None) -> DataFrame:
+    """Rounds forecasts of keys with a multiple, at the threshold (.90 to .15 in steps of .05) whose mean is nearest the key's target mean; the higher of two.
+
+    Only rows after the period `after` and of the listed values of `segment` are rounded and count for the threshold, of these the
+    first so many of a key (all if None).
+    """
+    may = F.lit(True) if after is None else F.col("week_idx") > after
+    may = may if segments is None else may & F.col("segment").isin(segments)
     steps = F.explode(F.expr("transform(sequence(3, 18), i -> i / 20D)"))
-    keyed = fc.join(multiples, "key")
+    keyed = fc.where(may).join(multiples, "key")
+    if first is not None:
+        keyed = keyed.withColumn("_k", F.row_number().over(W.partitionBy("key").orderBy("week_idx"))).where(F.col("_k") <= first)
     swept = keyed.withColumn("t", steps).groupBy("key", "t").agg(F.avg(round_to_multiple(F.col("predicted"), F.col("multiple"), F.col("t"))).alias("m"))
     best = swept.join(targets, "key").groupBy("key").agg(F.min_by("t", F.struct(F.round(F.abs(F.col("m") - F.col("target")), 6), -F.col("t"))).alias("threshold"))
     out = fc.join(multiples, "key", "left").join(best, "key", "left")
-    return out.withColumn("rounded", F.when(F.col("threshold").isNotNull(), round_to_multiple(F.col("predicted"), F.col("multiple"), F.col("threshold"))).otherwise(F.col("predicted")))
+    return out.withColumn("rounded", F.when(F.col("threshold").isNotNull() & may, round_to_multiple(F.col("predicted"), F.col("multiple"), F.col("threshold"))).otherwise(F.col("predicted")))
 
 
-def zero_clip(fc: DataFrame, adi: DataFrame, least: float = 2.0) -> DataFrame:
-    """Forecasts of intermittent keys below one over their interval become 0."""
-    out = fc.join(adi.select("key", "adi"), "key", "left")
-    return out.withColumn("corrected", F.when((F.col("adi") >= least) & (F.col("predicted") < 1 / F.col("adi")), 0.0).otherwise(F.col("predicted"))).drop("adi")
+def zero_clip(fc: DataFrame, adi: DataFrame, least: float = 2.0, least_zero: float = 0.3, after_zeros: float = 1.5) -> DataFrame:
+    """Forecasts of intermittent keys below one over their interval become 0.
+
+    Intermittent: an interval adi of `least` or more, or a zero_fraction (if adi has that column) of least_zero or more. The edge is so many
+    times as high for keys whose column recent_zero, if adi has it, is true.
+    """
+    more = [c for c in ("zero_fraction", "recent_zero") if c in adi.columns]
+    out = fc.join(adi.select("key", "adi", *[F.col(c).alias(f"_{c}") for c in more]), "key", "left")
+    hit = F.col("adi") >= least
+    if "zero_fraction" in more:
+        hit = hit | (F.col("_zero_fraction") >= least_zero)
+    edge = F.when(F.col("_recent_zero"), after_zeros).otherwise(1.0) / F.col("adi") if "recent_zero" in more else 1 / F.col("adi")
+    return out.withColumn("corrected", F.when(hit & (F.col("predicted") < edge), 0.0).otherwise(F.col("predicted"))).drop("adi", *[f"_{c}" for c in more])
 
 
 def lifecycle(fc: DataFrame, dead: DataFrame, new: DataFrame, new_factor: float = 0.8, ramp: int = 13) -> DataFrame:
@@ -154,23 +173,24 @@ def lifecycle(fc: DataFrame, dead: DataFrame, new: DataFrame, new_factor: float
     return out.withColumn("corrected", F.when(F.col("_d"), 0.0).when(F.col("_n"), F.col("predicted") * new_factor * up).otherwise(F.col("predicted"))).drop("_d", "_n")
 
 
-def snap_to_levels(fc: DataFrame, hist: DataFrame) -> DataFrame:
-    """The nearest of the key's observed values, the smaller of two; rows without a forecast or of keys without values stay as they are."""
+def snap_to_levels(fc: DataFrame, hist: DataFrame, how: str = "nearest") -> DataFrame:
+    """The nearest of the key's observed values, the smaller of two, or the one at or below (how: floor) or at or above (ceil), if any, else the nearest; rows without a forecast or of keys without values stay as they are."""
     levels = hist.select("key", F.col("y").cast("double").alias("_v")).where("key is not null and _v is not null").distinct()
     # Levels and forecasts in one order a key: the level below or at a forecast comes last before it, the one above first after it.
     both = fc.withColumn("_v", F.col("predicted").cast("double")).withColumn("_f", F.lit(1)).unionByName(levels.withColumn("_f", F.lit(0)), allowMissingColumns=True)
     level, w = F.when(F.col("_f") == 0, F.col("_v")), W.partitionBy("key").orderBy("_v", "_f")
     both = both.withColumn("_lo", F.last(level, True).over(w)).withColumn("_hi", F.first(level, True).over(w.rowsBetween(W.currentRow, W.unboundedFollowing))).where("_f = 1")
-    near = F.when(F.col("_hi") - F.col("_v") < F.col("_v") - F.col("_lo"), F.col("_hi")).otherwise(F.coalesce("_lo", "_hi"))
+    above = F.when(F.col("_lo") == F.col("_v"), F.col("_lo")).otherwise(F.coalesce("_hi", "_lo"))
+    near = F.coalesce("_lo", "_hi") if how == "floor" else above if how == "ceil" else F.when(F.col("_hi") - F.col("_v") < F.col("_v") - F.col("_lo"), F.col("_hi")).otherwise(F.coalesce("_lo", "_hi"))
     return both.withColumn("snapped", F.when(F.col("_v").isNotNull(), F.coalesce(near, F.col("predicted")))).drop("_v", "_f", "_lo", "_hi")
 
 
-def topdown(fc: DataFrame, totals: DataFrame, band: float = 0.05, lo: float = 0.5, hi: float = 2.0) -> DataFrame:
-    """Scales each period's positive forecasts to its total where they differ by more than the band, within bounds."""
-    s = fc.groupBy("week_idx").agg(F.sum(F.when(F.col("predicted") > 0, F.col("predicted"))).alias("_s")).join(totals, "week_idx", "left")
+def topdown(fc: DataFrame, totals: DataFrame, band: float = 0.05, lo: float = 0.5, hi: float = 2.0, by: tuple[str, ...] = ("week_idx",)) -> DataFrame:
+    """Scales the positive forecasts of each period, or each period and category (by), to its total where they differ by more than the band, within bounds."""
+    s = fc.groupBy(*by).agg(F.sum(F.when(F.col("predicted") > 0, F.col("predicted"))).alias("_s")).join(totals, list(by), "left")
     r = ratio(F.col("total"), F.col("_s"))
-    f = s.select("week_idx", F.when(F.abs(r - 1) > band, clip(r, lo, hi)).alias("_f"))
-    return fc.join(f, "week_idx", "left").withColumn("corrected", F.when(F.col("predicted") > 0, F.col("predicted") * F.coalesce("_f", F.lit(1.0))).otherwise(F.col("predicted"))).drop("_f")
+    f = s.select(*by, F.when(F.abs(r - 1) > band, clip(r, lo, hi)).alias("_f"))
+    return fc.join(f, list(by), "left").withColumn("corrected", F.when(F.col("predicted") > 0, F.col("predicted") * F.coalesce("_f", F.lit(1.0))).otherwise(F.col("predicted"))).drop("_f")
 
 
 def yoy_sanity(fc: DataFrame, hist: DataFrame, most: float = 0.15, season: int = 52) -> DataFrame:
@@ -217,8 +237,23 @@ def coherence(keys: DataFrame, groups: DataFrame, totals: DataFrame, value: str
     return out.join(totals.withColumnRenamed("predicted", "t"), "week_idx").select("week_idx", "group_gap", F.abs(F.col("s") - F.col("t")).alias("total_gap"))
 
 
-def conformal(fc: DataFrame, train: DataFrame, by: str, confidence: float = 0.9) -> DataFrame:
-    """lower (no less than 0) and upper: the forecast less and plus the group's absolute error of rank ceil((n + 1) confidence)."""
-    s = train.select(by, F.abs(F.col("actual") - F.col("predicted")).alias("_e")).withColumn("_r", F.row_number().over(W.partitionBy(by).orderBy("_e"))).withColumn("_n", F.count("*").over(W.partitionBy(by)))
-    q = s.where(F.col("_r") == F.least(F.col("_n"), F.ceil((F.col("_n") + 1) * confidence))).select(by, F.col("_e").alias("_q"))
-    return fc.join(q, by, "left").withColumn("lower", F.greatest(F.col("predicted") - F.col("_q"), F.lit(0.0))).withColumn("upper", F.col("predicted") + F.col("_q")).drop("_q")
+def conformal(fc: DataFrame, train: DataFrame, by: str, confidence: float = 0.9, method: str = "absolute") -> DataFrame:
+    """lower (no less than 0) and upper, from the group's scores in train at the rank ceil((n + 1) confidence).
+
+    absolute: the forecast less and plus the absolute error of that rank; normalised: errors over the forecast's size (1 at least), times
+    this forecast's; signed: errors of the ranks that leave half of the rest below and half above.
+    """
+    e, size = F.col("actual") - F.col("predicted"), F.greatest(F.abs("predicted"), F.lit(1.0))
+    score = {"absolute": F.abs(e), "normalised": F.abs(e) / size, "signed": e}[method]
+    w = W.partitionBy(by)
+    s = train.select(by, score.alias("_e")).withColumn("_r", F.row_number().over(w.orderBy("_e"))).withColumn("_n", F.count("*").over(w))
+    rank = lambda c: F.least(F.col("_n"), F.greatest(F.lit(1), F.ceil((F.col("_n") + 1) * c)))
+    at = lambda c: F.max(F.when(F.col("_r") == rank(c), F.col("_e")))
+    if method == "signed":
+        q = s.groupBy(by).agg(at((1 - confidence) / 2).alias("_lo"), at((1 + confidence) / 2).alias("_hi"))
+        lower, upper = F.col("predicted") + F.col("_lo"), F.col("predicted") + F.col("_hi")
+    else:
+        q = s.groupBy(by).agg(at(confidence).alias("_hi")).withColumn("_lo", F.col("_hi"))
+        half = F.col("_hi") * (size if method == "normalised" else F.lit(1.0))
+        lower, upper = F.col("predicted") - half, F.col("predicted") + half
+    return fc.join(q, by, "left").withColumn("lower", F.greatest(lower, F.lit(0.0))).withColumn("upper", upper).drop("_lo", "_hi")

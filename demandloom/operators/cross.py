@@ -7,31 +7,34 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from demandloom.functions import periods
+from demandloom.operators import ranks
 from demandloom.operators.windows import by_key, clip, divided
 
 
-def average_rank(value: str, *partition: str) -> Column:
-    """Share of the partition's rows at or under this one, ties at their mean rank; null values have none."""
-    w = W.partitionBy(*partition)
-    rank = F.rank().over(w.orderBy(F.asc_nulls_last(value))) + (F.count(value).over(W.partitionBy(*partition, value)) - 1) / 2
-    return F.when(F.col(value).isNotNull(), rank / F.count(value).over(w))
-
-
 def cross_section(df: DataFrame, time: str = "week_idx", target: str = "y") -> DataFrame:
-    """The previous row's value against all keys of the period: mean, relative, difference, z-score, dense percent rank."""
-    df = df.withColumn("_l", F.lag(target).over(by_key(time=time)))
-    w = W.partitionBy(time)
-    mean, sd = F.avg("_l").over(w), F.stddev_samp("_l").over(w)
-    df = df.withColumn("_r", F.when(F.col("_l").isNotNull(), F.dense_rank().over(w.orderBy(F.asc_nulls_last("_l")))))
-    return df.withColumns({"period_mean": mean, "relative": divided(F.col("_l"), mean), "difference": F.col("_l") - mean, "z": divided(F.col("_l") - mean, sd), "dense_pct": F.col("_r") / F.max("_r").over(w)}).drop("_l", "_r")
+    """The previous row's value against all keys of the period: mean, relative, difference, z-score, dense percent rank.
+
+    Sums of a period are aggregated and joined back; ranks go by ranges of values: no task orders a whole period.
+    """
+    rows = df.withColumn("_l", F.lag(target).over(by_key(time=time)))
+    sums = rows.groupBy(time).agg(F.avg("_l").alias("period_mean"), F.stddev_samp("_l").alias("_sd"))
+    r = ranks.ranks(rows, time, "_l").select(F.col(time).alias("_t"), F.col("_l").alias("_v"), (F.col("dense") / F.col("n_values")).alias("dense_pct"))
+    out = rows.join(sums, time, "left").join(r, (F.col(time) == F.col("_t")) & (F.col("_l") == F.col("_v")), "left")
+    mean = F.col("period_mean")
+    return out.withColumns({"relative": divided(F.col("_l"), mean), "difference": F.col("_l") - mean, "z": divided(F.col("_l") - mean, F.col("_sd"))}).drop("_l", "_sd", "_t", "_v")
 
 
 def relative(df: DataFrame, group: str, lag: int = 1, time: str = "week_idx", target: str = "y") -> DataFrame:
-    """The lagged value against the period's and the group's mean, median, rank and total."""
-    df = df.withColumn("_l", F.lag(target, lag).over(by_key(time=time)))
-    all_, own = W.partitionBy(time), W.partitionBy(time, group)
-    out = {"to_overall": clip(divided(F.col("_l"), F.avg("_l").over(all_)), 0, 20), "to_group": clip(divided(F.col("_l"), F.avg("_l").over(own)), 0, 20), "from_median": F.col("_l") - F.percentile("_l", 0.5).over(all_), "percentile": average_rank("_l", time), "share": clip(divided(F.col("_l"), F.sum("_l").over(all_)), 0, 1)}
-    return df.withColumns(out).drop("_l")
+    """The lagged value against the period's and the group's mean, median, rank and total, joined back as in cross_section()."""
+    rows = df.withColumn("_l", F.lag(target, lag).over(by_key(time=time)))
+    sums = rows.groupBy(time).agg(F.avg("_l").alias("_m"), F.sum("_l").alias("_s"))
+    own = rows.groupBy(time, group).agg(F.avg("_l").alias("_o"))
+    found = ranks.ranks(rows, time, "_l")
+    medians = ranks.group_medians(found, time, "_l")
+    r = found.withColumn("percentile", ranks.average_share(found)).select(F.col(time).alias("_t"), F.col("_l").alias("_v"), "percentile")
+    out = rows.join(sums, time, "left").join(own, [time, group], "left").join(medians, time, "left").join(r, (F.col(time) == F.col("_t")) & (F.col("_l") == F.col("_v")), "left")
+    added = {"to_overall": clip(divided(F.col("_l"), F.col("_m")), 0, 20), "to_group": clip(divided(F.col("_l"), F.col("_o")), 0, 20), "from_median": F.col("_l") - F.col("median"), "share": clip(divided(F.col("_l"), F.col("_s")), 0, 1)}
+    return out.withColumns(added).drop("_l", "_m", "_s", "_o", "median", "_t", "_v")
 
 
 def group_history(df: DataFrame, group: str, lag: int = 1, windows: tuple[int, ...] = (4, 13), time: str = "week_idx", target: str = "y") -> DataFrame:
@@ -72,7 +75,7 @@ def history_embedding(df: DataFrame, columns: list[str], until: int, key: str =
 def forecastability(df: DataFrame, last: int, key: str = "key", time: str = "week_idx", target: str = "y") -> DataFrame:
     """One row per key: volume, nz_mean, nz_fraction, adi (rows per sale), cv2 of sales, spike, recent8."""
     size = F.when(F.col(target) > 0, F.col(target))
-    out = df.groupBy(key).agg(F.sum(target).alias("volume"), F.avg(size).alias("nz_mean"), (F.count(size) / F.count("*")).alias("nz_fraction"), F.try_divide(F.count("*"), F.count(size)).alias("adi"), F.pow(F.try_divide(F.stddev_pop(size), F.avg(size)), F.lit(2.0)).alias("cv2"), F.try_divide(F.max(target), F.avg(target)).alias("spike"), F.coalesce(F.sum(F.when(F.col(time) > last - 8, F.col(target))), F.lit(0.0)).alias("recent8"))
+    out = df.groupBy(key).agg(F.sum(target).alias("volume"), F.avg(size).alias("nz_mean"), (F.count(size) / F.count("*")).alias("nz_fraction"), F.try_divide(F.count("*"), F.count(size)).alias("adi"), F.greatest(F.try_divide(F.count(size) * F.sum(size * size), F.sum(size) * F.sum(size)) - 1, F.lit(0.0)).alias("cv2"), F.try_divide(F.max(target), F.avg(target)).alias("spike"), F.coalesce(F.sum(F.when(F.col(time) > last - 8, F.col(target))), F.lit(0.0)).alias("recent8"))
     return out
 
 
@@ -133,9 +136,12 @@ def frequency_encode(df: DataFrame, fit: DataFrame, column: str) -> DataFrame:
     return df.join(seen, column, "left").join(F.broadcast(total), F.lit(True)).withColumn(f"{column}_freq", F.coalesce(F.try_divide(F.col("_n"), F.col("_t")), F.lit(0.0))).drop("_n", "_t")
 
 
-def ordinal_encode(df: DataFrame, fit: DataFrame, column: str) -> DataFrame:
-    """{column}_code: place of the value in fit's values in order, -1 if unseen; the values are categories, so few."""
-    codes = fit.select(column).where(F.col(column).isNotNull()).distinct().withColumn(f"{column}_code", (F.row_number().over(W.orderBy(column)) - 1).cast("int"))
+def ordinal_encode(df: DataFrame, fit: DataFrame, column: str, most: int = 100_000) -> DataFrame:
+    """{column}_code: place of the value in fit's values in order, -1 if unseen; more than `most` values, which are counted before one task numbers them, are refused."""
+    values = fit.select(column).where(F.col(column).isNotNull()).distinct()
+    if values.limit(most + 1).count() > most:
+        raise ValueError(f"{column} has more than {most} values")
+    codes = values.withColumn(f"{column}_code", (F.row_number().over(W.orderBy(column)) - 1).cast("int"))
     return df.join(codes, column, "left").fillna(-1, [f"{column}_code"])
 
 

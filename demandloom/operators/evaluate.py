@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from demandloom.operators import ranks
+
 A, P = F.col, F.col
 
 
@@ -96,11 +98,14 @@ def error_decomposition(df: DataFrame, by: list[str]) -> DataFrame:
     return out.withColumn("systematic", ratio(F.col("bias_sq"), F.col("mse")))
 
 
-def error_outliers(df: DataFrame, factor: float = 1.5) -> DataFrame:
-    """Rows whose absolute error is over the third quartile plus factor ranges, with how far over in ranges."""
+def error_outliers(df: DataFrame, factor: float = 1.5, method: str = "iqr") -> DataFrame:
+    """Rows whose absolute error is over the third quartile plus factor ranges, with how far over in ranges; or (zscore) over the mean by more than factor deviations, with by how many."""
     rows = df.withColumn("abs_error", F.abs(F.col("predicted") - F.col("actual")))
-    q = rows.agg(F.percentile("abs_error", 0.25).alias("_a"), F.percentile("abs_error", 0.75).alias("_b"))  # one row
-    return rows.join(F.broadcast(q), F.col("abs_error") > F.col("_b") + factor * (F.col("_b") - F.col("_a"))).withColumn("score", ratio(F.col("abs_error") - F.col("_b"), F.col("_b") - F.col("_a"))).drop("_a", "_b")
+    if method == "zscore":
+        m = rows.agg(F.avg("abs_error").alias("_a"), F.stddev_samp("abs_error").alias("_b"))  # one row
+        return rows.join(F.broadcast(m), F.lit(True)).withColumn("score", ratio(F.col("abs_error") - F.col("_a"), F.col("_b"))).where(F.col("score") > factor).drop("_a", "_b")
+    q = ranks.with_quantiles(rows, "abs_error", [0.25, 0.75], ["_a", "_b"])
+    return q.where(F.col("abs_error") > F.col("_b") + factor * (F.col("_b") - F.col("_a"))).withColumn("score", ratio(F.col("abs_error") - F.col("_b"), F.col("_b") - F.col("_a"))).drop("_a", "_b")
 
 
 def failures(df: DataFrame, threshold: float, characteristics: DataFrame, columns: list[str]) -> DataFrame:
@@ -124,6 +129,19 @@ def verdict(df: DataFrame, target: float = 0.3) -> DataFrame:
     return m.select("wape", "bias_pct", ((F.col("wape") <= target) & (F.abs("bias_pct") <= 0.1)).alias("ready"), score.alias("confidence"))
 
 
+def segment_tiers(df: DataFrame, by: str = "segment") -> DataFrame:
+    """by, n, wape, bias_pct, tier of each segment."""
+    return metrics_by(df, [by]).select(by, "n", "wape", "bias_pct", "tier")
+
+
+def checks(df: DataFrame, target: float = 0.3, most_bias: float = 0.1, worst: float = 0.5, by: str = "segment") -> DataFrame:
+    """check, value, limit, passed: overall wape and absolute bias_pct, and the worst segment's wape."""
+    overall, segments = df.agg(*metrics()), segment_tiers(df, by).agg(F.max("wape").alias("worst"))
+    named = [("wape", F.col("wape"), target), ("bias", F.abs("bias_pct"), most_bias), ("segment", F.col("worst"), worst)]
+    rows = F.array(*[F.struct(F.lit(n).alias("check"), v.alias("value"), F.lit(limit).alias("limit"), (v <= limit).alias("passed")) for n, v, limit in named])
+    return overall.join(F.broadcast(segments), F.lit(True)).select(F.explode(rows).alias("r")).select("r.*")  # one row on either side
+
+
 def origins(df: DataFrame, first: int, last: int, horizon: int, time: str = "week_idx") -> DataFrame:
     """origin, cutoff, test_start, test_end: cutoffs that move on by one period; ends no later than the last."""
     spark = df.sparkSession

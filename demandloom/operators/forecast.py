@@ -51,13 +51,13 @@ def tsb(df: DataFrame, alpha: float = 0.1, beta: float = 0.1) -> DataFrame:
     return known.withColumn("mean", mean).select("key", F.aggregate("ys", start, step, lambda s: s["size"] * s["p"]).alias("tsb"))
 
 
-def imapa(df: DataFrame, levels: list[int], alpha: float = 0.1) -> DataFrame:
-    """key, imapa: Croston on sums of blocks of several lengths, per period, weighted by each level's share of blocks with demand."""
+def imapa(df: DataFrame, levels: list[int], alpha: float = 0.1, sba: bool = False) -> DataFrame:
+    """key, imapa: Croston (or, with sba, its variant with less bias) on sums of blocks of several lengths, per period, weighted by each level's share of blocks with demand."""
     rows = series(df).withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels])))
     # Blocks end at the last period; a rest at the start is left out.
     rows = rows.withColumn("k", F.expr("size(ys) div level")).where("k > 0").withColumn("blocks", F.expr("transform(sequence(1, k), i -> aggregate(slice(ys, size(ys) - (k - i + 1) * level + 1, level), 0D, (a, y) -> a + y))"))
     scored = rows.withColumn("s", croston_fold(F.col("blocks"), alpha)).withColumn("w", F.size(F.filter("blocks", lambda y: y > 0)) / F.col("k"))
-    level = F.coalesce(F.col("s.size") / F.col("s.interval"), F.lit(0.0)) / F.col("level")
+    level = F.coalesce(F.col("s.size") / F.col("s.interval"), F.lit(0.0)) * (1 - alpha / 2 if sba else 1.0) / F.col("level")
     return scored.groupBy("key").agg(F.coalesce(F.try_divide(F.sum(level * F.col("w")), F.sum("w")), F.lit(0.0)).alias("imapa"))
 
 
@@ -96,3 +96,14 @@ def horizon_weights(spark, horizon: int, lags: tuple[int, ...], share: float = 0
     rest, total = (1 - share) / (horizon - len(lags)), horizon * (horizon + 1) / 2
     rows = [(h, 1 / horizon, share / len(lags) if h in lags else rest, (horizon + 1 - h) / total) for h in range(1, horizon + 1)]
     return spark.createDataFrame(rows, "h int, balanced double, focused double, linear double")
+
+
+def weighted_wape(df: DataFrame, weights: DataFrame, scheme: str) -> DataFrame:
+    """One row: wape, the WAPE of each horizon h (columns h, actual, predicted) weighted by the scheme; horizons without demand or weight don't count."""
+    per = df.groupBy("h").agg(F.try_divide(F.sum(F.abs(F.col("predicted") - F.col("actual"))), F.sum("actual")).alias("_w")).where("_w is not null")
+    return per.join(F.broadcast(weights.select("h", F.col(scheme).alias("_g"))), "h").agg(F.try_divide(F.sum(F.col("_w") * F.col("_g")), F.sum("_g")).alias("wape"))
+
+
+def expanded(df: DataFrame, weights: DataFrame, scheme: str, time: str = "week_idx") -> DataFrame:
+    """Each row once for each horizon h, with its target period and the scheme's weight; few horizons."""
+    return df.join(F.broadcast(weights.select("h", F.col(scheme).alias("weight"))), F.lit(True)).withColumn("target_idx", F.col(time) + F.col("h"))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from demandloom.operators import ranks
+
 
 def horizon_pairs(left: DataFrame, right: DataFrame, horizons: int, key: str = "key", time: str = "week_idx") -> DataFrame:
     """Each origin row of left with the right's row h periods on, for every h from 1: an equi-join on key and period, so gaps don't shift it."""
@@ -117,8 +119,7 @@ def volume_head(df: DataFrame, share: float, group: str, item: str, target: str
 def high_volume_keys(df: DataFrame, quantile: float, most_zero: float, least_nonzero: int, key: str = "key", target: str = "y") -> DataFrame:
     """key, volume of keys at or over the volume quantile with few zeros and enough sales."""
     sums = df.groupBy(key).agg(F.sum(target).alias("volume"), F.avg((F.col(target) == 0).cast("int")).alias("zero"), F.count_if(F.col(target) > 0).alias("n"))
-    edge = sums.agg(F.percentile("volume", quantile).alias("edge"))  # one row
-    return sums.join(F.broadcast(edge), F.col("volume") >= F.col("edge")).where((F.col("zero") <= most_zero) & (F.col("n") >= least_nonzero)).select(key, "volume")
+    return ranks.with_quantiles(sums, "volume", [quantile], ["edge"]).where(F.col("volume") >= F.col("edge")).where((F.col("zero") <= most_zero) & (F.col("n") >= least_nonzero)).select(key, "volume")
 
 
 def largest_errors(df: DataFrame, n: int, order: list[str], actual: str = "actual", predicted: str = "predicted") -> DataFrame:

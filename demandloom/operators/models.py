@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,43 +23,73 @@ def tree_importance(df: DataFrame, features: list[str], target: str, trees: int
     return df.sparkSession.createDataFrame([(f, float(v)) for f, v in zip(features, model.featureImportances.toArray(), strict=True)], "column string, importance double")
 
 
-def origin_pairs(panel: DataFrame, horizons: int, lags: list[int], half_life: float, cutoff: int) -> tuple[DataFrame, list[str]]:
-    """Pairs of features at an origin and the target h periods on, with recency weights; pairs whose target is after the cutoff have split `predict`."""
+def origin_pairs(panel: DataFrame, horizons: int, lags: list[int], half_life: float, cutoff: int, carry: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """Pairs of features at an origin and the target h periods on, with recency weights; pairs whose target is after the cutoff have split `predict`. carry: columns of the panel to keep."""
     features = backward_panel(panel, lags, ["price"], [4, 13]).fillna(0.0)
     names = [c for c in features.columns if c not in panel.columns]
-    pairs = horizon_pairs(features.select("key", "week_idx", *names), panel.select("key", "week_idx", F.col("y").alias("actual")), horizons)
+    pairs = horizon_pairs(features.select("key", "week_idx", *(carry or []), *names), panel.select("key", "week_idx", F.col("y").alias("actual")), horizons)
     weight = F.pow(F.lit(0.5), (cutoff - F.col("target_idx")) / half_life)
-    return pairs.withColumn("weight", F.greatest(F.lit(1e-6), weight)).withColumn("split", F.when(F.col("target_idx") <= cutoff, "train").when(F.col("week_idx") == cutoff, "predict")), [*names, "h"]
+    return pairs.withColumn("weight", F.greatest(F.lit(1e-6), weight)).withColumn("split", F.when(F.col("target_idx") <= cutoff, "train").when(F.col("week_idx") == cutoff, "predict")), names
 
 
-def pooled_forecast(panel: DataFrame, cutoff: int, horizons: int = 4, lags: list[int] | None = None, trees: int = 8, half_life: float = 52.0, seed: int = 1) -> DataFrame:
-    """key, h, target_idx, actual, predicted: one boosted model over all keys and horizons, weighted to the recent; no less than 0."""
-    pairs, names = origin_pairs(panel, horizons, lags or [1, 2, 13, 52], half_life, cutoff)
-    rows = assembled(pairs, names)
+def fit_boosted(rows: DataFrame, trees: int, seed: int) -> GBTRegressionModel:
+    """A boosted model of log1p of the targets, which count as 0 at least, weighted."""
     train = rows.where("split = 'train'").withColumn("_y", F.log1p(F.greatest(F.col("actual"), F.lit(0.0))))
-    model = GBTRegressor(featuresCol="_x", labelCol="_y", weightCol="weight", maxIter=trees, maxDepth=4, seed=seed).fit(train)
-    return model.transform(rows.where("split = 'predict'")).select("key", "h", "target_idx", "actual", F.greatest(F.expm1("prediction"), F.lit(0.0)).alias("predicted"))
+    return GBTRegressor(featuresCol="_x", labelCol="_y", weightCol="weight", maxIter=trees, maxDepth=4, seed=seed).fit(train)
+
+
+def pooled_forecast(panel: DataFrame, cutoff: int, horizons: int = 4, lags: list[int] | None = None, trees: int = 8, half_life: float = 52.0, seed: int = 1, carry: list[str] | None = None) -> DataFrame:
+    """key, h, target_idx, actual, predicted, and carry: for each horizon one boosted model over all keys, weighted to the recent; no less than 0."""
+    return scoped_forecast(panel, cutoff, [], horizons, lags, trees, half_life, seed, carry).drop("scope")
 
 
-def recursive_forecast(panel: DataFrame, cutoff: int, horizon: int, lags: list[int] | None = None) -> DataFrame:
-    """key, week_idx, predicted: a linear model of lags, whose forecast of each step is demand for the next; no less than 0.
+def scoped_forecast(
+    panel: DataFrame, cutoff: int, scopes: list[tuple[list[str], int]], horizons: int = 4, lags: list[int] | None = None, trees: int = 8, half_life: float = 52.0, seed: int = 1, carry: list[str] | None = None
+) -> DataFrame:
+    """As pooled_forecast, with scope: forecasts of the finest scope whose group has enough training rows, else of the pool (scope `global`).
 
-    Each step keeps only as many last values of a key as the longest lag is; steps are few and bound by the horizon.
+    scopes: from coarse to fine, columns (category; category and segment) and the training rows that a group needs for a model of its own. A model is
+    a job of its own, so groups must be few: they are counted and listed.
+    """
+    extra = list(dict.fromkeys([*(carry or []), *(c for by, _ in scopes for c in by)]))
+    pairs, names = origin_pairs(panel, horizons, lags or [1, 2, 13, 52], half_life, cutoff, extra)
+    rows = assembled(pairs, names)
+    shown = ["key", "h", "target_idx", "actual", *extra]
+    made = None
+    for h in range(1, horizons + 1):
+        one = rows.where(F.col("h") == h)
+        out = fit_boosted(one, trees, seed).transform(one.where("split = 'predict'")).select(*shown, "_x", F.lit("global").alias("scope"), "prediction")
+        for by, least in scopes:
+            groups = one.where("split = 'train'").groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") >= least).select(*by).collect()
+            for g in groups:
+                inside = F.lit(True)
+                for c in by:
+                    inside = inside & F.col(c).eqNullSafe(g[c])
+                better = fit_boosted(one.where(inside), trees, seed).transform(out.where(inside).drop("prediction", "scope")).select(*shown, "_x", F.lit("+".join(by)).alias("scope"), "prediction")
+                out = out.where(~inside).unionByName(better)
+        made = out if made is None else made.unionByName(out)
+    return made.select(*shown, "scope", F.greatest(F.expm1("prediction"), F.lit(0.0)).alias("predicted"))
+
+
+def recursive_forecast(panel: DataFrame, cutoff: int, horizon: int, lags: list[int] | None = None, windows: list[int] | None = None, penalty: float = 0.1) -> DataFrame:
+    """key, week_idx, predicted: a linear model of lags and of means of the last values (windows), both of which each step's forecast enters as demand for the next; no less than 0.
+
+    Each step keeps only as many last values of a key as the longest lag or window is; steps are few and bound by the horizon.
     """
-    lags = lags or [1, 2, 13]
-    most = max(lags)
-    from demandloom.operators.windows import lagged
+    lags, windows = lags or [1, 2, 13], [4, 13] if windows is None else windows
+    most = max([*lags, *windows])
+    from demandloom.operators.windows import framed, lagged
 
-    rows = panel.where(F.col("week_idx") <= cutoff).withColumns({f"lag_{n}": lagged(n) for n in lags})
-    names = [f"lag_{n}" for n in lags]
-    model = LinearRegression(featuresCol="_x", labelCol="y", regParam=0.1, elasticNetParam=0.0).fit(assembled(rows.where(f"lag_{most} is not null"), names))
+    names = [*(f"lag_{n}" for n in lags), *(f"mean_{n}" for n in windows)]
+    rows = panel.where(F.col("week_idx") <= cutoff).withColumns({f"lag_{n}": lagged(n) for n in lags} | {f"mean_{n}": framed(F.avg("y"), -n, -1) for n in windows} | {"_whole": lagged(most)})
+    model = LinearRegression(featuresCol="_x", labelCol="y", regParam=penalty, elasticNetParam=0.0).fit(assembled(rows.where("_whole is not null"), names))
     last = panel.where((F.col("week_idx") <= cutoff) & (F.col("week_idx") > cutoff - 2 * most)).groupBy("key").agg(F.slice(F.reverse(F.transform(F.array_sort(F.collect_list(F.struct("week_idx", "y"))), lambda s: s["y"])), 1, most).alias("ys"))
-    known = F.col("ys")
+    value = lambda n: F.coalesce(F.get("ys", F.lit(n - 1)), F.lit(0.0))
+    mean = lambda n: F.aggregate(F.slice("ys", 1, n), F.lit(0.0), lambda a, y: a + F.coalesce(y, F.lit(0.0))) / F.greatest(F.lit(1), F.least(F.size("ys"), F.lit(n)))
     for _ in range(horizon):
-        terms = [float(c) * F.coalesce(F.get(known, F.lit(n - 1)), F.lit(0.0)) for c, n in zip(model.coefficients, lags, strict=True)]
+        terms = [float(c) * x for c, x in zip(model.coefficients, [*map(value, lags), *map(mean, windows)], strict=True)]
         following = F.greatest(sum(terms[1:], terms[0]) + float(model.intercept), F.lit(0.0))
         last = last.withColumn("ys", F.concat(F.array(following), "ys"))
-        known = F.col("ys")
     steps = F.explode(F.transform(F.slice("ys", 1, horizon), lambda y, i: F.struct((F.lit(cutoff + horizon) - i).alias("week_idx"), y.alias("predicted"))))
     return last.select("key", steps.alias("s")).select("key", "s.*")
 
@@ -82,13 +112,14 @@ def isotonic(train: DataFrame, fc: DataFrame) -> DataFrame:
     return model.transform(fc.withColumn("features", F.col("predicted"))).drop("features")
 
 
-def stacked(panel: DataFrame, cutoff: int, horizons: int = 2) -> DataFrame:
-    """key, h, predicted: shares of the pooled forecast and the 13-period mean that were best at an earlier origin, applied at this one."""
+def stacked(panel: DataFrame, cutoff: int, horizons: int = 2, by: str = "category") -> DataFrame:
+    """key, h, category, actual, predicted: each category's shares of the pooled forecast and of the 13-period mean that were best at an earlier origin, applied at this one."""
     from demandloom.operators.combine import share_grid
 
     def both(at: int) -> DataFrame:
         mean = panel.where((F.col("week_idx") <= at) & (F.col("week_idx") > at - 13)).groupBy("key").agg(F.avg("y").alias("local"))
-        return pooled_forecast(panel, at, horizons).join(mean, "key")
+        return pooled_forecast(panel, at, horizons, carry=[by]).join(mean, "key")
 
-    share = share_grid(both(cutoff - horizons), ["h"], "predicted", "local")
-    return both(cutoff).join(share, "h").select("key", "h", "actual", (F.col("share") * F.col("predicted") + (1 - F.col("share")) * F.col("local")).alias("predicted"))
+    share = share_grid(both(cutoff - horizons), [by], "predicted", "local")
+    blend = F.coalesce("share", F.lit(0.5))
+    return both(cutoff).join(share, by, "left").select("key", "h", by, "actual", (blend * F.col("predicted") + (1 - blend) * F.col("local")).alias("predicted"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom.functions import periods
+from demandloom.operators import ranks
 
 
 def cast_decimals(df: DataFrame) -> DataFrame:
@@ -121,9 +122,10 @@ def fill_missing(df: DataFrame, columns: list[str], strategy: str, group: str =
     if strategy == "ffill":
         w = W.partitionBy(group).orderBy(order)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
-    middle = F.avg if strategy == "mean" else F.median
-    whole = df.agg(*[middle(c).alias(f"_all_{c}") for c in columns])
-    out = df.join(F.broadcast(whole), F.lit(True))  # one row
+    if strategy == "mean":
+        out = df.join(F.broadcast(df.agg(*[F.avg(c).alias(f"_all_{c}") for c in columns])), F.lit(True))  # one row
+    else:
+        out = df.withColumns({f"_all_{c}": F.lit(ranks.quantiles(df, c, [0.5])[0]).cast("double") for c in columns})
     if strategy == "group_median":
         out = out.join(df.groupBy(group).agg(*[F.median(c).alias(f"_own_{c}") for c in columns]), group, "left")
         return out.select(*[F.coalesce(c, f"_own_{c}", f"_all_{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
@@ -132,6 +134,11 @@ def fill_missing(df: DataFrame, columns: list[str], strategy: str, group: str =
 
 def outlier_bounds(df: DataFrame, column: str, method: str = "iqr", factor: float = 1.5, by: list[str] | None = None) -> DataFrame:
     """lo, hi: quartiles less and plus factor ranges, mean and factor standard deviations, or the factor and 100 - factor percentiles."""
+    if method != "std" and not by:
+        at = [factor / 100, 1 - factor / 100] if method == "percentile" else [0.25, 0.75]
+        a, b = (F.lit(q).cast("double") for q in ranks.quantiles(df, column, at))
+        out = factor * (b - a) if method != "percentile" else F.lit(0.0)
+        return df.sparkSession.range(1).select((a - out).alias("lo"), (b + out).alias("hi"))
     if method == "std":
         edges = [F.avg(column) - factor * F.stddev(column), F.avg(column) + factor * F.stddev(column)]
     elif method == "percentile":

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from demandloom.operators import ranks
 from demandloom.operators.windows import by_key, clip, divided
 
 KEY, TIME, TARGET = "key", "week_idx", "y"
@@ -19,13 +20,21 @@ def sold(target: str = TARGET) -> Column:
 
 
 def series_statistics(df: DataFrame) -> DataFrame:
-    """One row per key: n, mean, sd, least, most, zero_fraction, cv, cv2 (with zeros), adi (mean gap between demands, n without two), tier by terciles of the total."""
-    df = df.withColumn("_pos", F.row_number().over(by_key()))
-    hits = df.where(F.col(TARGET) > 0).withColumn("_gap", F.col("_pos") - F.lag("_pos").over(by_key())).groupBy(KEY).agg(F.avg("_gap").alias("_adi"))
-    out = df.groupBy(KEY).agg(F.count("*").alias("n"), F.avg(TARGET).alias("mean"), F.stddev_samp(TARGET).alias("sd"), F.min(TARGET).alias("least"), F.max(TARGET).alias("most"), F.avg((F.col(TARGET) == 0).cast("int")).alias("zero_fraction"), F.sum(TARGET).alias("total"))
-    out = out.join(hits, KEY, "left").withColumn("adi", F.coalesce("_adi", F.col("n").cast("double"))).withColumn("cv", divided(F.col("sd"), F.col("mean"))).withColumn("cv2", F.col("cv") * F.col("cv"))
-    edges = out.agg(F.percentile("total", 0.33).alias("_lo"), F.percentile("total", 0.67).alias("_hi"))  # one row
-    return out.join(F.broadcast(edges), F.lit(True)).withColumn("tier", F.when(F.col("total") <= F.col("_lo"), "low").when(F.col("total") <= F.col("_hi"), "medium").otherwise("high")).drop("_adi", "_lo", "_hi")
+    """statistics() with tier by terciles of the total."""
+    out = ranks.with_quantiles(statistics(df), "total", [0.33, 0.67], ["_lo", "_hi"])
+    return out.withColumn("tier", F.when(F.col("total") <= F.col("_lo"), "low").when(F.col("total") <= F.col("_hi"), "medium").otherwise("high")).drop("_lo", "_hi")
+
+
+def statistics(df: DataFrame) -> DataFrame:
+    """One row per key: n, mean, sd, least, most, zero_fraction, total, cv, cv2 (with zeros), adi (mean gap between demands, n without two).
+
+    The gaps between first and last demand add up to the distance of their positions, so that one aggregation gives all.
+    """
+    pos, hit = F.col("_pos"), F.col(TARGET) > 0
+    gaps = F.try_divide(F.max(F.when(hit, pos)) - F.min(F.when(hit, pos)), F.count_if(hit) - 1)
+    out = df.withColumn("_pos", F.row_number().over(by_key())).groupBy(KEY).agg(gaps.alias("_adi"), F.count("*").alias("n"), F.avg(TARGET).alias("mean"), F.stddev_samp(TARGET).alias("sd"), F.min(TARGET).alias("least"), F.max(TARGET).alias("most"), F.avg((F.col(TARGET) == 0).cast("int")).alias("zero_fraction"), F.sum(TARGET).alias("total"))
+    out = out.withColumn("adi", F.coalesce("_adi", F.col("n").cast("double"))).withColumn("cv", divided(F.col("sd"), F.col("mean"))).withColumn("cv2", F.col("cv") * F.col("cv"))
+    return out.drop("_adi")
 
 
 def demand_class(adi: Column, cv2: Column, adi_edge: float = 1.32, cv2_edge: float = 0.49, strict: bool = False) -> Column:
@@ -165,10 +174,10 @@ def cross_correlation(df: DataFrame, keys: int, limit: float) -> DataFrame:
 
 
 def response_profile(df: DataFrame, columns: list[str], least: int = 10) -> DataFrame:
-    """key, corr_<column>, and the mean and greatest strength."""
+    """key, corr_<column>, the mean and greatest strength, and n_strong: how many are over 0.2."""
     out = df.groupBy(KEY).agg(*[F.when(F.count(F.when(F.col(c).isNotNull() & F.col(TARGET).isNotNull(), 1)) >= least, F.corr(c, TARGET)).alias(f"corr_{c}") for c in columns])
     strength = [F.coalesce(F.abs(f"corr_{c}"), F.lit(0.0)) for c in columns]
-    return out.withColumn("mean_strength", sum(strength[1:], strength[0]) / len(columns)).withColumn("max_strength", F.greatest(*strength, F.lit(0.0)))
+    return out.withColumn("mean_strength", sum(strength[1:], strength[0]) / len(columns)).withColumn("max_strength", F.greatest(*strength, F.lit(0.0))).withColumn("n_strong", sum(((s > 0.2).cast("int") for s in strength[1:]), (strength[0] > 0.2).cast("int")))
 
 
 def granularity(df: DataFrame, date: str) -> DataFrame:
@@ -205,6 +214,28 @@ def discrete_demand(df: DataFrame) -> DataFrame:
     return out.withColumn("discrete", (F.col("n_levels") / F.col("_n") < 0.1) | ((F.col("n_levels") <= 20) & (F.col("multiple_share") > 0.8))).drop("_n")
 
 
+def base_unit(df: DataFrame, near: float = 0.05, wider: float = 0.1, share: float = 0.8) -> DataFrame:
+    """key, unit: the smallest demand if all demands lie that near a multiple of it, else the smallest gap between levels if the share lies within the wider one, else null."""
+    sold_rows = df.where(F.col(TARGET) > 0).select(KEY, F.col(TARGET).cast("double").alias("_y"))
+    gaps = sold_rows.distinct().withColumn("_g", F.col("_y") - F.lag("_y").over(W.partitionBy(KEY).orderBy("_y")))
+    base = gaps.groupBy(KEY).agg(F.min("_y").alias("_b"), F.min("_g").alias("_g"))
+    off = lambda u: F.abs(F.col("_y") / F.col(u) - F.round(F.col("_y") / F.col(u)))
+    found = sold_rows.join(base, KEY).groupBy(KEY, "_b", "_g").agg(F.max(off("_b")).alias("_far"), F.avg((off("_g") < wider).cast("int")).alias("_share"))
+    return found.select(KEY, F.when(F.col("_far") <= near, F.col("_b")).when(F.col("_share") > share, F.col("_g")).alias("unit"))
+
+
+def level_shares(df: DataFrame) -> DataFrame:
+    """key, level, share of the key's rows, imbalance: the commonest level's rows over the rarest's."""
+    n = df.groupBy(KEY, F.col(TARGET).alias("level")).agg(F.count("*").alias("_n"))
+    whole = n.groupBy(KEY).agg(F.sum("_n").alias("_t"), F.max("_n").alias("_a"), F.min("_n").alias("_i"))
+    return n.join(whole, KEY).select(KEY, "level", (F.col("_n") / F.col("_t")).alias("share"), (F.col("_a") / F.col("_i")).alias("imbalance"))
+
+
+def quality_score(c: DataFrame, enough: int = 104) -> DataFrame:
+    """Adds quality, 0 to 1, to characteristics(): 0.4 for history up to `enough` rows, 0.3 for the share of rows with demand, 0.3 / (1 + cv)."""
+    return c.withColumn("quality", 0.4 * F.least(F.col("n") / enough, F.lit(1.0)) + 0.3 * divided(F.col("n_sold").cast("double"), F.col("n")) + 0.3 / (1 + F.coalesce("cv", F.lit(0.0))))
+
+
 def characteristics(df: DataFrame, features: list[str]) -> DataFrame:
     """key, n, n_sold, mean, cv, adi, trend, acf_1, n_related (features with a correlation over 0.3)."""
     rows = df.withColumn("_l", F.lag(TARGET).over(by_key()))
@@ -220,8 +251,35 @@ def group_position(df: DataFrame, by: str, value: str = "mean") -> DataFrame:
 
 
 def adaptive_lags(df: DataFrame, candidates: list[int], essential: tuple[int, ...] = (1, 4, 52), most: int = 12) -> DataFrame:
-    """key, lags: essential ones and those whose autocorrelation is significant, at most so many."""
+    """key, lags: essential ones and those whose autocorrelation is significant, at most so many: beyond that the essential ones and the most significant."""
     acf, n = autocorrelations(df, candidates), df.groupBy(KEY).agg(F.count("*").alias("_n"))
     hit = [F.when(F.abs(f"acf_{c}") > 1.96 / F.sqrt("_n"), F.lit(c)) for c in candidates]
-    lags = F.slice(F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.lit(e) for e in essential], *hit)))), 1, most)
-    return acf.join(n, KEY).select(KEY, lags.alias("lags"))
+    return acf.join(n, KEY).select(KEY, chosen_lags([(c, F.when(hit[i].isNotNull(), F.abs(f"acf_{c}"))) for i, c in enumerate(candidates)], essential, most).alias("lags"))
+
+
+def chosen_lags(found: list[tuple[int, Column]], essential: tuple[int, ...], most: int) -> Column:
+    """The essential lags and, up to `most` in all, the others whose strength isn't null, the strongest first; ascending."""
+    others = F.array_compact(F.array(*[F.when(s.isNotNull(), F.struct((-s).alias("s"), F.lit(c).alias("lag"))) for c, s in found if c not in essential]))
+    strongest = F.transform(F.slice(F.array_sort(others), 1, max(0, most - len(essential))), lambda x: x["lag"])
+    return F.array_sort(F.array_distinct(F.concat(F.array(*[F.lit(e) for e in essential]), strongest)))
+
+
+#: Lags for segments whose series show none, by pattern.
+DEFAULT_LAGS = {"smooth": (1, 2, 4, 13, 52), "erratic": (1, 4, 13, 52), "intermittent": (1, 4, 26, 52), "lumpy": (1, 13, 52)}
+
+
+def segment_lags(df: DataFrame, segments: DataFrame, candidates: list[int], essential: tuple[int, ...] = (1, 4, 52), most: int = 12) -> DataFrame:
+    """segment, lags: the essential ones and those where at least half of the segment's keys (those with a value) are significant, by mean strength; if there are none, defaults by pattern.
+
+    segments: key, segment, pattern. A segment's pattern is its commonest.
+    """
+    n = df.groupBy(KEY).agg(F.count("*").alias("_n"))
+    rows = autocorrelations(df, candidates).join(n, KEY).join(segments.select(KEY, "segment", "pattern"), KEY)
+    sums = [f for c in candidates for f in (F.avg((F.abs(f"acf_{c}") > 1.96 / F.sqrt("_n")).cast("int")).alias(f"_h{c}"), F.avg(F.abs(f"acf_{c}")).alias(f"_a{c}"))]
+    s = rows.groupBy("segment").agg(F.mode("pattern", deterministic=True).alias("_p"), *sums)
+    strength = [(c, F.when(F.col(f"_h{c}") >= 0.5, F.col(f"_a{c}"))) for c in candidates]
+    default = F.array(*[F.lit(e) for e in essential])
+    for name, lags in DEFAULT_LAGS.items():
+        default = F.when(F.col("_p") == name, F.array(*[F.lit(x) for x in lags])).otherwise(default)
+    none = F.coalesce(*[x for _, x in strength]).isNull()
+    return s.select("segment", F.when(none, default).otherwise(chosen_lags(strength, essential, most)).alias("lags"))

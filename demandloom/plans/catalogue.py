@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.operators import evaluate, forecast, panel
-from demandloom.plans import cleaning, combining, correcting, crosswise, features, joining, profiling, scoring, segmenting  # noqa: F401
+from demandloom.plans import cleaning, combining, correcting, crosswise, features, joining, profiling, scoring, segmenting, variants  # noqa: F401
 from demandloom.plans.panels import brand_week
 from demandloom.plans.registry import ORACLES, QUERIES  # noqa: F401
 

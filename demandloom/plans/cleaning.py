@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,13 @@ from demandloom.plans.registry import query
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the one that driver and executors share."""
-    return f"{(spark.conf.get('spark.checkpoint.dir', None) or '/tmp/demandloom').rstrip('/')}/query-{uuid.uuid4().hex}"
+    """A new folder below the one that driver and executors share, spark.checkpoint.dir; only a local session, which has no other machine, may go without."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="demandloom-")
+    return f"{base.rstrip('/')}/query-{uuid.uuid4().hex}"
 
 
 def weeks(spark: SparkSession, sf_dir: str) -> DataFrame:

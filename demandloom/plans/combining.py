@@ -35,20 +35,11 @@ def blend_apply(spark, sf_dir):
     return rounded(op.blend_apply(parts(spark, sf_dir), w), "key", "week_idx", "blend")
 
 
-@query("SELECT * FROM (VALUES ('C1', '_default', 0.2::DOUBLE, 0.3::DOUBLE, 0.5::DOUBLE), ('C2', 'a', 0.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE)) t(category, segment, w_s, w_c, w_rf) WHERE EXISTS (SELECT 1 FROM lineitem)")
-def blend_weight_table_io(spark, sf_dir):
-    folder = f"{scratch(spark)}-{uuid.uuid4().hex[:6]}"
-    cats = parts(spark, sf_dir).select("category").distinct().where("category in ('C1', 'C2')")
-    w = cats.select("category", F.expr("if(category = 'C1', '_default', 'a')").alias("segment"), F.expr("if(category = 'C1', 0.2D, 0D)").alias("w_s"), F.expr("if(category = 'C1', 0.3D, 0D)").alias("w_c"), F.expr("if(category = 'C1', 0.5D, 1D)").alias("w_rf"))
-    w.write.parquet(folder)
-    return spark.read.parquet(folder)
-
-
-GRID = "(SELECT a.x AS w1, b.x AS w2, c.x AS w3 FROM (SELECT unnest(range(0, 4)) / 2.0::DOUBLE AS x) a, (SELECT unnest(range(0, 4)) / 2.0::DOUBLE AS x) b, (SELECT unnest(range(0, 4)) / 2.0::DOUBLE AS x) c)"
+GRID = "(SELECT a.x AS w1, b.x AS w2, c.x AS w3 FROM (SELECT unnest(range(0, 7)) / 2.0::DOUBLE AS x) a, (SELECT unnest(range(0, 7)) / 2.0::DOUBLE AS x) b, (SELECT unnest(range(0, 7)) / 2.0::DOUBLE AS x) c)"
 
 
 def losses(by: str) -> str:
-    return f"SELECT {by}, w1, w2, w3, round(e / a + 200 * pow(least(d / a - (least(b / a, 0) - 0.05), 0), 2), 9) AS loss FROM (SELECT {by}, w1, w2, w3, sum(actual) AS a, sum(abs(greatest(0, w1 * s + w2 * c + w3 * rf) - actual)) AS e, sum(greatest(0, w1 * s + w2 * c + w3 * rf) - actual) AS d, sum(rf - actual) AS b FROM parts, grid GROUP BY ALL)"
+    return f"SELECT {by}, w1, w2, w3, round(e / a + 200 * pow(least(d / a - (least(b / a, 0) - 0.02), 0), 2), 9) AS loss FROM (SELECT {by}, w1, w2, w3, sum(actual) AS a, sum(abs(greatest(0, w1 * s + w2 * c + w3 * rf) - actual)) AS e, sum(greatest(0, w1 * s + w2 * c + w3 * rf) - actual) AS d, sum(rf - actual) AS b FROM parts, grid GROUP BY ALL)"
 
 
 def fitted(by: str) -> str:
@@ -59,19 +50,42 @@ COARSE = f"{PARTS}, grid AS {GRID}, fit AS ({fitted('category')})"
 
 
 def coarse(rows, by):
-    return op.least_loss(op.score_grid(rows, by, op.cube(1.5, 0.5, 3), 0.05), by)
+    return op.least_loss(op.score_grid(rows, by, op.cube(3.0, 0.5, 3), 0.02), by)
+
+
+def refined(step: float, before: str, after: str) -> str:
+    """SQL of one round: the best of the 27 points a step around each category's best so far, with weights in [0, 3]."""
+    near = ", ".join(f"least(3, greatest(0, w{i} + d{i}.d)) AS w{i}" for i in (1, 2, 3))
+    grid = f"SELECT DISTINCT category, {near} FROM {before}, {', '.join(f'(SELECT unnest([-{step}::DOUBLE, 0, {step}]) AS d) d{i}' for i in (1, 2, 3))}"
+    sums = "sum(actual) AS a, sum(abs(greatest(0, w1 * s + w2 * c + w3 * rf) - actual)) AS e, sum(greatest(0, w1 * s + w2 * c + w3 * rf) - actual) AS d, sum(rf - actual) AS b"
+    loss = "round(e / a + 200 * pow(least(d / a - (least(b / a, 0) - 0.02), 0), 2), 9)"
+    scored = f"SELECT category, w1, w2, w3, {loss} AS loss FROM (SELECT p.category, w1, w2, w3, {sums} FROM parts p JOIN ({grid}) n ON n.category = p.category GROUP BY ALL)"
+    return f"{after} AS (SELECT * FROM ({scored}) QUALIFY row_number() OVER (PARTITION BY category ORDER BY loss, w1, w2, w3) = 1)"
+
 
+STEPS = [0.25, 0.125, 0.0625]
+FINE = ", ".join(refined(step, f"f{i}" if i else "fit", f"f{i + 1}") for i, step in enumerate(STEPS))
 
-@query(f"{COARSE}, d AS (SELECT unnest([-0.25::DOUBLE, 0, 0.25]) AS d), near AS (SELECT DISTINCT category, greatest(0, w1 + a.d) AS w1, greatest(0, w2 + b.d) AS w2, greatest(0, w3 + c.d) AS w3 FROM fit, d a, d b, d c), f2 AS (SELECT p.category, w1, w2, w3, sum(actual) AS a, sum(abs(greatest(0, w1 * s + w2 * c + w3 * rf) - actual)) AS e, sum(greatest(0, w1 * s + w2 * c + w3 * rf) - actual) AS d, sum(rf - actual) AS b FROM parts p JOIN near n ON n.category = p.category GROUP BY ALL), l2 AS (SELECT *, round(e / a + 200 * pow(least(d / a - (least(b / a, 0) - 0.05), 0), 2), 9) AS loss FROM f2) SELECT category, round(min(loss), 6) AS loss FROM l2 GROUP BY 1")
+
+@query(f"{COARSE}, {FINE} SELECT category, round(loss, 6) AS loss, round(w1, 6) AS w1, round(w2, 6) AS w2, round(w3, 6) AS w3 FROM f{len(STEPS)}")
 def blend_fit_asymmetric(spark, sf_dir):
-    # The grid of the SQL; the operator's own goes to 3 and to finer steps.
-    return rounded(op.fit_asymmetric(parts(spark, sf_dir), ["category"], top=1.5, fine=0.25, reach=1), "category", "loss")
+    # The operator's own last step is 1/1024; the rounds beyond these are alike.
+    fit = op.fit_asymmetric(parts(spark, sf_dir), ["category"], fine=STEPS[-1], reach=1)
+    return spread(fit.withColumn("loss", F.round("loss", 6)), "category", "loss")
+
+
+@query(f"{COARSE} SELECT category, '_default' AS segment, w1 AS w_s, w2 AS w_c, w3 AS w_rf FROM fit")
+def blend_weight_table_io(spark, sf_dir):
+    folder = f"{scratch(spark)}-{uuid.uuid4().hex[:6]}"
+    fit = coarse(parts(spark, sf_dir), ["category"])
+    fit.select("category", F.lit("_default").alias("segment"), *[F.col("weights")[i].alias(f"w_{p}") for i, p in enumerate(op.PARTS)]).write.parquet(folder)
+    return spark.read.parquet(folder)
 
 
 GUARD = f"{COARSE}, g AS (SELECT p.category, w1, w2, w3, sum(actual) AS a, sum(abs(greatest(0, w1 * s + w2 * c + w3 * rf) - actual)) AS e, sum(abs(rf - actual)) AS f, sum(greatest(0, w1 * s + w2 * c + w3 * rf) - actual) AS d, sum(rf - actual) AS b FROM parts p JOIN fit USING (category) GROUP BY ALL)"
 
 
-@query(f"{GUARD}, k AS (SELECT *, 1 - e / a >= 1 - f / a - 1e-3 + 0.2 AND d / a >= least(b / a, 0) - 0.05 AS keep FROM g) SELECT category, CASE WHEN keep THEN w1 ELSE 0 END::DOUBLE AS w1, CASE WHEN keep THEN w2 ELSE 0 END::DOUBLE AS w2, CASE WHEN keep THEN w3 ELSE 1 END::DOUBLE AS w3 FROM k")
+@query(f"{GUARD}, k AS (SELECT *, 1 - e / a >= 1 - f / a - 1e-3 + 0.2 AND d / a >= least(b / a, 0) - 0.02 AS keep FROM g) SELECT category, CASE WHEN keep THEN w1 ELSE 0 END::DOUBLE AS w1, CASE WHEN keep THEN w2 ELSE 0 END::DOUBLE AS w2, CASE WHEN keep THEN w3 ELSE 1 END::DOUBLE AS w3 FROM k")
 def blend_guardrail(spark, sf_dir):
     rows = parts(spark, sf_dir)
     return spread(op.guardrail(rows, coarse(rows, ["category"]), ["category"], margin=0.2), "category")
@@ -92,7 +106,7 @@ def blend_calibrated(spark, sf_dir):
 
 @query(f"{PARTS}, grid AS {GRID}, top AS (SELECT w1, w2, w3 FROM ({losses('1 AS one')}) ORDER BY loss, w1, w2, w3 LIMIT 1), pen AS (SELECT l.category, l.w1, l.w2, l.w3, round(loss + 0.05::DOUBLE * (abs(l.w1 - top.w1) + abs(l.w2 - top.w2) + abs(l.w3 - top.w3)), 9) AS loss FROM ({losses('category')}) l, top) SELECT category, w1, w2, w3 FROM pen QUALIFY row_number() OVER (PARTITION BY category ORDER BY loss, w1, w2, w3) = 1")
 def blend_hierarchical_penalty(spark, sf_dir):
-    return spread(op.fit_hierarchical(parts(spark, sf_dir), [[], ["category"]], op.cube(1.5, 0.5, 3), 0.05), "category")
+    return spread(op.fit_hierarchical(parts(spark, sf_dir), [[], ["category"]], op.cube(3.0, 0.5, 3), 0.05, 0.02), "category")
 
 
 @query(f"{PARTS}, k AS (SELECT key, (actual - rf) / (s - rf) AS k, abs(s - rf) AS w FROM parts WHERE s <> rf), u AS (SELECT *, sum(w) OVER (PARTITION BY key ORDER BY k) AS up, sum(w) OVER (PARTITION BY key) AS total FROM k) SELECT key, round(greatest(0, least(1, min(k))), 6) AS w1, 'ok' AS status FROM u WHERE 2 * up >= total GROUP BY 1")
@@ -165,7 +179,11 @@ def tsb(spark, sf_dir):
     return rounded(forecast.tsb(sparse(spark, sf_dir)), "key", "tsb")
 
 
-@query()
+#: Croston on each level's blocks, which end at the last period.
+IMAPA = f"{SPARSE}, sp AS (SELECT min(week_idx) AS a, max(week_idx) AS b FROM sparse), g AS (SELECT key, unnest(range(a, b + 1)) AS week_idx FROM (SELECT DISTINCT key FROM sparse), sp), l AS (SELECT g.key, list(coalesce(y, 0) ORDER BY g.week_idx) AS ys FROM g LEFT JOIN sparse s ON s.key = g.key AND s.week_idx = g.week_idx GROUP BY 1), v AS (SELECT *, len(ys) // level AS k FROM l, (SELECT unnest([1, 2, 4]) AS level)), b AS (SELECT key, level, k, list_transform(range(1, k + 1), lambda i: list_sum(ys[len(ys) - (k - i + 1) * level + 1 : len(ys) - (k - i) * level])) AS blocks FROM v WHERE k > 0), f AS (SELECT key, level, len(list_filter(blocks, lambda x: x > 0)) / k AS w, list_reduce(list_transform(blocks, lambda y: {{'y': y::DOUBLE, 'size': NULL::DOUBLE, 'gap': 0.0::DOUBLE, 'interval': NULL::DOUBLE}}), lambda s, x: {{'y': x.y, 'size': CASE WHEN x.y > 0 THEN coalesce(s.size + 0.1::DOUBLE * (x.y - s.size), x.y) ELSE s.size END, 'gap': CASE WHEN x.y > 0 THEN 0 ELSE s.gap + 1 END::DOUBLE, 'interval': CASE WHEN x.y > 0 THEN coalesce(s.interval + 0.1::DOUBLE * (s.gap + 1 - s.interval), s.gap + 1) ELSE s.interval END}}, {{'y': 0.0::DOUBLE, 'size': NULL::DOUBLE, 'gap': 0.0::DOUBLE, 'interval': NULL::DOUBLE}}) AS s FROM b)"
+
+
+@query(f"{IMAPA} SELECT key, round(coalesce(sum(coalesce(s.size / s.interval, 0) / level * w) / nullif(sum(w), 0), 0), 6) AS imapa FROM f GROUP BY 1")
 def imapa(spark, sf_dir):
     return rounded(forecast.imapa(panel.dense_grid(sparse(spark, sf_dir)), [1, 2, 4]), "key", "imapa")
 

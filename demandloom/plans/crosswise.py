@@ -61,7 +61,7 @@ def history_embeddings(spark, sf_dir):
     return rows.select("key", F.round("price_mean", 4).alias("price_mean"), F.round("price_sd", 4).alias("price_sd"), F.round("price_corr", 6).alias("price_corr"), F.round("price_slope", 5).alias("price_slope"))
 
 
-@query(f"{PART} SELECT key, sum(y) AS volume, round(avg(y) FILTER (y > 0), 6) AS nz_mean, round(count(*) FILTER (y > 0) / count(*), 6) AS nz_fraction, round(count(*) / count(*) FILTER (y > 0), 6) AS adi, round(pow(stddev_pop(y) FILTER (y > 0) / avg(y) FILTER (y > 0), 2), 6) AS cv2, round(max(y) / avg(y), 6) AS spike, coalesce(sum(y) FILTER (week_idx > 1652), 0) AS recent8 FROM panel GROUP BY 1")
+@query(f"{PART} SELECT key, sum(y) AS volume, round(avg(y) FILTER (y > 0), 6) AS nz_mean, round(count(*) FILTER (y > 0) / count(*), 6) AS nz_fraction, round(count(*) / count(*) FILTER (y > 0), 6) AS adi, round(greatest(count(*) FILTER (y > 0) * sum(y * y) FILTER (y > 0) / (sum(y) FILTER (y > 0) * sum(y) FILTER (y > 0)) - 1, 0), 6) AS cv2, round(max(y) / avg(y), 6) AS spike, coalesce(sum(y) FILTER (week_idx > 1652), 0) AS recent8 FROM panel GROUP BY 1")
 def forecastability_statics(spark, sf_dir):
     return rounded(op.forecastability(part_week(spark, sf_dir), 1660), "key", "volume", "nz_mean", "nz_fraction", "adi", "cv2", "spike", "recent8")
 

@@ -90,10 +90,11 @@ def default_lookup_join(spark, sf_dir):
     return op.with_weights(rows, weights, (0.0, 0.0, 1.0)).select("key", "week_idx", "w_s", "w_c", "w_rf")
 
 
-@query(f"{BRAND} SELECT key, year_week, y, 'y1997' AS snapshot FROM panel WHERE year_week // 100 = 1997 UNION ALL SELECT key, year_week, y, 'y1998' FROM panel WHERE year_week // 100 = 1998")
+@query(f"{BRAND} SELECT key, year_week, y, 'y' || (year_week // 100) AS snapshot FROM panel")
 def union_snapshots(spark, sf_dir):
     p = brand_week(spark, sf_dir).select("key", "year_week", "y")
-    return cleaning.union_tagged({f"y{y}": p.where(f"year_week div 100 = {y}") for y in (1997, 1998)}, "snapshot")
+    years = [r[0] for r in p.selectExpr("year_week div 100").distinct().collect()]
+    return cleaning.union_tagged({f"y{y}": p.where(f"year_week div 100 = {y}") for y in years}, "snapshot")
 
 
 @query(f"{PART}, d AS (SELECT key FROM panel GROUP BY key HAVING max(week_idx) < 1600), h AS (SELECT unnest(range(1660, 1673))::INT AS week_idx) SELECT key, week_idx, y AS predicted, false AS is_dead_key FROM panel WHERE week_idx >= 1660 UNION ALL SELECT key, week_idx, 0.0::DOUBLE, true FROM d, h")

@@ -142,9 +142,9 @@ def cross_series_correlation(spark, sf_dir):
     return rounded(op.cross_correlation(brand_week(spark, sf_dir), 8, 0.01), "a", "b", "corr")
 
 
-@query(f"{BRAND}, c AS (SELECT key, corr(price, y) AS p, corr(promo, y) AS q FROM panel GROUP BY 1) SELECT key, round(p, 6) AS corr_price, round(q, 6) AS corr_promo, round((coalesce(abs(p), 0) + coalesce(abs(q), 0)) / 2, 6) AS mean_strength, round(greatest(coalesce(abs(p), 0), coalesce(abs(q), 0)), 6) AS max_strength FROM c")
+@query(f"{BRAND}, c AS (SELECT key, corr(price, y) AS p, corr(promo, y) AS q FROM panel GROUP BY 1) SELECT key, round(p, 6) AS corr_price, round(q, 6) AS corr_promo, round((coalesce(abs(p), 0) + coalesce(abs(q), 0)) / 2, 6) AS mean_strength, round(greatest(coalesce(abs(p), 0), coalesce(abs(q), 0)), 6) AS max_strength, (coalesce(abs(p), 0) > 0.2)::INT + (coalesce(abs(q), 0) > 0.2)::INT AS n_strong FROM c")
 def external_response_profile(spark, sf_dir):
-    return rounded(op.response_profile(brand_week(spark, sf_dir), ["price", "promo"]), "key", "corr_price", "corr_promo", "mean_strength", "max_strength")
+    return rounded(op.response_profile(brand_week(spark, sf_dir), ["price", "promo"]), "key", "corr_price", "corr_promo", "mean_strength", "max_strength", "n_strong")
 
 
 @query(f"{BRAND}, d AS (SELECT DISTINCT week_start AS d FROM panel), g AS (SELECT date_diff('day', lag(d) OVER (ORDER BY d), d) AS g FROM d) SELECT quantile_cont(g, 0.5) AS gap, 'weekly' AS granularity, 52::INT AS season FROM g")
@@ -172,9 +172,9 @@ def discrete_demand(spark, sf_dir):
     return rounded(op.discrete_demand(part_week(spark, sf_dir)), "key", "n_levels", "base", "multiple_share", "discrete")
 
 
-@query(f"{ACF}, s AS (SELECT key, count(*) AS n, count(*) FILTER (y > 0) AS n_sold, avg(y) AS mean, stddev_samp(y) / avg(y) AS cv, regr_slope(y, week_idx) AS trend, (coalesce(abs(corr(price, y)), 0) > 0.3)::INT + (coalesce(abs(corr(promo, y)), 0) > 0.3)::INT AS n_related FROM panel GROUP BY 1) SELECT key, s.n, n_sold, round(mean, 6) AS mean, round(cv, 6) AS cv, round(trend, 6) AS trend, round(a1, 6) AS acf_1, n_related FROM s JOIN acf USING (key)")
+@query(f"{ACF}, s AS (SELECT key, count(*) AS n, count(*) FILTER (y > 0) AS n_sold, avg(y) AS mean, stddev_samp(y) / avg(y) AS cv, regr_slope(y, week_idx) AS trend, (coalesce(abs(corr(price, y)), 0) > 0.3)::INT + (coalesce(abs(corr(promo, y)), 0) > 0.3)::INT AS n_related FROM panel GROUP BY 1) SELECT key, s.n, n_sold, round(mean, 6) AS mean, round(cv, 6) AS cv, round(trend, 6) AS trend, round(a1, 6) AS acf_1, n_related, round(0.4::DOUBLE * least(s.n / 104, 1) + 0.3::DOUBLE * n_sold / s.n + 0.3::DOUBLE / (1 + coalesce(cv, 0)), 6) AS quality FROM s JOIN acf USING (key)")
 def key_characteristics(spark, sf_dir):
-    return rounded(op.characteristics(brand_week(spark, sf_dir), ["price", "promo"]), "key", "n", "n_sold", "mean", "cv", "trend", "acf_1", "n_related")
+    return rounded(op.quality_score(op.characteristics(brand_week(spark, sf_dir), ["price", "promo"])), "key", "n", "n_sold", "mean", "cv", "trend", "acf_1", "n_related", "quality")
 
 
 @query(f"{PART}, k AS (SELECT key, min(category) AS category, avg(y) AS mean, stddev_samp(y) / avg(y) AS cv FROM panel GROUP BY 1) SELECT key, count(*) OVER w AS group_size, round(mean / sum(mean) OVER w, 6) AS group_share, round(least(cv / avg(cv) OVER w, 10), 6) AS relative_cv, round(percent_rank() OVER (PARTITION BY category ORDER BY mean, key), 6) AS group_rank FROM k WINDOW w AS (PARTITION BY category)")

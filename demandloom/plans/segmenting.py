@@ -16,15 +16,15 @@ from demandloom.plans.registry import query
 def keys(spark, sf_dir):
     rows = sparse(spark, sf_dir)
     sold = rows.groupBy("key").agg(F.count_if(F.col("y") > 0).alias("n_sold"))
-    return op.segmentation_features(profile.series_statistics(rows).drop("tier")).join(sold, "key").withColumn("segment", F.concat_ws("|", "tier", "pattern"))
+    return op.segmentation_features(profile.statistics(rows)).join(sold, "key").withColumn("segment", F.concat_ws("|", "tier", "pattern"))
 
 
 KEYS = f"{STATS}, e AS (SELECT quantile_cont(total, 0.3) AS lo, quantile_cont(total, 0.7) AS hi FROM stats), k0 AS (SELECT *, CASE WHEN total <= lo THEN 'low' WHEN total <= hi THEN 'medium' ELSE 'high' END AS tier, cv * cv AS cv2, 0.5::DOUBLE * zero_fraction + 0.3::DOUBLE * least(adi / 10, 1) + 0.2::DOUBLE * least(coalesce(cv * cv, 0) / 2, 1) AS intermittency FROM stats, e), keys AS (SELECT *, 1 - intermittency AS forecastability, CASE WHEN adi <= 1.32 THEN CASE WHEN coalesce(cv2, 0) <= 0.49 THEN 'smooth' ELSE 'erratic' END WHEN coalesce(cv2, 0) <= 0.49 THEN 'intermittent' ELSE 'lumpy' END AS pattern, CASE WHEN n < 13 THEN 'new' WHEN n < 52 THEN 'growing' ELSE 'mature' END AS stage FROM k0)"
 
 
-@query(f"{KEYS} SELECT key, tier, pattern, stage, round(intermittency, 6) AS intermittency, round(forecastability, 6) AS forecastability FROM keys")
+@query(f"{KEYS} SELECT key, tier, pattern, stage, round(intermittency, 6) AS intermittency, round(forecastability, 6) AS forecastability, round(1 / (1 + sqrt(coalesce(cv2, 0))), 6) AS stability, round((intermittency + 1 - 1 / (1 + sqrt(coalesce(cv2, 0)))) / 2, 6) AS complexity FROM keys")
 def segmentation_features(spark, sf_dir):
-    return rounded(keys(spark, sf_dir), "key", "tier", "pattern", "stage", "intermittency", "forecastability")
+    return rounded(keys(spark, sf_dir), "key", "tier", "pattern", "stage", "intermittency", "forecastability", "stability", "complexity")
 
 
 MEASURES = ["total", "adi", "zero_fraction"]
@@ -41,17 +41,25 @@ def cluster_keys(spark, sf_dir):
     return op.clustered(op.scaled(keys(spark, sf_dir), MEASURES)).select("key", "cluster")
 
 
-@query(f"{KEYS}, b AS (SELECT *, CASE pattern WHEN 'lumpy' THEN 3 WHEN 'erratic' THEN 2 WHEN 'intermittent' THEN 1 ELSE 0 END * 3 + CASE tier WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END AS cluster FROM keys), c AS (SELECT cluster, count(*) AS n, avg(zero_fraction) AS z, avg(forecastability) AS f FROM b GROUP BY 1), g AS (SELECT *, n < least(80, 0.1::DOUBLE * (SELECT sum(n) FROM c)) AS small FROM c), t AS (SELECT a.cluster, arg_min(l.cluster, struct_pack(d := pow(a.z - l.z, 2) + pow(a.f - l.f, 2), c := l.cluster)) AS goal FROM g a JOIN g l ON NOT l.small AND (a.small OR a.cluster = l.cluster) GROUP BY 1), m AS (SELECT key, goal FROM b JOIN t USING (cluster)), o AS (SELECT goal, row_number() OVER (ORDER BY count(*) DESC, goal) - 1 AS segment_id FROM m GROUP BY 1) SELECT key, segment_id::INT AS segment_id FROM m JOIN o USING (goal)")
-def merge_small_segments(spark, sf_dir):
+MERGED = f"{KEYS}, b AS (SELECT *, CASE pattern WHEN 'lumpy' THEN 3 WHEN 'erratic' THEN 2 WHEN 'intermittent' THEN 1 ELSE 0 END * 3 + CASE tier WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END AS cluster FROM keys), c AS (SELECT cluster, count(*) AS n, avg(zero_fraction) AS z, avg(forecastability) AS f FROM b GROUP BY 1), g AS (SELECT *, n < least(80, 0.1::DOUBLE * (SELECT sum(n) FROM c)) AND row_number() OVER (ORDER BY n DESC, cluster) > 2 AS small FROM c), t AS (SELECT a.cluster, arg_min(l.cluster, struct_pack(d := pow(a.z - l.z, 2) + pow(a.f - l.f, 2), c := l.cluster)) AS goal FROM g a JOIN g l ON NOT l.small AND (a.small OR a.cluster = l.cluster) GROUP BY 1), m AS (SELECT key, goal FROM b JOIN t USING (cluster)), o AS (SELECT goal, row_number() OVER (ORDER BY count(*) DESC, goal) - 1 AS segment_id FROM m GROUP BY 1)"
+
+
+def merged(spark, sf_dir):
     number = F.expr("CASE pattern WHEN 'lumpy' THEN 3 WHEN 'erratic' THEN 2 WHEN 'intermittent' THEN 1 ELSE 0 END * 3 + CASE tier WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END")
-    return op.merge_small(keys(spark, sf_dir).withColumn("cluster", number), ["zero_fraction", "forecastability"]).select("key", "segment_id")
+    return op.merge_small(keys(spark, sf_dir).withColumn("cluster", number), ["zero_fraction", "forecastability"])
 
 
-HYBRID = f"{KEYS}, hs AS (SELECT *, '0|' || tier || '|' || pattern AS s, CASE WHEN pattern IN ('smooth', 'erratic') THEN 'regular' ELSE 'sparse' END AS f FROM keys), c AS (SELECT s, f, count(*) AS n FROM hs GROUP BY 1, 2), b AS (SELECT f, s AS bs, n AS bn FROM c QUALIFY row_number() OVER (PARTITION BY f ORDER BY n DESC, s DESC) = 1), o AS (SELECT s AS os FROM c ORDER BY n DESC, s DESC LIMIT 1), hybrid AS (SELECT keys.*, CASE WHEN c.n >= 60 THEN c.s WHEN bn >= 60 THEN bs ELSE os END AS segment FROM hs keys JOIN c USING (s, f) JOIN b USING (f), o)"
+@query(f"{MERGED} SELECT key, segment_id::INT AS segment_id FROM m JOIN o USING (goal)")
+def merge_small_segments(spark, sf_dir):
+    return merged(spark, sf_dir).select("key", "segment_id")
+
+
+#: The clusters are the merged segments.
+HYBRID = f"{MERGED}, hs AS (SELECT keys.*, segment_id || '|' || tier || '|' || pattern AS s, CASE WHEN pattern IN ('smooth', 'erratic') THEN 'regular' ELSE 'sparse' END AS f FROM keys JOIN m USING (key) JOIN o USING (goal)), hc AS (SELECT s, f, count(*) AS n FROM hs GROUP BY 1, 2), hb AS (SELECT f, s AS bs, n AS bn FROM hc QUALIFY row_number() OVER (PARTITION BY f ORDER BY n DESC, s DESC) = 1), ho AS (SELECT s AS os FROM hc ORDER BY n DESC, s DESC LIMIT 1), hybrid AS (SELECT keys.*, CASE WHEN hc.n >= 60 THEN hc.s WHEN bn >= 60 THEN bs ELSE os END AS segment FROM hs keys JOIN hc USING (s, f) JOIN hb USING (f), ho)"
 
 
 def hybrid(spark, sf_dir):
-    return op.hybrid_segments(keys(spark, sf_dir).drop("segment").withColumn("cluster", F.lit(0)), 60)
+    return op.hybrid_segments(merged(spark, sf_dir).drop("segment"), 60, "segment_id")
 
 
 @query(f"{HYBRID} SELECT key, segment FROM hybrid")
@@ -78,11 +86,20 @@ def update_manifest(spark, sf_dir):
     return op.updated_manifest(old, rows.where("l_partkey % 2 = 0 or l_partkey % 3 = 0").select(F.col("l_partkey").cast("string").alias("key"), F.lit("new").alias("segment")))
 
 
-@query(f"{KEYS}, n AS (SELECT key, count(*) FILTER (y > 0) AS n_sold FROM sparse GROUP BY 1), r AS (SELECT k.*, n_sold, total >= (SELECT quantile_cont(total, 0.9) FROM keys) AS top FROM keys k JOIN n USING (key)), q AS (SELECT *, CASE WHEN top THEN 2000 ELSE floor(forecastability * 1000)::INT END AS step FROM r WHERE CASE WHEN top THEN n >= 20 ELSE forecastability >= 0.6 AND n >= 20 AND n_sold >= 5 AND zero_fraction <= 0.7 END), st AS (SELECT step, sum(count(*)) OVER (ORDER BY step DESC) AS up FROM q GROUP BY 1), c AS (SELECT min(step) AS cut FROM st WHERE up <= 0.3 * (SELECT count(*) FROM keys) OR step = 2000) SELECT r.key, CASE WHEN q.key IS NOT NULL AND step >= cut THEN 'individual' ELSE 'segment' END AS level FROM r LEFT JOIN q USING (key), c")
+#: Individual keys in one order: kept ones first, then the best scores, ties by the hash of the key.
+LEVELS = f"{KEYS}, ns AS (SELECT key, count(*) FILTER (y > 0) AS n_sold FROM sparse GROUP BY 1), r AS (SELECT k.*, n_sold, tier || '|' || pattern AS segment, total >= (SELECT quantile_cont(total, 0.9) FROM keys) AS top, n >= 20 AND n_sold >= 5 AND zero_fraction <= 0.7 AS gates FROM keys k JOIN ns USING (key)), q AS (SELECT *, top AND n >= 20 OR {{over}} AS kept FROM r WHERE CASE WHEN top THEN n >= 20 ELSE false END OR (forecastability >= 0.6 OR {{over}}) AND gates), pl AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN kept THEN 1e9 ELSE forecastability END DESC, ('0x' || substr(md5(key), 1, 13))::BIGINT) AS place FROM q), chosen AS (SELECT key, segment, kept FROM pl WHERE kept OR place <= floor({{share}} * (SELECT count(*) FROM keys)))"
+
+
+@query(f"{LEVELS.format(over='false', share='0.3::DOUBLE')} SELECT r.key, CASE WHEN c.key IS NOT NULL THEN 'individual' ELSE 'segment' END AS level FROM r LEFT JOIN chosen c USING (key)")
 def model_level_allocation(spark, sf_dir):
     return op.model_levels(keys(spark, sf_dir), least_obs=20, least_sold=5).select("key", "level")
 
 
+@query(f"{LEVELS.format(over='forecastability >= 0.9 AND gates', share='0.25::DOUBLE')}, sl AS (SELECT r.segment, count(*) - count(c.key) AS rest FROM r LEFT JOIN chosen c USING (key) GROUP BY 1) SELECT r.key, CASE WHEN c.key IS NOT NULL AND (rest >= 10 OR c.kept) THEN 'individual' ELSE 'segment' END AS level FROM r LEFT JOIN chosen c USING (key) JOIN sl ON sl.segment = r.segment")
+def model_level_allocation_overrides(spark, sf_dir):
+    return op.model_levels(keys(spark, sf_dir), most_share=0.25, least_obs=20, least_sold=5, override=0.9, least_segment=10).select("key", "level")
+
+
 @query(f"{KEYS} SELECT key, round((total - avg(total) OVER w) / nullif(stddev_samp(total) OVER w, 0), 6) AS z, round(total / nullif(avg(total) OVER w, 0), 6) AS ratio FROM keys WINDOW w AS (PARTITION BY tier, pattern)")
 def segment_relative_metrics(spark, sf_dir):
     return rounded(op.relative_to_segment(keys(spark, sf_dir), "total"), "key", "z", "ratio")
@@ -141,9 +158,15 @@ def pooled_direct_forecast(spark, sf_dir):
     return rounded(models.pooled_forecast(brand_week(spark, sf_dir), 1608), "key", "h", "target_idx", "actual", "predicted")
 
 
+@query()
+def pooled_scoped_forecast(spark, sf_dir):
+    rows = brand_week(spark, sf_dir).withColumn("category", F.expr("if(key < 'Brand#3', 'A', 'B')")).withColumn("segment", F.expr("if(key < 'Brand#13', 'few', 'many')"))
+    return rounded(models.scoped_forecast(rows, 1608, [(["category"], 50), (["category", "segment"], 400)], horizons=1), "key", "h", "scope", "actual", "predicted")
+
+
 @query()
 def stacked_origin_forecast(spark, sf_dir):
-    return rounded(models.stacked(brand_week(spark, sf_dir), 1608), "key", "h", "actual", "predicted")
+    return rounded(models.stacked(brand_week(spark, sf_dir).withColumn("category", F.substring("key", 7, 1)), 1608), "key", "h", "actual", "predicted")
 
 
 @query()
