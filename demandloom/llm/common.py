@@ -106,16 +106,31 @@ def semi(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     return rows.where(F.col(key).isNotNull()).join(F.broadcast(ids) if few else ids, F.col(key) == F.col("_id"), "left_semi")
 
 
-def tidied(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """function for mapInArrow, after which free memory goes back to the system: a worker would hold it from task to task and stage to stage."""
+#: Functions with a cache that a worker keeps from task to task, by name.
+CACHES: dict[str, Callable] = {}
+
+
+def trimmed() -> None:
+    """Gives free memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has this call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidied(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """function for mapInArrow, after which free memory goes back to the system: a worker would hold it from task to task and stage to stage. Caches that
+    the worker has of other stages are dropped first; keeps: the one that is of use here."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others = [c for name, c in CACHES.items() if name != keeps and c.cache_info().currsize]
+        for c in others:
+            c.cache_clear()
+        if others:
+            trimmed()
         try:
             yield from function(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # only glibc has this call
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            trimmed()
 
     return each
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import cut, pick, tidied
+from .common import CACHES, cut, pick, tidied
 
 #: A tokenizer that drops white space and splits at it, so that words can be encoded one by one.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -103,6 +103,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+CACHES["encoder"] = encoder
+
+
 def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, longest: int = 2048, end_id: int = 0, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The token ids of every document, cut into pieces of at most `longest`: doc_id, piece, start, length, ids (binary, little-endian unsigned 32-bit).
 
@@ -134,7 +137,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, longest: int = 2048, end
         arrays = [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())]
         return pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids"])
 
-    return source.mapInArrow(tidied(each), f"doc_id {kind}, piece int, start long, length long, ids binary")
+    return source.mapInArrow(tidied(each, "encoder"), f"doc_id {kind}, piece int, start long, length long, ids binary")
 
 
 def lengths(docs: DataFrame, tokenizer: str = TOKENIZER, text: str = "text") -> DataFrame:
@@ -145,7 +148,7 @@ def lengths(docs: DataFrame, tokenizer: str = TOKENIZER, text: str = "text") ->
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([len(ids) // 4 for ids in encode(batch.column("text").to_pylist())], pa.int64())], ["n_tokens"])
 
-    return pick(docs, text).toDF("text").mapInArrow(tidied(each), "n_tokens long")
+    return pick(docs, text).toDF("text").mapInArrow(tidied(each, "encoder"), "n_tokens long")
 
 
 #: Lengths that share their upper digits are summed first, so that no task needs all distinct lengths in order.

@@ -85,8 +85,11 @@ def fit(flat: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.ndarray, p
         return out
     used = np.bincount(flat, minlength=FEATURES) >= LEAST_DOCS
     keep = used[flat]
-    row = np.repeat(np.arange(len(y)), ends)[keep]
-    columns, at = np.unique(flat[keep], return_inverse=True)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), ends)[keep]
+    columns = np.flatnonzero(np.bincount(flat[keep], minlength=FEATURES))
+    place = np.zeros(FEATURES, np.int32)
+    place[columns] = np.arange(len(columns))
+    at = place[flat[keep]]
     dense = np.c_[logit(before), np.ones(len(y))]
     rate = y.mean()
     weight = np.where(y > 0, 0.5 / rate, 0.5 / (1 - rate))
@@ -133,13 +136,14 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([terms.of(t) for t in b.column("text").to_pylist()], pa.list_(pa.int64()))], [*b.schema.names[:-1], "buckets"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([terms.of(t).astype(np.int32) for t in b.column("text").to_pylist()], pa.list_(pa.int32()))], [*b.schema.names[:-1], "buckets"])
 
     def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         weights = []
         if held:
             t = pa.Table.from_batches(held).combine_chunks().sort_by("id")
+            held.clear()
             lists = t.column("buckets").combine_chunks()
             ends, flat = np.asarray(lists.value_lengths()), lists.flatten().to_numpy()
             fold = np.array([xxhash.xxh32_intdigest(str(i)) % folds for i in t.column("id").to_pylist()])
@@ -156,7 +160,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES
 
     kind = ", ".join(f"{c} double" for c in names)
     # The one task has `most` rows at most.
-    one = rows.mapInArrow(tidied(buckets), f"id {dict(named.dtypes)['id']}, {kind}, buckets array<long>").repartition(1).mapInArrow(tidied(trained), "category string, weights binary")
+    one = rows.mapInArrow(tidied(buckets), f"id {dict(named.dtypes)['id']}, {kind}, buckets array<int>").repartition(1).mapInArrow(tidied(trained), "category string, weights binary")
     found = {r.category: np.frombuffer(r.weights) for r in one.collect()}
     return {c: found[c] for c in names}
 
