@@ -74,6 +74,11 @@ def loss(p: np.ndarray, y: np.ndarray) -> float:
     return sum(-np.log(x).mean() / 2 for x in (q[y > 0], 1 - q[y == 0]) if len(x))
 
 
+def run_starts(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.empty(0, np.intp)
+
+
 def fit(flat: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.ndarray, penalty: float = PENALTIES[0]) -> np.ndarray:
     """Weights of the terms, of the logits of the probabilities before, and the intercept, by full-batch Adam.
 
@@ -87,18 +92,28 @@ def fit(flat: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.ndarray, p
     keep = used[flat]
     row = np.repeat(np.arange(len(y), dtype=np.int32), ends)[keep]
     columns = np.flatnonzero(np.bincount(flat[keep], minlength=FEATURES))
-    place = np.zeros(FEATURES, np.int32)
+    place = np.zeros(FEATURES, np.intp)
     place[columns] = np.arange(len(columns))
     at = place[flat[keep]]
+    # Sums over runs, by row and by column: both orders are kept, as scattered additions take several times as long.
+    by_column = np.argsort(at, kind="stable")
+    row_of = row[by_column].astype(np.intp)
+    column_starts = run_starts(at[by_column])
+    row_starts = run_starts(row)
+    rows = row[row_starts]
+    del keep, by_column, row
     dense = np.c_[logit(before), np.ones(len(y))]
     rate = y.mean()
     weight = np.where(y > 0, 0.5 / rate, 0.5 / (1 - rate))
     w = np.zeros(len(columns) + dense.shape[1])
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
-        margin = np.bincount(row, weights=w[at], minlength=len(y)) + dense @ w[len(columns) :]
+        margin = dense @ w[len(columns) :]
+        if len(columns):
+            margin[rows] += np.add.reduceat(w[at], row_starts)
         error = weight * (probability(margin) - y) / len(y)
-        grad = np.r_[np.bincount(at, weights=error[row], minlength=len(columns)), dense.T @ error]
+        terms = np.add.reduceat(error[row_of], column_starts) if len(columns) else np.empty(0)
+        grad = np.r_[terms, dense.T @ error]
         grad[: len(columns)] += penalty * w[: len(columns)]
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
