@@ -143,17 +143,22 @@ def checks(df: DataFrame, target: float = 0.3, most_bias: float = 0.1, worst: fl
 
 
 def origins(df: DataFrame, first: int, last: int, horizon: int, time: str = "week_idx") -> DataFrame:
-    """origin, cutoff, test_start, test_end: cutoffs that move on by one period; ends no later than the last."""
-    spark = df.sparkSession
-    return spark.range(last - first + 1).select(F.col("id").cast("int").alias("origin"), (F.col("id") + first).cast("int").alias("cutoff"), (F.col("id") + first + 1).cast("int").alias("test_start"), F.least(F.col("id") + first + horizon, F.lit(last + 1)).cast("int").alias("test_end"))
+    """origin, cutoff, test_start, test_end: the periods from first to last that df has, as cutoffs; ends no later than the last's next."""
+    cutoffs = df.where(F.col(time).between(first, last)).select(F.col(time).cast("int").alias("cutoff")).distinct()
+    return cutoffs.select((F.col("cutoff") - first).alias("origin"), "cutoff", (F.col("cutoff") + 1).alias("test_start"), F.least(F.col("cutoff") + horizon, F.lit(last + 1)).alias("test_end"))
 
 
 def rolling_backtest(df: DataFrame, cutoffs: DataFrame, horizon: int, key: str = "key", time: str = "week_idx", target: str = "y") -> DataFrame:
     """cutoff, h, n, wape_mean, wape_last: 13-period mean and last value as known at each of a few cutoffs, against what came."""
     c = F.broadcast(cutoffs.select("cutoff"))
-    past = df.join(c, (F.col(time) <= F.col("cutoff")) & (F.col(time) > F.col("cutoff") - 13))
+
+    def at(start: Column, end: Column) -> DataFrame:
+        """Each row once for every cutoff from start to end."""
+        return df.withColumn("cutoff", F.explode(F.sequence(start, end))).join(c, "cutoff")
+
+    past = at(F.col(time), F.col(time) + 12)
     known = past.groupBy("cutoff", key).agg(F.avg(target).alias("mean"), F.max_by(target, time).alias("last"))
-    future = df.join(c, (F.col(time) > F.col("cutoff")) & (F.col(time) <= F.col("cutoff") + horizon)).select("cutoff", key, (F.col(time) - F.col("cutoff")).alias("h"), F.col(target).alias("actual"))
+    future = at(F.col(time) - horizon, F.col(time) - 1).select("cutoff", key, (F.col(time) - F.col("cutoff")).alias("h"), F.col(target).alias("actual"))
     both = future.join(known, ["cutoff", key])
     e = lambda p: ratio(F.sum(F.abs(F.col(p) - F.col("actual"))), F.sum("actual"))
     return both.groupBy("cutoff", "h").agg(F.count("*").alias("n"), e("mean").alias("wape_mean"), e("last").alias("wape_last"))
