@@ -8,7 +8,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -142,6 +144,28 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield b.slice(at, rows)
 
 
+def runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple, pa.Table]]:
+    """The key values and the rows of each run of equal keys, across batches; one run is held at a time."""
+    now, parts = None, []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        columns = [b.column(k) for k in keys]
+        change = np.zeros(b.num_rows - 1, bool)
+        for c in columns:
+            change |= pc.not_equal(c.slice(1), c.slice(0, b.num_rows - 1)).to_numpy(zero_copy_only=False)
+        starts = [0, *(np.flatnonzero(change) + 1).tolist(), b.num_rows]
+        for at, end in zip(starts, starts[1:], strict=False):
+            key = tuple(c[at].as_py() for c in columns)
+            if key != now and parts:
+                yield now, pa.Table.from_batches(parts)
+                parts = []
+            now = key
+            parts.append(b.slice(at, end - at))
+    if parts:
+        yield now, pa.Table.from_batches(parts)
+
+
 def words(text: Column) -> Column:
     """The words `[^\\x20\\x09-\\x0D]+` of a text, in order; none for null or blank texts."""
     bare = F.btrim(text, F.lit(BLANKS))

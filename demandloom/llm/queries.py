@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, search, sharding, simhash, substrings, tokens, toxicity, warc
+from . import merkle, mixing, packing, quality, search, sharding, simhash, substrings, tokens, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,33 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    siblings = F.array_join(F.transform("proof", lambda s: F.concat(s["left"], s["right"])), "")
+    done = merkle.tampered(table(spark, sf_dir, "documents"))
+    return done.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), "folded_root", "verified", F.size("copies").alias("n_copied"))
+
+
+#: A table of CRC-32 by half bytes, made by the rule of the polynomial.
+CRC_TABLE = "SELECT list_transform(range(0, 16), lambda i: list_reduce([i, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t"
+
+
+def leaf_sql(text: str) -> str:
+    """SQL of a document's leaf, with this column for its text."""
+    fields = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+def folding_sql(nodes: str, runs: str, start: str, name: str) -> str:
+    """SQL of recursive tables: `runs` of the siblings in a table of nodes (tree, lvl, pos, n, h), and `name`, rows of start (r, tree, lvl, pos, cur, was, proof) carried upwards."""
+    left, right = f"{runs}.hs[1:pos % 8]", f"{runs}.hs[pos % 8 + 2:]"
+    return f"""{runs} AS (SELECT tree, lvl, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM {nodes} WHERE n > 1 GROUP BY ALL),
+        {name} AS ({start}
+            UNION ALL
+            SELECT r, f.tree, f.lvl + 1, pos // 8, sha256(array_to_string({left}, '') || cur || array_to_string({right}, '')),
+                sha256(array_to_string({left}, '') || was || array_to_string({right}, '')), proof || array_to_string({left}, '') || array_to_string({right}, '')
+            FROM {name} f JOIN {runs} ON {runs}.tree = f.tree AND {runs}.lvl = f.lvl AND {runs}.run = f.pos // 8)"""
+
+
 def feistel_sql(rows: str) -> str:
     """SQL of the permutation of sharding.py: rows (id, x, a, b, n) with x put through all rounds."""
     sql = f"SELECT id, a, b, n, x // b AS u, x % b AS l FROM ({rows})"
@@ -82,7 +109,7 @@ def feistel_sql(rows: str) -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_mixing, op4_substrings, op5_toxicity, op6_sharding, op7_token_counts, op8_quality, op9_top_k, op10_warc)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_mixing, op4_substrings, op5_toxicity, op6_sharding, op7_token_counts, op8_quality, op9_top_k, op10_warc, op12_merkle)
 }
 
 ORACLES: dict[str, str] = {
@@ -115,9 +142,9 @@ ORACLES: dict[str, str] = {
         o AS (SELECT doc_id, len(w) AS n_words, coalesce(len(p), 0) AS n_removed,
             CASE WHEN p IS NULL THEN w ELSE list_filter(w, lambda x, n: NOT list_contains(p, n)) END AS kept FROM d LEFT JOIN g USING (r))
         SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM o""",
-    # CRC-32 by half bytes, the lower one first; its table is made by the rule of the polynomial.
+    # CRC-32 by half bytes, the lower one first.
     "op6_sharding": f"""
-        WITH RECURSIVE t AS (SELECT list_transform(range(0, 16), lambda i: list_reduce([i, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        WITH RECURSIVE t AS ({CRC_TABLE}),
         d AS (SELECT row_number() OVER () AS id, doc_id, encode(coalesce(text, '')) AS body FROM documents),
         h AS (SELECT id, doc_id, octet_length(body) + 16 AS size, string_split(hex(body), '') AS h FROM d),
         c AS (SELECT id, doc_id, size, CASE WHEN size = 16 THEN 0 ELSE xor(4294967295, list_reduce(
@@ -146,4 +173,24 @@ ORACLES: dict[str, str] = {
         SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
             CASE WHEN last IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN last IS DISTINCT FROM page_id THEN last END AS refers_to FROM m""",
+    "op12_merkle": f"""
+        WITH RECURSIVE t AS ({CRC_TABLE}),
+        d AS (SELECT *, row_number() OVER () AS r, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, string_split(hex(encode(doc_id::VARCHAR)), '') AS x FROM documents),
+        l AS (SELECT r, doc_id, coalesce('=' || lang, '-') AS tree, {leaf_sql("text")} AS leaf,
+            CASE WHEN xor(4294967295, list_reduce(
+                list_prepend(4294967295, list_transform(range(0, len(x)), lambda i: (strpos('0123456789ABCDEF', x[xor(i, 1) + 1]) - 1)::BIGINT)),
+                lambda c, y: xor(c >> 4, t[(xor(c, y) & 15) + 1]))) % 3 = 0 THEN {leaf_sql("low")} END AS shown FROM d, t),
+        o AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, shown NULLS FIRST) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM l),
+        a AS (SELECT tree, 0 AS lvl, pos, n, leaf AS h FROM o
+            UNION ALL SELECT tree, lvl + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM a WHERE n > 1 GROUP BY tree, lvl, pos // 8),
+        s AS (SELECT tree AS own, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, h FROM a WHERE n = 1),
+        b AS (SELECT '' AS tree, 0 AS lvl, pos, n, h FROM s
+            UNION ALL SELECT tree, lvl + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM b WHERE n > 1 GROUP BY tree, lvl, pos // 8),
+        {folding_sql("a", "ar", "SELECT r, tree, 0 AS lvl, pos, coalesce(shown, leaf) AS cur, leaf AS was, '' AS proof FROM o", "p")},
+        pt AS (SELECT r, tree, cur, was, proof FROM p QUALIFY row_number() OVER (PARTITION BY r ORDER BY lvl DESC) = 1),
+        {folding_sql("b", "br", "SELECT r, '' AS tree, 0 AS lvl, s.pos, cur, was, proof FROM pt JOIN s ON s.own = pt.tree", "q")},
+        qt AS (SELECT r, lvl, cur, was, proof FROM q QUALIFY row_number() OVER (PARTITION BY r ORDER BY lvl DESC) = 1)
+        SELECT o.doc_id, o.leaf, pt.was AS subroot, b.h AS root, sha256(qt.proof) AS proof_sha256, qt.cur AS folded_root, qt.cur = b.h AS verified,
+            (qt.lvl + (SELECT max(lvl) FROM p WHERE p.r = o.r))::INT AS n_copied
+        FROM o JOIN pt USING (r) JOIN qt USING (r), b WHERE b.n = 1""",
 }
