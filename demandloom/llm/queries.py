@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import merkle, mixing, packing, quality, search, sharding, simhash, substrings, tokens, toxicity, warc
+from . import merkle, mixing, negatives, packing, quality, search, sharding, simhash, substrings, tokens, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    rows = negatives.labelled(vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
+    return negatives.mine(rows.where("vec_id % 100 = 0"), rows)
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     siblings = F.array_join(F.transform("proof", lambda s: F.concat(s["left"], s["right"])), "")
     done = merkle.tampered(table(spark, sf_dir, "documents"))
@@ -109,7 +115,7 @@ def feistel_sql(rows: str) -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_mixing, op4_substrings, op5_toxicity, op6_sharding, op7_token_counts, op8_quality, op9_top_k, op10_warc, op12_merkle)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_mixing, op4_substrings, op5_toxicity, op6_sharding, op7_token_counts, op8_quality, op9_top_k, op10_warc, op11_negatives, op12_merkle)
 }
 
 ORACLES: dict[str, str] = {
@@ -173,6 +179,21 @@ ORACLES: dict[str, str] = {
         SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
             CASE WHEN last IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN last IS DISTINCT FROM page_id THEN last END AS refers_to FROM m""",
+    "op11_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+            FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (
+            SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+                row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+            FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+        SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
     "op12_merkle": f"""
         WITH RECURSIVE t AS ({CRC_TABLE}),
         d AS (SELECT *, row_number() OVER () AS r, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, string_split(hex(encode(doc_id::VARCHAR)), '') AS x FROM documents),
