@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import merkle, mixing, negatives, packing, quality, search, sharding, simhash, substrings, tokens, toxicity, warc
+from . import merkle, mixing, negatives, packing, quality, ranking, search, sharding, simhash, substrings, tokens, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,11 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), "folded_root", "verified", F.size("copies").alias("n_copied"))
 
 
+def op13_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apart = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return ranking.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), apart)
+
+
 #: A table of CRC-32 by half bytes, made by the rule of the polynomial.
 CRC_TABLE = "SELECT list_transform(range(0, 16), lambda i: list_reduce([i, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t"
 
@@ -115,7 +120,7 @@ def feistel_sql(rows: str) -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_mixing, op4_substrings, op5_toxicity, op6_sharding, op7_token_counts, op8_quality, op9_top_k, op10_warc, op11_negatives, op12_merkle)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_mixing, op4_substrings, op5_toxicity, op6_sharding, op7_token_counts, op8_quality, op9_top_k, op10_warc, op11_negatives, op12_merkle, op13_ranking)
 }
 
 ORACLES: dict[str, str] = {
