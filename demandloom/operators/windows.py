@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from demandloom.operators.orders import decayed_sums, moving_quantiles
+
 KEY, TIME, TARGET = "key", "week_idx", "y"
 
 
@@ -39,7 +41,7 @@ def framed(f: Column, first: int, last: int, least: int = 1, counted: str | Colu
     return F.when(F.count(counted).over(w) >= least, f.over(w))
 
 
-AGGREGATES = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "sum": F.sum, "median": lambda c: F.percentile(c, 0.5)}
+AGGREGATES = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "sum": F.sum}
 
 
 def lag_features(df: DataFrame, lags: list[int], least: int = 1) -> DataFrame:
@@ -70,33 +72,52 @@ def seasonal_lags(df: DataFrame, season: int = 52, quarter: int = 13) -> DataFra
 
 def rolling(df: DataFrame, windows: list[int], aggregates: list[str], shift: int = 1, least: int = 1) -> DataFrame:
     """roll_{aggregate}_{W} over the W rows that end shift rows before."""
-    return df.withColumns({f"roll_{a}_{w}": framed(AGGREGATES[a](TARGET), -(w + shift - 1), -shift, least) for w in windows for a in aggregates})
+    medians = {f"roll_median_{w}": (TARGET, -(w + shift - 1), -shift, 0.5) for w in windows if "median" in aggregates}
+    df = moving_quantiles(df, medians) if medians else df
+    out = {f"roll_{a}_{w}": framed(AGGREGATES[a](TARGET), -(w + shift - 1), -shift, least) for w in windows for a in aggregates if a != "median"}
+    there = {n: F.when(F.count(TARGET).over(by_key().rowsBetween(first, last)) >= least, F.col(n)) for n, (_, first, last, _) in medians.items()}
+    return df.withColumns(out | there)
 
 
 def ewm(df: DataFrame, spans: list[int], shift: int = 1, adjust: bool = True) -> DataFrame:
-    """ewm_{span}: exponentially weighted mean up to shift rows before; rows whose weight is under 1e-12 are left out."""
-    def mean(span: int) -> Column:
+    """ewm_{span}, ewm_std_{span}: exponentially weighted mean and deviation up to shift rows before, the deviation without bias and null for one value.
+
+    Rows of a null value count in the distance of those before. Without adjust the first value has the weight of all that would come before it.
+    """
+    terms, y = {}, F.col(TARGET)
+    # Squares are taken of the distance from the key's first value: a common level would cost digits.
+    df = df.withColumn("_base", F.first(TARGET, ignorenulls=True).over(by_key().rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).withColumn("_y", y - F.col("_base"))
+    df = df.withColumn("_first", F.count(TARGET).over(by_key().rowsBetween(W.unboundedPreceding, -1)) == 0)
+    for span in spans:
         a = 2 / (span + 1)
-        values = F.collect_list(TARGET).over(by_key().rowsBetween(-math.ceil(math.log(1e-12) / math.log(1 - a)) - shift, -shift))
-        if not adjust:
-            return F.aggregate(values, F.lit(None).cast("double"), lambda s, x: F.coalesce(s * (1 - a) + x * a, x))
-        start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("d"))
-        return F.aggregate(values, start, lambda s, x: F.struct((s["n"] * (1 - a) + x).alias("n"), (s["d"] * (1 - a) + 1).alias("d")), lambda s: s["n"] / F.when(s["d"] > 0, s["d"]))
-
-    return df.withColumns({f"ewm_{span}": mean(span) for span in spans})
+        w = F.when(y.isNotNull(), 1.0 if adjust else F.when(F.col("_first"), 1.0).otherwise(a))
+        terms |= {f"_{k}_{span}": (t, (1 - a) ** p) for k, t, p in (("w", w, 1), ("wx", w * F.col("_y"), 1), ("wxx", w * F.col("_y") * F.col("_y"), 1), ("ww", w * w, 2))}
+    df = decayed_sums(df, terms)
+    out = {}
+    for span in spans:
+        w, wx, wxx, ww = (F.lag(f"_{k}_{span}", shift).over(by_key()) for k in ("w", "wx", "wxx", "ww"))
+        mean = divided(wx, w)
+        rest = w * w - ww
+        variance = F.greatest(divided(wxx, w) - mean * mean, F.lit(0.0)) * w * w / F.when(rest > 1e-12 * w * w, rest)
+        out |= {f"ewm_{span}": F.col("_base") + mean, f"ewm_std_{span}": F.sqrt(variance)}
+    return df.withColumns(out).drop("_base", "_y", "_first", *terms)
 
 
 def expanding(df: DataFrame, aggregates: list[str], shift: int = 1) -> DataFrame:
+    """exp_{aggregate} and exp_count over all rows up to shift before."""
     w = by_key().rowsBetween(W.unboundedPreceding, -shift)
-    return df.withColumns({f"exp_{a}": AGGREGATES[a](TARGET).over(w) for a in aggregates} | {"exp_count": F.count(TARGET).over(w)})
+    df = moving_quantiles(df, {"exp_median": (TARGET, None, -shift, 0.5)}) if "median" in aggregates else df
+    return df.withColumns({f"exp_{a}": AGGREGATES[a](TARGET).over(w) for a in aggregates if a != "median"} | {"exp_count": F.count(TARGET).over(w)})
 
 
 def rolling_volatility(df: DataFrame, windows: list[int], shift: int = 1) -> DataFrame:
+    """cv_n, range_n and iqr_n (of the interpolated quartiles) over the n rows that end shift rows before."""
+    df = moving_quantiles(df, {f"_q{q}_{n}": (TARGET, -(n + shift - 1), -shift, q / 4) for n in windows for q in (1, 3)})
     out = {}
     for n in windows:
         w = by_key().rowsBetween(-(n + shift - 1), -shift)
-        out |= {f"cv_{n}": divided(F.stddev_samp(TARGET).over(w), F.avg(TARGET).over(w)), f"range_{n}": F.max(TARGET).over(w) - F.min(TARGET).over(w), f"iqr_{n}": F.percentile(TARGET, 0.75).over(w) - F.percentile(TARGET, 0.25).over(w)}
-    return df.withColumns(out)
+        out |= {f"cv_{n}": divided(F.stddev_samp(TARGET).over(w), F.avg(TARGET).over(w)), f"range_{n}": F.max(TARGET).over(w) - F.min(TARGET).over(w), f"iqr_{n}": F.col(f"_q3_{n}") - F.col(f"_q1_{n}")}
+    return df.withColumns(out).drop(*[f"_q{q}_{n}" for n in windows for q in (1, 3)])
 
 
 def trend(df: DataFrame, steps: list[int]) -> DataFrame:
@@ -185,10 +206,11 @@ def sparsity(df: DataFrame, cap: int = 52) -> DataFrame:
     df = df.withColumn("_run", F.sum("_turn").over(by_key())).withColumn("_gap", F.when(sold, F.col("_pos") - F.max(F.when(sold, F.col("_pos"))).over(past)))
     streak = F.row_number().over(W.partitionBy(KEY, "_run").orderBy(TIME))
     df = df.withColumn("_streak", F.when(sold, streak).otherwise(-streak)).withColumn("_size", F.when(sold, F.col(TARGET)))
+    df = moving_quantiles(df, {"order_median": ("_size", None, -1, 0.5)})
     gap_cv = F.stddev_samp("_gap").over(past) / F.when(F.avg("_gap").over(past) > 0, F.avg("_gap").over(past))
     out = {
         "weeks_since": F.least(F.col("_pos") - F.max(F.when(sold, F.col("_pos"))).over(past), F.lit(cap)), "probability": F.count("_size").over(past) / F.when(F.count(TARGET).over(past) > 0, F.count(TARGET).over(past)),
-        "order_median": F.percentile("_size", 0.5).over(past), "order_cv": F.stddev_samp("_size").over(past) / F.avg("_size").over(past), "streak": F.lag("_streak").over(by_key()), "consistency": 1 / (1 + gap_cv),
+        "order_cv": F.stddev_samp("_size").over(past) / F.avg("_size").over(past), "streak": F.lag("_streak").over(by_key()), "consistency": 1 / (1 + gap_cv),
     }
     return df.withColumns(out).drop("_pos", "_turn", "_run", "_gap", "_streak", "_size")
 

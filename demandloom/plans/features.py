@@ -58,17 +58,23 @@ def rolling_features(spark, sf_dir):
     return rounded(op.rolling(brand_week(spark, sf_dir), [13], names, least=4), "key", "week_idx", *[f"roll_{n}_13" for n in names])
 
 
-@query(f"{BRAND}, n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY week_idx) AS r FROM panel) SELECT a.key, a.week_idx, round(sum(b.y * pow(0.6, a.r - b.r - 1)) / sum(pow(0.6, a.r - b.r - 1)), 6) AS ewm_4 FROM n a LEFT JOIN n b ON b.key = a.key AND b.r < a.r AND b.r >= a.r - 60 GROUP BY 1, 2")
+@query(
+    f"{BRAND}, n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY week_idx) AS r FROM panel), p AS (SELECT a.key, a.week_idx, b.y, pow(0.6::DOUBLE, a.r - b.r - 1) AS w, pow(25 / 27.0::DOUBLE, a.r - b.r - 1) AS v FROM n a LEFT JOIN n b ON b.key = a.key AND b.r < a.r), "
+    "m AS (SELECT *, sum(w * y) OVER g / sum(w) OVER g AS m4, sum(v * y) OVER g / sum(v) OVER g AS m26 FROM p WINDOW g AS (PARTITION BY key, week_idx)) "
+    "SELECT key, week_idx, round(any_value(m4), 6) AS ewm_4, round(any_value(m26), 6) AS ewm_26, "
+    "CASE WHEN count(y) > 1 THEN round(sqrt(sum(w * (y - m4) * (y - m4)) * sum(w) / (sum(w) * sum(w) - sum(w * w))), 6) END AS ewm_std_4, "
+    "CASE WHEN count(y) > 1 THEN round(sqrt(sum(v * (y - m26) * (y - m26)) * sum(v) / (sum(v) * sum(v) - sum(v * v))), 6) END AS ewm_std_26 FROM m GROUP BY 1, 2"
+)
 def ewm_features(spark, sf_dir):
-    return rounded(op.ewm(brand_week(spark, sf_dir), [4]), "key", "week_idx", "ewm_4")
+    return rounded(op.ewm(brand_week(spark, sf_dir), [4, 26]), "key", "week_idx", "ewm_4", "ewm_26", "ewm_std_4", "ewm_std_26")
 
 
 UP1 = over("UNBOUNDED PRECEDING", "1 PRECEDING")
 
 
-@query(f"{BRAND} SELECT key, week_idx, round(avg(y) {UP1}, 6) AS exp_mean, round(stddev_samp(y) {UP1}, 6) AS exp_std, min(y) {UP1} AS exp_min, max(y) {UP1} AS exp_max, sum(y) {UP1} AS exp_sum, count(y) {UP1} AS exp_count FROM panel")
+@query(f"{BRAND} SELECT key, week_idx, round(avg(y) {UP1}, 6) AS exp_mean, round(stddev_samp(y) {UP1}, 6) AS exp_std, min(y) {UP1} AS exp_min, max(y) {UP1} AS exp_max, sum(y) {UP1} AS exp_sum, quantile_cont(y, 0.5) {UP1} AS exp_median, count(y) {UP1} AS exp_count FROM panel")
 def expanding_features(spark, sf_dir):
-    return rounded(op.expanding(brand_week(spark, sf_dir), ["mean", "std", "min", "max", "sum"]), "key", "week_idx", "exp_mean", "exp_std", "exp_min", "exp_max", "exp_sum", "exp_count")
+    return rounded(op.expanding(brand_week(spark, sf_dir), ["mean", "std", "min", "max", "sum", "median"]), "key", "week_idx", "exp_mean", "exp_std", "exp_min", "exp_max", "exp_sum", "exp_median", "exp_count")
 
 
 @query(f"{BRAND} SELECT key, week_idx, round(stddev_samp(y) {F13} / nullif(avg(y) {F13}, 0), 6) AS cv_13, max(y) {F13} - min(y) {F13} AS range_13, round(quantile_cont(y, 0.75) {F13} - quantile_cont(y, 0.25) {F13}, 6) AS iqr_13 FROM panel")
