@@ -117,27 +117,28 @@ def linear_calibration(fc: DataFrame, train: DataFrame, by: str) -> DataFrame:
 
 
 def order_multiple(df: DataFrame) -> DataFrame:
-    """key, multiple: of keys with more than 30 demands over 60 in all, the percentile 40 (of 48 or more) that divides 70 or 60 within 2 %, else the 50 that divides 70 or 80."""
+    """key, multiple: of keys with more than 30 demands over 60 in all, the percentile 40 (of 48 or more) that divides 70 or 60 within 2 % of the whole number, else the 50 that divides 70 or 80."""
     at = [0.4, 0.5, 0.6, 0.7, 0.8]
     q = df.groupBy("key").agg(F.percentile(F.when(F.col("y") > 0, F.col("y")), at).alias("q"), F.count_if(F.col("y") > 0).alias("n"), F.sum("y").alias("s"))
     p = {a: F.col("q")[i] for i, a in enumerate(at)}
-    divides = lambda a, b: F.abs(ratio(p[b], p[a]) - F.round(ratio(p[b], p[a]))) <= 0.02
+    whole = lambda a, b: F.bround(ratio(p[b], p[a]))
+    divides = lambda a, b: (whole(a, b) >= 1) & (F.abs(ratio(p[b], p[a]) - whole(a, b)) / whole(a, b) <= 0.02)
     first = F.when((p[0.4] >= 48) & (divides(0.4, 0.7) | divides(0.4, 0.6)), p[0.4])
     second = F.when((p[0.5] >= 48) & (divides(0.5, 0.7) | divides(0.5, 0.8)), p[0.5])
     return q.where("n > 30 and s > 60").select("key", F.coalesce(first, second).alias("multiple")).where("multiple is not null")
 
 
 def round_to_multiple(value: Column, multiple: Column, threshold: Column) -> Column:
-    """Up where the part over a multiple is more than the threshold's share of it, else down."""
-    rest = value - F.floor(value / multiple) * multiple
-    return F.floor(value / multiple) * multiple + F.when(rest > threshold * multiple, multiple).otherwise(0.0)
+    """Up where the part over a multiple is more than the threshold's share of it, else down; values that aren't positive become 0."""
+    share = value / multiple - F.floor(value / multiple)
+    return F.when(value > 0, (F.floor(value / multiple) + F.when(share > threshold, 1).otherwise(0)) * multiple).otherwise(0.0)
 
 
-def moq_round(fc: DataFrame, multiples: DataFrame, targets: DataFrame, after: int | None = None, segments: list[str] | None = None, first: int | None = None) -> DataFrame:
+def moq_round(fc: DataFrame, multiples: DataFrame, targets: DataFrame, after: int | None = None, segments: list[str] | None = None, first: int | None = 53) -> DataFrame:
     """Rounds forecasts of keys with a multiple, at the threshold (.90 to .15 in steps of .05) whose mean is nearest the key's target mean; the higher of two.
 
     Only rows after the period `after` and of the listed values of `segment` are rounded and count for the threshold, of these the
-    first so many of a key (all if None).
+    first so many of a key (all if None). Keys without a target, or with a target of 0, are rounded at half.
     """
     may = F.lit(True) if after is None else F.col("week_idx") > after
     may = may if segments is None else may & F.col("segment").isin(segments)
@@ -146,8 +147,8 @@ def moq_round(fc: DataFrame, multiples: DataFrame, targets: DataFrame, after: in
     if first is not None:
         keyed = keyed.withColumn("_k", F.row_number().over(W.partitionBy("key").orderBy("week_idx"))).where(F.col("_k") <= first)
     swept = keyed.withColumn("t", steps).groupBy("key", "t").agg(F.avg(round_to_multiple(F.col("predicted"), F.col("multiple"), F.col("t"))).alias("m"))
-    best = swept.join(targets, "key").groupBy("key").agg(F.min_by("t", F.struct(F.round(F.abs(F.col("m") - F.col("target")), 6), -F.col("t"))).alias("threshold"))
-    out = fc.join(multiples, "key", "left").join(best, "key", "left")
+    best = swept.join(targets.where("target <> 0 and not isnan(target)"), "key").groupBy("key").agg(F.min_by("t", F.struct(F.round(F.abs(1 - F.col("m") / F.col("target")), 9), -F.col("t"))).alias("threshold"))
+    out = fc.join(multiples, "key", "left").join(best, "key", "left").withColumn("threshold", F.when(F.col("multiple").isNotNull(), F.coalesce("threshold", F.lit(0.5))))
     return out.withColumn("rounded", F.when(F.col("threshold").isNotNull() & may, round_to_multiple(F.col("predicted"), F.col("multiple"), F.col("threshold"))).otherwise(F.col("predicted")))
 
 

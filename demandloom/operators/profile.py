@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,6 +15,8 @@ from demandloom.operators import ranks
 from demandloom.operators.windows import by_key, clip, divided
 
 KEY, TIME, TARGET = "key", "week_idx", "y"
+#: A series has no season below so many values; of so many strongest frequencies periods are taken.
+LEAST_ROWS, STRONGEST = 20, 5
 
 
 def sold(target: str = TARGET) -> Column:
@@ -121,20 +126,47 @@ def decompose(df: DataFrame, period: int = 52) -> DataFrame:
     return rows.withColumn("residual", F.col(TARGET) - F.col("trend") - F.col("seasonal")).drop("_p")
 
 
-def spectrum(df: DataFrame, most: int) -> DataFrame:
-    """key, k, period (n / k), power for each k whose period is no longer than `most` and no shorter than two rows."""
-    rows = df.withColumn("_i", F.row_number().over(by_key()) - 1).withColumn("_n", F.count("*").over(W.partitionBy(KEY))).withColumn("_c", F.col(TARGET) - F.avg(TARGET).over(W.partitionBy(KEY)))
-    k = F.explode(F.expr(f"if(_n >= 4, sequence(greatest(1, cast(ceil(_n / {most}) as int)), cast(_n div 2 as int)), array())"))
-    angle = 2 * math.pi * F.col("k") * F.col("_i") / F.col("_n")
-    sums = rows.withColumn("k", k).groupBy(KEY, "k", "_n").agg(F.sum(F.col("_c") * F.cos(angle)).alias("a"), F.sum(F.col("_c") * F.sin(angle)).alias("b"))
-    return sums.select(KEY, "k", (F.col("_n") / F.col("k")).alias("period"), (F.col("a") * F.col("a") + F.col("b") * F.col("b")).alias("power"), "a", "b")
-
-
-def seasonality(df: DataFrame, most: int = 60, top: int = 3) -> DataFrame:
-    """key, rank, period, share of the power: the strongest periods."""
-    w = W.partitionBy(KEY)
-    ranked = spectrum(df, most).withColumn("share", divided(F.col("power"), F.sum("power").over(w))).withColumn("rank", F.row_number().over(w.orderBy(F.desc("power"), "k")))
-    return ranked.where(F.col("rank") <= top).select(KEY, "rank", "period", "share")
+def spectral(y: np.ndarray, most: int, top: int, least_strength: float, least_share: float) -> dict:
+    """Of one series: its strongest periods with their shares of all power, and what follows for it as a whole."""
+    n = len(y)
+    out = {"periods": [], "dominant": None, "strength": 0.0, "seasonal": False}
+    if n < LEAST_ROWS:
+        return out
+    power = np.abs(np.fft.rfft(y - y.mean())[: n // 2]) ** 2
+    power[0] = 0.0
+    first = np.lexsort((np.arange(len(power)), -power))[:STRONGEST]
+    bound = n // 2 if n < most else most
+    found = [(n / k, power[k] / (power.sum() + 1e-10)) for k in first.tolist() if k and 2 <= n / k <= bound]
+    out["periods"] = [{"period": round(p, 1), "share": round(float(s), 4)} for p, s in found[:top]]
+    if found:
+        out["dominant"] = lag = round(out["periods"][0]["period"])
+        a, b = y[lag:], y[:-lag]
+        alike = np.corrcoef(a, b)[0, 1] if len(a) > 1 and a.std() > 0 and b.std() > 0 else 0.0
+        strength = (max(0.0, float(alike)) + out["periods"][0]["share"]) / 2
+        out["strength"], out["seasonal"] = strength, bool(strength >= least_strength and out["periods"][0]["share"] >= least_share)
+    return out
+
+
+def seasonality(df: DataFrame, most: int = 104, top: int = 3, least_strength: float = 0.1, least_share: float = 0.05) -> DataFrame:
+    """key, rank, period, share, dominant, strength, seasonal: the strongest periods of each key's series, one row without rank, period and share if there are none.
+
+    Of the five strongest frequencies below the highest one those with a period of 2 to `most` rows (half the series if that is shorter) are taken; share: of the power of all. strength: the mean
+    of the dominant period's autocorrelation, no less than 0, and its share; seasonal: both thresholds are met. Series of fewer than 20 values have none. A series is one array.
+    """
+    series = df.where(F.col(TARGET).isNotNull()).groupBy(KEY).agg(F.transform(F.array_sort(F.collect_list(F.struct(TIME, F.col(TARGET).cast("double").alias("y")))), lambda s: s["y"]).alias("ys"))
+    kind = pa.struct([("periods", pa.list_(pa.struct([("period", pa.float64()), ("share", pa.float64())]))), ("dominant", pa.int32()), ("strength", pa.float64()), ("seasonal", pa.bool_())])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column("ys")
+            flat, ends = lists.flatten().to_numpy(), np.cumsum(np.asarray(lists.value_lengths()))
+            found = [spectral(y, most, top, least_strength, least_share) for y in np.split(flat, ends[:-1])] if len(ends) else []
+            yield pa.RecordBatch.from_arrays([b.column(KEY), pa.array(found, kind)], [KEY, "s"])
+
+    key_type = dict(df.dtypes)[KEY]
+    out = series.mapInArrow(each, f"{KEY} {key_type}, s struct<periods: array<struct<period: double, share: double>>, dominant: int, strength: double, seasonal: boolean>")
+    rows = out.select(KEY, "s", F.posexplode_outer("s.periods").alias("_k", "_p"))
+    return rows.select(KEY, (F.col("_k") + 1).alias("rank"), "_p.period", "_p.share", "s.dominant", "s.strength", "s.seasonal")
 
 
 def seasonality_shape(df: DataFrame, season: int = 52, harmonics: int = 3) -> DataFrame:

@@ -96,7 +96,7 @@ def linear_isotonic_calibration(spark, sf_dir):
     return shown(op.linear_calibration(fc(spark, sf_dir), train(spark, sf_dir), "category").withColumn("corrected", F.round("corrected", 5)))
 
 
-MOQ = "q AS (SELECT key, quantile_cont(y, [0.4, 0.5, 0.6, 0.7, 0.8]) AS q, count(*) AS n, sum(y) AS s FROM mp WHERE y > 0 GROUP BY 1), d AS (SELECT key, q[1] AS a, q[2] AS b, q[3] / q[1] AS r1, q[4] / q[1] AS r2, q[4] / q[2] AS r3, q[5] / q[2] AS r4 FROM q WHERE n > 30 AND s > 60), moq AS (SELECT key, CASE WHEN a >= 48 AND (abs(r1 - round(r1)) <= 0.02 OR abs(r2 - round(r2)) <= 0.02) THEN a WHEN b >= 48 AND (abs(r3 - round(r3)) <= 0.02 OR abs(r4 - round(r4)) <= 0.02) THEN b END AS multiple FROM d)"
+MOQ = "q AS (SELECT key, quantile_cont(y, [0.4, 0.5, 0.6, 0.7, 0.8]) AS q, count(*) AS n, sum(y) AS s FROM mp WHERE y > 0 GROUP BY 1), d AS (SELECT key, q[1] AS a, q[2] AS b, q[3] / q[1] AS r1, q[4] / q[1] AS r2, q[4] / q[2] AS r3, q[5] / q[2] AS r4 FROM q WHERE n > 30 AND s > 60), moq AS (SELECT key, CASE WHEN a >= 48 AND (abs(r1 - round_even(r1, 0)) / round_even(r1, 0) <= 0.02 OR abs(r2 - round_even(r2, 0)) / round_even(r2, 0) <= 0.02) THEN a WHEN b >= 48 AND (abs(r3 - round_even(r3, 0)) / round_even(r3, 0) <= 0.02 OR abs(r4 - round_even(r4, 0)) / round_even(r4, 0) <= 0.02) THEN b END AS multiple FROM d)"
 MP = f"{FC}, mp AS (SELECT key, week_idx, ceil(y / 60) * 60 AS y FROM panel)"
 
 
@@ -109,11 +109,23 @@ def moq_detect(spark, sf_dir):
     return op.order_multiple(multiples(spark, sf_dir))
 
 
-@query(f"{FC}, m AS (SELECT DISTINCT key, 60.0::DOUBLE AS multiple FROM fc WHERE key < 'Brand#4'), tg AS (SELECT key, avg(actual) AS target FROM train GROUP BY 1), sw AS (SELECT key, t, avg(floor(predicted / 60) * 60 + CASE WHEN predicted - floor(predicted / 60) * 60 > t * 60 THEN 60 ELSE 0 END) AS m FROM fc SEMI JOIN m USING (key), (SELECT unnest(range(3, 19)) / 20.0::DOUBLE AS t) GROUP BY 1, 2), best AS (SELECT key, t FROM sw JOIN tg USING (key) QUALIFY row_number() OVER (PARTITION BY key ORDER BY round(abs(sw.m - target), 6), t DESC) = 1) SELECT key, week_idx, CASE WHEN t IS NULL THEN predicted ELSE floor(predicted / 60) * 60 + CASE WHEN predicted - floor(predicted / 60) * 60 > t * 60 THEN 60 ELSE 0 END END AS rounded FROM fc LEFT JOIN best USING (key)")
+def rounded_sql(t: str) -> str:
+    """SQL of a forecast rounded to multiples of 60 at a threshold."""
+    return f"CASE WHEN predicted > 0 THEN (floor(predicted / 60) + CASE WHEN predicted / 60 - floor(predicted / 60) > {t} THEN 1 ELSE 0 END) * 60 ELSE 0 END"
+
+
+# Keys of brand 1 have no history, brand 2's is nought: both are rounded at half.
+@query(
+    f"{FC}, m AS (SELECT DISTINCT key FROM fc WHERE key < 'Brand#4'), tg AS (SELECT key, avg(CASE WHEN key >= 'Brand#2' AND key < 'Brand#3' THEN 0 ELSE actual END) AS target FROM train WHERE key >= 'Brand#2' GROUP BY 1), "
+    f"h AS (SELECT * FROM fc SEMI JOIN m USING (key) QUALIFY row_number() OVER (PARTITION BY key ORDER BY week_idx) <= 53), sw AS (SELECT key, t, avg({rounded_sql('t')}) AS m FROM h, (SELECT unnest(range(3, 19)) / 20.0::DOUBLE AS t) GROUP BY 1, 2), "
+    "best AS (SELECT key, t FROM sw JOIN tg USING (key) WHERE target <> 0 QUALIFY row_number() OVER (PARTITION BY key ORDER BY round(abs(1 - sw.m / target), 9), t DESC) = 1) "
+    f"SELECT key, week_idx, CASE WHEN m.key IS NULL THEN predicted ELSE {rounded_sql('coalesce(t, 0.5)')} END AS rounded FROM fc LEFT JOIN m USING (key) LEFT JOIN best USING (key)"
+)
 def moq_round(spark, sf_dir):
     rows = fc(spark, sf_dir)
     m = rows.where("key < 'Brand#4'").select("key", F.lit(60.0).alias("multiple")).distinct()
-    targets = train(spark, sf_dir).groupBy("key").agg(F.avg("actual").alias("target"))
+    target = F.when(F.col("key").between("Brand#2", "Brand#29"), 0.0).otherwise(F.col("actual"))
+    targets = train(spark, sf_dir).where("key >= 'Brand#2'").groupBy("key").agg(F.avg(target).alias("target"))
     return op.moq_round(rows, m, targets).select("key", "week_idx", "rounded")
 
 

@@ -20,10 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _weekly(rows: DataFrame, *keys: str) -> DataFrame:
-    # Whole cents add up to the same sum in any order.
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    # Whole cents add up to the same sum in any order, and whole ten-thousandths are rounded alike everywhere.
+    cents, pieces = F.rint(F.col("l_extendedprice") * 100).cast("long"), F.sum(F.col("l_quantity").cast("long"))
+    scaled = 200 * F.sum(cents) + pieces
+    price = (scaled - F.pmod(scaled, 2 * pieces)) / (2 * pieces) / 10000
     sums = rows.withColumn("week_start", F.trunc(F.col("l_shipdate").cast("date"), "week")).groupBy(*keys, "week_start").agg(
-        F.sum("l_quantity").alias("y"), F.round(F.sum(cents).cast("double") / 100 / F.sum("l_quantity"), 4).alias("price"), F.max((F.col("l_discount") >= PROMOTION).cast("int")).alias("promo")
+        F.sum("l_quantity").alias("y"), price.alias("price"), F.max((F.col("l_discount") >= PROMOTION).cast("int")).alias("promo")
     )
     return sums.withColumn("year_week", periods.year_week("week_start")).withColumn("week_idx", periods.week_index("week_start"))
 
@@ -45,7 +47,7 @@ def brand_region_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _WEEKLY = """SELECT {keys}, CAST(date_trunc('week', l_shipdate) AS DATE) AS week_start, sum(l_quantity) AS y,
-    round(sum(round(l_extendedprice * 100)::BIGINT)::DOUBLE / 100 / sum(l_quantity), 4) AS price, max(CASE WHEN l_discount >= 0.08 THEN 1 ELSE 0 END) AS promo,
+    ((200 * sum(round(l_extendedprice * 100)::BIGINT) + sum(l_quantity::BIGINT)) // (2 * sum(l_quantity::BIGINT)))::DOUBLE / 10000 AS price, max(CASE WHEN l_discount >= 0.08 THEN 1 ELSE 0 END) AS promo,
     CAST(isoyear(date_trunc('week', l_shipdate)) * 100 + week(date_trunc('week', l_shipdate)) AS INT) AS year_week,
     CAST(date_diff('day', DATE '1970-01-05', CAST(date_trunc('week', l_shipdate) AS DATE)) // 7 AS INT) AS week_idx
     FROM lineitem JOIN part ON l_partkey = p_partkey {more} GROUP BY ALL"""

@@ -116,9 +116,18 @@ def classical_decomposition(spark, sf_dir):
     return rounded(op.decompose(brand_week(spark, sf_dir)), "key", "week_idx", "trend", "seasonal", "residual")
 
 
-@query(f"{BRAND}, c AS (SELECT key, row_number() OVER (PARTITION BY key ORDER BY week_idx) - 1 AS i, count(*) OVER (PARTITION BY key) AS n, y - avg(y) OVER (PARTITION BY key) AS c FROM panel), f AS (SELECT key, n, unnest(range(greatest(1, ceil(n / 60)::BIGINT), n // 2 + 1)) AS k FROM (SELECT DISTINCT key, n FROM c)), p AS (SELECT f.key, k, f.n / k AS period, pow(sum(c * cos(2 * pi() * k * i / f.n)), 2) + pow(sum(c * sin(2 * pi() * k * i / f.n)), 2) AS power FROM f JOIN c ON c.key = f.key GROUP BY 1, 2, 3), r AS (SELECT *, power / sum(power) OVER (PARTITION BY key) AS share, row_number() OVER (PARTITION BY key ORDER BY power DESC, k)::INT AS rank FROM p) SELECT key, rank, round(period, 6) AS period, round(share, 6) AS share FROM r WHERE rank <= 3")
+@query(
+    f"{BRAND}, c AS (SELECT key, y, row_number() OVER (PARTITION BY key ORDER BY week_idx) - 1 AS i, count(*) OVER (PARTITION BY key) AS n, y - avg(y) OVER (PARTITION BY key) AS c FROM panel WHERE y IS NOT NULL), "
+    "k AS (SELECT DISTINCT key, n FROM c), f AS (SELECT key, n, unnest(range(1, n // 2)) AS k FROM k WHERE n >= 20), "
+    "p AS (SELECT f.key, f.n, k, pow(sum(c * cos(2 * pi() * k * i / f.n)), 2) + pow(sum(c * sin(2 * pi() * k * i / f.n)), 2) AS power FROM f JOIN c ON c.key = f.key GROUP BY 1, 2, 3), "
+    "s AS (SELECT *, power / (sum(power) OVER (PARTITION BY key) + 1e-10) AS share, row_number() OVER (PARTITION BY key ORDER BY power DESC, k) AS place FROM p), "
+    "r AS (SELECT key, round_even(n / k, 1) AS period, round_even(share, 4) AS share, row_number() OVER (PARTITION BY key ORDER BY place)::INT AS rank FROM s WHERE place <= 5 AND n / k BETWEEN 2 AND CASE WHEN n < 104 THEN n // 2 ELSE 104 END), "
+    "d AS (SELECT key, round_even(period, 0)::INT AS dominant, share FROM r WHERE rank = 1), "
+    "a AS (SELECT d.key, dominant, (greatest(0, coalesce(corr(x.y, z.y), 0)) + any_value(share)) / 2 AS strength, any_value(share) AS share FROM d JOIN c x ON x.key = d.key LEFT JOIN c z ON z.key = d.key AND z.i = x.i - dominant WHERE z.y IS NOT NULL GROUP BY 1, 2) "
+    "SELECT k.key, rank, period, r.share, dominant, coalesce(round(strength, 6), 0) AS strength, coalesce(strength >= 0.1 AND a.share >= 0.05, false) AS seasonal FROM k LEFT JOIN (SELECT * FROM r WHERE rank <= 3) r ON r.key = k.key LEFT JOIN a ON a.key = k.key"
+)
 def periodogram_seasonality(spark, sf_dir):
-    return rounded(op.seasonality(brand_week(spark, sf_dir)), "key", "rank", "period", "share")
+    return op.seasonality(brand_week(spark, sf_dir)).withColumn("strength", F.round("strength", 6))
 
 
 @query(f"{BRAND}, m AS (SELECT key, week_idx, y - avg(y) OVER (PARTITION BY key) AS c FROM panel), a AS (SELECT key, " + ", ".join(f"avg(c * cos(2 * pi() * {k} * week_idx / 52)) AS a{k}, avg(c * sin(2 * pi() * {k} * week_idx / 52)) AS b{k}" for k in (1, 2, 3)) + " FROM m GROUP BY 1) SELECT key, " + ", ".join(f"round(2 * sqrt(a{k} * a{k} + b{k} * b{k}), 5) AS amp_{k}" for k in (1, 2, 3)) + " FROM a")
