@@ -116,19 +116,19 @@ def loss(s: np.ndarray, y: np.ndarray) -> float:
     return float(np.logaddexp(0.0, s[lose] - s[win]).mean()) if len(win) else 0.0
 
 
-def learned(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """id, y, text of labelled documents; null labels and ids don't count, of several labels of an id the largest counts, of several texts the least."""
-    named = labels.groupBy(F.col(doc_id).alias("id")).agg(F.max(label).cast("double").alias("y")).where("id is not null and y is not null")
-    return pick(docs, doc_id, text).toDF("d", "text").join(named, F.col("d") == F.col("id")).groupBy("id", "y").agg(F.min("text").alias("text"))
+def known_labels(labels: DataFrame, label: str = "quality", doc_id: str = "doc_id") -> DataFrame:
+    """id, y: null labels and ids don't count, of several labels of an id the largest does."""
+    return pick(labels, doc_id, label).toDF("id", "y").groupBy("id").agg(F.max("y").cast("double").alias("y")).where("id is not null and y is not null")
 
 
-def fit_ranking(rows: DataFrame, most: int = MOST_LABELLED, folds: int = FOLDS) -> tuple[np.ndarray, DataFrame]:
-    """Weights, and id and raw (a score by weights that haven't seen the row) of the fitted rows, from `most` rows of learned() at most.
+def fit_ranking(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, folds: int = FOLDS) -> tuple[np.ndarray, DataFrame]:
+    """Weights, and id and raw (a score by weights that haven't seen the row) of the fitted documents (doc_id, text), which `most` rows of known_labels() at most name.
 
-    Each fold under each penalty is fitted in a task of its own. Without rows of both classes all weights are nought.
+    Of several texts of an id the least counts. Each fold under each penalty is fitted in a task of its own. Without rows of both classes all weights are nought.
     """
-    id_type = dict(rows.dtypes)["id"]
-    drawn = rows.select("id", "y").orderBy(F.xxhash64("id"), "id").limit(most)
+    id_type = dict(labels.dtypes)["id"]
+    drawn = cut(labels.orderBy(F.xxhash64("id"), "id").limit(most))  # broadcast: `most` rows of two numbers at most
+    rows = docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("id")).groupBy("id", "y").agg(F.min("text").alias("text"))
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()
@@ -137,7 +137,7 @@ def fit_ranking(rows: DataFrame, most: int = MOST_LABELLED, folds: int = FOLDS)
             fold = [xxhash.xxh32_intdigest(str(i)) % folds for i in b.column("id").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(fold, pa.int32()), pa.array(found, pa.list_(pa.int32()))], ["id", "y", "fold", "buckets"])
 
-    sample = cut(rows.join(drawn.select("id"), "id", "left_semi").mapInArrow(tidied(buckets), f"id {id_type}, y double, fold int, buckets array<int>"))
+    sample = cut(rows.mapInArrow(tidied(buckets), f"id {id_type}, y double, fold int, buckets array<int>"))
 
     def arrays(t: pa.Table) -> tuple:
         t = t.sort_by("id")
@@ -219,11 +219,10 @@ def assess(docs: DataFrame, labels: DataFrame, held_out: Column, most: int = MOS
     stay; empty tables give an empty result; further columns, of any name, are passed over.
     """
     own = pick(docs, "doc_id", "text")
-    rows = learned(own, pick(labels, "doc_id", "quality").where(~held_out))
-    weights, unseen = fit_ranking(rows, most)
+    truth = cut(known_labels(pick(labels, "doc_id", "quality").where(~held_out)))
+    weights, unseen = fit_ranking(own, truth, most)
     raw = cut(raw_scores(own, weights))
     # All labelled rows count for the edge, those of the fit by the score of weights that haven't seen them.
-    truth = rows.select("id", "y")
     by_all = raw.groupBy("doc_id").agg(F.max("raw").alias("own"))
     known = cut(truth.join(by_all, F.col("id") == F.col("doc_id")).join(unseen.withColumnRenamed("id", "seen"), F.col("id") == F.col("seen"), "left").select("y", F.coalesce("raw", "own").alias("raw")))
     at = edge(known)
