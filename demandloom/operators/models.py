@@ -1,15 +1,17 @@
-"""Forecasts by fitted models, on MLlib's distributed estimators."""
+"""Forecasts by fitted models, on boosted trees of this library and MLlib's distributed estimators."""
 
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import IsotonicRegression, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandloom.operators import boosting
 from demandloom.operators.joins import horizon_pairs
+from demandloom.operators.tables import cut
 from demandloom.operators.windows import backward_panel
 
 
@@ -32,43 +34,36 @@ def origin_pairs(panel: DataFrame, horizons: int, lags: list[int], half_life: fl
     return pairs.withColumn("weight", F.greatest(F.lit(1e-6), weight)).withColumn("split", F.when(F.col("target_idx") <= cutoff, "train").when(F.col("week_idx") == cutoff, "predict")), names
 
 
-def fit_boosted(rows: DataFrame, trees: int, seed: int) -> GBTRegressionModel:
-    """A boosted model of log1p of the targets, which count as 0 at least, weighted."""
-    train = rows.where("split = 'train'").withColumn("_y", F.log1p(F.greatest(F.col("actual"), F.lit(0.0))))
-    return GBTRegressor(featuresCol="_x", labelCol="_y", weightCol="weight", maxIter=trees, maxDepth=4, seed=seed).fit(train)
-
-
-def pooled_forecast(panel: DataFrame, cutoff: int, horizons: int = 4, lags: list[int] | None = None, trees: int = 8, half_life: float = 52.0, seed: int = 1, carry: list[str] | None = None) -> DataFrame:
-    """key, h, target_idx, actual, predicted, and carry: for each horizon one boosted model over all keys, weighted to the recent; no less than 0."""
-    return scoped_forecast(panel, cutoff, [], horizons, lags, trees, half_life, seed, carry).drop("scope")
+def pooled_forecast(panel: DataFrame, cutoff: int, horizons: int = 4, lags: list[int] | None = None, trees: int = 8, half_life: float = 52.0, carry: list[str] | None = None) -> DataFrame:
+    """key, h, target_idx, actual, predicted, and carry: for each horizon one boosted model with Tweedie loss over all keys, weighted to the recent; no less than 0."""
+    return scoped_forecast(panel, cutoff, [], horizons, lags, trees, half_life, carry).drop("scope")
 
 
 def scoped_forecast(
-    panel: DataFrame, cutoff: int, scopes: list[tuple[list[str], int]], horizons: int = 4, lags: list[int] | None = None, trees: int = 8, half_life: float = 52.0, seed: int = 1, carry: list[str] | None = None
+    panel: DataFrame, cutoff: int, scopes: list[tuple[list[str], int]], horizons: int = 4, lags: list[int] | None = None, trees: int = 8, half_life: float = 52.0, carry: list[str] | None = None
 ) -> DataFrame:
     """As pooled_forecast, with scope: forecasts of the finest scope whose group has enough training rows, else of the pool (scope `global`).
 
-    scopes: from coarse to fine, columns (category; category and segment) and the training rows that a group needs for a model of its own. A model is
-    a job of its own, so groups must be few: they are counted and listed.
+    scopes: from coarse to fine, columns (category; category and segment) and the training rows that a group needs for a model of its own. A group without any demand has none. All models of
+    all scopes and horizons are grown together (boosting.fit), however many there are. Without demand anywhere forecasts are 0.
     """
     extra = list(dict.fromkeys([*(carry or []), *(c for by, _ in scopes for c in by)]))
     pairs, names = origin_pairs(panel, horizons, lags or [1, 2, 13, 52], half_life, cutoff, extra)
-    rows = assembled(pairs, names)
-    shown = ["key", "h", "target_idx", "actual", *extra]
-    made = None
-    for h in range(1, horizons + 1):
-        one = rows.where(F.col("h") == h)
-        out = fit_boosted(one, trees, seed).transform(one.where("split = 'predict'")).select(*shown, "_x", F.lit("global").alias("scope"), "prediction")
-        for by, least in scopes:
-            groups = one.where("split = 'train'").groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") >= least).select(*by).collect()
-            for g in groups:
-                inside = F.lit(True)
-                for c in by:
-                    inside = inside & F.col(c).eqNullSafe(g[c])
-                better = fit_boosted(one.where(inside), trees, seed).transform(out.where(inside).drop("prediction", "scope")).select(*shown, "_x", F.lit("+".join(by)).alias("scope"), "prediction")
-                out = out.where(~inside).unionByName(better)
-        made = out if made is None else made.unionByName(out)
-    return made.select(*shown, "scope", F.greatest(F.expm1("prediction"), F.lit(0.0)).alias("predicted"))
+    pairs = cut(pairs.where("split is not null"))
+    levels = [([], 1), *scopes]
+    name = lambda i: F.concat_ws("|", F.lit(i), "h", F.to_json(F.struct(*[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")).alias(c) for c in levels[i][0]])) if levels[i][0] else F.lit(""))
+    train = pairs.where("split = 'train'")
+    # A row serves the model of each scope whose group has rows enough.
+    served = train.select(*names, F.col("actual").alias("y"), F.col("weight").alias("w"), F.explode(F.array(*[F.struct(F.lit(i).alias("level"), name(i).alias("m")) for i in range(len(levels))])).alias("s")).select(*names, "y", "w", "s.*")
+    sizes = train.select(F.explode(F.array(*[F.struct(F.lit(i).alias("level"), name(i).alias("m")) for i in range(len(levels))])).alias("s")).groupBy("s.level", "s.m").agg(F.count("*").alias("n"))
+    enough = sizes.where(F.col("n") >= F.element_at(F.array(*[F.lit(n) for _, n in levels]), F.col("level") + 1)).select("m")
+    models, cuts = boosting.fit(served.join(enough, "m"), names, trees)
+    ask = pairs.where("split = 'predict'").select("key", "h", "target_idx", "actual", *extra, *names, F.explode(F.array(*[F.struct(F.lit(i).alias("level"), name(i).alias("m")) for i in range(len(levels))])).alias("s")).select("*", "s.*").drop("s")
+    shown = ["key", "h", "target_idx"]
+    finest = F.max_by(F.struct("actual", *extra, "level", "prediction"), F.when(F.col("prediction").isNotNull(), F.col("level")).otherwise(F.col("level") - len(levels)))
+    found = boosting.predict(ask, models, names, cuts).groupBy(*shown).agg(finest.alias("b")).select(*shown, "b.*")
+    scope = F.element_at(F.array(*[F.lit("+".join(by) or "global") for by, _ in levels]), F.col("level") + 1)
+    return found.select(*shown, "actual", *extra, F.when(F.col("prediction").isNull(), "global").otherwise(scope).alias("scope"), F.coalesce("prediction", F.lit(0.0)).alias("predicted"))
 
 
 def recursive_forecast(panel: DataFrame, cutoff: int, horizon: int, lags: list[int] | None = None, windows: list[int] | None = None, penalty: float = 0.1) -> DataFrame:
