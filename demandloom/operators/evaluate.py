@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from demandloom.operators import ranks
+from demandloom.operators.orders import decayed_sums
 
 A, P = F.col, F.col
 
@@ -148,20 +149,59 @@ def origins(df: DataFrame, first: int, last: int, horizon: int, time: str = "wee
     return cutoffs.select((F.col("cutoff") - first).alias("origin"), "cutoff", (F.col("cutoff") + 1).alias("test_start"), F.least(F.col("cutoff") + horizon, F.lit(last + 1)).alias("test_end"))
 
 
-def rolling_backtest(df: DataFrame, cutoffs: DataFrame, horizon: int, key: str = "key", time: str = "week_idx", target: str = "y") -> DataFrame:
-    """cutoff, h, n, wape_mean, wape_last: 13-period mean and last value as known at each of a few cutoffs, against what came."""
-    c = F.broadcast(cutoffs.select("cutoff"))
+def demand_states(df: DataFrame, alpha: float = 0.1, beta: float = 0.1, key: str = "key", time: str = "week_idx", target: str = "y") -> DataFrame:
+    """key, time, next (the key's next period), croston, sba, tsb: what forecast.croston and forecast.tsb say of the rows up to each row; and last, total, n (of the values so far).
+
+    Smoothing is an affine map at each demand, or at each row, so that all states come of decayed sums over running orders: one scan, no fit anew for each row.
+    """
+    rows = df.select(F.col(key).alias("key"), F.col(time).alias("time"), F.col(target).cast("double").alias("y")).withColumn("sold", F.coalesce(F.col("y") > 0, F.lit(False)))
+    by_time, by_demand = W.partitionBy("key").orderBy("time"), W.partitionBy("key", "sold").orderBy("time")
+    rows = rows.withColumn("pos", F.row_number().over(by_time))
+    rows = rows.withColumn("gap", F.col("pos") - F.lag("pos", 1, 0).over(by_demand)).withColumn("nth", F.row_number().over(by_demand))
+    first = lambda x: F.when(F.col("sold"), F.when(F.col("nth") == 1, x).otherwise(alpha * x))
+    rows = decayed_sums(rows, {"size": (first(F.col("y")), 1 - alpha), "interval": (first(F.col("gap")), 1 - alpha), "late": (F.when(F.col("sold"), alpha * F.col("y")), 1 - alpha)}, ["key", "sold"], "time")
+    rows = decayed_sums(rows, {"chance": (beta * F.col("sold").cast("double"), 1 - beta)}, "key", "time")
+    upto = by_time.rowsBetween(W.unboundedPreceding, 0)
+    at_demand = lambda c: F.last(F.when(F.col("sold"), F.col(c)), ignorenulls=True).over(upto)
+    demands, positive = F.coalesce(at_demand("nth"), F.lit(0)), F.sum(F.when(F.col("sold"), F.col("y"))).over(upto)
+    flat = F.coalesce(at_demand("size") / at_demand("interval"), F.lit(0.0))
+    # The first state of the other family is made of all rows so far: it decays with each demand, or row.
+    size = F.coalesce(F.pow(F.lit(1 - alpha), demands) * positive / F.when(demands > 0, demands) + at_demand("late"), F.lit(0.0))
+    chance = F.pow(F.lit(1 - beta), F.col("pos")) * demands / F.col("pos") + F.col("chance")
+    return rows.select(
+        "key", "time", F.lead("time").over(by_time).alias("next"), flat.alias("croston"), (flat * (1 - alpha / 2)).alias("sba"), (size * chance).alias("tsb"),
+        F.last("y").over(upto).alias("last"), F.coalesce(F.sum("y").over(upto), F.lit(0.0)).alias("total"), F.count("y").over(upto).alias("n"),
+    )
+
+
+NAIVE = ("mean", "last", "croston", "sba", "tsb")
+
+
+def as_of(df: DataFrame, cutoffs: DataFrame, window: int = 13, key: str = "key", time: str = "week_idx", target: str = "y") -> DataFrame:
+    """key, cutoff, mean (of the last `window` periods), last, croston, sba, tsb, as known at each of a few cutoffs; keys without a value in the window are left out.
+
+    Every row stands for the cutoffs from its own period to before the key's next one, so a key has one row a cutoff, whatever its history; means are differences of running sums.
+    """
+    points = cutoffs.agg(F.collect_set(F.struct("cutoff", F.lit(True).alias("here"), F.col("cutoff").alias("at"))).alias("a"), F.collect_set(F.struct("cutoff", F.lit(False).alias("here"), (F.col("cutoff") - window).alias("at"))).alias("b"))
+    states = demand_states(df, key=key, time=time, target=target).join(F.broadcast(points.select(F.concat("a", "b").alias("points"))), F.lit(True))  # one row, two points a cutoff
+    met = states.withColumn("p", F.explode(F.filter("points", lambda p: (p["at"] >= F.col("time")) & (F.col("next").isNull() | (p["at"] < F.col("next"))))))
+    here = F.max(F.when(F.col("p.here"), F.struct("total", "n", "last", "croston", "sba", "tsb"))).alias("s")
+    both = met.groupBy("key", F.col("p.cutoff").alias("cutoff")).agg(here, *[F.coalesce(F.max(F.when(~F.col("p.here"), F.col(c))), F.lit(0)).alias(f"old_{c}") for c in ("total", "n")])
+    known = both.where(F.col("s.n") > F.col("old_n"))
+    return known.select(F.col("key").alias(key), "cutoff", ((F.col("s.total") - F.col("old_total")) / (F.col("s.n") - F.col("old_n"))).alias("mean"), *[f"s.{c}" for c in NAIVE[1:]])
+
+
+def backtest_scores(known: DataFrame, df: DataFrame, cutoffs: DataFrame, horizon: int, names: tuple[str, ...] = NAIVE, key: str = "key", time: str = "week_idx", target: str = "y") -> DataFrame:
+    """cutoff, h, n and wape_{name} of flat forecasts (key, cutoff, names) against what came in the periods after each cutoff."""
+    c = F.broadcast(cutoffs.select("cutoff"))  # a few
+    future = df.withColumn("cutoff", F.explode(F.sequence(F.col(time) - horizon, F.col(time) - 1))).join(c, "cutoff").select("cutoff", key, (F.col(time) - F.col("cutoff")).alias("h"), F.col(target).alias("actual"))
+    e = lambda p: ratio(F.sum(F.abs(F.col(p) - F.col("actual"))), F.sum("actual"))
+    return future.join(known, ["cutoff", key]).groupBy("cutoff", "h").agg(F.count("*").alias("n"), *[e(p).alias(f"wape_{p}") for p in names])
 
-    def at(start: Column, end: Column) -> DataFrame:
-        """Each row once for every cutoff from start to end."""
-        return df.withColumn("cutoff", F.explode(F.sequence(start, end))).join(c, "cutoff")
 
-    past = at(F.col(time), F.col(time) + 12)
-    known = past.groupBy("cutoff", key).agg(F.avg(target).alias("mean"), F.max_by(target, time).alias("last"))
-    future = at(F.col(time) - horizon, F.col(time) - 1).select("cutoff", key, (F.col(time) - F.col("cutoff")).alias("h"), F.col(target).alias("actual"))
-    both = future.join(known, ["cutoff", key])
-    e = lambda p: ratio(F.sum(F.abs(F.col(p) - F.col("actual"))), F.sum("actual"))
-    return both.groupBy("cutoff", "h").agg(F.count("*").alias("n"), e("mean").alias("wape_mean"), e("last").alias("wape_last"))
+def rolling_backtest(df: DataFrame, cutoffs: DataFrame, horizon: int, key: str = "key", time: str = "week_idx", target: str = "y") -> DataFrame:
+    """cutoff, h, n, wape_{mean, last, croston, sba, tsb}: the families as known at each of a few cutoffs, as if fitted anew there, against what came."""
+    return backtest_scores(as_of(df, cutoffs, 13, key, time, target), df, cutoffs, horizon, NAIVE, key, time, target)
 
 
 def folds(df: DataFrame, n: int, horizon: int, gap: int = 0, window: int | None = None, time: str = "week_idx") -> DataFrame:

@@ -66,6 +66,18 @@ def scoped_forecast(
     return found.select(*shown, "actual", *extra, F.when(F.col("prediction").isNull(), "global").otherwise(scope).alias("scope"), F.coalesce("prediction", F.lit(0.0)).alias("predicted"))
 
 
+def origin_forecasts(panel: DataFrame, cutoffs: list[int], horizons: int = 4, lags: list[int] | None = None, trees: int = 8, half_life: float = 52.0) -> DataFrame:
+    """cutoff, key, h, target_idx, actual, predicted: pooled_forecast at each of a few origins, each from models of its own that know nothing after it; all are grown together."""
+    pairs, names = origin_pairs(panel, horizons, lags or [1, 2, 13, 52], half_life, max(cutoffs))
+    pairs = cut(pairs.drop("weight", "split").where(F.col("target_idx") <= max(cutoffs) + horizons))
+    model = F.concat_ws("|", F.col("cutoff").cast("string"), F.col("h").cast("string"))
+    known = pairs.withColumn("cutoff", F.explode(F.filter(F.array(*[F.lit(c) for c in cutoffs]), lambda c: F.col("target_idx") <= c)))
+    weight = F.greatest(F.lit(1e-6), F.pow(F.lit(0.5), (F.col("cutoff") - F.col("target_idx")) / half_life))
+    models, cuts = boosting.fit(known.select(model.alias("m"), F.col("actual").alias("y"), weight.alias("w"), *names), names, trees)
+    ask = pairs.where(F.col("week_idx").isin(cutoffs)).withColumn("cutoff", F.col("week_idx")).withColumn("m", model)
+    return boosting.predict(ask, models, names, cuts).select("cutoff", "key", "h", "target_idx", "actual", F.coalesce("prediction", F.lit(0.0)).alias("predicted"))
+
+
 def recursive_forecast(panel: DataFrame, cutoff: int, horizon: int, lags: list[int] | None = None, windows: list[int] | None = None, penalty: float = 0.1) -> DataFrame:
     """key, week_idx, predicted: a linear model of lags and of means of the last values (windows), both of which each step's forecast enters as demand for the next; no less than 0.
 

@@ -72,17 +72,17 @@ def moving_quantiles(df: DataFrame, frames: dict[str, Frame], key: str = "key",
     return df.groupBy(key).applyInArrow(each, schema)
 
 
-def decayed_sums(df: DataFrame, terms: dict[str, tuple[Column, float]], key: str = "key", time: str = "week_idx") -> DataFrame:
-    """df with, for each name, the sum of a term over a key's rows up to this one, each row's decayed by q for every row since: s = q * s before + term. Null terms count as 0.
+def decayed_sums(df: DataFrame, terms: dict[str, tuple[Column, float]], key: str | list[str] = "key", time: str = "week_idx") -> DataFrame:
+    """df with, for each name, the sum of a term over a key's rows (or those of several columns) up to this one, each row's decayed by q for every row since: s = q * s before + term. Null terms count as 0.
 
     The steps are affine maps that compose. Within blocks of rows a running sum of the terms over powers of q gives the decayed sum. The blocks' sums are then composed with those 1, 2, 4, ...
     blocks before, until q to that distance is 0 for a double, so no row is cut off by a bound of this function. Each step is one pass over the key's rows, and all use one order.
     """
-    decays = [q for _, q in terms.values() if q > 0]
+    decays, keys = [q for _, q in terms.values() if q > 0], [key] if isinstance(key, str) else key
     # q to the power of -rows must not overflow.
     rows = min([64, *[int(200 / -np.log10(q)) for q in decays if q < 1]])
-    df = df.withColumn("_pos", F.row_number().over(W.partitionBy(key).orderBy(time)) - 1).withColumn("_block", F.expr(f"_pos div {rows}")).withColumn("_in", F.expr(f"_pos % {rows}"))
-    inside, whole = W.partitionBy(key, "_block").orderBy(time).rowsBetween(W.unboundedPreceding, 0), W.partitionBy(key).orderBy("_block", time)
+    df = df.withColumn("_pos", F.row_number().over(W.partitionBy(*keys).orderBy(time)) - 1).withColumn("_block", F.expr(f"_pos div {rows}")).withColumn("_in", F.expr(f"_pos % {rows}"))
+    inside, whole = W.partitionBy(*keys, "_block").orderBy(time).rowsBetween(W.unboundedPreceding, 0), W.partitionBy(*keys).orderBy("_block", time)
     own, ends = {}, {}
     for i, (term, q) in enumerate(terms.values()):
         x = F.coalesce(term.cast("double"), F.lit(0.0))

@@ -88,13 +88,16 @@ def ewm(df: DataFrame, spans: list[int], shift: int = 1, adjust: bool = True) ->
     # Squares are taken of the distance from the key's first value: a common level would cost digits.
     df = df.withColumn("_base", F.first(TARGET, ignorenulls=True).over(by_key().rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).withColumn("_y", y - F.col("_base"))
     df = df.withColumn("_first", F.count(TARGET).over(by_key().rowsBetween(W.unboundedPreceding, -1)) == 0)
-    for span in spans:
+    for span in [s for s in spans if s > 1]:
         a = 2 / (span + 1)
         w = F.when(y.isNotNull(), 1.0 if adjust else F.when(F.col("_first"), 1.0).otherwise(a))
         terms |= {f"_{k}_{span}": (t, (1 - a) ** p) for k, t, p in (("w", w, 1), ("wx", w * F.col("_y"), 1), ("wxx", w * F.col("_y") * F.col("_y"), 1), ("ww", w * w, 2))}
     df = decayed_sums(df, terms)
     out = {}
     for span in spans:
+        if span <= 1:  # nothing but the last value counts
+            out |= {f"ewm_{span}": F.last(TARGET, ignorenulls=True).over(by_key().rowsBetween(W.unboundedPreceding, -shift)), f"ewm_std_{span}": F.lit(None).cast("double")}
+            continue
         w, wx, wxx, ww = (F.lag(f"_{k}_{span}", shift).over(by_key()) for k in ("w", "wx", "wxx", "ww"))
         mean = divided(wx, w)
         rest = w * w - ww

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from demandloom.operators import cross, evaluate as op
 from demandloom.plans.features import rounded
 from demandloom.plans.joining import SCORED, scored
-from demandloom.plans.panels import BRAND, brand_week
+from demandloom.plans.panels import BRAND, PART, brand_week, part_week
 from demandloom.plans.registry import query
 
 E = "abs(predicted - actual)"
@@ -113,10 +113,20 @@ def backtest_origins(spark, sf_dir):
     return op.origins(brand_week(spark, sf_dir), 1600, 1612, 13)
 
 
-@query(f"{BRAND}, c AS (SELECT unnest(range(1600, 1613)) AS cutoff), k AS (SELECT cutoff, key, avg(y) AS mean, arg_max(y, week_idx) AS last FROM panel JOIN c ON week_idx <= cutoff AND week_idx > cutoff - 13 GROUP BY 1, 2) SELECT k.cutoff::INT AS cutoff, (week_idx - k.cutoff)::INT AS h, count(*) AS n, round(sum(abs(mean - y)) / sum(y), 6) AS wape_mean, round(sum(abs(last - y)) / sum(y), 6) AS wape_last FROM k JOIN panel p ON p.key = k.key AND week_idx > cutoff AND week_idx <= cutoff + 13 GROUP BY 1, 2")
+@query(
+    f"{PART}, c AS (SELECT unnest(range(1600, 1613)) AS cutoff), "
+    "g AS (SELECT key, week_idx, CASE WHEN (week_idx + ascii(key)) % 3 = 0 THEN 0 ELSE y END AS y, row_number() OVER (PARTITION BY key ORDER BY week_idx) AS pos FROM panel), "
+    "h AS (SELECT cutoff, g.*, row_number() OVER (PARTITION BY cutoff, key, y > 0 ORDER BY week_idx) AS nth, pos - lag(pos, 1, 0) OVER (PARTITION BY cutoff, key, y > 0 ORDER BY week_idx) AS gap, count(*) OVER (PARTITION BY cutoff, key) AS n, count(CASE WHEN y > 0 THEN 1 END) OVER (PARTITION BY cutoff, key) AS d FROM g JOIN c ON week_idx <= cutoff), "
+    "s AS (SELECT cutoff, key, coalesce(sum(CASE WHEN y > 0 THEN pow(0.9::DOUBLE, d - nth) * CASE WHEN nth = 1 THEN 1 ELSE 0.1 END * y END) / sum(CASE WHEN y > 0 THEN pow(0.9::DOUBLE, d - nth) * CASE WHEN nth = 1 THEN 1 ELSE 0.1 END * gap END), 0) AS croston, "
+    "coalesce(pow(0.9::DOUBLE, any_value(d)) * avg(CASE WHEN y > 0 THEN y END) + sum(CASE WHEN y > 0 THEN 0.1 * pow(0.9::DOUBLE, d - nth) * y END), 0) * (pow(0.9::DOUBLE, any_value(n)) * any_value(d) / any_value(n) + sum(CASE WHEN y > 0 THEN 0.1 * pow(0.9::DOUBLE, n - pos) ELSE 0 END)) AS tsb FROM h GROUP BY 1, 2), "
+    "m AS (SELECT cutoff, key, avg(y) AS mean, arg_max(y, week_idx) AS last FROM g JOIN c ON week_idx <= cutoff AND week_idx > cutoff - 13 GROUP BY 1, 2) "
+    "SELECT m.cutoff::INT AS cutoff, (week_idx - m.cutoff)::INT AS h, count(*) AS n, " + ", ".join(f"round(sum(abs({x} - y)) / sum(y), 6) AS wape_{n}" for n, x in (("mean", "mean"), ("last", "last"), ("croston", "croston"), ("sba", "0.95 * croston"), ("tsb", "tsb"))) + " "
+    "FROM m JOIN s USING (cutoff, key) JOIN g p ON p.key = m.key AND week_idx > cutoff AND week_idx <= cutoff + 13 GROUP BY 1, 2"
+)
 def rolling_origin_backtest(spark, sf_dir):
-    p = brand_week(spark, sf_dir)
-    return rounded(op.rolling_backtest(p, op.origins(p, 1600, 1612, 13), 13), "cutoff", "h", "n", "wape_mean", "wape_last")
+    rows = part_week(spark, sf_dir)
+    p = rows.withColumn("y", F.when((F.col("week_idx") + F.ascii("key")) % 3 == 0, 0.0).otherwise(F.col("y")))
+    return rounded(op.rolling_backtest(p, op.origins(p, 1600, 1612, 13), 13), "cutoff", "h", "n", *[f"wape_{n}" for n in op.NAIVE])
 
 
 @query(f"{BRAND}, s AS (SELECT min(week_idx) AS a, max(week_idx) AS b FROM panel) SELECT f::INT AS fold, a AS train_start, (b - (3 - f) * 13 - 13 - 2)::INT AS train_end, (b - (3 - f) * 13 - 12)::INT AS val_start, (b - (3 - f) * 13)::INT AS val_end FROM s, (SELECT unnest(range(0, 4)) AS f)")

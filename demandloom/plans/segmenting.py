@@ -164,6 +164,12 @@ def pooled_scoped_forecast(spark, sf_dir):
     return rounded(models.scoped_forecast(rows, 1608, [(["category"], 50), (["category", "segment"], 400)], horizons=1), "key", "h", "scope", "actual", "predicted")
 
 
+@query()
+def model_origin_backtest(spark, sf_dir):
+    made = models.origin_forecasts(brand_week(spark, sf_dir), [1600, 1606])
+    return made.groupBy("cutoff", "h").agg(F.count("*").alias("n"), F.round(F.sum(F.abs(F.col("predicted") - F.col("actual"))) / F.sum("actual"), 6).alias("wape"))
+
+
 @query()
 def stacked_origin_forecast(spark, sf_dir):
     return rounded(models.stacked(brand_week(spark, sf_dir).withColumn("category", F.substring("key", 7, 1)), 1608), "key", "h", "actual", "predicted")
