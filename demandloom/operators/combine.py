@@ -30,7 +30,8 @@ def score_grid(df: DataFrame, by: list[str], grid: Sequence[tuple[float, ...]],
 
     Loss: WAPE plus penalty times the square of what the bias falls short of the last part's own bias (if negative) less the tolerance.
     """
-    points = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in grid])
+    # A slice is folded to one constant; an array in the generator would become code for each of its elements, more than the compiler takes.
+    points = F.expr(f"slice(array({', '.join('array(' + ', '.join(f'double({float(x)!r})' for x in g) + ')' for g in grid)}), 1, {len(grid)})")
     # Grouped by the number of the point: hashing an array for each row and point would cost more than the sums.
     rows = df.select(*by, "actual", *parts, F.posexplode(points).alias("_i", "weights"))
     return score_points(rows, by, tolerance, parts, penalty, "_i").withColumn("weights", F.get(points, F.col("_i"))).select(*by, "weights", "loss")

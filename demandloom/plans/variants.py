@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandloom.operators import combine, correct, evaluate, forecast, models, profile, ranks, segment
+from demandloom.operators import combine, convex, correct, evaluate, forecast, models, profile, ranks, segment
 from demandloom.plans.combining import PARTS, parts
 from demandloom.plans.correcting import END, FC, fc, shown, train
 from demandloom.plans.features import SPARSE, rounded, sparse
@@ -148,3 +148,28 @@ def isotonic_calibration(spark, sf_dir):
 def blend_penalty_choice(spark, sf_dir):
     rows = parts(spark, sf_dir).where("week_idx > 1500").withColumn("snapshot", F.expr("int(week_idx div 60)"))
     return rounded(combine.choose_alpha(rows, [[], ["category"]], combine.cube(1.5, 0.5, 3), [0.0, 0.05, 1.0], "snapshot"), "alpha", "wape")
+
+
+def weighted(fit, *names):  # noqa: ANN001, ANN002
+    return fit.select(*names, *[F.round(F.col("weights")[i], 4).alias(f"w_{p}") for i, p in enumerate(combine.PARTS)])
+
+
+@query()
+def blend_fit_certified(spark, sf_dir):
+    fit = convex.fit_convex(parts(spark, sf_dir), ["category"])
+    return weighted(fit.withColumn("loss", F.round("loss", 4)).withColumn("certified", F.col("gap") <= 1e-4), "category", "loss", "certified")
+
+
+@query()
+def blend_deployed_certified(spark, sf_dir):
+    rows = parts(spark, sf_dir)
+    volumes = rows.groupBy("category", "segment").agg((F.sum("actual") / 10).alias("volume"))
+    segments = combine.guardrail(rows, convex.fit_convex(rows, ["category", "segment"]), ["category", "segment"])
+    shrunk = combine.shrink(segments, combine.guardrail(rows, convex.fit_convex(rows, ["category"]), ["category"]), volumes)
+    return weighted(combine.calibrated(rows, shrunk, ["category", "segment"]), "category", "segment")
+
+
+@query()
+def blend_levels_certified(spark, sf_dir):
+    fit = convex.fit_levels(parts(spark, sf_dir), [[], ["category"], ["category", "segment"]], 0.05)
+    return weighted(fit.withColumn("certified", F.col("gap") <= 1e-4), "category", "segment", "certified")
