@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandloom.operators import impute, models, panel, profile, windows
+from demandloom.operators import hierarchy, impute, models, panel, profile, windows
 from demandloom.operators import segment as op
 
 from demandloom.plans.features import rounded, sparse
@@ -117,6 +117,27 @@ def hierarchy_detect(spark, sf_dir):
     return op.hierarchy_pairs(rows, ["p_brand", "p_size", "maker", "grp"])
 
 
+CHAINED = "p AS (SELECT p_partkey AS key, p_brand AS brand, 'M' || substr(p_brand, 7, 1) AS market_segment, 'M' || substr(p_brand, 7, 1) AS form, 'G' || (substr(p_brand, 7, 1)::INT // 3) AS product_group, p_size AS store_size, CASE WHEN p_partkey % 3 > 0 THEN p_type END AS channel, p_partkey % 2 AS flag FROM part)"
+EACH = " UNION ALL ".join(f"SELECT '{c}' AS c, {c}::VARCHAR AS v, key FROM p" for c in ("brand", "market_segment", "form", "product_group", "store_size", "channel", "flag"))
+
+
+@query(
+    f"WITH {CHAINED}, e AS ({EACH}), v AS (SELECT c, v, count(*) AS k FROM e WHERE v IS NOT NULL GROUP BY 1, 2), t AS (SELECT count(*) AS n FROM p), m AS (SELECT c, count(*) AS n_values, any_value(n) / count(*) AS keys_per_group, min(k)::BIGINT AS least_keys, round(sum(k) / any_value(n), 4) AS coverage FROM v, t GROUP BY 1), "
+    "w AS (SELECT * FROM (VALUES ('brand', 'product', 'product', 3, 'market_segment', NULL, NULL), ('market_segment', 'product', 'product', 2, 'product_group', NULL, NULL), ('form', 'product', NULL, NULL, NULL, 'market_segment', NULL), "
+    "('product_group', 'product', 'product', 1, NULL, NULL, NULL), ('store_size', 'customer', 'customer', 1, NULL, NULL, NULL), ('channel', 'customer', NULL, NULL, NULL, NULL, 'seldom filled'), ('flag', 'other', NULL, NULL, NULL, NULL, 'few values')) x(c, label, chain, level, parent, same_as, rejected)) "
+    "SELECT w.c AS \"column\", label, chain, level, parent, n_values, round(keys_per_group, 6) AS keys_per_group, least_keys, coverage, "
+    "CASE WHEN level IS NOT NULL THEN round(CASE label WHEN 'product' THEN 1 ELSE 0.9 END * (0.4 * greatest(0, 1 - abs(log10(n_values) - 1.5)) + 0.4 * greatest(0, 1 - abs(log10(keys_per_group) - 1.5)) + 0.2 * (1 - 0.2 * (level - 1))), 4) END AS score, same_as, rejected FROM w JOIN m ON m.c = w.c"
+)
+def hierarchy_chains(spark, sf_dir):
+    maker = F.substring("p_brand", 7, 1)
+    rows = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("key"), F.col("p_brand").alias("brand"), F.concat(F.lit("M"), maker).alias("market_segment"), F.concat(F.lit("M"), maker).alias("form"), F.concat(F.lit("G"), F.expr("int(substring(p_brand, 7, 1)) div 3")).alias("product_group"),
+        F.col("p_size").alias("store_size"), F.expr("if(p_partkey % 3 > 0, p_type, null)").alias("channel"), (F.col("p_partkey") % 2).alias("flag"),
+    )
+    made = hierarchy.hierarchy_chains(rows, [c for c in rows.columns if c != "key"], least=2)
+    return made.withColumn("keys_per_group", F.round("keys_per_group", 6))
+
+
 @query(f"{BRAND}, a AS (SELECT *, CASE WHEN week_idx <= 1600 THEN price END AS past_price, CASE WHEN week_idx <= 1605 OR key < 'Brand#2' THEN price END AS part_price, 0 AS nothing FROM panel), f AS (SELECT * FROM a WHERE week_idx > 1600) SELECT 'price' AS \"column\", 'known' AS class, (SELECT max(week_idx) FROM f) AS known_until UNION ALL SELECT 'past_price', 'history_only', NULL UNION ALL SELECT 'nothing', 'excluded', NULL UNION ALL SELECT 'is_promo', 'known', (SELECT max(week_idx) FROM f WHERE promo = 1)")
 def feature_availability(spark, sf_dir):
     rows = brand_week(spark, sf_dir).select("key", "week_idx", "price", F.expr("if(week_idx <= 1600, price, null)").alias("past_price"), F.lit(0).alias("nothing"), F.col("promo").alias("is_promo"))
