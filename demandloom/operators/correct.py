@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from demandloom.operators import ranks
+from demandloom.operators.selection import at_group_ranks
 
 
 def clip(c: Column, lo: float, hi: float) -> Column:
@@ -29,12 +30,12 @@ def seasonal_correct(fc: DataFrame, hist: DataFrame, reliability: float = 0.5, b
     return fc.join(f, by).withColumn("corrected", F.col("predicted") * F.col("factor"))
 
 
-def growth_factor(hist: DataFrame, end: int, lookback: int = 13, season: int = 52, lo: float = 0.2, hi: float = 5.0) -> DataFrame:
-    """key, growth: the last periods over the same ones a season ago; 1 without either, 0.5 where demand ended, within bounds."""
+def growth_factor(hist: DataFrame, end: int, lookback: int = 13, season: int = 52, lo: float = 0.2, hi: float = 5.0, least: int = 4) -> DataFrame:
+    """key, growth: the last periods over the same ones a season ago; 1 with fewer than `least` values in the last ones or without demand then, 0.5 where demand ended, within bounds."""
     t = F.col("week_idx")
     now, then = (t > end - lookback) & (t <= end), (t > end - lookback - season) & (t <= end - season)
-    s = hist.groupBy("key").agg(F.coalesce(F.sum(F.when(now, F.col("y"))), F.lit(0.0)).alias("now"), F.coalesce(F.sum(F.when(then, F.col("y"))), F.lit(0.0)).alias("then"))
-    return s.select("key", F.when(F.col("then") <= 0, 1.0).when(F.col("now") <= 0, 0.5).otherwise(clip(ratio(F.col("now"), F.col("then")), lo, hi)).alias("growth"))
+    s = hist.groupBy("key").agg(F.coalesce(F.sum(F.when(now, F.col("y"))), F.lit(0.0)).alias("now"), F.coalesce(F.sum(F.when(then, F.col("y"))), F.lit(0.0)).alias("then"), F.count(F.when(now, F.col("y"))).alias("n"))
+    return s.select("key", F.when((F.col("n") < least) | (F.col("then") <= 0), 1.0).when(F.col("now") <= 0, 0.5).otherwise(clip(ratio(F.col("now"), F.col("then")), lo, hi)).alias("growth"))
 
 
 def sply_blend(fc: DataFrame, hist: DataFrame, end: int, alpha: float = 0.6, season: int = 52) -> DataFrame:
@@ -246,15 +247,13 @@ def conformal(fc: DataFrame, train: DataFrame, by: str, confidence: float = 0.9,
     """
     e, size = F.col("actual") - F.col("predicted"), F.greatest(F.abs("predicted"), F.lit(1.0))
     score = {"absolute": F.abs(e), "normalised": F.abs(e) / size, "signed": e}[method]
-    w = W.partitionBy(by)
-    s = train.select(by, score.alias("_e")).withColumn("_r", F.row_number().over(w.orderBy("_e"))).withColumn("_n", F.count("*").over(w))
-    rank = lambda c: F.least(F.col("_n"), F.greatest(F.lit(1), F.ceil((F.col("_n") + 1) * c)))
-    at = lambda c: F.max(F.when(F.col("_r") == rank(c), F.col("_e")))
+    at = lambda c: F.ceil((F.col("n") + 1) * c) - 1
+    wanted = {"_lo": at((1 - confidence) / 2), "_hi": at((1 + confidence) / 2)} if method == "signed" else {"_hi": at(confidence)}
+    q = at_group_ranks(train, [by], score, wanted).drop("n")
     if method == "signed":
-        q = s.groupBy(by).agg(at((1 - confidence) / 2).alias("_lo"), at((1 + confidence) / 2).alias("_hi"))
         lower, upper = F.col("predicted") + F.col("_lo"), F.col("predicted") + F.col("_hi")
     else:
-        q = s.groupBy(by).agg(at(confidence).alias("_hi")).withColumn("_lo", F.col("_hi"))
+        q = q.withColumn("_lo", F.col("_hi"))
         half = F.col("_hi") * (size if method == "normalised" else F.lit(1.0))
         lower, upper = F.col("predicted") - half, F.col("predicted") + half
     return fc.join(q, by, "left").withColumn("lower", F.greatest(lower, F.lit(0.0))).withColumn("upper", upper).drop("_lo", "_hi")

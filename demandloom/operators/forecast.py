@@ -54,8 +54,8 @@ def tsb(df: DataFrame, alpha: float = 0.1, beta: float = 0.1) -> DataFrame:
 def imapa(df: DataFrame, levels: list[int], alpha: float = 0.1, sba: bool = False) -> DataFrame:
     """key, imapa: Croston (or, with sba, its variant with less bias) on sums of blocks of several lengths, per period, weighted by each level's share of blocks with demand."""
     rows = series(df).withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels])))
-    # Blocks end at the last period; a rest at the start is left out.
-    rows = rows.withColumn("k", F.expr("size(ys) div level")).where("k > 0").withColumn("blocks", F.expr("transform(sequence(1, k), i -> aggregate(slice(ys, size(ys) - (k - i + 1) * level + 1, level), 0D, (a, y) -> a + y))"))
+    # Blocks begin with the first period; a rest at the end is left out.
+    rows = rows.withColumn("k", F.expr("size(ys) div level")).where("k > 0").withColumn("blocks", F.expr("transform(sequence(1, k), i -> aggregate(slice(ys, (i - 1) * level + 1, level), 0D, (a, y) -> a + y))"))
     scored = rows.withColumn("s", croston_fold(F.col("blocks"), alpha)).withColumn("w", F.size(F.filter("blocks", lambda y: y > 0)) / F.col("k"))
     level = F.coalesce(F.col("s.size") / F.col("s.interval"), F.lit(0.0)) * (1 - alpha / 2 if sba else 1.0) / F.col("level")
     return scored.groupBy("key").agg(F.coalesce(F.try_divide(F.sum(level * F.col("w")), F.sum("w")), F.lit(0.0)).alias("imapa"))

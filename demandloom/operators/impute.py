@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandloom.operators.selection import group_quantiles
+
 
 def availability(df: DataFrame, columns: list[str], cutoff: int, known: float = 0.5, partial: float = 0.1, useful: float = 0.01, key: str = "key", time: str = "week_idx") -> DataFrame:
     """column, class by what share of the keys of the future has a value there: known, partial, history_only, or excluded without signal in history."""
@@ -29,7 +31,7 @@ def missing_periods(df: DataFrame, columns: list[str], threshold: float = 0.9, t
 def impute_numeric(df: DataFrame, column: str, start: int, group: str, season: int = 52, key: str = "key", time: str = "week_idx") -> DataFrame:
     """imputed: from `start` on, where the value is zero or null, the key's value a season ago, else its group's median of non-zero values then."""
     own = df.select(key, (F.col(time) + season).alias(time), F.when(F.col(column) != 0, F.col(column)).alias("_own"))
-    near = df.where(F.col(column) != 0).groupBy(group, (F.col(time) + season).alias(time)).agg(F.median(column).alias("_group"))
+    near = group_quantiles(df.where(F.col(column) != 0).withColumn(time, F.col(time) + season), [group, time], column, {"_group": 0.5}).drop("n")
     lacks = (F.col(time) >= start) & (F.coalesce(F.col(column), F.lit(0.0)) == 0)
     return df.join(own, [key, time], "left").join(near, [group, time], "left").withColumn("imputed", F.when(lacks, F.coalesce("_own", "_group", column)).otherwise(F.col(column))).drop("_own", "_group")
 

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from demandloom.operators import ranks
+from demandloom.operators.selection import group_quantiles, null_safe
 from demandloom.operators.windows import by_key, clip, divided
 
 KEY, TIME, TARGET = "key", "week_idx", "y"
@@ -78,20 +79,21 @@ def high_volatility(df: DataFrame, by: str, threshold: float = 1.0) -> DataFrame
 
 def distribution(df: DataFrame, by: list[str], column: str, at: tuple[float, ...] = (0.5, 0.75, 0.9, 0.95)) -> DataFrame:
     """n, mean, sd, skew, kurt and exact percentiles p50 .. per group."""
-    return df.groupBy(*by).agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("sd"), F.skewness(column).alias("skew"), F.kurtosis(column).alias("kurt"), *[F.percentile(column, q).alias(f"p{round(q * 100)}") for q in at])
+    moments = df.groupBy(*by).agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("sd"), F.skewness(column).alias("skew"), F.kurtosis(column).alias("kurt"))
+    return null_safe(moments, group_quantiles(df, by, column, {f"p{round(q * 100)}": q for q in at}).drop("n"), by)
 
 
 def group_outliers(df: DataFrame, by: str, method: str, threshold: float, column: str = TARGET) -> DataFrame:
     """df with lo, hi, outlier per group: iqr, zscore or mad (0.6745 (x - median) / mad)."""
     if method == "mad":
-        middle = df.groupBy(by).agg(F.median(column).alias("_m"))
-        spread = df.join(middle, by).groupBy(by, "_m").agg(F.median(F.abs(F.col(column) - F.col("_m"))).alias("_d"))
+        middle = group_quantiles(df, [by], column, {"_m": 0.5}).drop("n")
+        spread = null_safe(group_quantiles(null_safe(df, middle, [by]), [by], F.abs(F.col(column) - F.col("_m")), {"_d": 0.5}).drop("n"), middle, [by])
         bounds = spread.select(by, (F.col("_m") - threshold * F.col("_d") / 0.6745).alias("lo"), (F.col("_m") + threshold * F.col("_d") / 0.6745).alias("hi"))
     elif method == "zscore":
         bounds = df.groupBy(by).agg((F.avg(column) - threshold * F.stddev_samp(column)).alias("lo"), (F.avg(column) + threshold * F.stddev_samp(column)).alias("hi"))
     else:
-        q1, q3 = F.percentile(column, 0.25), F.percentile(column, 0.75)
-        bounds = df.groupBy(by).agg((q1 - threshold * (q3 - q1)).alias("lo"), (q3 + threshold * (q3 - q1)).alias("hi"))
+        q = group_quantiles(df, [by], column, {"_q1": 0.25, "_q3": 0.75})
+        bounds = q.select(by, (F.col("_q1") - threshold * (F.col("_q3") - F.col("_q1"))).alias("lo"), (F.col("_q3") + threshold * (F.col("_q3") - F.col("_q1"))).alias("hi"))
     return df.join(bounds, by).withColumn("outlier", (F.col(column) < F.col("lo")) | (F.col(column) > F.col("hi")))
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from demandloom.operators.tables import cut
+
 #: Values that one task may hold and order.
 FEW = 100_000
 #: Ranks of a sketch are right to one part in so many. Brackets around a rank are four such parts wide each way.
@@ -90,7 +92,7 @@ def ranks(df: DataFrame, group: str, value: str) -> DataFrame:
 
     A group's values are dealt into ranges by a sketch and ordered range by range; null values have no rank.
     """
-    values = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("n"))
+    values = cut(df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("n")))  # read four times
     edges = values.groupBy(F.col(group).alias("_g")).agg(F.percentile_approx(value, [i / RANGES for i in range(1, RANGES)], 4 * RANGES).alias("_e"))
     # A range is a number of edges under the value: the edges' exactness matters to balance only.
     dealt = values.join(edges, F.col(group).eqNullSafe(F.col("_g"))).withColumn("_r", F.size(F.filter("_e", lambda e: e < F.col(value)))).drop("_e", "_g")

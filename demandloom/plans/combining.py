@@ -180,7 +180,7 @@ def tsb(spark, sf_dir):
 
 
 #: Croston on each level's blocks, which end at the last period.
-IMAPA = f"{SPARSE}, sp AS (SELECT min(week_idx) AS a, max(week_idx) AS b FROM sparse), g AS (SELECT key, unnest(range(a, b + 1)) AS week_idx FROM (SELECT DISTINCT key FROM sparse), sp), l AS (SELECT g.key, list(coalesce(y, 0) ORDER BY g.week_idx) AS ys FROM g LEFT JOIN sparse s ON s.key = g.key AND s.week_idx = g.week_idx GROUP BY 1), v AS (SELECT *, len(ys) // level AS k FROM l, (SELECT unnest([1, 2, 4]) AS level)), b AS (SELECT key, level, k, list_transform(range(1, k + 1), lambda i: list_sum(ys[len(ys) - (k - i + 1) * level + 1 : len(ys) - (k - i) * level])) AS blocks FROM v WHERE k > 0), f AS (SELECT key, level, len(list_filter(blocks, lambda x: x > 0)) / k AS w, list_reduce(list_transform(blocks, lambda y: {{'y': y::DOUBLE, 'size': NULL::DOUBLE, 'gap': 0.0::DOUBLE, 'interval': NULL::DOUBLE}}), lambda s, x: {{'y': x.y, 'size': CASE WHEN x.y > 0 THEN coalesce(s.size + 0.1::DOUBLE * (x.y - s.size), x.y) ELSE s.size END, 'gap': CASE WHEN x.y > 0 THEN 0 ELSE s.gap + 1 END::DOUBLE, 'interval': CASE WHEN x.y > 0 THEN coalesce(s.interval + 0.1::DOUBLE * (s.gap + 1 - s.interval), s.gap + 1) ELSE s.interval END}}, {{'y': 0.0::DOUBLE, 'size': NULL::DOUBLE, 'gap': 0.0::DOUBLE, 'interval': NULL::DOUBLE}}) AS s FROM b)"
+IMAPA = f"{SPARSE}, sp AS (SELECT min(week_idx) AS a, max(week_idx) AS b FROM sparse), g AS (SELECT key, unnest(range(a, b + 1)) AS week_idx FROM (SELECT DISTINCT key FROM sparse), sp), l AS (SELECT g.key, list(coalesce(y, 0) ORDER BY g.week_idx) AS ys FROM g LEFT JOIN sparse s ON s.key = g.key AND s.week_idx = g.week_idx GROUP BY 1), v AS (SELECT *, len(ys) // level AS k FROM l, (SELECT unnest([1, 2, 4]) AS level)), b AS (SELECT key, level, k, list_transform(range(1, k + 1), lambda i: list_sum(ys[(i - 1) * level + 1 : i * level])) AS blocks FROM v WHERE k > 0), f AS (SELECT key, level, len(list_filter(blocks, lambda x: x > 0)) / k AS w, list_reduce(list_transform(blocks, lambda y: {{'y': y::DOUBLE, 'size': NULL::DOUBLE, 'gap': 0.0::DOUBLE, 'interval': NULL::DOUBLE}}), lambda s, x: {{'y': x.y, 'size': CASE WHEN x.y > 0 THEN coalesce(s.size + 0.1::DOUBLE * (x.y - s.size), x.y) ELSE s.size END, 'gap': CASE WHEN x.y > 0 THEN 0 ELSE s.gap + 1 END::DOUBLE, 'interval': CASE WHEN x.y > 0 THEN coalesce(s.interval + 0.1::DOUBLE * (s.gap + 1 - s.interval), s.gap + 1) ELSE s.interval END}}, {{'y': 0.0::DOUBLE, 'size': NULL::DOUBLE, 'gap': 0.0::DOUBLE, 'interval': NULL::DOUBLE}}) AS s FROM b)"
 
 
 @query(f"{IMAPA} SELECT key, round(coalesce(sum(coalesce(s.size / s.interval, 0) / level * w) / nullif(sum(w), 0), 0), 6) AS imapa FROM f GROUP BY 1")

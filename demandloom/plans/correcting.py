@@ -13,7 +13,7 @@ from demandloom.plans.registry import query
 END = 1608
 FC = f"{SCORED}, fc AS (SELECT * FROM scored WHERE week_idx > {END}), train AS (SELECT * FROM scored WHERE week_idx <= {END}), ly AS (SELECT key, week_idx + 52 AS week_idx, y AS sply FROM panel)"
 TOTALS = f"{FC}, tot AS (SELECT key, sum(predicted) AS forecast, sum(sply) AS sply, count(*) AS n FROM fc LEFT JOIN ly USING (key, week_idx) GROUP BY 1)"
-GROWTH = f"gs AS (SELECT key, coalesce(sum(y) FILTER (week_idx > {END - 13} AND week_idx <= {END}), 0) AS a, coalesce(sum(y) FILTER (week_idx > {END - 65} AND week_idx <= {END - 52}), 0) AS b FROM panel GROUP BY 1), growth AS (SELECT key, CASE WHEN b <= 0 THEN 1.0::DOUBLE WHEN a <= 0 THEN 0.5 ELSE least(greatest(a / b, 0.2), 5) END AS growth FROM gs)"
+GROWTH = f"gs AS (SELECT key, coalesce(sum(y) FILTER (week_idx > {END - 13} AND week_idx <= {END}), 0) AS a, coalesce(sum(y) FILTER (week_idx > {END - 65} AND week_idx <= {END - 52}), 0) AS b, count(y) FILTER (week_idx > {END - 13} AND week_idx <= {END}) AS n FROM panel GROUP BY 1), growth AS (SELECT key, CASE WHEN n < 4 OR b <= 0 THEN 1.0::DOUBLE WHEN a <= 0 THEN 0.5 ELSE least(greatest(a / b, 0.2), 5) END AS growth FROM gs)"
 
 
 def fc(spark, sf_dir):

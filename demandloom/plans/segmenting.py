@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from demandloom.operators import hierarchy, impute, models, panel, profile, windows
 from demandloom.operators import segment as op
-
+from demandloom.operators.tables import cut
 from demandloom.plans.features import rounded, sparse
 from demandloom.plans.panels import BRAND, PART, brand_week, part_week, table
 from demandloom.plans.profiling import STATS
@@ -16,7 +16,8 @@ from demandloom.plans.registry import query
 def keys(spark, sf_dir):
     rows = sparse(spark, sf_dir)
     sold = rows.groupBy("key").agg(F.count_if(F.col("y") > 0).alias("n_sold"))
-    return op.segmentation_features(profile.statistics(rows)).join(sold, "key").withColumn("segment", F.concat_ws("|", "tier", "pattern"))
+    # Operators read keys several times: they are written once.
+    return op.segmentation_features(cut(profile.statistics(rows).join(sold, "key"))).withColumn("segment", F.concat_ws("|", "tier", "pattern"))
 
 
 KEYS = f"{STATS}, e AS (SELECT quantile_cont(total, 0.3) AS lo, quantile_cont(total, 0.7) AS hi FROM stats), k0 AS (SELECT *, CASE WHEN total <= lo THEN 'low' WHEN total <= hi THEN 'medium' ELSE 'high' END AS tier, cv * cv AS cv2, 0.5::DOUBLE * zero_fraction + 0.3::DOUBLE * least(adi / 10, 1) + 0.2::DOUBLE * least(coalesce(cv * cv, 0) / 2, 1) AS intermittency FROM stats, e), keys AS (SELECT *, 1 - intermittency AS forecastability, CASE WHEN adi <= 1.32 THEN CASE WHEN coalesce(cv2, 0) <= 0.49 THEN 'smooth' ELSE 'erratic' END WHEN coalesce(cv2, 0) <= 0.49 THEN 'intermittent' ELSE 'lumpy' END AS pattern, CASE WHEN n < 13 THEN 'new' WHEN n < 52 THEN 'growing' ELSE 'mature' END AS stage FROM k0)"
