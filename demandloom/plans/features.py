@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandloom.operators import calendar, transforms
 from demandloom.operators import panel as cleaning
 from demandloom.operators import windows as op
 from demandloom.plans.panels import BRAND, PART, brand_week, part_week
@@ -174,6 +175,33 @@ def target_transforms(spark, sf_dir):
     return rounded(op.restored(rows, "difference").withColumn("again", F.col("restored")), "key", "week_idx", "logged", "difference", "seasonal", "standard", "again")
 
 
+@query(
+    f"{BRAND}, l AS (SELECT key, week_idx, y, ln(1 + y) - lag(ln(1 + y), 52) OVER w AS d FROM panel {W}), m AS (SELECT key, avg(d) AS m, stddev_samp(d) AS s FROM l WHERE week_idx <= 1600 GROUP BY 1) "
+    "SELECT l.key, week_idx, round((d - m) / s, 6) AS x, y AS again FROM l JOIN m ON m.key = l.key"
+)
+def target_transform_chain(spark, sf_dir):
+    rows = brand_week(spark, sf_dir).select("key", "week_idx", "y")
+    history, states = transforms.fitted(rows.where("week_idx <= 1600"), [("log",), ("difference", 52), ("standard",)])
+    ahead = transforms.applied(rows, states).where("week_idx > 1600")
+    again = transforms.restored(history, states).unionByName(transforms.restored(ahead, states, ahead=True)).withColumnRenamed("x", "again")
+    return rounded(again.join(history.unionByName(ahead), ["key", "week_idx"], "left"), "key", "week_idx", "x", "again")
+
+
+@query(
+    f"{BRAND}, p AS (SELECT DISTINCT week_idx FROM panel), e AS (SELECT week_idx, 'moon' AS event FROM p WHERE week_idx % 17 = 3 UNION ALL SELECT week_idx, 'fair' FROM p WHERE week_idx % 52 = 7), "
+    "n AS (SELECT p.week_idx, count(event)::INT AS n_events FROM p LEFT JOIN e USING (week_idx) GROUP BY 1), "
+    "d AS (SELECT week_idx, n_events, least(52, coalesce(week_idx - max(CASE WHEN n_events > 0 THEN week_idx END) OVER (ORDER BY week_idx), 52))::INT AS from_last, "
+    "least(52, coalesce(min(CASE WHEN n_events > 0 THEN week_idx END) OVER (ORDER BY week_idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) - week_idx, 52))::INT AS to_next FROM n) "
+    "SELECT key, week_idx, CASE WHEN week_idx > 1600 THEN n_events ELSE 0 END AS n_events, CASE WHEN week_idx > 1600 THEN (n_events > 0)::INT ELSE promo END AS is_event, CASE WHEN week_idx > 1600 THEN from_last ELSE 0 END AS from_last, "
+    "CASE WHEN week_idx > 1600 THEN to_next ELSE 0 END AS to_next, " + ", ".join(f"CASE WHEN week_idx > 1600 THEN ({c} <= {n})::INT ELSE 0 END AS {side}_{n}" for n in (1, 2, 4) for side, c in (("pre", "to_next"), ("post", "from_last"))) + " FROM panel JOIN d USING (week_idx)"
+)
+def calendar_events(spark, sf_dir):
+    rows = brand_week(spark, sf_dir).select("key", "week_idx", F.col("promo").alias("is_event"))
+    weeks = rows.select("week_idx").distinct()
+    events = weeks.where("week_idx % 17 = 3").withColumn("event", F.lit("moon")).union(weeks.where("week_idx % 52 = 7").withColumn("event", F.lit("fair")))
+    return calendar.inject_events(rows, events, "future_only", 1600)
+
+
 @query(f"{BRAND}, s AS (SELECT min(week_idx) AS a, max(week_idx) AS b FROM panel), g AS (SELECT key, unnest(range(a, b + 1)) AS week_idx FROM (SELECT DISTINCT key FROM panel), s), d AS (SELECT g.key, g.week_idx, coalesce(y, 0) AS y FROM g LEFT JOIN panel p ON p.key = g.key AND p.week_idx = g.week_idx), o AS (SELECT key, max(CASE WHEN week_idx = 1564 THEN y END) AS last_value, avg(y) FILTER (week_idx BETWEEN 1552 AND 1564) AS mean_13 FROM d GROUP BY 1) SELECT o.key, h::INT AS h, (1564 + h)::INT AS week_idx, o.last_value, round(mean_13, 6) AS mean_13, d.y AS sply FROM o, (SELECT unnest(range(1, 14)) AS h) LEFT JOIN d ON d.key = o.key AND d.week_idx = 1564 + h - 52")
 def naive_baselines(spark, sf_dir):
     from demandloom.operators import forecast
