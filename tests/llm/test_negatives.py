@@ -37,7 +37,7 @@ def mined(df, anchors):
 def test_as_brute_force(spark):
     """Nulls, non-finite components, ties, repeated rows and ids, short vectors, labels of one row, vectors of nought, clashing columns."""
     rng = random.Random(9)
-    rows = [(i, i % 4, [rng.choice([-1, -0.5, 0, 0.25, 1]) for _ in range(6)]) for i in range(300)]
+    rows = [(i, i % 4, [rng.choice([-1.0, -0.5, 0.0, 0.25, 1.0]) for _ in range(6)]) for i in range(300)]
     rows += [rows[10], rows[10], rows[20], (20, 3, [1.0] * 6), (400, 99, [1.0] * 6), (500, 1, [0.0] * 6), (600, 2, [0.5, 0.5]), (None, 1, [1.0] * 6), (700, None, [1.0] * 6)]
     rows += [(800, 1, None), (900, 1, [None] * 6), (1000, 1, [float("nan")] * 6), (1100, 1, [float("inf")] * 6), (1200, 1, []), (1300, 2, [-1.0] * 6)]
     df = clashing(spark.createDataFrame(rows, SCHEMA).repartition(4), "row", "column", "number", "windows", "alike")
