@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from demandloom.functions import periods
 from demandloom.operators import ranks
-from demandloom.operators.windows import by_key, clip, divided
+from demandloom.operators.windows import by_key, clip, correlated, divided
 
 
 def cross_section(df: DataFrame, time: str = "week_idx", target: str = "y") -> DataFrame:
@@ -68,7 +68,7 @@ def history_embedding(df: DataFrame, columns: list[str], until: int, key: str =
     """One row per key: mean, sd, correlation with the target (from five rows on) and slope of each column up to a period."""
     out = []
     for c in columns:
-        out += [F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_sd"), F.when(F.count(c) >= 5, F.corr(c, target)).alias(f"{c}_corr"), F.regr_slope(F.col(c), F.col(time)).alias(f"{c}_slope")]
+        out += [F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_sd"), F.when(F.count(c) >= 5, correlated(c, target)).alias(f"{c}_corr"), F.regr_slope(F.col(c), F.col(time)).alias(f"{c}_slope")]
     return df.where(F.col(time) <= until).groupBy(key).agg(*out)
 
 
@@ -161,14 +161,14 @@ def hash_encode(df: DataFrame, column: str, buckets: int = 8) -> DataFrame:
 
 def correlations(df: DataFrame, columns: list[str], target: str) -> DataFrame:
     """column, corr, variance of each column, in one pass."""
-    seen = df.agg(*[f for i, c in enumerate(columns) for f in (F.corr(c, target).alias(f"c{i}"), F.var_samp(c).alias(f"v{i}"))])
+    seen = df.agg(*[f for i, c in enumerate(columns) for f in (correlated(c, target).alias(f"c{i}"), F.var_samp(c).alias(f"v{i}"))])
     return seen.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("corr"), F.col(f"v{i}").alias("variance")) for i, c in enumerate(columns)])).alias("r")).select("r.*")
 
 
 def pair_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """a, b, corr of every pair of columns, in one pass."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    seen = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    seen = df.agg(*[correlated(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     return seen.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)])).alias("r")).select("r.*")
 
 

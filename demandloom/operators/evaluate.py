@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from demandloom.operators import ranks
 from demandloom.operators.orders import decayed_sums
+from demandloom.operators.windows import correlated
 
 A, P = F.col, F.col
 
@@ -88,7 +89,7 @@ def error_seasonality(df: DataFrame, lags: list[int], time: str = "week_idx") ->
     """lag, corr of the mean error with that of so many periods ago, and whether it is over 0.3."""
     mean = df.groupBy(time).agg(F.avg(F.col("predicted") - F.col("actual")).alias("e"))
     w = W.orderBy(time)  # one row per period
-    lagged = mean.select("e", *[F.lag("e", n).over(w).alias(f"l{n}") for n in lags]).agg(*[F.corr("e", f"l{n}").alias(f"c{n}") for n in lags])
+    lagged = mean.select("e", *[F.lag("e", n).over(w).alias(f"l{n}") for n in lags]).agg(*[correlated("e", f"l{n}").alias(f"c{n}") for n in lags])
     return lagged.select(F.explode(F.array(*[F.struct(F.lit(n).alias("lag"), F.col(f"c{n}").alias("corr"), (F.abs(f"c{n}") > 0.3).alias("seasonal")) for n in lags])).alias("r")).select("r.*")
 
 
@@ -115,6 +116,27 @@ def failures(df: DataFrame, threshold: float, characteristics: DataFrame, column
     return keys.join(characteristics, "key").groupBy("failed").agg(F.count("*").alias("n_keys"), *[F.avg(c).alias(c) for c in columns])
 
 
+def error_by(df: DataFrame, characteristics: DataFrame, by: list[str], threshold: float) -> DataFrame:
+    """by (characteristics of keys, such as the demand pattern), n_keys, n_failed (keys whose WAPE is over the threshold), and n, wape and bias_pct of all their rows together."""
+    keys = df.groupBy("key").agg(F.count(F.col("predicted") - F.col("actual")).alias("n"), F.sum(F.abs(F.col("predicted") - F.col("actual"))).alias("_e"), F.sum(F.col("predicted") - F.col("actual")).alias("_d"), F.sum(F.abs("actual")).alias("_a"))
+    both = keys.join(characteristics.select("key", *by), "key")
+    return both.groupBy(*by).agg(
+        F.count("*").alias("n_keys"), F.count_if(ratio(F.col("_e"), F.col("_a")) > threshold).alias("n_failed"), F.sum("n").alias("n"), ratio(F.sum("_e"), F.sum("_a")).alias("wape"), ratio(F.sum("_d"), F.sum("_a")).alias("bias_pct")
+    )
+
+
+def prediction_leakage(df: DataFrame, most_wape: float = 0.01, least_corr: float = 0.99, least_rows: int = 10, constant_share: float = 0.8) -> DataFrame:
+    """One row: n, wape (with more than least_rows actuals), corr, constant_keys (keys of several rows and one prediction), n_keys; too_good and too_alike (signs of leakage), constant (more than the share of all
+    keys), suspected (either sign). All keys are looked at."""
+    e, a = F.abs(F.col("predicted") - F.col("actual")), F.when(F.col("predicted").isNotNull(), F.abs("actual"))
+    whole = df.agg(F.count(e).alias("n"), F.when(F.count(e) > least_rows, ratio(F.sum(e), F.sum(a))).alias("wape"), correlated("actual", "predicted").alias("corr"))
+    spread = df.groupBy("key").agg((F.count("predicted") > 1).alias("many"), F.stddev_pop("predicted").alias("sd"))
+    keys = spread.agg(F.count_if(F.col("many") & (F.col("sd") < 1e-8)).alias("constant_keys"), F.count("*").alias("n_keys"))
+    out = whole.join(F.broadcast(keys), F.lit(True))  # one row on either side
+    out = out.withColumns({"too_good": F.coalesce(F.col("wape") < most_wape, F.lit(False)), "too_alike": F.coalesce(F.col("corr") > least_corr, F.lit(False)), "constant": F.col("constant_keys") > constant_share * F.col("n_keys")})
+    return out.withColumn("suspected", F.col("too_good") | F.col("too_alike"))
+
+
 def ranked_models(df: DataFrame, model: str, baseline: str, by: list[str] | None = None) -> DataFrame:
     """wape, rank and lift over the baseline of each model, per group."""
     scores = df.groupBy(*(by or []), model).agg(*metrics()).select(*(by or []), model, "wape")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from demandloom.functions import periods
 from demandloom.operators import ranks
+from demandloom.operators.windows import correlated
 
 
 def cast_decimals(df: DataFrame) -> DataFrame:
@@ -83,7 +84,7 @@ def column_report(df: DataFrame, columns: list[str]) -> DataFrame:
 def missing_correlations(df: DataFrame, columns: list[str], numeric: list[str]) -> DataFrame:
     """missing, other, corr: how a column's absence goes with each other numeric column."""
     pairs = [(a, b) for a in columns for b in numeric if a != b]
-    seen = df.agg(*[F.corr(F.col(a).isNull().cast("int"), F.col(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    seen = df.agg(*[correlated(F.col(a).isNull().cast("int"), F.col(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     return seen.select(F.explode(F.array(*[F.struct(F.lit(a).alias("missing"), F.lit(b).alias("other"), F.round(f"c{i}", 6).alias("corr")) for i, (a, b) in enumerate(pairs)])).alias("r")).select("r.*")
 
 

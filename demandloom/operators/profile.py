@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from demandloom.operators import ranks
 from demandloom.operators.selection import group_quantiles, null_safe
-from demandloom.operators.windows import by_key, clip, divided
+from demandloom.operators.windows import by_key, clip, correlated, divided
 
 KEY, TIME, TARGET = "key", "week_idx", "y"
 #: A series has no season below so many values; of so many strongest frequencies periods are taken.
@@ -100,7 +100,7 @@ def group_outliers(df: DataFrame, by: str, method: str, threshold: float, column
 def autocorrelations(df: DataFrame, lags: list[int]) -> DataFrame:
     """key, acf_n: correlation with the value n rows before; null for keys with fewer rows than the longest lag and five."""
     rows = df.withColumns({f"_l{n}": F.lag(TARGET, n).over(by_key()) for n in lags})
-    return rows.groupBy(KEY).agg(*[F.when(F.count("*") >= max(lags) + 5, F.corr(TARGET, f"_l{n}")).alias(f"acf_{n}") for n in lags])
+    return rows.groupBy(KEY).agg(*[F.when(F.count("*") >= max(lags) + 5, correlated(TARGET, f"_l{n}")).alias(f"acf_{n}") for n in lags])
 
 
 def trend_strength(df: DataFrame, window: int = 13) -> DataFrame:
@@ -128,6 +128,23 @@ def decompose(df: DataFrame, period: int = 52) -> DataFrame:
     return rows.withColumn("residual", F.col(TARGET) - F.col("trend") - F.col("seasonal")).drop("_p")
 
 
+def decompose_by_ratio(df: DataFrame, period: int = 52) -> DataFrame:
+    """Multiplicative: trend (centred mean of a whole season), seasonal (mean ratio to it by place in the season, with a mean of 1 over the places), residual (what is left as a factor)."""
+    half = period // 2
+    w = by_key().rowsBetween(-half, half)
+    rows = df.withColumn("trend", F.when(F.count(TARGET).over(w) == 2 * half + 1, F.avg(TARGET).over(w))).withColumn("_p", F.col(TIME) % period)
+    places = rows.groupBy(KEY, "_p").agg(F.avg(divided(F.col(TARGET), F.col("trend"))).alias("seasonal"))  # `period` rows a key
+    places = places.withColumn("seasonal", divided(F.col("seasonal"), F.avg("seasonal").over(W.partitionBy(KEY))))
+    return rows.join(places, [KEY, "_p"], "left").withColumn("residual", divided(F.col(TARGET), F.col("trend") * F.col("seasonal"))).drop("_p")
+
+
+def component_strengths(parts: DataFrame) -> DataFrame:
+    """key, trend_strength, seasonal_strength: 1 less the variance of the residual over that of the residual with the component, no less than 0, over rows that have all three."""
+    there = F.col("trend").isNotNull() & F.col("seasonal").isNotNull() & F.col("residual").isNotNull()
+    strength = lambda c: F.greatest(F.lit(0.0), 1 - F.var_pop("residual") / (F.var_pop(F.col(c) + F.col("residual")) + 1e-10))
+    return parts.where(there).groupBy(KEY).agg(strength("trend").alias("trend_strength"), strength("seasonal").alias("seasonal_strength"))
+
+
 def spectral(y: np.ndarray, most: int, top: int, least_strength: float, least_share: float) -> dict:
     """Of one series: its strongest periods with their shares of all power, and what follows for it as a whole."""
     n = len(y)
@@ -184,12 +201,20 @@ def seasonality_shape(df: DataFrame, season: int = 52, harmonics: int = 3) -> Da
     return rows.withColumn("dominant", best.cast("int")).drop(*[f"_{x}{k}" for k in range(1, harmonics + 1) for x in "ab"])
 
 
-def trend_direction(df: DataFrame, last: int, recent: int = 13) -> DataFrame:
-    """key, slope and recent_slope over the mean, direction beyond half a per cent, recent_long ratio."""
-    near = F.col(TIME) > last - recent
-    out = df.groupBy(KEY).agg(F.regr_slope(F.col(TARGET), F.col(TIME)).alias("_s"), F.regr_slope(F.when(near, F.col(TARGET)), F.when(near, F.col(TIME))).alias("_r"), F.avg(TARGET).alias("_m"), F.avg(F.when(near, F.col(TARGET))).alias("_n"))
+def trend_direction(df: DataFrame, last: int, recent: int = 13, least: int = 5) -> DataFrame:
+    """key, slope and recent_slope (of the last rows; the whole one's below `least`) over the mean, acceleration (their difference), direction beyond half a per cent, recent_long: mean of the last rows over that of
+    those before (over all without any), within 0.1 and 10. Rows up to `last`, numbered without gaps."""
+    rows = df.where(F.col(TIME) <= last).withColumn("_i", F.row_number().over(by_key())).withColumn("_near", F.row_number().over(W.partitionBy(KEY).orderBy(F.desc(TIME))) <= recent)
+    y, x, near = F.col(TARGET), F.col("_i"), F.col("_near")
+    out = rows.groupBy(KEY).agg(
+        F.regr_slope(y, x).alias("_s"), F.regr_slope(F.when(near, y), F.when(near, x)).alias("_r"), F.count(F.when(near, y)).alias("_k"), F.avg(y).alias("_m"), F.avg(F.when(near, y)).alias("_n"), F.avg(F.when(~near, y)).alias("_o")
+    )
     slope = divided(F.col("_s"), F.col("_m"))
-    return out.select(KEY, slope.alias("slope"), divided(F.col("_r"), F.col("_m")).alias("recent_slope"), F.when(slope > 0.005, "up").when(slope < -0.005, "down").otherwise("flat").alias("direction"), clip(divided(F.col("_n"), F.col("_m")), 0.1, 10).alias("recent_long"))
+    late = F.when(F.col("_k") >= least, divided(F.col("_r"), F.col("_m"))).otherwise(slope)
+    return out.select(
+        KEY, slope.alias("slope"), late.alias("recent_slope"), (late - slope).alias("acceleration"), F.when(slope > 0.005, "up").when(slope < -0.005, "down").otherwise("flat").alias("direction"),
+        clip(divided(F.col("_n"), F.coalesce("_o", "_m")), 0.1, 10).alias("recent_long"),
+    )
 
 
 def predictability(df: DataFrame, lag: int = 1) -> DataFrame:
@@ -204,12 +229,12 @@ def cross_correlation(df: DataFrame, keys: int, limit: float) -> DataFrame:
     top = df.groupBy(KEY).agg(F.sum(TARGET).alias("t")).orderBy(F.desc("t"), KEY).limit(keys).select(KEY)
     rows = df.join(top, KEY, "left_semi").select(KEY, TIME, TARGET)
     other = rows.select(F.col(KEY).alias("b"), TIME, F.col(TARGET).alias("_o"))
-    return rows.join(other, TIME).where(F.col(KEY) < F.col("b")).groupBy(F.col(KEY).alias("a"), "b").agg(F.corr(TARGET, "_o").alias("corr")).where(F.abs("corr") > limit)
+    return rows.join(other, TIME).where(F.col(KEY) < F.col("b")).groupBy(F.col(KEY).alias("a"), "b").agg(correlated(TARGET, "_o").alias("corr")).where(F.abs("corr") > limit)
 
 
 def response_profile(df: DataFrame, columns: list[str], least: int = 10) -> DataFrame:
     """key, corr_<column>, the mean and greatest strength, and n_strong: how many are over 0.2."""
-    out = df.groupBy(KEY).agg(*[F.when(F.count(F.when(F.col(c).isNotNull() & F.col(TARGET).isNotNull(), 1)) >= least, F.corr(c, TARGET)).alias(f"corr_{c}") for c in columns])
+    out = df.groupBy(KEY).agg(*[F.when(F.count(F.when(F.col(c).isNotNull() & F.col(TARGET).isNotNull(), 1)) >= least, correlated(c, TARGET)).alias(f"corr_{c}") for c in columns])
     strength = [F.coalesce(F.abs(f"corr_{c}"), F.lit(0.0)) for c in columns]
     return out.withColumn("mean_strength", sum(strength[1:], strength[0]) / len(columns)).withColumn("max_strength", F.greatest(*strength, F.lit(0.0))).withColumn("n_strong", sum(((s > 0.2).cast("int") for s in strength[1:]), (strength[0] > 0.2).cast("int")))
 
@@ -273,7 +298,7 @@ def quality_score(c: DataFrame, enough: int = 104) -> DataFrame:
 def characteristics(df: DataFrame, features: list[str]) -> DataFrame:
     """key, n, n_sold, mean, cv, adi, trend, acf_1, n_related (features with a correlation over 0.3)."""
     rows = df.withColumn("_l", F.lag(TARGET).over(by_key()))
-    out = rows.groupBy(KEY).agg(F.count("*").alias("n"), F.count(sold()).alias("n_sold"), F.avg(TARGET).alias("mean"), divided(F.stddev_samp(TARGET), F.avg(TARGET)).alias("cv"), divided(F.count("*").cast("double"), F.count(sold())).alias("adi"), F.regr_slope(F.col(TARGET), F.col(TIME)).alias("trend"), F.corr(TARGET, "_l").alias("acf_1"), *[F.corr(f, TARGET).alias(f"_c{i}") for i, f in enumerate(features)])
+    out = rows.groupBy(KEY).agg(F.count("*").alias("n"), F.count(sold()).alias("n_sold"), F.avg(TARGET).alias("mean"), divided(F.stddev_samp(TARGET), F.avg(TARGET)).alias("cv"), divided(F.count("*").cast("double"), F.count(sold())).alias("adi"), F.regr_slope(F.col(TARGET), F.col(TIME)).alias("trend"), correlated(TARGET, "_l").alias("acf_1"), *[correlated(f, TARGET).alias(f"_c{i}") for i, f in enumerate(features)])
     related = [(F.coalesce(F.abs(f"_c{i}"), F.lit(0.0)) > 0.3).cast("int") for i in range(len(features))]
     return out.withColumn("n_related", sum(related[1:], related[0])).drop(*[f"_c{i}" for i in range(len(features))])
 

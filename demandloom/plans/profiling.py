@@ -136,9 +136,28 @@ def seasonality_shape(spark, sf_dir):
     return rows.select("key", *[F.round(f"amp_{k}", 5).alias(f"amp_{k}") for k in (1, 2, 3)])
 
 
-@query(f"{BRAND}, s AS (SELECT key, regr_slope(y, week_idx) / avg(y) AS slope, regr_slope(y, week_idx) FILTER (week_idx > 1647) / avg(y) AS recent_slope, avg(y) FILTER (week_idx > 1647) / avg(y) AS r FROM panel GROUP BY 1) SELECT key, round(slope, 6) AS slope, round(recent_slope, 6) AS recent_slope, CASE WHEN slope > 0.005 THEN 'up' WHEN slope < -0.005 THEN 'down' ELSE 'flat' END AS direction, round(least(greatest(r, 0.1), 10), 6) AS recent_long FROM s")
+@query(
+    f"{BRAND}, n AS (SELECT key, y, row_number() OVER (PARTITION BY key ORDER BY week_idx) AS i, row_number() OVER (PARTITION BY key ORDER BY week_idx DESC) <= 13 AS near FROM panel WHERE week_idx <= 1660), "
+    "s AS (SELECT key, regr_slope(y, i) / avg(y) AS slope, CASE WHEN count(y) FILTER (near) >= 5 THEN regr_slope(y, i) FILTER (near) ELSE regr_slope(y, i) END / avg(y) AS recent_slope, avg(y) FILTER (near) / coalesce(avg(y) FILTER (NOT near), avg(y)) AS r FROM n GROUP BY 1) "
+    "SELECT key, round(slope, 6) AS slope, round(recent_slope, 6) AS recent_slope, round(recent_slope - slope, 6) AS acceleration, CASE WHEN slope > 0.005 THEN 'up' WHEN slope < -0.005 THEN 'down' ELSE 'flat' END AS direction, round(least(greatest(r, 0.1), 10), 6) AS recent_long FROM s"
+)
 def trend_direction(spark, sf_dir):
-    return rounded(op.trend_direction(brand_week(spark, sf_dir), 1660), "key", "slope", "recent_slope", "direction", "recent_long")
+    return rounded(op.trend_direction(brand_week(spark, sf_dir), 1660), "key", "slope", "recent_slope", "acceleration", "direction", "recent_long")
+
+
+STRENGTH = "greatest(0, 1 - var_pop({r}) / (var_pop({c} + {r}) + 1e-10))"
+
+
+@query(
+    f"{BRAND}, t AS (SELECT key, week_idx, week_idx % 52 AS p, y, CASE WHEN count(y) {M53} = 53 THEN avg(y) {M53} END AS trend FROM panel), m AS (SELECT key, p, avg(y / nullif(trend, 0)) AS m FROM t GROUP BY 1, 2), f AS (SELECT key, p, m / avg(m) OVER (PARTITION BY key) AS factor FROM m), "
+    "s AS (SELECT t.*, factor, avg(y - trend) OVER (PARTITION BY t.key, t.p) AS seasonal FROM t JOIN f ON f.key = t.key AND f.p = t.p), r AS (SELECT *, y - trend - seasonal AS rest, y / (trend * factor) AS ratio FROM s) "
+    f"SELECT key, round({STRENGTH.format(r='rest', c='trend')}, 6) AS trend_strength, round({STRENGTH.format(r='rest', c='seasonal')}, 6) AS seasonal_strength, round({STRENGTH.format(r='ratio', c='trend')}, 6) AS trend_by_ratio, round({STRENGTH.format(r='ratio', c='factor')}, 6) AS seasonal_by_ratio "
+    "FROM r WHERE trend IS NOT NULL GROUP BY 1"
+)
+def decomposition_strengths(spark, sf_dir):
+    rows = brand_week(spark, sf_dir)
+    ratio = op.component_strengths(op.decompose_by_ratio(rows)).toDF("key", "trend_by_ratio", "seasonal_by_ratio")
+    return rounded(op.component_strengths(op.decompose(rows)).join(ratio, "key"), "key", "trend_strength", "seasonal_strength", "trend_by_ratio", "seasonal_by_ratio")
 
 
 @query(f"{ACF}, s AS (SELECT key, stddev_samp(y) / avg(y) AS cv, avg((y = 0)::INT) AS z FROM panel GROUP BY 1) SELECT key, round(0.4 * greatest(coalesce(a1, 0), 0) + 0.4 / (1 + cv) + 0.2 * (1 - z), 6) AS score FROM s JOIN acf USING (key)")

@@ -143,3 +143,27 @@ def drift_check(spark, sf_dir):
 @query(f"{BRAND}, k AS (SELECT key, count(y) AS n, count(*) FILTER (y - 10 < 0) AS n_negative, count(DISTINCT y - 10) = 1 AS constant FROM panel GROUP BY 1) SELECT *, n < 357 AS short FROM k WHERE n < 357 OR n_negative > 0 OR constant")
 def prediction_completeness(spark, sf_dir):
     return op.completeness(brand_week(spark, sf_dir).withColumn("predicted", F.col("y") - 10), 357)
+
+
+@query(
+    f"{SCORED}, k AS (SELECT key, count(*) AS n, sum({E}) AS e, sum(predicted - actual) AS d, sum(abs(actual)) AS a FROM scored GROUP BY 1), c AS (SELECT key, avg(actual) AS m, stddev_samp(actual) AS s FROM scored GROUP BY 1) "
+    "SELECT CASE WHEN s > 0.5::DOUBLE * m THEN 'rough' ELSE 'even' END AS pattern, count(*) AS n_keys, count(CASE WHEN e / nullif(a, 0) > 0.3 THEN 1 END) AS n_failed, sum(n)::BIGINT AS n, round(sum(e) / sum(a), 6) AS wape, round(sum(d) / sum(a), 6) AS bias_pct FROM k JOIN c USING (key) GROUP BY 1"
+)
+def failures_by_pattern(spark, sf_dir):
+    rows = scored(spark, sf_dir)
+    patterns = rows.groupBy("key").agg(F.when(F.stddev_samp("actual") > 0.5 * F.avg("actual"), "rough").otherwise("even").alias("pattern"))
+    return rounded(op.error_by(rows, patterns, ["pattern"], 0.3), "pattern", "n_keys", "n_failed", "n", "wape", "bias_pct")
+
+
+@query(
+    f"{SCORED}, w AS (SELECT 'forecast' AS name, key, actual, predicted FROM scored UNION ALL SELECT 'copied', key, actual, actual * 1.001 FROM scored UNION ALL SELECT 'flat', key, actual, 7.0 FROM scored), "
+    "a AS (SELECT name, count(*) AS n, sum(abs(predicted - actual)) / sum(abs(actual)) AS wape, covar_pop(actual, predicted) / nullif(stddev_pop(actual) * stddev_pop(predicted), 0) AS corr FROM w GROUP BY 1), k AS (SELECT name, key, count(*) > 1 AND stddev_pop(predicted) < 1e-8 AS flat FROM w GROUP BY 1, 2), "
+    "c AS (SELECT name, count(CASE WHEN flat THEN 1 END) AS constant_keys, count(*) AS n_keys FROM k GROUP BY 1) "
+    "SELECT name, n, round(wape, 6) AS wape, constant_keys, n_keys, wape < 0.01 AS too_good, coalesce(corr > 0.99, false) AS too_alike, constant_keys > 0.8 * n_keys AS constant, wape < 0.01 OR coalesce(corr > 0.99, false) AS suspected FROM a JOIN c USING (name)"
+)
+def prediction_leakage_check(spark, sf_dir):
+    rows = scored(spark, sf_dir).select("key", "actual", "predicted")
+    tried = {"forecast": F.col("predicted"), "copied": F.col("actual") * 1.001, "flat": F.lit(7.0)}
+    names = ("n", "wape", "constant_keys", "n_keys", "too_good", "too_alike", "constant", "suspected")
+    found = [rounded(op.prediction_leakage(rows.withColumn("predicted", p)).withColumn("name", F.lit(n)), "name", *names) for n, p in tried.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])

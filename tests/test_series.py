@@ -157,3 +157,39 @@ def test_only_the_first_53_forecasts_choose_the_threshold(spark):
     got = {r.week_idx: r.rounded for r in correct.moq_round(fc, multiples, targets).collect()}
     assert got[0] == 120.0 and got[100] == 120.0  # 80 lies a third over 60: thresholds of .30 and less take it up
     assert {r.rounded for r in correct.moq_round(fc, multiples, targets, first=None).collect()} == {120.0}
+
+
+def test_constant_series_have_no_correlation(spark):
+    """Neither keys of one value nor constant columns end a query."""
+    series = {"flat": [3.0] * 60, "rising": [float(i) for i in range(60)], "waves": [float(i % 4) for i in range(60)]}
+    got = {r.key: r.acf_4 for r in profile.autocorrelations(panel(spark, series), [1, 4]).collect()}
+    assert got["flat"] is None and got["rising"] == pytest.approx(1) and got["waves"] == pytest.approx(1)
+    df = spark.createDataFrame([("a", 1.0, 7.0), ("a", 2.0, 7.0), ("b", 2.0, 7.0)], "key string, actual double, predicted double")
+    r = evaluate.prediction_leakage(df).first()
+    assert r["corr"] is None and not r.suspected and r.constant_keys == 1 and r.n_keys == 2
+
+
+def test_copied_predictions_are_suspected(spark):
+    df = spark.createDataFrame([(f"k{i % 3}", float(i), 1.001 * i) for i in range(1, 40)], "key string, actual double, predicted double")
+    r = evaluate.prediction_leakage(df).first()
+    assert r.too_good and r.too_alike and r.suspected and not r.constant
+    # Ten rows are too few to judge by their errors.
+    assert evaluate.prediction_leakage(df.limit(10)).first().wape is None
+
+
+def test_strengths_of_known_components(spark):
+    """A line with a season has both, as factors too; noise has no trend (of factors the rule compares a ratio's variance with a level's)."""
+    rng = random.Random(4)
+    series = {"both": [100 + i + 20 * math.sin(2 * math.pi * i / 12) + rng.random() for i in range(120)], "noise": [50 + rng.gauss(0, 10) for _ in range(120)]}
+    for ratio in (False, True):
+        parts = (profile.decompose_by_ratio if ratio else profile.decompose)(panel(spark, series), 12)
+        got = {r.key: r for r in profile.component_strengths(parts).collect()}
+        assert got["both"].seasonal_strength > 0.9 and got["both"].trend_strength > 0.9 and (ratio or got["noise"].trend_strength < 0.5)
+
+
+def test_direction_and_acceleration(spark):
+    series = {"late": [10.0] * 40 + [10.0 + 2 * i for i in range(13)], "short": [1.0, 2.0, 3.0], "flat": [5.0] * 30}
+    got = {r.key: r for r in profile.trend_direction(panel(spark, series), 1000).collect()}
+    assert got["late"].acceleration > 0 and got["late"].recent_long == pytest.approx(22 / 10) and got["late"].direction == "up"
+    assert got["flat"].acceleration == 0 and got["flat"].direction == "flat" and got["flat"].recent_long == 1
+    assert got["short"].acceleration == 0 and got["short"].recent_long == 1
