@@ -232,9 +232,12 @@ def cross_correlation(df: DataFrame, keys: int, limit: float) -> DataFrame:
     return rows.join(other, TIME).where(F.col(KEY) < F.col("b")).groupBy(F.col(KEY).alias("a"), "b").agg(correlated(TARGET, "_o").alias("corr")).where(F.abs("corr") > limit)
 
 
-def response_profile(df: DataFrame, columns: list[str], least: int = 10) -> DataFrame:
-    """key, corr_<column>, the mean and greatest strength, and n_strong: how many are over 0.2."""
-    out = df.groupBy(KEY).agg(*[F.when(F.count(F.when(F.col(c).isNotNull() & F.col(TARGET).isNotNull(), 1)) >= least, correlated(c, TARGET)).alias(f"corr_{c}") for c in columns])
+def response_profile(df: DataFrame, columns: list[str], least: int = 10, constant: float | None = None) -> DataFrame:
+    """key, corr_<column>, the mean and greatest strength, and n_strong: how many are over 0.2.
+
+    constant: correlation of constant columns. They have no strength if it is null, as in the reference; NaN counts as SQL takes it, greater than any number.
+    """
+    out = df.groupBy(KEY).agg(*[F.when(F.count(F.when(F.col(c).isNotNull() & F.col(TARGET).isNotNull(), 1)) >= least, correlated(c, TARGET, constant)).alias(f"corr_{c}") for c in columns])
     strength = [F.coalesce(F.abs(f"corr_{c}"), F.lit(0.0)) for c in columns]
     return out.withColumn("mean_strength", sum(strength[1:], strength[0]) / len(columns)).withColumn("max_strength", F.greatest(*strength, F.lit(0.0))).withColumn("n_strong", sum(((s > 0.2).cast("int") for s in strength[1:]), (strength[0] > 0.2).cast("int")))
 

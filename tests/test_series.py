@@ -193,3 +193,15 @@ def test_direction_and_acceleration(spark):
     assert got["late"].acceleration > 0 and got["late"].recent_long == pytest.approx(22 / 10) and got["late"].direction == "up"
     assert got["flat"].acceleration == 0 and got["flat"].direction == "flat" and got["flat"].recent_long == 1
     assert got["short"].acceleration == 0 and got["short"].recent_long == 1
+
+
+def test_undefined_correlations_count_as_asked(spark):
+    """A constant column has no strength, or, as in SQL, that of NaN, which is over every limit."""
+    rows = panel(spark, {"k": [float(i * i % 7) for i in range(20)]}).withColumn("price", F.col("y") + F.col("week_idx") % 3).withColumn("promo", F.lit(1))
+    r = profile.response_profile(rows, ["price", "promo"]).first()
+    assert r.corr_promo is None and r.mean_strength == pytest.approx(r.corr_price / 2) and r.max_strength == pytest.approx(r.corr_price) and r.n_strong == 1
+    r = profile.response_profile(rows, ["price", "promo"], constant=math.nan).first()
+    assert math.isnan(r.corr_promo) and math.isnan(r.mean_strength) and math.isnan(r.max_strength) and r.n_strong == 2 and 0.2 < r.corr_price <= 1
+    # Too few rows are no constant.
+    r = profile.response_profile(rows, ["price", "promo"], least=21, constant=math.nan).first()
+    assert r.corr_promo is None and r.mean_strength == 0 and r.n_strong == 0
