@@ -129,17 +129,22 @@ def order_multiple(df: DataFrame) -> DataFrame:
     return q.where("n > 30 and s > 60").select("key", F.coalesce(first, second).alias("multiple")).where("multiple is not null")
 
 
-def round_to_multiple(value: Column, multiple: Column, threshold: Column) -> Column:
-    """Up where the part over a multiple is more than the threshold's share of it, else down; values that aren't positive become 0."""
-    share = value / multiple - F.floor(value / multiple)
-    return F.when(value > 0, (F.floor(value / multiple) + F.when(share > threshold, 1).otherwise(0)) * multiple).otherwise(0.0)
+def round_to_multiple(value: Column, multiple: Column, threshold: Column, in_units: bool = False) -> Column:
+    """Up where the part over a multiple is more than the threshold's share of it, else down; values that aren't positive become 0.
+
+    The share of that part is compared, or in_units the part itself: at the threshold itself a share may be over it by a last digit (10,314 over 60: 0.9000000000000057), whole parts are not.
+    """
+    down = F.floor(value / multiple)
+    over = value - down * multiple > threshold * multiple if in_units else value / multiple - down > threshold
+    return F.when(value > 0, (down + F.when(over, 1).otherwise(0)) * multiple).otherwise(0.0)
 
 
-def moq_round(fc: DataFrame, multiples: DataFrame, targets: DataFrame, after: int | None = None, segments: list[str] | None = None, first: int | None = 53) -> DataFrame:
+def moq_round(fc: DataFrame, multiples: DataFrame, targets: DataFrame, after: int | None = None, segments: list[str] | None = None, first: int | None = 53, in_units: bool = False) -> DataFrame:
     """Rounds forecasts of keys with a multiple, at the threshold (.90 to .15 in steps of .05) whose mean is nearest the key's target mean; the higher of two.
 
     Only rows after the period `after` and of the listed values of `segment` are rounded and count for the threshold, of these the
-    first so many of a key (all if None). Keys without a target, or with a target of 0, are rounded at half.
+    first so many of a key (all if None). Keys without a target, or with a target of 0, are rounded at half. in_units: see round_to_multiple;
+    means are compared with the target likewise, to 1e-6, instead of by their ratio, to 1e-9.
     """
     may = F.lit(True) if after is None else F.col("week_idx") > after
     may = may if segments is None else may & F.col("segment").isin(segments)
@@ -147,10 +152,11 @@ def moq_round(fc: DataFrame, multiples: DataFrame, targets: DataFrame, after: in
     keyed = fc.where(may).join(multiples, "key")
     if first is not None:
         keyed = keyed.withColumn("_k", F.row_number().over(W.partitionBy("key").orderBy("week_idx"))).where(F.col("_k") <= first)
-    swept = keyed.withColumn("t", steps).groupBy("key", "t").agg(F.avg(round_to_multiple(F.col("predicted"), F.col("multiple"), F.col("t"))).alias("m"))
-    best = swept.join(targets.where("target <> 0 and not isnan(target)"), "key").groupBy("key").agg(F.min_by("t", F.struct(F.round(F.abs(1 - F.col("m") / F.col("target")), 9), -F.col("t"))).alias("threshold"))
+    swept = keyed.withColumn("t", steps).groupBy("key", "t").agg(F.avg(round_to_multiple(F.col("predicted"), F.col("multiple"), F.col("t"), in_units)).alias("m"))
+    far = F.round(F.abs(F.col("m") - F.col("target")), 6) if in_units else F.round(F.abs(1 - F.col("m") / F.col("target")), 9)
+    best = swept.join(targets.where("target <> 0 and not isnan(target)"), "key").groupBy("key").agg(F.min_by("t", F.struct(far, -F.col("t"))).alias("threshold"))
     out = fc.join(multiples, "key", "left").join(best, "key", "left").withColumn("threshold", F.when(F.col("multiple").isNotNull(), F.coalesce("threshold", F.lit(0.5))))
-    return out.withColumn("rounded", F.when(F.col("threshold").isNotNull() & may, round_to_multiple(F.col("predicted"), F.col("multiple"), F.col("threshold"))).otherwise(F.col("predicted")))
+    return out.withColumn("rounded", F.when(F.col("threshold").isNotNull() & may, round_to_multiple(F.col("predicted"), F.col("multiple"), F.col("threshold"), in_units)).otherwise(F.col("predicted")))
 
 
 def zero_clip(fc: DataFrame, adi: DataFrame, least: float = 2.0, least_zero: float = 0.3, after_zeros: float = 1.5) -> DataFrame:

@@ -77,7 +77,7 @@ def moq_round_future(spark, sf_dir):
     rows = fc(spark, sf_dir).withColumn("segment", F.col("category"))
     multiples = rows.select("key", F.lit(60.0).alias("multiple")).distinct()
     targets = train(spark, sf_dir).groupBy("key").agg(F.avg("actual").alias("target"))
-    return correct.moq_round(rows, multiples, targets, END + 4, [f"C{i}" for i in range(1, 10) if i != 3], 10).select("key", "week_idx", "rounded")
+    return correct.moq_round(rows, multiples, targets, END + 4, [f"C{i}" for i in range(1, 10) if i != 3], 10, in_units=True).select("key", "week_idx", "rounded")
 
 
 def ranked(score: str) -> str:
