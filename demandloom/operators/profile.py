@@ -298,10 +298,10 @@ def quality_score(c: DataFrame, enough: int = 104) -> DataFrame:
     return c.withColumn("quality", 0.4 * F.least(F.col("n") / enough, F.lit(1.0)) + 0.3 * divided(F.col("n_sold").cast("double"), F.col("n")) + 0.3 / (1 + F.coalesce("cv", F.lit(0.0))))
 
 
-def characteristics(df: DataFrame, features: list[str]) -> DataFrame:
-    """key, n, n_sold, mean, cv, adi, trend, acf_1, n_related (features with a correlation over 0.3)."""
+def characteristics(df: DataFrame, features: list[str], constant: float | None = None) -> DataFrame:
+    """key, n, n_sold, mean, cv, adi, trend, acf_1, n_related (features with a correlation over 0.3; that of constant ones is `constant`, see response_profile)."""
     rows = df.withColumn("_l", F.lag(TARGET).over(by_key()))
-    out = rows.groupBy(KEY).agg(F.count("*").alias("n"), F.count(sold()).alias("n_sold"), F.avg(TARGET).alias("mean"), divided(F.stddev_samp(TARGET), F.avg(TARGET)).alias("cv"), divided(F.count("*").cast("double"), F.count(sold())).alias("adi"), F.regr_slope(F.col(TARGET), F.col(TIME)).alias("trend"), correlated(TARGET, "_l").alias("acf_1"), *[correlated(f, TARGET).alias(f"_c{i}") for i, f in enumerate(features)])
+    out = rows.groupBy(KEY).agg(F.count("*").alias("n"), F.count(sold()).alias("n_sold"), F.avg(TARGET).alias("mean"), divided(F.stddev_samp(TARGET), F.avg(TARGET)).alias("cv"), divided(F.count("*").cast("double"), F.count(sold())).alias("adi"), F.regr_slope(F.col(TARGET), F.col(TIME)).alias("trend"), correlated(TARGET, "_l").alias("acf_1"), *[correlated(f, TARGET, constant).alias(f"_c{i}") for i, f in enumerate(features)])
     related = [(F.coalesce(F.abs(f"_c{i}"), F.lit(0.0)) > 0.3).cast("int") for i in range(len(features))]
     return out.withColumn("n_related", sum(related[1:], related[0])).drop(*[f"_c{i}" for i in range(len(features))])
 

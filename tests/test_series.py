@@ -202,6 +202,7 @@ def test_undefined_correlations_count_as_asked(spark):
     assert r.corr_promo is None and r.mean_strength == pytest.approx(r.corr_price / 2) and r.max_strength == pytest.approx(r.corr_price) and r.n_strong == 1
     r = profile.response_profile(rows, ["price", "promo"], constant=math.nan).first()
     assert math.isnan(r.corr_promo) and math.isnan(r.mean_strength) and math.isnan(r.max_strength) and r.n_strong == 2 and 0.2 < r.corr_price <= 1
+    assert [profile.characteristics(rows, ["price", "promo"], c).first().n_related for c in (None, math.nan)] == [1, 2]
     # Too few rows are no constant.
     r = profile.response_profile(rows, ["price", "promo"], least=21, constant=math.nan).first()
     assert r.corr_promo is None and r.mean_strength == 0 and r.n_strong == 0
