@@ -153,10 +153,11 @@ def spectral(y: np.ndarray, most: int, top: int, least_strength: float, least_sh
         return out
     power = np.abs(np.fft.rfft(y - y.mean())[: n // 2]) ** 2
     power[0] = 0.0
-    first = np.lexsort((np.arange(len(power)), -power))[:STRONGEST]
+    first = np.lexsort((np.arange(1, len(power)), -power[1:]))[:STRONGEST] + 1
     bound = n // 2 if n < most else most
-    found = [(n / k, power[k] / (power.sum() + 1e-10)) for k in first.tolist() if k and 2 <= n / k <= bound]
-    out["periods"] = [{"period": round(p, 1), "share": round(float(s), 4)} for p, s in found[:top]]
+    found = [(n / k, power[k] / (power.sum() + 1e-10)) for k in first.tolist() if 2 <= n / k <= bound]
+    # Halves go to the even digit after scaling, as in SQL: 357 / 20 is 17.8, for Python's own round, which sees 17.850000000000001, 17.9.
+    out["periods"] = [{"period": float(np.round(p, 1)), "share": float(np.round(s, 4))} for p, s in found[:top]]
     if found:
         out["dominant"] = lag = round(out["periods"][0]["period"])
         a, b = y[lag:], y[:-lag]

@@ -206,3 +206,21 @@ def test_undefined_correlations_count_as_asked(spark):
     # Too few rows are no constant.
     r = profile.response_profile(rows, ["price", "promo"], least=21, constant=math.nan).first()
     assert r.corr_promo is None and r.mean_strength == 0 and r.n_strong == 0
+
+
+def test_halves_of_periods_go_to_the_even_digit(spark):
+    """Periods of 357 / 20 and 357 / 140 rows are 17.8 and 2.6, as for SQL's round_even, and flat series have the first frequencies."""
+    for k, period in ((20, 17.8), (140, 2.6)):
+        out = profile.spectral(np.cos(2 * np.pi * k * np.arange(357) / 357), 104, 3, 0.1, 0.05)
+        assert out["periods"][0] == {"period": period, "share": 1.0} and out["dominant"] == round(period)
+    assert [p["period"] for p in profile.spectral(np.full(357, 5.0), 104, 3, 0.1, 0.05)["periods"]] == [89.2, 71.4]
+
+
+def test_parts_at_the_threshold_stay_below_it(spark):
+    """10,314 is 54 over a multiple of 60, exactly nine tenths: in units it isn't over the threshold of .90, as a share it is by a last digit."""
+    df = spark.createDataFrame([(10314.0,), (10314.000001,), (-3.0,)], "v double")
+    got = [[r.r for r in df.select(correct.round_to_multiple(F.col("v"), F.lit(60.0), F.lit(0.9), u).alias("r")).collect()] for u in (True, False)]
+    assert got == [[10260.0, 10320.0, 0.0], [10320.0, 10320.0, 0.0]]
+    fc = spark.createDataFrame([("k", 1, 10314.0)], "key string, week_idx int, predicted double")
+    tables = spark.createDataFrame([("k", 60.0)], "key string, multiple double"), spark.createDataFrame([("k", 10262.0)], "key string, target double")
+    assert [correct.moq_round(fc, *tables, in_units=u).first().rounded for u in (True, False)] == [10260.0, 10320.0]
