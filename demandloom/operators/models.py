@@ -102,7 +102,7 @@ def recursive_forecast(panel: DataFrame, cutoff: int, horizon: int, lags: list[i
 
 
 def two_stage(train: DataFrame, test: DataFrame, features: list[str]) -> DataFrame:
-    """test with p_sale and predicted: the chance of demand times its size where there is any; 0 below a chance set by the share of zeros."""
+    """test with p_sale and predicted: the chance of demand times its size where there is any; 0 below a chance set by the share of zeros. train is read four times: write it first (tables.cut) where it is costly."""
     rows = assembled(train, features).withColumn("_s", (F.col("y") > 0).cast("double"))
     zero = rows.agg(F.avg(1 - F.col("_s"))).first()[0] or 0.0
     limit = 0.6 if zero >= 0.7 else 0.5 if zero >= 0.5 else 0.4 if zero >= 0.3 else 0.3

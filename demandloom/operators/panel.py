@@ -155,11 +155,22 @@ def clip_outliers(df: DataFrame, column: str, method: str = "iqr", factor: float
     return df.join(F.broadcast(bounds), F.lit(True)).select(*[F.when(F.col(c).isNotNull(), F.least(F.greatest(c, "lo"), "hi")).alias(c) if c == column else F.col(c) for c in df.columns])
 
 
-def dense_grid(df: DataFrame, horizon: int = 0, key: str = "key", time: str = "week_idx", target: str = "y") -> DataFrame:
-    """key, time, target: every key at every period from the first to the last (plus horizon); missing demand is 0, in the horizon null."""
+def dense_grid(df: DataFrame, horizon: int = 0, key: str = "key", time: str = "week_idx", target: str = "y", since: int | None = None) -> DataFrame:
+    """key, time, target: every key at every period from the first to the last (plus horizon); missing demand is 0, in the horizon null. since: periods before are left out, keys are not.
+
+    Only the panel's own rows are shuffled, one list a key; the missing periods are added to it.
+    """
     span = df.agg(F.min(time).alias("a"), F.max(time).alias("b"))
-    grid = df.select(key).distinct().join(F.broadcast(span), F.lit(True)).select(key, "b", F.explode(F.expr(f"sequence(a, b + {horizon})")).alias(time))
-    return grid.join(df.select(key, time, target), [key, time], "left").select(key, time, F.when(F.col(time) <= F.col("b"), F.coalesce(target, F.lit(0.0))).alias(target))
+    there = F.col(key).isNotNull() & F.col(time).isNotNull()
+    there = there if since is None else there & (F.col(time) >= since)
+    kinds = dict(df.dtypes)
+    pair = F.struct(F.col(time).alias("t"), F.coalesce(target, F.lit(0.0)).alias("y"))
+    lists = df.groupBy(key).agg(F.collect_list(F.when(there, pair)).alias("_own")).join(F.broadcast(span), F.lit(True))
+    first = F.col("a") if since is None else F.greatest("a", F.lit(since))
+    periods_ = F.when(first <= F.col("b") + horizon, F.sequence(first, F.col("b") + horizon)).otherwise(F.array().cast(f"array<{kinds[time]}>"))
+    missing = F.transform(F.array_except(periods_, F.transform("_own", lambda p: p["t"])), lambda t: F.struct(t.alias("t"), F.when(t <= F.col("b"), F.lit(0.0)).alias("y")))
+    rows = lists.select(key, F.explode(F.concat("_own", missing)).alias("p"))
+    return rows.select(key, F.col("p.t").alias(time), F.col("p.y").alias(target))
 
 
 def truncate_after_last_sale(df: DataFrame, periods_after: int, key: str = "key", time: str = "week_idx", target: str = "y") -> DataFrame:

@@ -204,8 +204,10 @@ def recursive_forecast(spark, sf_dir):
 
 @query()
 def two_stage_zero_model(spark, sf_dir):
-    rows = windows.backward_panel(panel.dense_grid(sparse(spark, sf_dir)).withColumn("price", F.lit(0.0)), [1, 2, 4], [], [13]).where("lag_4 is not null")
     names = ["lag_1", "lag_2", "lag_4", "rmean_13", "zerofrac_26"]
+    # No feature of these weeks looks back over more than 26 rows. Both tables are read from one written panel.
+    dense = panel.dense_grid(sparse(spark, sf_dir), since=1556 - 26).where("week_idx <= 1612").withColumn("price", F.lit(0.0))
+    rows = cut(windows.backward_panel(dense, [1, 2, 4], [], [13]).where("lag_4 is not null and week_idx >= 1556").select("key", "week_idx", "y", *names))
     return rounded(models.two_stage(rows.where("week_idx between 1556 and 1608"), rows.where("week_idx between 1609 and 1612"), names), "key", "week_idx", "p_sale", "predicted")
 
 

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from demandloom.operators import calendar, transforms
+from demandloom.operators import calendar, panel, transforms
 
 SCHEMA = "key string, week_idx int, y double"
 KINDS = [("log",), ("power",), ("standard",), ("line",), ("difference", 1), ("difference", 4)]
@@ -74,3 +74,15 @@ def test_steps_keep_no_row_out(spark):
     history, states = transforms.fitted(df, [("difference", 30)])
     assert {k for k, _ in itertools.chain(values(history, "x"))} == {"a"}
     assert values(transforms.restored(history, states), "x") == pytest.approx(values(df, "y"))
+
+
+def test_dense_grid_from_a_period_on(spark):
+    """Windows that look back no further than the first period kept see the same; a key without rows there stays, doubled rows too, and only the panel's own rows are shuffled."""
+    rows = spark.createDataFrame([("a", 1, 2.0), ("a", 4, 5.0), ("a", 4, 6.0), ("b", 2, None), ("c", 7, 1.0)], "key string, week_idx int, y double").repartition(3)
+    whole = [tuple(r) for r in panel.dense_grid(rows, 1).orderBy("key", "week_idx", "y").collect()]
+    assert whole[:6] == [("a", 1, 2.0), ("a", 2, 0.0), ("a", 3, 0.0), ("a", 4, 5.0), ("a", 4, 6.0), ("a", 5, 0.0)] and len(whole) == 25 and ("b", 2, 0.0) in whole and ("c", 8, None) in whole
+    late = [tuple(r) for r in panel.dense_grid(rows, 1, since=4).orderBy("key", "week_idx", "y").collect()]
+    assert late == [r for r in whole if r[1] >= 4]
+    assert panel.dense_grid(rows, since=9).count() == 0
+    counted = panel.dense_grid(spark.createDataFrame([(f"k{i}", 1 + 499 * (i % 2), 1.0) for i in range(40)], "key string, week_idx int, y double")).groupBy("key").count()
+    assert {r["count"] for r in counted.collect()} == {500} and counted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
