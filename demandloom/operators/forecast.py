@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -51,14 +52,46 @@ def tsb(df: DataFrame, alpha: float = 0.1, beta: float = 0.1) -> DataFrame:
     return known.withColumn("mean", mean).select("key", F.aggregate("ys", start, step, lambda s: s["size"] * s["p"]).alias("tsb"))
 
 
-def imapa(df: DataFrame, levels: list[int], alpha: float = 0.1, sba: bool = False) -> DataFrame:
-    """key, imapa: Croston (or, with sba, its variant with less bias) on sums of blocks of several lengths, per period, weighted by each level's share of blocks with demand."""
-    rows = series(df).withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels])))
+def imapa(df: DataFrame, levels: list[int], alpha: float = 0.1, sba: bool = False, grid: bool = False) -> DataFrame:
+    """key, imapa: Croston (or, with sba, its variant with less bias) on sums of blocks of several lengths, per period, weighted by each level's share of blocks with demand.
+
+    A row is a period; with grid, periods of the panel without a row are periods without demand. Only rows with demand are gathered and folded.
+    """
+    time, there = F.col("week_idx"), F.col("y") != 0
+    demand = lambda place: F.array_sort(F.collect_list(F.when(there, F.struct(place.cast("int").alias("i"), F.col("y").cast("double").alias("y"))))).alias("ys")
+    if grid:
+        span = df.agg(F.min(time).alias("_a"), F.max(time).alias("_b"))
+        rows = df.groupBy("key").agg(demand(time)).join(F.broadcast(span), F.lit(True)).select("key", F.transform("ys", lambda s: F.struct((s["i"] - F.col("_a")).alias("i"), s["y"].alias("y"))).alias("ys"), (F.col("_b") - F.col("_a") + 1).alias("n"))
+    else:
+        rows = df.withColumn("_i", F.row_number().over(W.partitionBy("key").orderBy("week_idx")) - 1).groupBy("key").agg(demand(F.col("_i")), F.count("*").alias("n"))
     # Blocks begin with the first period; a rest at the end is left out.
-    rows = rows.withColumn("k", F.expr("size(ys) div level")).where("k > 0").withColumn("blocks", F.expr("transform(sequence(1, k), i -> aggregate(slice(ys, (i - 1) * level + 1, level), 0D, (a, y) -> a + y))"))
-    scored = rows.withColumn("s", croston_fold(F.col("blocks"), alpha)).withColumn("w", F.size(F.filter("blocks", lambda y: y > 0)) / F.col("k"))
-    level = F.coalesce(F.col("s.size") / F.col("s.interval"), F.lit(0.0)) * (1 - alpha / 2 if sba else 1.0) / F.col("level")
-    return scored.groupBy("key").agg(F.coalesce(F.try_divide(F.sum(level * F.col("w")), F.sum("w")), F.lit(0.0)).alias("imapa"))
+    whole = lambda x: F.filter("ys", lambda s: s["i"] < F.col("n") - F.col("n") % x)
+    scored = rows.where(F.col("n") >= min(levels)).withColumns({f"_s{x}": demand_blocks(whole(x), x, alpha) for x in levels})
+    weight = [F.when(F.col("n") >= x, F.col(f"_s{x}.hits") / F.floor(F.col("n") / x)).otherwise(0.0) for x in levels]
+    level = [F.coalesce(F.col(f"_s{x}.size") / F.col(f"_s{x}.interval"), F.lit(0.0)) * (1 - alpha / 2 if sba else 1.0) / x for x in levels]
+    parts = [a * w for a, w in zip(level, weight, strict=True)]
+    return scored.select("key", F.coalesce(F.try_divide(sum(parts[1:], parts[0]), sum(weight[1:], weight[0])), F.lit(0.0)).alias("imapa"))
+
+
+def demand_blocks(ys: Column, length: int, alpha: float) -> Column:
+    """size and interval as croston_fold has them of sums of blocks of `length` periods, and hits, the blocks with demand: from places i and values y of the demands alone, in order."""
+    none = F.lit(None).cast("double")
+    start = F.struct(F.lit(-1).alias("block"), F.lit(0.0).alias("sum"), F.lit(-1).alias("last"), none.alias("size"), none.alias("interval"), F.lit(0).alias("hits"))
+
+    def closed(s: Column) -> dict[str, Column]:
+        hit, gap = s["sum"] > 0, s["block"] - s["last"]
+        out = {
+            "last": (s["block"], s["last"]), "size": (F.coalesce(s["size"] + alpha * (s["sum"] - s["size"]), s["sum"]), s["size"]),
+            "interval": (F.coalesce(s["interval"] + alpha * (gap - s["interval"]), gap.cast("double")), s["interval"]), "hits": (s["hits"] + 1, s["hits"]),
+        }
+        return {name: F.when(hit, a).otherwise(b) for name, (a, b) in out.items()}
+
+    def step(s: Column, x: Column) -> Column:
+        block = F.floor(x["i"] / length).cast("int")
+        done = F.struct(block.alias("block"), x["y"].alias("sum"), *[c.alias(name) for name, c in closed(s).items()])
+        return F.when(block == s["block"], s.withField("sum", s["sum"] + x["y"])).otherwise(done)
+
+    return F.aggregate(ys, start, step, lambda s: F.struct(*[c.alias(name) for name, c in closed(s).items()]))
 
 
 def hybrid_weight(lag: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from demandloom.operators import combine as op
-from demandloom.operators import forecast, panel
+from demandloom.operators import forecast
 from demandloom.plans.cleaning import scratch
 from demandloom.plans.features import SPARSE, rounded, sparse
 from demandloom.plans.joining import SCORED, scored
@@ -185,7 +185,7 @@ IMAPA = f"{SPARSE}, sp AS (SELECT min(week_idx) AS a, max(week_idx) AS b FROM sp
 
 @query(f"{IMAPA} SELECT key, round(coalesce(sum(coalesce(s.size / s.interval, 0) / level * w) / nullif(sum(w), 0), 0), 6) AS imapa FROM f GROUP BY 1")
 def imapa(spark, sf_dir):
-    return rounded(forecast.imapa(panel.dense_grid(sparse(spark, sf_dir)), [1, 2, 4]), "key", "imapa")
+    return rounded(forecast.imapa(sparse(spark, sf_dir), [1, 2, 4], grid=True), "key", "imapa")
 
 
 @query(f"{PARTS}, w AS (SELECT *, week_idx % 8 + 1 AS h FROM parts), v AS (SELECT *, CASE WHEN h <= 2 THEN 0 ELSE least(1, 0.6::DOUBLE + 0.15::DOUBLE * (h - 3)) END AS w FROM w) SELECT key, week_idx, round((1 - w) * c + w * s, 6) AS predicted FROM v")

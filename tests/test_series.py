@@ -224,3 +224,28 @@ def test_parts_at_the_threshold_stay_below_it(spark):
     fc = spark.createDataFrame([("k", 1, 10314.0)], "key string, week_idx int, predicted double")
     tables = spark.createDataFrame([("k", 60.0)], "key string, multiple double"), spark.createDataFrame([("k", 10262.0)], "key string, target double")
     assert [correct.moq_round(fc, *tables, in_units=u).first().rounded for u in (True, False)] == [10260.0, 10320.0]
+
+
+@pytest.mark.parametrize("grid", [False, True])
+def test_imapa_over_demands_alone(spark, grid):
+    """As Croston on each level's blocks of the whole series, zeros included; with grid the zeros, and the periods before and after a key's rows, need no rows."""
+    rng = random.Random(7)
+    series = {"a": [float(y) for y in (0, 0, 3, 0, 0, 5, 1, 0, 0, 0, 4, 0, 0)], "never": [0.0] * 13, "first": [2.0] + [0.0] * 12, "rest": [0.0] * 12 + [9.0], **{f"r{i}": [float(rng.choice([0, 0, 0, 1, 7])) for _ in range(13)] for i in range(5)}}
+    levels, alpha = [1, 2, 4], 0.1
+
+    def plain(y):
+        above = below = 0.0
+        for n in levels:
+            blocks, size, interval, gap = [sum(y[i * n : i * n + n]) for i in range(len(y) // n)], None, None, 0
+            for x in blocks:
+                gap += 1
+                if x > 0:
+                    size, interval, gap = (x, gap, 0) if size is None else (size + alpha * (x - size), interval + alpha * (gap - interval), 0)
+            w = sum(x > 0 for x in blocks) / len(blocks)
+            above, below = above + (size / interval if size else 0) / n * w, below + w
+        return above / below if below else 0.0
+
+    df = panel(spark, series)
+    df = df.where("y <> 0 or key = 'never' and week_idx in (10, 22)") if grid else df
+    assert {r.key: r.imapa for r in forecast.imapa(df, levels, alpha, grid=grid).collect()} == pytest.approx({k: plain(y) for k, y in series.items()})
+    assert {r.key: r.imapa for r in forecast.imapa(df, levels, alpha, sba=True, grid=grid).collect()} == pytest.approx({k: plain(y) * 0.95 for k, y in series.items()})
