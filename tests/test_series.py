@@ -249,3 +249,17 @@ def test_imapa_over_demands_alone(spark, grid):
     df = df.where("y <> 0 or key = 'never' and week_idx in (10, 22)") if grid else df
     assert {r.key: r.imapa for r in forecast.imapa(df, levels, alpha, grid=grid).collect()} == pytest.approx({k: plain(y) for k, y in series.items()})
     assert {r.key: r.imapa for r in forecast.imapa(df, levels, alpha, sba=True, grid=grid).collect()} == pytest.approx({k: plain(y) * 0.95 for k, y in series.items()})
+
+
+def test_moving_quantiles_over_batches_of_keys(spark):
+    """Keys that share a batch, or go over several, are kept apart; one Python worker's call serves many keys."""
+    rng = random.Random(3)
+    series = {f"k{i:03}": [rng.choice([None, 1.0, 2.0, rng.random()]) for _ in range(rng.choice([1, 2, 9, 40]))] for i in range(60)}
+    plain = {k: [None if not (f := [v for v in ys[max(0, i - 4) : i] if v is not None]) else float(np.quantile(f, 0.5)) for i in range(len(ys))] for k, ys in series.items()}
+    try:
+        for rows in (1, 7, 10000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+            got = values(orders.moving_quantiles(panel(spark, series), {"q": ("y", -4, -1, 0.5)}), "q")
+            assert {k: [v for (v,) in vs] for k, vs in got.items()} == {k: pytest.approx(vs) if None not in vs else [v if v is None else pytest.approx(v) for v in vs] for k, vs in plain.items()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
