@@ -269,12 +269,13 @@ def new_products(df: DataFrame, least: int = 13) -> DataFrame:
 
 
 def discrete_demand(df: DataFrame) -> DataFrame:
-    """key, n_levels, base (the smallest demand), multiple_share (demands near a multiple of it), discrete."""
-    base = F.min(sold()).over(W.partitionBy(KEY))
-    ratio = F.col(TARGET) / F.col("_b")
-    rows = df.withColumn("_b", base).where(F.col(TARGET) > 0)
-    out = rows.groupBy(KEY).agg(F.count_distinct(TARGET).alias("n_levels"), F.count("*").alias("_n"), F.min("_b").alias("base"), F.avg((F.abs(ratio - F.round(ratio)) < 0.1).cast("int")).alias("multiple_share"))
-    return out.withColumn("discrete", (F.col("n_levels") / F.col("_n") < 0.1) | ((F.col("n_levels") <= 20) & (F.col("multiple_share") > 0.8))).drop("_n")
+    """key, n_levels, base (the smallest demand), multiple_share (demands near a multiple of it), discrete. Equal demands of a key are counted first."""
+    levels = df.where(F.col(TARGET) > 0).groupBy(KEY, TARGET).agg(F.count("*").alias("_c"))
+    out = levels.groupBy(KEY).agg(F.count("*").alias("n_levels"), F.sum("_c").alias("_n"), F.min(TARGET).alias("base"), F.collect_list(F.struct(F.col(TARGET).alias("y"), F.col("_c").alias("c"))).alias("_l"))
+    off = lambda s: F.abs(s["y"] / F.col("base") - F.round(s["y"] / F.col("base")))
+    near = F.aggregate("_l", F.lit(0).cast("long"), lambda a, s: a + F.when(off(s) < 0.1, s["c"]).otherwise(F.lit(0).cast("long")))
+    out = out.withColumn("multiple_share", near / F.col("_n"))
+    return out.select(KEY, "n_levels", "base", "multiple_share", ((F.col("n_levels") / F.col("_n") < 0.1) | ((F.col("n_levels") <= 20) & (F.col("multiple_share") > 0.8))).alias("discrete"))
 
 
 def base_unit(df: DataFrame, near: float = 0.05, wider: float = 0.1, share: float = 0.8) -> DataFrame:

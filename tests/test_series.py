@@ -263,3 +263,8 @@ def test_moving_quantiles_over_batches_of_keys(spark):
             assert {k: [v for (v,) in vs] for k, vs in got.items()} == {k: pytest.approx(vs) if None not in vs else [v if v is None else pytest.approx(v) for v in vs] for k, vs in plain.items()}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_levels_of_demand_without_a_window(spark):
+    out = profile.discrete_demand(panel(spark, {"packs": [6.0, 0.0, 12.0, 6.0, 18.0, 7.5], "none": [0.0, 0.0]}))
+    assert [tuple(r) for r in out.collect()] == [("packs", 4, 6.0, 0.8, False)] and "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
