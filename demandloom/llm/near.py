@@ -1,8 +1,8 @@
 """Near-duplicates by the exact similarity of word shingles.
 
-Candidates share one of BANDS keys, each of ROWS minima of hashed shingles: of pairs with a similarity of 0.8 a share of
-1 - (1 - 0.8^4)^20 = 0.99997 does. A pair goes on if enough of its minima agree, told by four bits of each; then its whole
-shingle sets are compared. Members of a key that very many texts share are compared with a few of them first. Those that this
+Candidates come from operator 1's method at a wider radius: multi-index hashing of SimHash fingerprints of the shingles, which have 1024 bits
+and share one of many segments (simhash.Segments; of pairs with a similarity of 0.8 a share of 0.999 does, by arithmetic). A pair goes on if few bits of the first 64 and of the
+whole fingerprint differ and enough of its sets' minima agree, told by four bits of each; then its whole shingle sets are compared. Members of a key that very many texts share are compared with a few of them first. Those that this
 leaves in different groups are compared in blocks, whose sets are shipped once for each block they meet: only alike texts become rows.
 """
 
@@ -20,11 +20,15 @@ from pyspark.sql import types as T
 
 from .common import cut, looked_up, numbered, runs, sliced, tidied, words
 from .components import connected, keep_first
+from .simhash import WIDE, Segments, wide
 
 SHINGLE, SIMILARITY = 5, 0.8
+#: Of BANDS times ROWS minima of a text the sketch tells four bits each.
 BANDS, ROWS = 20, 4
 #: A key that more texts than this share goes the other way, by so many of its members first.
 CROWDED, PIVOTS = 32, 2
+#: Standard deviations above the mean of a pair of the similarity asked for, within which the first 64 bits and all of them may differ.
+FIRST, WHOLE = 5, 6.5
 #: Of the minima so many agree in four bits for all but 2 in 10^7 pairs with a similarity of 0.8: five deviations (3.5) below the mean of 65.
 AGREE = 47
 #: Texts and hashes of a block, at most, and entries of a block's columns that are counted together.
@@ -54,13 +58,12 @@ def minima(hashed: np.ndarray) -> np.ndarray:
     return least
 
 
-def keys(hashed: np.ndarray) -> tuple[list[int], list[int]]:
-    """A text's keys, one a band, and four bits of each minimum, sixteen to a number; no keys for blank texts."""
+def keys(hashed: np.ndarray) -> tuple[bytes | None, list[int]]:
+    """A text's wide fingerprint, and four bits of each minimum, sixteen to a number; nothing for blank texts."""
     if not len(hashed):
-        return [], []
-    least = minima(hashed)
-    bits = (least >> np.uint64(20) & np.uint64(15)).reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
-    return [xxhash.xxh64_intdigest(band.tobytes(), i) - (1 << 63) for i, band in enumerate(least.reshape(BANDS, ROWS))], bits.sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
+        return None, []
+    bits = (minima(hashed) >> np.uint64(20) & np.uint64(15)).reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
+    return wide(hashed), bits.sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
 
 
 def node(text: Column) -> Column:
@@ -69,8 +72,8 @@ def node(text: Column) -> Column:
 
 
 def mapped(rows: DataFrame, shingle: int, whole: bool) -> DataFrame:
-    """rows' columns but the last, a lower-case text as binary, with size, bands and sketch, or with the sorted shingles if whole."""
-    added = [T.StructField("hashes", T.ArrayType(T.LongType()))] if whole else [T.StructField("size", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.LongType()))]
+    """rows' columns but the last, a lower-case text as binary, with size, print (its fingerprint) and sketch, or with the sorted shingles if whole."""
+    added = [T.StructField("hashes", T.ArrayType(T.LongType()))] if whole else [T.StructField("size", T.LongType()), T.StructField("print", T.BinaryType()), T.StructField("sketch", T.ArrayType(T.LongType()))]
     schema = T.StructType([*rows.schema.fields[:-1], *added])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +84,7 @@ def mapped(rows: DataFrame, shingle: int, whole: bool) -> DataFrame:
                 made = [listed([h.view(np.int64) for h in found])]
             else:
                 both = [keys(h) for h in found]
-                made = [pa.array([len(h) for h in found], pa.int64()), listed([k for k, _ in both]), listed([m for _, m in both])]
+                made = [pa.array([len(h) for h in found], pa.int64()), pa.array([k for k, _ in both], pa.binary()), listed([m for _, m in both])]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *made], schema.names)
 
     return rows.mapInArrow(tidied(each), schema)
@@ -94,16 +97,71 @@ def agreeing(a: str, b: str) -> Column:
     return BANDS * ROWS - sum(map(F.bit_count, any_bit[1:]), F.bit_count(any_bit[0]))
 
 
+def apart(a: str, b: str) -> Column:
+    """How many bits of two fingerprints differ."""
+    word = lambda c, i: F.conv(F.hex(F.substring(c, 8 * i + 1, 8)), 16, -10).cast("long")
+    differ = [F.bit_count(word(a, i).bitwiseXOR(word(b, i))) for i in range(WIDE // 64)]
+    return sum(differ[1:], differ[0])
+
+
+def met(prints: DataFrame, segments: Segments, similarity: float) -> DataFrame:
+    """Who shares a segment: pairs a, b (key null) whose sizes and first 64 bits allow the similarity; of segments that over CROWDED texts share each text a with its size under the segment's key, b null."""
+    crowded, first = CROWDED, segments.radius(64, FIRST)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches, TOGETHER):
+            raw = np.frombuffer(b"".join(b.column("print").to_pylist()), np.uint8).reshape(-1, WIDE // 8)
+            columns = [b.column("node").to_numpy(), b.column("size").to_numpy(), np.ascontiguousarray(raw[:, :8]).view(np.int64)[:, 0]]
+            yield pa.RecordBatch.from_arrays([pa.array(segments.values(raw).ravel()), *[pa.array(np.repeat(c, segments.number)) for c in columns]], ["key", "node", "size", "word"])
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64)] * 4
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held = [np.r_[x, b.column(i).to_numpy()] for i, x in enumerate(held)]
+            # The last run may go on. Of one that is crowded already only so many rows are held as tell it.
+            last = int(np.searchsorted(held[0], held[0][-1]))
+            run = len(held[0]) - last
+            end = last if run <= crowded else len(held[0]) - crowded - 1
+            yield of(held, last, end)
+            held = [x[end:] for x in held]
+        yield of(held, len(held[0]), len(held[0]))
+
+    def of(held: list[np.ndarray], whole: int, end: int) -> pa.RecordBatch:
+        """Runs before `whole` are whole; the rows from there to `end` are of a crowded one."""
+        key, node, size, word = held
+        starts = np.flatnonzero(np.r_[True, key[1:whole] != key[: whole - 1]]) if whole else np.empty(0, np.int64)
+        length = np.repeat(np.diff(np.r_[starts, whole]), np.diff(np.r_[starts, whole]))
+        many = np.r_[np.flatnonzero(length > crowded), np.arange(whole, end)]
+        a, b = [], []
+        for step in range(1, crowded):
+            x = np.flatnonzero((key[step:whole] == key[: max(0, whole - step)]) & (length[step:] <= crowded)) if step < whole else np.empty(0, np.int64)
+            if not len(x):
+                break
+            y = x + step
+            small, large = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
+            near = (small >= similarity * large - 1e-9) & (np.bitwise_count((word[x] ^ word[y]).view(np.uint64)) <= first) & (node[x] != node[y])
+            a.append(np.minimum(node[x], node[y])[near]), b.append(np.maximum(node[x], node[y])[near])
+        none = np.zeros(sum(map(len, a)), np.int64)
+        blank = np.arange(len(none) + len(many)) < len(none)
+        made = [pa.array(np.r_[none, key[many]], mask=blank), pa.array(np.r_[(none[:0], *a, node[many])]), pa.array(np.r_[(none[:0], *b, node[many])], mask=~blank), pa.array(np.r_[none, size[many]], mask=blank)]
+        return pa.RecordBatch.from_arrays(made, ["key", "a", "b", "size"])
+
+    rows = prints.where("print is not null").select("node", "size", "print").mapInArrow(tidied(dealt), "key long, node long, size long, word long")
+    return cut(rows.repartition("key").sortWithinPartitions("key").mapInArrow(tidied(together), "key long, a long, b long, size long"))
+
+
 def whole_sets(nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """node, hashes of the nodes (column node)."""
     return cut(mapped(texts.join(nodes.distinct(), "node", "left_semi").dropDuplicates(["node"]).select("node", "body"), shingle, True))
 
 
-def alike(pairs: DataFrame, prints: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs a, b whose shingle sets have the similarity. prints: node, sketch; texts: node, body."""
-    sketches = prints.select("node", "sketch")
-    sketched = pairs.distinct().join(sketches.toDF("a", "_sa"), "a").join(sketches.toDF("b", "_sb"), "b")
-    # The bound is for similarities of SIMILARITY and more.
+def alike(pairs: DataFrame, prints: DataFrame, texts: DataFrame, shingle: int, similarity: float, radius: int) -> DataFrame:
+    """The pairs a, b whose fingerprints differ in at most so many bits and whose shingle sets have the similarity. prints: node, print, sketch; texts: node, body."""
+    sketches = prints.select("node", "print", "sketch")
+    sketched = pairs.distinct().join(sketches.toDF("a", "_pa", "_sa"), "a").join(sketches.toDF("b", "_pb", "_sb"), "b").where(apart("_pa", "_pb") <= radius)
+    # This bound is for similarities of SIMILARITY and more.
     pairs = cut((sketched.where(agreeing("_sa", "_sb") >= AGREE) if similarity >= SIMILARITY else sketched).select("a", "b"))
     sets = whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), texts, shingle)
     both = pairs.join(sets.toDF("a", "_a"), "a").join(sets.toDF("b", "_b"), "b")
@@ -183,7 +241,8 @@ def crowded_edges(named: DataFrame, texts: DataFrame, shingle: int, similarity:
         for _, t in runs(batches, "tile"):
             rows = t.to_pylist()
             one, two = ([np.frombuffer(row[c], np.int64) for c in names] for row in (rows[0], rows[-1]))
-            hit = overlaps(one[3], one[2], two[3], two[2]) * (1 + similarity) >= similarity * (one[2][:, None] + two[2][None, :]) - 1e-9
+            # As doubles: single precision would lose pairs of just the similarity.
+            hit = overlaps(one[3], one[2], two[3], two[2]).astype(np.float64) * (1 + similarity) >= similarity * (one[2][:, None] + two[2][None, :]) - 1e-9
             hit &= one[1][:, None] != two[1][None, :]
             x, y = np.nonzero(hit if len(rows) > 1 else np.triu(hit))
             yield pa.RecordBatch.from_arrays([pa.array(one[0][x]), pa.array(two[0][y])], ["a", "b"])
@@ -192,24 +251,21 @@ def crowded_edges(named: DataFrame, texts: DataFrame, shingle: int, similarity:
 
 
 def links(prints: DataFrame, texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """node, root of the texts that have a near copy. prints: node, size, bands, sketch, one row a node; texts: node, body."""
-    members = prints.select(F.explode("bands").alias("key"), "node", "size")
-    counts = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = cut(members.join(counts, "key"))
-    few, many = members.where(F.col("n") <= CROWDED), members.where(F.col("n") > CROWDED).drop("n")
+    """node, root of the texts that have a near copy. prints: node, size, print, sketch, one row a node; texts: node, body."""
+    segments = Segments.of(prints.count(), similarity)
+    found = met(prints, segments, similarity)
+    pairs, many = found.where("key is null").select("a", "b"), found.where("key is not null").select("key", F.col("a").alias("node"), "size")
     fits = F.least("size", "_size") >= similarity * F.greatest("size", "_size") - 1e-9
 
     def ordered(rows: DataFrame) -> DataFrame:
         return rows.where(fits & (F.col("node") != F.col("_node"))).select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b"))
 
-    pairs = few.drop("n").join(few.select("key", F.col("node").alias("_node"), F.col("size").alias("_size")), "key").where("node < _node")
-    pairs = ordered(pairs)
     crowded = not many.isEmpty()
     if crowded:
         order = F.struct(F.xxhash64("node", F.lit(SEED)).alias("o"), F.col("node"), F.col("size"))
         pivots = many.groupBy("key", F.pmod("node", F.lit(PIVOTS)).alias("part")).agg(F.min(order).alias("p")).select("key", F.col("p.node").alias("_node"), F.col("p.size").alias("_size"))
         pairs = pairs.union(ordered(many.join(pivots, "key")))
-    edges = alike(pairs, prints, texts, shingle, similarity)
+    edges = alike(pairs, prints, texts, shingle, similarity, segments.radius(WIDE, WHOLE))
     roots = connected(edges)
     if not crowded:
         return roots
@@ -231,8 +287,8 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIM
     ident, body = own[names.index(doc_id)], F.col(own[names.index(text)])
     rows, small = docs.withColumn("node", node(body)), F.lower(body).cast("binary").alias("body")
     prints = cut(mapped(rows.select(F.col(ident).alias("id"), "node", small), shingle, False))
-    fps = cut(prints.groupBy("node").agg(F.any_value("size").alias("size"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"), F.count("*").alias("n")))
-    roots = links(fps.select("node", "size", "bands", "sketch"), rows.select("node", small), shingle, similarity).toDF("_node", "root")
+    fps = cut(prints.groupBy("node").agg(F.any_value("size").alias("size"), F.any_value("print").alias("print"), F.any_value("sketch").alias("sketch"), F.count("*").alias("n")))
+    roots = links(fps.select("node", "size", "print", "sketch"), rows.select("node", small), shingle, similarity).toDF("_node", "root")
     known = cut(fps.join(roots, F.col("node") == F.col("_node"), "left").select(F.col("node").alias("fp"), F.coalesce("root", "node").alias("root"), "n"))
     members = looked_up(prints.select("id", F.col("node").alias("mark")), "mark", known, "fp", "n")
     return keep_first(docs, ident, node(body), members).toDF(*names)

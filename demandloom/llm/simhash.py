@@ -6,11 +6,16 @@ pair; whole distances are then checked. Halves that very many fingerprints share
 of their number; fingerprints that meet such a half are linked through the points of the whole 64-bit space that lie
 within one bit of them. Two fingerprints share such a point just if they differ in at most two bits, and no more
 than 65 of them can share one, so that this way is exact and bounded as well.
+
+Texts that are less alike differ in more bits than halves can tell. Wide fingerprints are cut into many short segments instead,
+as many as it takes for alike texts to share one nearly always (Segments); their whole distances are checked likewise.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +32,11 @@ RADIUS = 2
 #: A half that more fingerprints than this share goes the other way.
 CROWDED = 64
 SEED = 42
+#: Bits of a wide fingerprint; of pairs at the similarity asked for so many may share no segment.
+WIDE, MISSED = 1024, 1e-3
+#: Texts that meet in a segment's value by chance, in the mean, at most; the least bits of a segment.
+BY_CHANCE, LEAST_BITS = 4, 8
+STEPS = np.arange(WIDE // 64, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
@@ -40,6 +50,55 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashed)).tobytes(), "big", signed=True)
 
 
+def wide(hashed: np.ndarray) -> bytes:
+    """WIDE majority bits of hashes: the first 64 are those of the hashes, the others of numbers derived from them."""
+    counts = np.zeros(WIDE, np.int64)
+    for i in range(0, len(hashed), 255):  # a byte counts to 255
+        x = hashed[i : i + 255, None] + STEPS
+        derived = x[:, 1:]
+        derived = (derived ^ (derived >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        derived = (derived ^ (derived >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x[:, 1:] = derived ^ (derived >> np.uint64(31))
+        counts += np.add.reduce(np.unpackbits(x.view(np.uint8), axis=1), axis=0, dtype=np.uint8)
+    return np.packbits(2 * counts > len(hashed)).tobytes()
+
+
+@dataclass(frozen=True)
+class Segments:
+    """Segments of wide fingerprints for so many different texts and pairs of a similarity (of sets) or more.
+
+    The bits of two texts differ with a chance of angle / pi, whose cosine is 2 s / (1 + s) at a similarity of s. bits grows with the logarithm of the texts, so that few
+    meet by chance; number is what makes a pair of that similarity share no segment with a chance of MISSED. Bits are drawn by whole permutations of the fingerprint.
+    """
+
+    bits: int
+    number: int
+    differ: float
+
+    @classmethod
+    def of(cls, texts: int, similarity: float) -> Segments:
+        differ = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+        bits = min(32, max(LEAST_BITS, math.ceil(math.log2(max(1, texts) / BY_CHANCE))))
+        both = (1 - differ) ** bits
+        return cls(bits, 1 if both == 1 else math.ceil(math.log(MISSED) / math.log1p(-both)), differ)
+
+    def radius(self, of: int, deviations: float) -> int:
+        """Differing bits of so many that so many standard deviations above the mean are within."""
+        return math.floor(of * self.differ + deviations * math.sqrt(of * self.differ * (1 - self.differ)))
+
+    def places(self) -> np.ndarray:
+        """The bits of each segment."""
+        rng, each = np.random.default_rng(SEED), WIDE // self.bits
+        drawn = [rng.permutation(WIDE)[: each * self.bits].reshape(each, self.bits) for _ in range(-(-self.number // each))]
+        return np.concatenate(drawn)[: self.number]
+
+    def values(self, prints: np.ndarray) -> np.ndarray:
+        """The segments' values (one row a fingerprint, one column a segment), told apart by the segment's number above the lower 32 bits. prints: fingerprints as bytes, one a row."""
+        found = np.unpackbits(prints, axis=1)[:, self.places()]
+        packed = np.packbits(np.pad(found, ((0, 0), (0, 0), (32 - self.bits, 0))), axis=2).view(">u4")[:, :, 0]
+        return packed.astype(np.int64) + (np.arange(self.number, dtype=np.int64) << 32)
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataFrame:
     """Adds `simhash` (long) to docs. Null or blank texts get 0; texts shorter than a shingle count as one shingle.
 

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 import corpus_pipeline as pipeline
-from demandloom.llm import near
+from demandloom.llm import near, simhash
 
 from .test_operators import SCHEMA, rows
 
@@ -107,3 +107,45 @@ def test_sketches_tell_pairs_apart(spark):
     got = df.select("i", "same", near.agreeing("x", "y").alias("n")).collect()
     assert all(r.n >= r.same for r in got) and all(r.n >= near.AGREE for r in got if r.i % 2)
     assert sum(r.n >= near.AGREE for r in got if r.i % 2 == 0) <= 4
+
+
+def test_candidates_share_a_segment_of_wide_fingerprints(spark):
+    """Candidates come by segments of SimHash fingerprints: alike pairs all, of unrelated texts few; crowded segments give members instead of pairs, wherever batches end."""
+    rng = np.random.default_rng(4)
+    sets = []
+    for _ in range(600):  # similarities of 0.8
+        common = rng.integers(0, 1 << 63, 160, dtype=np.uint64)
+        sets += [np.unique(np.r_[common, rng.integers(0, 1 << 63, 20, dtype=np.uint64)]) for _ in range(2)]
+    prints = [simhash.wide(s) for s in sets]
+    # The first 64 bits are those of operator 1's fingerprint of different shingles.
+    text = b"a b c d e f g h i j"
+    assert simhash.wide(near.shingles(text, 3))[:8][::-1] == simhash.fingerprint(text, 3).to_bytes(8, "big", signed=True)
+    df = spark.createDataFrame([(i, 180, p) for i, p in enumerate(prints)], "node long, size long, print binary").repartition(3)
+    segments = simhash.Segments.of(len(sets), 0.8)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = near.met(df, segments, 0.8).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    values, groups = segments.values(np.frombuffer(b"".join(prints), np.uint8).reshape(len(prints), -1)), {}
+    for i, row in enumerate(values.tolist()):
+        for v in row:
+            groups.setdefault(v, []).append(i)
+    crowded = {(v, i) for v, g in groups.items() if len(g) > near.CROWDED for i in g}
+    assert {(r.key, r.a) for r in found if r.key is not None} == crowded and sum(r.key is not None for r in found) == len(crowded)
+    pairs = {(r.a, r.b) for r in found if r.key is None}
+    alike = {(i, i + 1) for i in range(0, len(sets), 2)}
+    assert alike <= pairs and len(pairs - alike) < 0.05 * len(sets) ** 2 / 2
+    assert all(set(values[a]) & set(values[b]) for a, b in pairs)
+
+
+def test_a_crowd_keeps_pairs_of_just_the_similarity(spark, monkeypatch):
+    """196 of 245 shingles: in single precision 196 * 1.8 was less than 0.8 * 441."""
+    monkeypatch.setattr(near, "CROWDED", 1)
+    shared = [f"s{i}" for i in range(200)]
+    texts = [" ".join([*shared, *(f"{c}{i}" for i in range(n))]) for c, n in (("x", 20), ("y", 29))]
+    nodes = spark.createDataFrame([(1, i, i, len(near.shingles(t.encode(), 5))) for i, t in enumerate(texts)], "key long, node long, root long, size long")
+    bodies = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "node long, body binary")
+    assert sorted(r["size"] for r in nodes.collect()) == [216, 225]
+    assert [(r.a, r.b) for r in near.crowded_edges(nodes, bodies, 5, 0.8).collect()] == [(0, 1)]
