@@ -7,7 +7,7 @@ hash, where sorting counts windows. Equal windows have the same minimiser and so
 1. Count super-k-mers by minimiser. A window can only repeat if its minimiser does; a bit map of a bounded size says of each
    minimiser whether it may repeat. Very frequent minimisers, marked in a second map, would crowd a bucket: their windows
    travel one by one, to the bucket of the window's own hash. A minimiser that shares a crowded one's bit goes the same way.
-2. Ship the strings whose minimiser may repeat, equal ones of a batch once with their number; count windows bucket by
+2. Ship the strings whose minimiser may repeat, equal ones of a few megabytes once with their number; count windows bucket by
    bucket; keep for each string, under a 128-bit key, the words that repeated windows cover.
 3. Find the same strings in the documents again, now with place but without text, and join the covers to them.
 4. Join each text with the spans found in it and cut them out.
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, looked_up, pick, tidied
+from .common import cut, looked_up, pick, sliced, small_batches, tidied
 
 WINDOW = 35
 #: Words of a minimiser.
@@ -42,6 +42,8 @@ CHUNK_BYTES = 1 << 20
 MOST_SENT = 10_000
 #: Bytes of text whose windows are found at once.
 TOGETHER = 1 << 19
+#: Texts, and bytes of strings to ship, that a task holds at once.
+TEXTS, PACKED = 1000, 1 << 22
 
 A = 0x9E3779B97F4A7C15  # odd, so that no power of it vanishes modulo 2**64
 
@@ -154,7 +156,7 @@ def chunks(raw: list[bytes | None]) -> Iterator[tuple[list[bytes], Chunk]]:
 
 def _minimisers(window: int, m: int):  # noqa: ANN202
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, TEXTS):
             found = [chunk.super_kmers(window, m)[2] for _, chunk in chunks(batch.column(0).to_pylist())]
             value, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.uint64), np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n.astype(np.int64))], ["minimiser", "n"])
@@ -188,19 +190,19 @@ def _packed(window: int, m: int, bits, crowded):  # noqa: ANN001, ANN202
         return pa.RecordBatch.from_arrays([pa.array([b for b, _ in seen], pa.int64()), pa.array([s for _, s in seen], pa.binary()), pa.array(seen.values(), pa.int64())], ["bucket", "packed", "n"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: dict[tuple[int, bytes], int] = {}
-            held = 0
+        seen: dict[tuple[int, bytes], int] = {}
+        held = 0
+        for batch in sliced(batches, TEXTS):
             for _, chunk in chunks(batch.column(0).to_pylist()):
                 for _, bucket, s in strings(chunk, window, m, bits.value, crowded.value):
                     n = seen.get((bucket, s), 0)
                     seen[bucket, s] = n + 1
                     held += 0 if n else len(s)
-                if held > 1 << 24:
+                if held > PACKED:
                     yield made(seen)
                     seen, held = {}, 0
-            if seen:
-                yield made(seen)
+        if seen:
+            yield made(seen)
 
     return each
 
@@ -275,7 +277,7 @@ def _places(window: int, m: int, bits, crowded):  # noqa: ANN001, ANN202
         return pa.RecordBatch.from_arrays([pa.array(text, pa.binary()), pa.array(times, pa.int64()), pa.array(start, pa.int32()), pa.array(keys, pa.binary())], ["text_key", "times", "start", "key"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, TEXTS):
             text, times, start, keys = [], [], [], []
             number = Counter(batch.column(0).to_pylist())
             for held, chunk in chunks(list(number)):
@@ -293,7 +295,7 @@ def _places(window: int, m: int, bits, crowded):  # noqa: ANN001, ANN202
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches, TEXTS):
         kept, n_words, n_removed = [], [], []
         for t, spans in zip(batch.column("raw").to_pylist(), batch.column("spans").to_pylist(), strict=True):
             found = t.split() if t else []
@@ -348,7 +350,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIM
     names = [c for c in docs.columns if c not in ("kept", "n_words", "n_removed")]
     own = [f"c{i}" for i in range(len(names))]
     # A text of very many spans isn't broadcast, however many rows have it.
-    spans = cut(repeated_spans(docs, window, minimiser, text).select(F.col("text_key").alias("of"), "spans", F.when(F.size("spans") <= MOST_SENT, F.col("n")).otherwise(0).alias("n")))
+    with small_batches(docs.sparkSession, TEXTS):
+        spans = cut(repeated_spans(docs, window, minimiser, text).select(F.col("text_key").alias("of"), "spans", F.when(F.size("spans") <= MOST_SENT, F.col("n")).otherwise(0).alias("n")))
     flat = pick(docs, *names).toDF(*own)
     body = own[names.index(text)]
     flat = flat.withColumn("text_key", F.unhex(F.left(F.sha2(body, 256), F.lit(32))))

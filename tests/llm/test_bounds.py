@@ -2,8 +2,10 @@
 
 import random
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from demandloom.llm import common, mixing, packing, quality, search, sharding, simhash, substrings, toxicity, warc
@@ -170,3 +172,21 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="checkpoint"):
         common.shared_folder(Cluster)
+
+
+def test_substring_steps_take_few_texts_at_once(spark, monkeypatch):
+    """Equal strings are shipped once across batches, and no more than PACKED bytes and a chunk's at once; Python gets TEXTS texts at a time; the session's setting comes back."""
+    one, none = (SimpleNamespace(value=np.full(1 << 10, x, np.uint8)) for x in (255, 0))
+    batch = lambda *texts: pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["raw"])
+    text = b" ".join(b"w%d" % i for i in range(200))
+    out = list(substrings._packed(35, 8, one, none)(iter([batch(text), batch(text)])))
+    assert len(out) == 1 and set(out[0].column("n").to_pylist()) == {2}
+    rng = np.random.default_rng(6)
+    long = [b" ".join(b"w%d" % i for i in rng.integers(0, 1 << 40, 60_000)) for _ in range(20)]
+    sizes = [b.column("packed").nbytes for b in substrings._packed(35, 8, one, none)(iter([batch(*long)]))]
+    assert len(sizes) > 1 and max(sizes) < 4 * substrings.PACKED
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old, seen, before = spark.conf.get(name), [], substrings.repeated_spans
+    monkeypatch.setattr(substrings, "repeated_spans", lambda *a: (seen.append(spark.conf.get(name)), before(*a))[1])
+    assert substrings.remove_repeats(spark.createDataFrame([(1, text.decode()), (2, text.decode())], "doc_id long, text string")).agg({"n_removed": "sum"}).first()[0] == 400
+    assert seen == [str(substrings.TEXTS)] and spark.conf.get(name) == old
