@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandloom.operators import combine, correct
+from demandloom.plans import panels
 
 
 def test_snap_to_any_number_of_levels(spark):
@@ -20,3 +21,14 @@ def test_weights_up_to_three_and_between_the_steps(spark):
     fit = {r.segment: r for r in combine.fit_asymmetric(df, ["segment"], fine=0.0625).collect()}
     assert fit["low"].weights == pytest.approx([2.5, 0, 0]) and fit["between"].weights == pytest.approx([0, 0.3125, 0])
     assert fit["low"].loss == fit["between"].loss == 0
+
+
+def test_part_week_sums_few_lines_a_task(spark, monkeypatch):
+    """The tasks that sum a part's weeks are as many as the lines ask for, and give the same rows."""
+    sf = "/root/testdata/sf0.001"
+    want = sorted(map(tuple, panels.part_week(spark, sf).collect()))
+    lines = panels.table(spark, sf, "lineitem").count()
+    monkeypatch.setattr(panels, "PER_TASK", 500)
+    out = panels.part_week(spark, sf)
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() >= 0.9 * lines / 500
+    assert sorted(map(tuple, out.collect())) == want
