@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, tidied
-from .tokens import TOKENIZER, pieces
+from .common import cut, small_batches, tidied
+from .tokens import TEXTS, TOKENIZER, pieces
 
 #: Pieces that one task packs at once.
 PER_TASK = 100_000
@@ -133,4 +133,5 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int =
 def digests(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = 2048, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """As pack_documents(), with the CRC-32 of each piece's ids in place of the ids, taken before anything is shuffled."""
     items = pieces(docs, tokenizer, capacity, 0, text, doc_id).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(items, capacity)
+    with small_batches(docs.sparkSession, TEXTS):
+        return pack(items, capacity)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import CACHES, cut, pick, tidied
+from .common import CACHES, cut, pick, sliced, tidied
 
 #: A tokenizer that drops white space and splits at it, so that words can be encoded one by one.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -26,6 +26,8 @@ PLAIN = re.compile(f"[{LETTERS}]+|{SIGNS}+")
 REMEMBERED = 300_000
 #: Texts that are encoded together.
 TOGETHER = 64
+#: Texts that a task takes at once, and bytes of ids that it gives at once.
+TEXTS, PIECES = 1000, 1 << 22
 
 
 class Remembered(dict):
@@ -120,7 +122,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, longest: int = 2048, end
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        for batch in batches:
+        for batch in sliced(batches, TEXTS):
             rows, number, start, length, ids, held = [], [], [], [], [], 0
             for row, own in enumerate(encode(batch.column("text").to_pylist())):
                 own += end  # noqa: PLW2901
@@ -128,7 +130,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, longest: int = 2048, end
                     part = own[at : at + most]
                     rows.append(row), number.append(k), start.append(at // 4), length.append(len(part) // 4), ids.append(part)
                     held += len(part)
-                if held > 1 << 25:
+                if held > PIECES:
                     yield made(batch, rows, number, start, length, ids)
                     rows, number, start, length, ids, held = [], [], [], [], [], 0
             yield made(batch, rows, number, start, length, ids)
@@ -145,7 +147,7 @@ def lengths(docs: DataFrame, tokenizer: str = TOKENIZER, text: str = "text") ->
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        for batch in batches:
+        for batch in sliced(batches, TEXTS):
             yield pa.RecordBatch.from_arrays([pa.array([len(ids) // 4 for ids in encode(batch.column("text").to_pylist())], pa.int64())], ["n_tokens"])
 
     return pick(docs, text).toDF("text").mapInArrow(tidied(each, "encoder"), "n_tokens long")
