@@ -5,45 +5,51 @@ from __future__ import annotations
 import functools
 import json
 import re
-from collections.abc import Iterator
+import struct
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from .common import CACHES, cut, pick, sliced, tidied
 
 #: A tokenizer that drops white space and splits at it, so that words can be encoded one by one.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Its normalizer and pre-tokenizer: after them letters, a number's digits and other signs are parts of their own, in lower case and as bytes.
+NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 LETTERS, SIGNS, BLANK = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", "[.,;:!?|#$%&*]", "[ \\t\\n\\r]"
+#: All signs of ASCII but those that contractions and special tokens begin with.
+ALL_SIGNS = "!-&(-/:;=-@\\[-`{-~"
+#: Texts of other characters than these are taken word by word, others part by part.
+OTHER = re.compile(f"[^{LETTERS}0-9{ALL_SIGNS} \\t\\n\\r]")
+PLAIN = re.compile(f"[{LETTERS}]+|[0-9]|[{ALL_SIGNS}]+")
 #: Words of letters, and signs after such up to the word's end, as parts of their own; any other word whole. None of these signs joins with letters.
 PARTS = re.compile(f"(?<![^ \\t\\n\\r])[{LETTERS}]+(?={SIGNS}*(?:{BLANK}|\\Z))|(?<=[{LETTERS}]){SIGNS}+(?={BLANK}|\\Z)|[^ \\t\\n\\r]+")
-PLAIN = re.compile(f"[{LETTERS}]+|{SIGNS}+")
 #: Parts whose ids a worker remembers at once: twice this number at most, the latest among them.
 REMEMBERED = 300_000
-#: Texts that are encoded together.
+#: Texts after which it is looked how many those are.
 TOGETHER = 64
 #: Texts that a task takes at once, and bytes of ids that it gives at once.
 TEXTS, PIECES = 1000, 1 << 22
 
 
 class Remembered(dict):
-    """The latest entries, in two generations."""
+    """What `made` gives for each key; the latest entries are kept, in two generations."""
 
-    def __init__(self) -> None:
-        self.before: dict = {}
+    def __init__(self, made: Callable[[str], bytes]) -> None:
+        self.made, self.before = made, {}
 
     def __missing__(self, key: str) -> bytes:
-        self[key] = found = self.before[key]
+        found = self.before.get(key)
+        self[key] = found = self.made(key) if found is None else found
         return found
 
-    def lacking(self, keys: set[str]) -> list[str]:
-        """Those that aren't remembered."""
-        return [k for k in keys if k not in self and k not in self.before]
-
     def age(self) -> None:
         if len(self) > REMEMBERED:
             self.before = dict(self)
@@ -53,50 +59,41 @@ class Remembered(dict):
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers.
 
-    For a tokenizer that splits at white space and ends words with a mark, each distinct word is encoded once while it
-    is remembered; other tokenizers get whole texts.
+    For a tokenizer of the known normalizer and pre-tokenizer that ends words with a mark, each distinct part is encoded once
+    while it is remembered, plain ones by its model alone; other tokenizers get whole texts.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        kind = json.loads(self.tokenizer.to_str())
-        self.by_word = kind["model"].get("end_of_word_suffix") == "</w>" and r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" in json.dumps(kind["pre_tokenizer"]).replace("\\\\", "\\")
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        self.known = Remembered()
+        self.model = self.tokenizer.model
+        rules = [json.loads(x.__getstate__()) if x else {} for x in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
+        known = (rules[0].get("normalizers"), rules[1].get("pretokenizers")) == (NORMAL, [SPLIT, BYTES])
+        self.by_word = known and getattr(self.model, "end_of_word_suffix", None) == "</w>" and all("<" in t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.as_bytes = {i: level.pre_tokenize_str(chr(i))[0][0] for i in range(0xDF, 0x100)}
+        self.known = Remembered(self.part)
 
     def each(self, texts: list[str]) -> list[bytes]:
         """Ids of each text on its own."""
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, new: list[str]) -> None:
-        """Remembers parts; plain ones are encoded as one text and cut where a word ends."""
-        plain = [p for p in new if PLAIN.fullmatch(p)]
-        if len(plain) < len(new):
-            odd = [p for p in new if not PLAIN.fullmatch(p)]
-            self.known.update(zip(odd, self.each(odd), strict=True))
-        if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
-            last = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(last) != len(plain):
-                found = self.each(plain)
-            else:
-                raw = ids.tobytes()
-                found = [raw[a:b] for a, b in zip([0, *last], last, strict=False)]
-            self.known.update(zip(plain, found, strict=True))
+    def part(self, part: str) -> bytes:
+        """Ids of a part; the normalizer only lowers plain ones, and the pre-tokenizer leaves them whole."""
+        if not PLAIN.fullmatch(part):
+            return self.each([part])[0]
+        lower = part.lower()
+        ids = [t.id for t in self.model.tokenize(lower if lower.isascii() else lower.translate(self.as_bytes))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         if not self.by_word:
             yield from self.each([t or "" for t in texts])
             return
-        for at in range(0, len(texts), TOGETHER):
-            found = [PARTS.findall(t) if t else [] for t in texts[at : at + TOGETHER]]
-            self.known.age()
-            if new := self.known.lacking(set().union(*found)):
-                self.learn(new)
-            get = self.known.__getitem__
-            for parts in found:
-                yield b"".join(map(get, parts))
+        get = self.known.__getitem__
+        for at, t in enumerate(texts):
+            if not at % TOGETHER:
+                self.known.age()
+            yield b"".join(map(get, PARTS.findall(t) if OTHER.search(t) else PLAIN.findall(t.lower()))) if t else b""
 
 
 @functools.cache
