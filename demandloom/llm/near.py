@@ -2,14 +2,16 @@
 
 Candidates come from operator 1's method at a wider radius: multi-index hashing of SimHash fingerprints of the shingles, which have 1024 bits
 and share one of many segments (simhash.Segments; of pairs with a similarity of 0.8 a share of 0.999 does, by arithmetic). A pair goes on if few bits of the first 64 and of the
-whole fingerprint differ and enough of its sets' minima agree, told by four bits of each; then its whole shingle sets are compared. Members of a key that very many texts share are compared with a few of them first. Those that this
-leaves in different groups are compared in blocks, whose sets are shipped once for each block they meet: only alike texts become rows.
+whole fingerprint differ and enough of its sets' minima agree, told by four bits of each; then its whole shingle sets are compared. A few pairs a text are taken first. What those of them that are likely
+alike join in large groups (kins) is compared in blocks, whose sets are shipped once for each block they meet: only alike texts become rows. So are members of a key that very many texts share, unless
+one group or kin holds them all. Other pairs go on only if they would join what is apart and are of no common large kin.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,10 @@ from .simhash import WIDE, Segments, wide
 SHINGLE, SIMILARITY = 5, 0.8
 #: Of BANDS times ROWS minima of a text the sketch tells four bits each.
 BANDS, ROWS = 20, 4
-#: A key that more texts than this share goes the other way, by so many of its members first.
-CROWDED, PIVOTS = 32, 2
+#: A key that more texts than this share, and a kin of more, goes by blocks.
+CROWDED = 32
+#: Segments by which each text is compared with two others first.
+EARLY = 8
 #: Standard deviations above the mean of a pair of the similarity asked for, within which the first 64 bits and all of them may differ.
 FIRST, WHOLE = 5, 6.5
 #: Of the minima so many agree in four bits for all but 2 in 10^7 pairs with a similarity of 0.8: five deviations (3.5) below the mean of 65.
@@ -104,18 +108,56 @@ def apart(a: str, b: str) -> Column:
     return sum(differ[1:], differ[0])
 
 
-def met(prints: DataFrame, segments: Segments, similarity: float) -> DataFrame:
-    """Who shares a segment: pairs a, b (key null) whose sizes and first 64 bits allow the similarity; of segments that over CROWDED texts share each text a with its size under the segment's key, b null."""
-    crowded, first = CROWDED, segments.radius(64, FIRST)
+def dealt(prints: DataFrame, segments: Segments) -> DataFrame:
+    """key, node, size, word (the first 64 bits), root of each text under each of its segments. prints: node, size, print and maybe root; without it each text is its own."""
+    root = F.col("root") if "root" in prints.columns else F.col("node")
 
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, TOGETHER):
             raw = np.frombuffer(b"".join(b.column("print").to_pylist()), np.uint8).reshape(-1, WIDE // 8)
-            columns = [b.column("node").to_numpy(), b.column("size").to_numpy(), np.ascontiguousarray(raw[:, :8]).view(np.int64)[:, 0]]
-            yield pa.RecordBatch.from_arrays([pa.array(segments.values(raw).ravel()), *[pa.array(np.repeat(c, segments.number)) for c in columns]], ["key", "node", "size", "word"])
+            columns = [b.column("node").to_numpy(), b.column("size").to_numpy(), np.ascontiguousarray(raw[:, :8]).view(np.int64)[:, 0], b.column("root").to_numpy()]
+            yield pa.RecordBatch.from_arrays([pa.array(segments.values(raw).ravel()), *[pa.array(np.repeat(c, segments.number)) for c in columns]], ["key", "node", "size", "word", "root"])
 
-    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return prints.where("print is not null").select("node", "size", "print", root.alias("root")).mapInArrow(tidied(each), "key long, node long, size long, word long, root long")
+
+
+def beside(prints: DataFrame, segments: Segments, similarity: float) -> DataFrame:
+    """Pairs a, b of each text with the first of those that share one of the first EARLY segments and with the one before it there, whose sizes and first 64 bits allow
+    the similarity: at most so many a text, however many are alike."""
+    first = segments.radius(64, FIRST)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.int64)] * 4
+        for b in batches:
+            if not b.num_rows:
+                continue
+            # Of what came before, the first and the last row of the run that may go on.
+            before = len(held[0])
+            key, node, size, word = held = [np.r_[x, b.column(i).to_numpy()] for i, x in enumerate(held)]
+            start = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], np.arange(len(key)), 0))
+            y = np.arange(before, len(key))
+            y = y[start[y] < y]
+            x, y = np.r_[start[y], y - 1], np.r_[y, y]
+            near = possible(size, word, x, y, similarity, first) & (node[x] != node[y])
+            yield pa.RecordBatch.from_arrays([pa.array(f(node[x], node[y])[near]) for f in (np.minimum, np.maximum)], ["a", "b"])
+            held = [c[[start[-1], -1]] for c in held]
+
+    rows = dealt(prints, replace(segments, number=min(EARLY, segments.number))).drop("root")
+    return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(tidied(each), "a long, b long")
+
+
+def possible(size: np.ndarray, word: np.ndarray, x: np.ndarray, y: np.ndarray, similarity: float, first: int) -> np.ndarray:
+    """Whether sizes and first 64 bits of the texts at x and y allow the similarity."""
+    return (np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y]) - 1e-9) & (np.bitwise_count((word[x] ^ word[y]).view(np.uint64)) <= first)
+
+
+def met(prints: DataFrame, segments: Segments, similarity: float) -> DataFrame:
+    """Who shares a segment: pairs a, b (key null) of different roots whose sizes and first 64 bits allow the similarity; of segments that over CROWDED texts share each text a
+    with its size and root (b) under the segment's key. prints: node, size, print and maybe root; without it each text is its own."""
+    crowded, first = CROWDED, segments.radius(64, FIRST)
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64)] * 5
         for b in batches:
             if not b.num_rows:
                 continue
@@ -130,7 +172,7 @@ def met(prints: DataFrame, segments: Segments, similarity: float) -> DataFrame:
 
     def of(held: list[np.ndarray], whole: int, end: int) -> pa.RecordBatch:
         """Runs before `whole` are whole; the rows from there to `end` are of a crowded one."""
-        key, node, size, word = held
+        key, node, size, word, root = held
         starts = np.flatnonzero(np.r_[True, key[1:whole] != key[: whole - 1]]) if whole else np.empty(0, np.int64)
         length = np.repeat(np.diff(np.r_[starts, whole]), np.diff(np.r_[starts, whole]))
         many = np.r_[np.flatnonzero(length > crowded), np.arange(whole, end)]
@@ -140,16 +182,14 @@ def met(prints: DataFrame, segments: Segments, similarity: float) -> DataFrame:
             if not len(x):
                 break
             y = x + step
-            small, large = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
-            near = (small >= similarity * large - 1e-9) & (np.bitwise_count((word[x] ^ word[y]).view(np.uint64)) <= first) & (node[x] != node[y])
+            near = possible(size, word, x, y, similarity, first) & (root[x] != root[y])
             a.append(np.minimum(node[x], node[y])[near]), b.append(np.maximum(node[x], node[y])[near])
         none = np.zeros(sum(map(len, a)), np.int64)
         blank = np.arange(len(none) + len(many)) < len(none)
-        made = [pa.array(np.r_[none, key[many]], mask=blank), pa.array(np.r_[(none[:0], *a, node[many])]), pa.array(np.r_[(none[:0], *b, node[many])], mask=~blank), pa.array(np.r_[none, size[many]], mask=blank)]
+        made = [pa.array(np.r_[none, key[many]], mask=blank), pa.array(np.r_[(none[:0], *a, node[many])]), pa.array(np.r_[(none[:0], *b, root[many])]), pa.array(np.r_[none, size[many]], mask=blank)]
         return pa.RecordBatch.from_arrays(made, ["key", "a", "b", "size"])
 
-    rows = prints.where("print is not null").select("node", "size", "print").mapInArrow(tidied(dealt), "key long, node long, size long, word long")
-    return cut(rows.repartition("key").sortWithinPartitions("key").mapInArrow(tidied(together), "key long, a long, b long, size long"))
+    return cut(dealt(prints, segments).repartition("key").sortWithinPartitions("key").mapInArrow(tidied(together), "key long, a long, b long, size long"))
 
 
 def whole_sets(nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
@@ -157,12 +197,16 @@ def whole_sets(nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     return cut(mapped(texts.join(nodes.distinct(), "node", "left_semi").dropDuplicates(["node"]).select("node", "body"), shingle, True))
 
 
-def alike(pairs: DataFrame, prints: DataFrame, texts: DataFrame, shingle: int, similarity: float, radius: int) -> DataFrame:
-    """The pairs a, b whose fingerprints differ in at most so many bits and whose shingle sets have the similarity. prints: node, print, sketch; texts: node, body."""
+def likely(pairs: DataFrame, prints: DataFrame, similarity: float, radius: int) -> DataFrame:
+    """The different pairs a, b whose fingerprints differ in at most so many bits and whose sketches allow the similarity. prints: node, print, sketch."""
     sketches = prints.select("node", "print", "sketch")
     sketched = pairs.distinct().join(sketches.toDF("a", "_pa", "_sa"), "a").join(sketches.toDF("b", "_pb", "_sb"), "b").where(apart("_pa", "_pb") <= radius)
     # This bound is for similarities of SIMILARITY and more.
-    pairs = cut((sketched.where(agreeing("_sa", "_sb") >= AGREE) if similarity >= SIMILARITY else sketched).select("a", "b"))
+    return cut((sketched.where(agreeing("_sa", "_sb") >= AGREE) if similarity >= SIMILARITY else sketched).select("a", "b"))
+
+
+def alike(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs a, b whose shingle sets have the similarity. texts: node, body."""
     sets = whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), texts, shingle)
     both = pairs.join(sets.toDF("a", "_a"), "a").join(sets.toDF("b", "_b"), "b")
     common = F.size(F.array_intersect("_a", "_b"))
@@ -253,27 +297,32 @@ def crowded_edges(named: DataFrame, texts: DataFrame, shingle: int, similarity:
 def links(prints: DataFrame, texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """node, root of the texts that have a near copy. prints: node, size, print, sketch, one row a node; texts: node, body."""
     segments = Segments.of(prints.count(), similarity)
-    found = met(prints, segments, similarity)
-    pairs, many = found.where("key is null").select("a", "b"), found.where("key is not null").select("key", F.col("a").alias("node"), "size")
-    fits = F.least("size", "_size") >= similarity * F.greatest("size", "_size") - 1e-9
-
-    def ordered(rows: DataFrame) -> DataFrame:
-        return rows.where(fits & (F.col("node") != F.col("_node"))).select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b"))
-
-    crowded = not many.isEmpty()
-    if crowded:
-        order = F.struct(F.xxhash64("node", F.lit(SEED)).alias("o"), F.col("node"), F.col("size"))
-        pivots = many.groupBy("key", F.pmod("node", F.lit(PIVOTS)).alias("part")).agg(F.min(order).alias("p")).select("key", F.col("p.node").alias("_node"), F.col("p.size").alias("_size"))
-        pairs = pairs.union(ordered(many.join(pivots, "key")))
-    edges = alike(pairs, prints, texts, shingle, similarity, segments.radius(WIDE, WHOLE))
+    radius = segments.radius(WIDE, WHOLE)
+    # A few pairs a text bring large groups together and tell who is kin: joined by pairs that are likely alike. Large kins are then compared whole, in blocks.
+    pairs = likely(beside(prints, segments, similarity), prints, similarity, radius)
+    edges, kins = alike(pairs, texts, shingle, similarity), connected(pairs).toDF("node", "kin")
+    large = cut(kins.join(kins.groupBy("kin").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).select("kin"), "kin", "left_semi"))
+    rooted = cut(prints.select("node", "size", "print").join(connected(edges), "node", "left").join(large, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    if not large.isEmpty():
+        members = rooted.where("kin is not null").select(F.col("kin").alias("key"), "node", "size", "root")
+        edges = edges.union(crowded_edges(divided(members), texts, shingle, similarity))
+    # Pairs within a large kin are settled, by whatever root; its mark is no node's name.
+    mark = F.when(F.col("kin").isNotNull(), F.xxhash64("kin", F.lit(SEED))).otherwise(F.coalesce("root", "node")).alias("root")
+    found = met(rooted.select("node", "size", "print", mark), segments, similarity)
+    pairs, many = found.where("key is null").select("a", "b"), found.where("key is not null").select("key", F.col("a").alias("node"), "size", F.col("b").alias("root"))
+    edges = edges.union(alike(likely(pairs, prints, similarity, radius), texts, shingle, similarity))
     roots = connected(edges)
-    if not crowded:
+    if many.isEmpty():
         return roots
     roots = cut(roots)
-    named = cut(many.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    # A key whose members are in one group has no more pairs.
+    named = cut(divided(many).drop("root").join(roots, "node", "left").join(large, "node", "left").select("key", "node", "size", mark))
+    return connected(edges.union(crowded_edges(divided(named), texts, shingle, similarity)))
+
+
+def divided(named: DataFrame) -> DataFrame:
+    """The rows (key, root) of keys whose members are of several groups: one group has no more pairs."""
     sides = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    return connected(edges.union(crowded_edges(named.join(sides, "key", "left_semi"), texts, shingle, similarity)))
+    return named.join(sides, "key", "left_semi")
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

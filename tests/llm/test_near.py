@@ -149,3 +149,26 @@ def test_a_crowd_keeps_pairs_of_just_the_similarity(spark, monkeypatch):
     bodies = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "node long, body binary")
     assert sorted(r["size"] for r in nodes.collect()) == [216, 225]
     assert [(r.a, r.b) for r in near.crowded_edges(nodes, bodies, 5, 0.8).collect()] == [(0, 1)]
+
+
+def test_whole_sets_compared_grow_with_the_texts_of_a_group(spark, monkeypatch):
+    """Texts that are nearly alike, most pairs of which share a segment and few of which have the similarity: what is compared whole is no pair of each two of them."""
+    rng, asked, plain = random.Random(5), [], near.whole_sets
+    base = [f"w{i}" for i in range(150)]
+
+    def counted(nodes, texts, shingle):
+        asked.append(nodes.count())
+        return plain(nodes, texts, shingle)
+
+    monkeypatch.setattr(near, "whole_sets", counted)
+    made = []
+    for i in range(160):
+        copy = list(base)
+        for at in rng.sample(range(150), rng.randrange(1, 6)):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        made.append((i, " ".join(copy)))
+    want = kept(made)
+    assert 1 < len(want) < 150
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in made], SCHEMA).repartition(3)
+    assert sorted(r.doc_id for r in near.deduplicate(docs).collect()) == want
+    assert sum(asked) <= 40 * len(made)
